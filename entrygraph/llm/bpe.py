@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from entrygraph.llm.common import arrow_schema
+from entrygraph.llm.common import arrow_map, arrow_schema
 
 OTHER, LETTER, NUMBER, BLANK, SPACE = range(5)
 #: The code points of Unicode's White_Space besides the blank.
@@ -213,4 +213,4 @@ def encode_documents(docs: DataFrame, path: str, with_ids: bool = False) -> Data
                 columns = list(zip(*rows))
                 yield pa.record_batch([ids, *[pa.array(list(c), type=f.type) for c, f in zip(columns, list(schema)[1:])]], schema=schema)
 
-    return docs.select("doc_id", "text").mapInArrow(run, ddl)
+    return arrow_map(docs.select("doc_id", "text"), run, ddl)

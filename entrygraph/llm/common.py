@@ -5,7 +5,9 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Callable, Iterable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -58,6 +60,25 @@ def text_or_empty(text: Column) -> Column:
     return F.coalesce(text, F.lit(""))
 
 
+def ship(spark: SparkSession) -> None:
+    """Send the package to the executors, once a Spark context: they need not have it installed."""
+    context = spark.sparkContext
+    if getattr(context, "_entrygraph_sent", False):
+        return
+    root = Path(__file__).resolve().parents[1]
+    archive = Path(tempfile.mkdtemp(prefix="entrygraph-code-")) / "entrygraph.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        for source in sorted(root.rglob("*.py")):
+            z.write(source, source.relative_to(root.parent).as_posix())
+    context.addPyFile(str(archive))
+    context._entrygraph_sent = True
+
+
+def arrow_map(df: DataFrame, run: Callable, schema: str) -> DataFrame:
+    ship(df.sparkSession)
+    return df.mapInArrow(run, schema)
+
+
 def map_rows(df: DataFrame, names: list[str], make: Callable[[], Callable[..., tuple]], schema: str, arrow: pa.Schema) -> DataFrame:
     """Apply a Python function to each row in Arrow batches.
 
@@ -73,7 +94,7 @@ def map_rows(df: DataFrame, names: list[str], make: Callable[[], Callable[..., t
             if rows:
                 yield pa.record_batch([pa.array(list(c), type=f.type) for c, f in zip(zip(*rows), arrow)], schema=arrow)
 
-    return df.select(*names).mapInArrow(run, schema)
+    return arrow_map(df.select(*names), run, schema)
 
 
 _TYPES = {"long": pa.int64(), "int": pa.int32(), "string": pa.string(), "boolean": pa.bool_(), "double": pa.float64(), "binary": pa.binary()}
