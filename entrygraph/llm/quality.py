@@ -4,7 +4,7 @@ Each rule votes good (1), bad (-1) or abstains (0) on a document. Expectation
 maximisation over the counts of all vote patterns estimates, without labels,
 how often each rule votes right for good and for bad documents; the posterior
 probability of good quality then decides, instead of a list of filters that
-all must pass. There are at most 3**8 = 6561 patterns, whatever the corpus, so
+all must pass. There are at most 3**9 = 19683 patterns, whatever the corpus, so
 their counts are the only thing the driver sees.
 
 Defined cases: a null text counts as no words; empty and short texts (under 50
@@ -23,10 +23,13 @@ from pyspark.sql import functions as F
 
 from entrygraph.llm.common import arrow_schema, map_rows, staged
 
-FEATURES = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_lines long, n_upper long, n_letters long, n_digits long, n_closed long"
-RULES = ("length", "symbols", "dup_lines", "repeats", "word_length", "upper", "digits", "closed")
+FEATURES = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_lines long, n_upper long, n_letters long, n_digits long, n_closed long, n_symbol_words long"
+RULES = ("length", "symbols", "dup_lines", "repeats", "word_length", "upper", "digits", "closed", "symbol_words")
 #: Votes of a class below this many documents do not move a rule's accuracy far: add-one smoothing.
-SMOOTH, ROUNDS, PRIOR, START = 1.0, 200, 0.8, 0.8
+SMOOTH, ROUNDS, PRIOR = 1.0, 200, 0.8
+#: Where iteration starts: the shares of bad, no and good votes on bad and on good documents. Each
+#: kind of bad text sets off a few of the rules; on good text bad votes are rare.
+START = ((0.4, 0.1, 0.5), (0.002, 0.098, 0.9))
 KEEP_FROM = 0.5
 
 _SPACE = b" \t\n\x0b\x0c\r"
@@ -76,8 +79,9 @@ def features(text: str | None) -> tuple:
             closed += bare[-1] in b".!?\"'):;"
             dup += line in seen
             seen.add(line)
-    upper = without(_UPPER)
-    return (len(words), len(text or "") - without(_SPACE), without(_SYMBOLS), dup, repeated_words(words), lines, upper, upper + without(_LOWER), without(_DIGITS), closed)
+    symbols, upper = without(_SYMBOLS), without(_UPPER)
+    marked = sum(len(w.translate(None, _SYMBOLS)) < len(w) for w in words) if symbols else 0
+    return (len(words), len(text or "") - without(_SPACE), symbols, dup, repeated_words(words), lines, upper, upper + without(_LOWER), without(_DIGITS), closed, marked)
 
 
 def _votes() -> list:
@@ -88,28 +92,28 @@ def _votes() -> list:
     return [
         vote(c("n_words") < 50, c("n_words") >= 80),
         vote(c("n_symbols") * 100 > c("n_words") * 10, c("n_symbols") * 100 < c("n_words") * 4),
-        vote(c("n_dup_lines") * 100 > c("n_lines") * 30, (c("n_lines") > 2) & (c("n_dup_lines") * 100 < c("n_lines") * 10)),
+        vote((c("n_dup_lines") > 1) & (c("n_dup_lines") * 100 > c("n_lines") * 30), (c("n_lines") > 2) & (c("n_dup_lines") * 100 < c("n_lines") * 10)),
         vote(c("n_repeat_words") * 100 > c("n_words") * 40, ~none & (c("n_repeat_words") * 100 < c("n_words") * 15)),
         vote(none | (c("word_chars") < c("n_words") * 3) | (c("word_chars") > c("n_words") * 12), ~none),
         vote(c("n_upper") * 100 > c("n_letters") * 30, (c("n_letters") > 0) & (c("n_upper") * 100 < c("n_letters") * 12)),
         vote(c("n_digits") * 100 > c("word_chars") * 15, ~none & (c("n_digits") * 100 < c("word_chars") * 4)),
         vote((c("n_lines") > 0) & (c("n_closed") * 100 < c("n_lines") * 30), (c("n_lines") > 0) & (c("n_closed") * 100 >= c("n_lines") * 60)),
+        vote(c("n_symbol_words") * 100 > c("n_words") * 10, ~none & (c("n_symbol_words") * 100 < c("n_words") * 4)),
     ]
 
 
 def fit(patterns: list[tuple[tuple[int, ...], int]]) -> dict:
     """Expectation maximisation over (votes, count); gives the log odds of the prior and of each vote.
 
-    Rules are taken as independent given the quality. Iteration starts with
-    rules that are right in START of the cases, which also fixes which of the
-    two classes is called good.
+    Rules are taken as independent given the quality. START also
+    fixes which of the two classes is called good.
     """
     k = len(RULES)
     votes = np.array([p for p, _ in patterns], int).reshape(-1, k)
     counts = np.array([n for _, n in patterns], float)
     prior = PRIOR
     # [class good?][rule][vote + 1]: the share of documents of the class that get the vote
-    rate = np.array([[[START, 0.1, 1 - START - 0.1]] * k, [[1 - START - 0.1, 0.1, START]] * k])
+    rate = np.array([[START[0]] * k, [START[1]] * k])
     index = np.arange(k)
     for _ in range(ROUNDS if len(counts) else 0):
         log = np.stack([np.log(p) + np.log(rate[c][index, votes + 1]).sum(1) for c, p in ((0, 1 - prior), (1, prior))], 1)
