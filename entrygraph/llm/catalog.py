@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from entrygraph.llm import bpe, quality
-from entrygraph.llm.common import table
+from entrygraph.llm import bpe, quality, sharding
+from entrygraph.llm.common import table, text_or_empty
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 
@@ -15,13 +16,20 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(table(spark, sf_dir, "documents"), public_tokenizers.path(RANKS))
 
 
+def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    checked = docs.withColumn("text_crc32", F.crc32(text_or_empty(F.col("text")))).withColumn("size", sharding.size_of(F.col("text"))).drop("text")
+    placed = checked.withColumn("old_shard", F.pmod(F.xxhash64("doc_id"), F.lit(32)).cast("int"))
+    return sharding.transfer(placed, 32, 40).select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "old_shard")
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = ("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "p_good")
     return quality.score_quality(table(spark, sf_dir, "documents")).select(*names)
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op3_byte_bpe, op10_quality)}
+    return {f.__name__: f for f in (op3_byte_bpe, op7_sharding, op10_quality)}
 
 
 def oracle_sql() -> dict:
