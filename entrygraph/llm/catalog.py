@@ -6,12 +6,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from entrygraph.llm import bpe, quality, sharding
+from entrygraph.llm import bpe, pii, quality, sharding
 from entrygraph.llm.common import table, text_or_empty
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 
 
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find_spans(table(spark, sf_dir, "documents"))
+
+
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(table(spark, sf_dir, "documents"), public_tokenizers.path(RANKS))
 
@@ -29,7 +33,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op3_byte_bpe, op7_sharding, op10_quality)}
+    return {f.__name__: f for f in (op2_pii, op3_byte_bpe, op7_sharding, op10_quality)}
 
 
 def oracle_sql() -> dict:
