@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from entrygraph.llm import bpe, pii, quality, sharding
+from entrygraph.llm import bpe, licenses, pii, quality, sharding
 from entrygraph.llm.common import table, text_or_empty
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -20,6 +20,10 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(table(spark, sf_dir, "documents"), public_tokenizers.path(RANKS))
 
 
+def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(table(spark, sf_dir, "documents"))
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     checked = docs.withColumn("text_crc32", F.crc32(text_or_empty(F.col("text")))).withColumn("size", sharding.size_of(F.col("text"))).drop("text")
@@ -33,7 +37,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op2_pii, op3_byte_bpe, op7_sharding, op10_quality)}
+    return {f.__name__: f for f in (op2_pii, op3_byte_bpe, op4_licenses, op7_sharding, op10_quality)}
 
 
 def oracle_sql() -> dict:
