@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from entrygraph.llm import bpe, licenses, pii, quality, sharding
+from entrygraph.llm import bpe, licenses, lm, pii, quality, sharding, simhash
 from entrygraph.llm.common import table, text_or_empty
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -24,6 +24,11 @@ def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(table(spark, sf_dir, "documents"))
 
 
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"), 3)
+    return found.select("doc_id", simhash.hex_of(F.col("fp")).alias("fingerprint"), "component_id")
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     checked = docs.withColumn("text_crc32", F.crc32(text_or_empty(F.col("text")))).withColumn("size", sharding.size_of(F.col("text"))).drop("text")
@@ -31,13 +36,17 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.transfer(placed, 32, 40).select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "old_shard")
 
 
+def op9_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score_texts(table(spark, sf_dir, "documents"))
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = ("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "p_good")
     return quality.score_quality(table(spark, sf_dir, "documents")).select(*names)
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op2_pii, op3_byte_bpe, op4_licenses, op7_sharding, op10_quality)}
+    return {f.__name__: f for f in (op2_pii, op3_byte_bpe, op4_licenses, op6_simhash, op7_sharding, op9_language_model, op10_quality)}
 
 
 def oracle_sql() -> dict:
