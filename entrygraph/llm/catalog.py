@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from entrygraph.llm import bpe, licenses, lm, pii, quality, sharding, simhash
+from entrygraph.llm import bpe, licenses, lm, pii, quality, sharding, simhash, suffixes
 from entrygraph.llm.common import table, text_or_empty
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -24,6 +24,10 @@ def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(table(spark, sf_dir, "documents"))
 
 
+def op5_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.repeated_spans(table(spark, sf_dir, "documents"))
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), 3)
     return found.select("doc_id", simhash.hex_of(F.col("fp")).alias("fingerprint"), "component_id")
@@ -46,7 +50,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op2_pii, op3_byte_bpe, op4_licenses, op6_simhash, op7_sharding, op9_language_model, op10_quality)}
+    return {f.__name__: f for f in (op2_pii, op3_byte_bpe, op4_licenses, op5_suffixes, op6_simhash, op7_sharding, op9_language_model, op10_quality)}
 
 
 def oracle_sql() -> dict:
