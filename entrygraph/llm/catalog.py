@@ -6,12 +6,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from entrygraph.llm import bpe, licenses, lm, pii, quality, sharding, simhash, suffixes
+from entrygraph.llm import bpe, decontaminate, licenses, lines, lm, pii, quality, sharding, simhash, suffixes
 from entrygraph.llm.common import table, text_or_empty
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 
 
+def op1_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.line_report(table(spark, sf_dir, "documents"))
+
+
 def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find_spans(table(spark, sf_dir, "documents"))
 
@@ -40,6 +44,10 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.transfer(placed, 32, 40).select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "old_shard")
 
 
+def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op9_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score_texts(table(spark, sf_dir, "documents"))
 
@@ -50,8 +58,8 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op2_pii, op3_byte_bpe, op4_licenses, op5_suffixes, op6_simhash, op7_sharding, op9_language_model, op10_quality)}
+    return {f.__name__: f for f in (op1_lines, op2_pii, op3_byte_bpe, op4_licenses, op5_suffixes, op6_simhash, op7_sharding, op8_decontaminate, op9_language_model, op10_quality)}
 
 
 def oracle_sql() -> dict:
-    return {}
+    return {"op1_lines": lines.ORACLE, "op8_decontaminate": decontaminate.ORACLE}

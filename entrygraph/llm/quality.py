@@ -18,10 +18,12 @@ from __future__ import annotations
 import math
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
-from entrygraph.llm.common import arrow_schema, map_rows, staged
+from entrygraph.llm.common import arrow_map, arrow_schema, map_rows, staged
 
 FEATURES = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_lines long, n_upper long, n_letters long, n_digits long, n_closed long, n_symbol_words long"
 RULES = ("length", "symbols", "dup_lines", "repeats", "word_length", "upper", "digits", "closed", "symbol_words")
@@ -31,6 +33,8 @@ SMOOTH, ROUNDS, PRIOR = 1.0, 200, 0.8
 #: kind of bad text sets off a few of the rules; on good text bad votes are rare.
 START = ((0.4, 0.1, 0.5), (0.002, 0.098, 0.9))
 KEEP_FROM = 0.5
+#: What the names of columns begin with that are put beside a caller's own.
+MARK = "_quality_"
 
 _SPACE = b" \t\n\x0b\x0c\r"
 _SYMBOLS = b"#*$%&|<>"
@@ -84,9 +88,9 @@ def features(text: str | None) -> tuple:
     return (len(words), len(text or "") - without(_SPACE), symbols, dup, repeated_words(words), lines, upper, upper + without(_LOWER), without(_DIGITS), closed, marked)
 
 
-def _votes() -> list:
-    """One column of -1, 0 or 1 for each of RULES."""
-    c = F.col
+def _votes(mark: str = "") -> list:
+    """One column of -1, 0 or 1 for each of RULES, from features whose names begin with ``mark``."""
+    c = lambda name: F.col(mark + name)
     vote = lambda bad, good: F.when(bad, -1).when(good, 1).otherwise(0)
     none = c("n_words") == 0
     return [
@@ -133,26 +137,43 @@ def fit(patterns: list[tuple[tuple[int, ...], int]]) -> dict:
     return {"prior": math.log(prior / (1 - prior)), "odds": np.log(rate[1] / rate[0]).tolist()}
 
 
-def _scored(docs: DataFrame, carry: list[str]) -> DataFrame:
-    schema = ", ".join([*(f"{c} {docs.schema[c].dataType.simpleString().replace('bigint', 'long')}" for c in carry), FEATURES])
-    at = carry.index("text") if "text" in carry else None
-    names = carry if at is not None else [*carry, "text"]
-    found = map_rows(docs, names, lambda: (lambda *r: ((*r, *features(r[at])) if at is not None else (*r[:-1], *features(r[-1])))), schema, arrow_schema(schema))
-    return found
+def _judged(found: DataFrame, model: dict, mark: str = "") -> DataFrame:
+    """``found`` (with the features and votes) with p_good, base_failed and kept."""
+    odds = F.lit(model["prior"])
+    for i, by_vote in enumerate(model["odds"]):
+        v = F.col(mark + "votes")[i]
+        odds = odds + F.when(v == -1, by_vote[0]).when(v == 0, by_vote[1]).otherwise(by_vote[2])
+    words = F.col(mark + "n_words")
+    failed = (words < 50) | (F.col(mark + "n_repeat_words") * 100 > words * 50)
+    return found.withColumn(mark + "p_good", 1 / (1 + F.exp(-odds))).withColumn(mark + "base_failed", failed).withColumn(mark + "kept", ~failed & (F.col(mark + "p_good") >= KEEP_FROM))
+
+
+def _fitted(found: DataFrame) -> dict:
+    return fit([(tuple(r[0]), r[1]) for r in found.groupBy("votes").count().collect()])
 
 
 def score_quality(docs: DataFrame) -> DataFrame:
     """doc_id, the features, the posterior p_good, base_failed and kept, for each row of ``docs``."""
-    found = staged(_scored(docs, ["doc_id"]).withColumn("votes", F.array(*_votes())))
-    patterns = [(tuple(r[0]), r[1]) for r in found.groupBy("votes").count().collect()]
-    model = fit(patterns)
-    odds = F.lit(model["prior"])
-    for i, by_vote in enumerate(model["odds"]):
-        v = F.col("votes")[i]
-        odds = odds + F.when(v == -1, by_vote[0]).when(v == 0, by_vote[1]).otherwise(by_vote[2])
-    failed = (F.col("n_words") < 50) | (F.col("n_repeat_words") * 100 > F.col("n_words") * 50)
-    return (
-        found.withColumn("p_good", 1 / (1 + F.exp(-odds)))
-        .withColumn("base_failed", failed)
-        .withColumn("kept", ~failed & (F.col("p_good") >= KEEP_FROM))
-    )
+    schema = f"doc_id long, {FEATURES}"
+    found = map_rows(docs, ["doc_id", "text"], lambda: (lambda k, t: (k, *features(t))), schema, arrow_schema(schema))
+    found = staged(found.withColumn("votes", F.array(*_votes())))
+    return _judged(found, _fitted(found))
+
+
+def keep_good(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that are kept, with all their columns."""
+    names = [part.split()[0] for part in FEATURES.split(", ")]
+    plain = arrow_schema(FEATURES)
+    votes = map_rows(docs, ["text"], lambda: features, FEATURES, plain)
+    model = _fitted(votes.select(F.array(*_votes()).alias("votes")))
+    schema = StructType([*docs.schema.fields, *[StructField(MARK + n, LongType()) for n in names]])
+
+    def widen(batches):
+        for batch in batches:
+            if batch.num_rows:
+                found = zip(*[features(t) for t in batch.column(batch.schema.get_field_index("text")).to_pylist()])
+                columns = [*batch.columns, *[pa.array(list(c), pa.int64()) for c in found]]
+                yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names, *[MARK + n for n in names]])
+
+    wide = arrow_map(docs, widen, schema).withColumn(MARK + "votes", F.array(*_votes(MARK)))
+    return _judged(wide, model, MARK).filter(MARK + "kept").select(*docs.columns)

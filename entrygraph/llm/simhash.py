@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from entrygraph.llm.common import arrow_map, arrow_schema, map_rows, staged
+from entrygraph.llm.common import arrow_map, arrow_schema, join_checked, map_rows, staged
 
 SEED, MOST, PAIRED = 42, 2, 32
 #: The Golay code's generator polynomial (a fixed value) and its length and check bits.
@@ -182,5 +182,39 @@ def near_duplicates(docs: DataFrame, size: int) -> DataFrame:
     return marked.join(classes, "root").select("doc_id", "fp", "component_id")
 
 
+def keep_one(docs: DataFrame, size: int) -> DataFrame:
+    """The rows of ``docs`` that are their class's smallest doc_id, one a class, with all their columns.
+
+    Rows without a word are no copies of each other: all stay. Where doc_ids repeat in a class, the row with the least
+    text hash stays, once.
+    """
+    th = F.xxhash64("text")
+    fp = staged(_hashed(docs, size))
+    rooted = staged(components(links(fp.filter("words").select("fp").distinct())))
+    marked = fp.filter("words").join(rooted.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    first = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id"), F.col("th"))
+    kept = marked.groupBy("root").agg(F.min(first).alias("first"), F.count("*").alias("n"))
+    # rows that go: all of their class but the first
+    gone = marked.join(kept.filter("n > 1"), "root").filter(F.col("first") < first).select(F.col("doc_id").alias("_doc_id"), F.col("th").alias("_th"))
+    gone = staged(gone.distinct())
+    # the first row may be repeated itself; then one of its copies stays
+    again = staged(fp.filter("words").groupBy("doc_id", "th").count().filter("count > 1").select(F.col("doc_id").alias("_doc_id"), F.col("th").alias("_th")))
+    keyed = docs.withColumns({"_doc_id": F.col("doc_id"), "_th": th})
+    left = join_checked(keyed, gone, ["_doc_id", "_th"], "left_anti")
+    if again.isEmpty():
+        return left.drop("_doc_id", "_th")
+    single = join_checked(left, again, ["_doc_id", "_th"], "left_anti")
+    copies = join_checked(left, again, ["_doc_id", "_th"], "left_semi").dropDuplicates(["_doc_id", "_th"])
+    return single.unionByName(copies).drop("_doc_id", "_th")
+
+
+def _hashed(docs: DataFrame, size: int) -> DataFrame:
+    """doc_id, th (the text's hash, as Spark has it), fp and whether there are words."""
+    ddl = "doc_id long, th long, fp long, words boolean"
+    signed = lambda x: x - (1 << 64) if x >> 63 else x
+    keyed = docs.select("doc_id", F.xxhash64("text").alias("th"), "text")
+    return map_rows(keyed, ["doc_id", "th", "text"], lambda: (lambda k, h, t: (k, h, signed(fingerprint(t, size)), bool((t or "").encode().split()))), ddl, arrow_schema(ddl))
+
+
 def hex_of(fp) -> F.Column:
     return F.lower(F.lpad(F.hex(fp), 16, "0"))
