@@ -2,8 +2,29 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from entrygraph.functions import similarity, text
+from entrygraph.inputs import read, with_inputs
+from entrygraph.operators import entries, gazetteer, graph, matching, work
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLES: dict[str, str] = {}
+
+
+def registered(oracle: str | None = None):
+    """Register a query under its function's name."""
+
+    def add(f):
+        QUERIES[f.__name__] = f
+        if oracle is not None:
+            ORACLES[f.__name__] = oracle
+        return f
+
+    return add
 
 
 def queries() -> dict:
@@ -12,3 +33,679 @@ def queries() -> dict:
 
 def oracle_sql() -> dict:
     return ORACLES
+
+
+# scalar functions
+
+_ELEV = r",?\s*\(?(\d{3,4})\s*m\)?\.?\s*$"
+STRIP = rf"trim(regexp_replace(NAME, '{_ELEV}', ''), ' ,')"
+FOLDED = f"replace(lower({STRIP}), 'ß', 'ss')"
+STATION = rf"""CASE WHEN regexp_matches({FOLDED}, '^(berg|tal|mittel)station\s+(?:de[rs]\s+)?(.+)$')
+  THEN regexp_replace(regexp_extract({FOLDED}, '^(berg|tal|mittel)station\s+(?:de[rs]\s+)?(.+)$', 2), 'bahn$', '') || ' ' || regexp_extract({FOLDED}, '^(berg|tal|mittel)station\s+(?:de[rs]\s+)?(.+)$', 1) || 'station'
+  WHEN regexp_matches({FOLDED}, '^(.+?)\s+(berg|tal|mittel)station$')
+  THEN regexp_replace(regexp_extract({FOLDED}, '^(.+?)\s+(berg|tal|mittel)station$', 1), 'bahn$', '') || ' ' || regexp_extract({FOLDED}, '^(.+?)\s+(berg|tal|mittel)station$', 2) || 'station'
+  ELSE {FOLDED} END"""
+_UMLAUTS = "replace(replace(replace(replace(X, 'ä', 'ae'), 'ö', 'oe'), 'ü', 'ue'), 'ß', 'ss')"
+KEY = f"regexp_replace({_UMLAUTS.replace('X', STATION)}, '[^a-z0-9]', '', 'g')"
+
+
+def _of(template: str, column: str) -> str:
+    return template.replace("NAME", column)
+
+
+@registered(with_inputs(f"SELECT k, {_of(STRIP, 'surface')} AS stripped, TRY_CAST(nullif(regexp_extract(surface, '{_ELEV}', 1), '') AS DOUBLE) AS stated, {_of(STATION, 'surface')} AS station, {_of(KEY, 'surface')} AS norm_key FROM surfaces_in", "surfaces"))
+def name_keys(spark, d):
+    s = F.col("surface")
+    return read(spark, d, "surfaces").select("k", text.strip_elevation(s).alias("stripped"), text.stated_elevation(s).alias("stated"), text.canonical_station(text.casefold(text.strip_elevation(s))).alias("station"), text.norm_key(s).alias("norm_key"))
+
+
+_SLUG = "trim(regexp_replace(" + _UMLAUTS.replace("X", "replace(lower(name), 'ß', 'ss')") + ", '[^a-z0-9]+', '-', 'g'), '-')"
+CASE_ID = f"entry_id || '__' || {_SLUG} || '__' || CASE WHEN kind = 'place' THEN 'place' ELSE coalesce(type, 'None') END || '__' || left(sha1(entry_id || chr(31) || name || chr(31) || coalesce(type, 'None') || chr(31) || kind), 8)"
+
+
+@registered(with_inputs(f"SELECT item_id, {_SLUG} AS slug, {CASE_ID} AS case_id, 'osm-' || replace(entry_id || '/' || kind, '/', '-') AS poi_id FROM items_in", "items"))
+def case_ids(spark, d):
+    c = F.col
+    return read(spark, d, "items").select("item_id", text.slug(c("name")).alias("slug"), text.case_id(c("entry_id"), c("name"), c("type"), c("kind")).alias("case_id"), text.poi_id(F.concat_ws("/", "entry_id", "kind")).alias("poi_id"))
+
+
+_TOKEN = r"(\d+)(?:\s*([A-Za-z])(?:[^A-Za-z]|$))?"
+NORMAL_ID = rf"CASE WHEN regexp_extract(raw_id, '\d+') <> '' THEN 'R' || CAST(CAST(regexp_extract(raw_id, '\d+') AS BIGINT) AS VARCHAR) || upper(regexp_extract(raw_id, '{_TOKEN}', 2)) END"
+
+
+@registered(with_inputs(rf"SELECT guide_id, seq, {NORMAL_ID} AS entry_id, TRY_CAST(regexp_extract({NORMAL_ID}, '\d+') AS BIGINT) AS number, format('p{{:04d}}_{{:02d}}', page, position) AS synthetic, format('page_{{:04d}}', page) AS stem FROM raw_ids_in", "raw_ids"))
+def entry_ids(spark, d):
+    one = text.normalize_entry_id(F.col("raw_id"))
+    return read(spark, d, "raw_ids").select("guide_id", "seq", one.alias("entry_id"), text.entry_id_number(one).alias("number"), text.synthetic_id(F.col("page"), F.col("position")).alias("synthetic"), text.page_stem(F.col("page")).alias("stem"))
+
+
+@registered("""SELECT p_partkey, CASE WHEN p_partkey % 10 = 0 THEN NULL ELSE round(p_retailprice * CASE p_partkey % 3 WHEN 0 THEN 1 ELSE -1 END, 2) END AS ele FROM part""")
+def elevation_tags(spark, d):
+    p = read(spark, d, "part")
+    price = F.round(F.col("p_retailprice") * F.when(F.col("p_partkey") % 3 == 0, 1).otherwise(-1), 2).cast("decimal(12,2)").cast("string")
+    tag = F.when(F.col("p_partkey") % 10 == 0, "unknown").when(F.col("p_partkey") % 2 == 0, F.concat(F.lit("ca. "), F.replace(price, F.lit("."), F.lit(",")), F.lit(" m"))).otherwise(price)
+    return p.select("p_partkey", text.parse_elevation(tag).alias("ele"))
+
+
+@registered("""
+WITH t AS (SELECT o_orderkey AS k, 'R' || o_orderkey || CASE o_orderkey % 3 WHEN 0 THEN 'A' ELSE '' END AS one, 'R' || (o_orderkey + 1) AS two FROM orders)
+SELECT k, CASE k % 4
+  WHEN 0 THEN ['siehe:' || one, 'siehe:' || two]
+  WHEN 1 THEN ['pfeil:' || one]
+  WHEN 2 THEN ['siehe:' || one, 'siehe:' || two, 'dort:-']
+  ELSE [] END AS refs FROM t""")
+def references_parsed(spark, d):
+    """References in sentences made of order keys; the oracle knows what was put into them."""
+    k = F.col("o_orderkey")
+    one = F.concat(k.cast("string"), F.when(k % 3 == 0, " a").otherwise(""))
+    both = F.concat(F.lit("Anstieg siehe R "), one, F.lit(", "), (k + 1).cast("string"), F.lit(". Dann links."))
+    sentence = F.when(k % 4 == 0, both).when(k % 4 == 1, F.concat(F.lit("Von der Hütte >-"), one, F.lit(" und aufwärts, >-"), one)).when(k % 4 == 2, F.concat(both, F.lit(" Weiter wie dort zum Gipfel, ABR 7 wie > 5"))).otherwise(F.lit("Ohne Verweis; > 12 zählt nicht, TR 5 auch nicht"))
+    found = text.parse_references(sentence)
+    kind = lambda r: F.when(r.ref_id.isNull(), "dort").when(F.startswith(r.surface, F.lit(">")), "pfeil").otherwise("siehe")
+    return read(spark, d, "orders").select(k.alias("k"), F.transform(found, lambda r: F.concat(kind(r), F.lit(":"), F.coalesce(r.ref_id, F.lit("-")))).alias("refs"))
+
+
+_FLOW = r"trim(regexp_replace(regexp_replace(regexp_replace(T, '(?m)^[ \t]*\d{1,4}[ \t]*$', '', 'g'), '-\n\s*', '', 'g'), '\s+', ' ', 'g'), ' ')"
+
+
+@registered(f"SELECT doc_id, {_FLOW.replace('T', '(' + 'text || chr(10) || \' 42 \' || chr(10) || replace(text, \'. \', \'-\' || chr(10) || \'  \')' + ')')} AS flowed FROM documents")
+def reflowed(spark, d):
+    from entrygraph.functions.slicing import reflow
+
+    t = F.col("text")
+    made = F.concat(t, F.lit("\n 42 \n"), F.replace(t, F.lit(". "), F.lit("-\n  ")))
+    return read(spark, d, "documents").select("doc_id", reflow(made).alias("flowed"))
+
+
+_SQUEEZED = r"trim(regexp_replace(Q, '\s+', ' ', 'g'), ' ')"
+_SLICES = rf"""
++ p AS (SELECT a.*, coalesce(x.text, '') AS page_text, coalesce(y.text, '') AS after,
+    {_SQUEEZED.replace('Q', "coalesce(start_quote, '')")} AS s, {_SQUEEZED.replace('Q', "coalesce(end_quote, '')")} AS e
+  FROM anchored_in a LEFT JOIN pages_in x ON x.guide_id = a.guide_id AND x.page = a.page LEFT JOIN pages_in y ON y.guide_id = a.guide_id AND y.page = a.page + 1),
+q AS (SELECT *, {_FLOW.replace('T', 'page_text')} AS page_flow, {_FLOW.replace('T', 'after')} AS after_flow,
+    '\Q' || replace(s, ' ', '\E\s+\Q') || '\E' AS sp, '\Q' || replace(e, ' ', '\E\s+\Q') || '\E' AS ep FROM p),
+r AS (SELECT *, len(regexp_extract_all(page_text, sp)) AS n_raw, len(regexp_extract_all(page_flow, sp)) AS n_flow FROM q),
+c AS (SELECT *,
+    CASE WHEN n_raw = 1 THEN coalesce(nullif(regexp_extract(page_text, '(?s)' || sp || '.*?' || ep), ''),
+      regexp_extract(page_text, '(?s)' || sp || '.*') || chr(10) || nullif(regexp_extract(after, '(?s)^.*?' || ep), '')) END AS cut_raw,
+    CASE WHEN n_flow = 1 THEN coalesce(nullif(regexp_extract(page_flow, '(?s)' || sp || '.*?' || ep), ''),
+      regexp_extract(page_flow, '(?s)' || sp || '.*') || chr(10) || nullif(regexp_extract(after_flow, '(?s)^.*?' || ep), '')) END AS cut_flow FROM r),
+f AS (SELECT *, CASE WHEN s <> '' AND e <> '' THEN {_FLOW.replace('T', 'coalesce(cut_raw, cut_flow)')} END AS cut,
+    CASE WHEN n_raw > 0 THEN n_raw ELSE n_flow END AS hits FROM c),
+g AS (SELECT *, CASE WHEN cut IS NOT NULL THEN NULL WHEN s = '' OR e = '' THEN 'empty_anchor' WHEN s = e THEN 'stub' WHEN hits = 0 THEN 'start_not_found' WHEN hits > 1 THEN 'start_ambiguous' ELSE 'end_mismatch' END AS reason FROM f)
+"""
+
+
+@registered(with_inputs(_SLICES + " SELECT doc_id, CASE WHEN reason = 'stub' THEN start_quote ELSE cut END AS description, CASE WHEN cut IS NOT NULL THEN 'sliced' WHEN reason = 'stub' THEN 'stub' ELSE 'none' END AS description_source, reason AS unsliced_reason FROM g", "anchored", "pages"))
+def descriptions(spark, d):
+    return entries.sliced(read(spark, d, "anchored"), read(spark, d, "pages")).select("doc_id", "description", "description_source", "unsliced_reason")
+
+
+@registered(with_inputs(_SLICES + " SELECT reason AS unsliced_reason, count(*) AS n FROM g WHERE reason IS NOT NULL GROUP BY reason", "anchored", "pages"))
+def unsliced_by_reason(spark, d):
+    done = entries.sliced(read(spark, d, "anchored"), read(spark, d, "pages"))
+    return done.filter("unsliced_reason is not null").groupBy("unsliced_reason").agg(F.count("*").alias("n"))
+
+
+# windows over the order of a guide
+
+_FILL = """
++ w AS (SELECT *, row_number() OVER (PARTITION BY guide_id ORDER BY seq) AS pos FROM SRC),
+x AS (SELECT *, last_value(VAL IGNORE NULLS) OVER b AS pv, last_value(CASE WHEN VAL IS NOT NULL THEN pos END IGNORE NULLS) OVER b AS pp,
+    first_value(VAL IGNORE NULLS) OVER a AS nv, first_value(CASE WHEN VAL IS NOT NULL THEN pos END IGNORE NULLS) OVER a AS np FROM w
+  WINDOW b AS (PARTITION BY guide_id ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), a AS (PARTITION BY guide_id ORDER BY seq ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)),
+filled AS (SELECT *, coalesce(VAL, CASE WHEN nv - (np - (coalesce(pp, 0) + 1)) > coalesce(pv, 0) THEN nv - (np - pos) END) AS filled FROM x)
+"""
+
+
+@registered(with_inputs(_FILL.replace("SRC", "numbers_in").replace("VAL", "value") + " SELECT guide_id, seq, value, filled FROM filled", "numbers"))
+def gap_fill(spark, d):
+    return entries.gap_fill(read(spark, d, "numbers")).select("guide_id", "seq", "value", "filled")
+
+
+_IDS = (
+    rf"+ book AS (SELECT *, {NORMAL_ID} AS book, TRY_CAST(regexp_extract({NORMAL_ID}, '\d+') AS BIGINT) AS number FROM raw_ids_in), "
+    + _FILL.replace("SRC", "book").replace("VAL", "number").lstrip().lstrip("+")
+    + """,
+guess AS (SELECT *, CASE WHEN book IS NULL AND filled IS NOT NULL THEN 'R' || filled END AS guess FROM filled),
+taken AS (SELECT DISTINCT guide_id, book FROM guess WHERE book IS NOT NULL),
+own AS (SELECT g.*, g.book IS NOT NULL AND row_number() OVER (PARTITION BY g.guide_id, g.book ORDER BY seq) = 1 AS has_book,
+    g.guess IS NOT NULL AND t.book IS NULL AND row_number() OVER (PARTITION BY g.guide_id, g.guess ORDER BY seq) = 1 AS has_guess
+  FROM guess g LEFT JOIN taken t ON t.guide_id = g.guide_id AND t.book = g.guess),
+ids AS (SELECT *, CASE WHEN has_book THEN book WHEN has_guess THEN guess ELSE format('p{:04d}_{:02d}', page, position) END AS id,
+    CASE WHEN has_book THEN 'book' WHEN has_guess THEN 'inferred' ELSE 'synthetic' END AS id_source, book IS NOT NULL AND NOT has_book AS collision FROM own)
+"""
+)
+
+
+@registered(with_inputs(_IDS + " SELECT guide_id, seq, id, id_source, collision FROM ids", "raw_ids"))
+def assign_ids(spark, d):
+    return entries.assign_ids(read(spark, d, "raw_ids")).select("guide_id", "seq", "id", "id_source", "collision")
+
+
+_PARENTS = """
++ parents AS (SELECT *, CASE WHEN kind = 'route' THEN last_value(CASE WHEN kind = 'place' THEN id END IGNORE NULLS)
+    OVER (PARTITION BY guide_id ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) END AS destination_id FROM entries_in)
+"""
+
+
+@registered(with_inputs(_PARENTS + " SELECT guide_id, id, kind, destination_id FROM parents", "entries"))
+def destinations(spark, d):
+    return entries.parents(read(spark, d, "entries")).select("guide_id", "id", "kind", "destination_id")
+
+
+@registered(with_inputs("SELECT guide_id, lower(name) AS name_key, arg_min(id, seq) AS place_id FROM entries_in WHERE kind = 'place' GROUP BY ALL", "entries"))
+def place_index(spark, d):
+    return entries.place_index(read(spark, d, "entries"))
+
+
+_NAMED = """,
+named AS (SELECT p.guide_id, p.id, p.destination_id, o.name AS place_name, row_number() OVER (PARTITION BY p.guide_id, p.id ORDER BY o.seq) AS pos
+  FROM parents p JOIN entries_in o ON o.guide_id = p.guide_id AND o.seq < p.seq WHERE p.kind <> 'place'),
+idx AS (SELECT guide_id, lower(name) AS name_key, arg_min(id, seq) AS place_id FROM entries_in WHERE kind = 'place' GROUP BY ALL)
+"""
+
+
+def _with_names(spark, d) -> DataFrame:
+    """Routes whose place_names are the names of all earlier entries of their guide."""
+    e = entries.parents(read(spark, d, "entries"))
+    earlier = Window.partitionBy("guide_id").orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
+    names = F.transform(F.array_sort(F.collect_list(F.struct("seq", "name")).over(earlier)), lambda x: x["name"])
+    return e.withColumn("place_names", F.when(F.col("kind") != "place", names).otherwise(F.array().cast("array<string>")))
+
+
+@registered(with_inputs(_PARENTS + _NAMED + """,
+met AS (SELECT n.guide_id, n.id, i.place_id, min(n.pos) AS pos FROM named n JOIN idx i ON i.guide_id = n.guide_id AND i.name_key = lower(n.place_name)
+  WHERE i.place_id IS DISTINCT FROM n.destination_id GROUP BY ALL)
+SELECT p.guide_id, p.id, coalesce((SELECT list(place_id ORDER BY pos) FROM met m WHERE m.guide_id = p.guide_id AND m.id = p.id), []) AS place_ids FROM parents p""", "entries"))
+def waypoints(spark, d):
+    e = _with_names(spark, d)
+    return entries.waypoints(e, entries.place_index(e)).select("guide_id", "id", "place_ids")
+
+
+@registered(with_inputs(_PARENTS + _NAMED + " SELECT n.guide_id, n.id, n.place_name FROM named n ANTI JOIN idx i ON i.guide_id = n.guide_id AND i.name_key = lower(n.place_name)", "entries"))
+def unresolved_waypoints(spark, d):
+    e = _with_names(spark, d)
+    return entries.unresolved_waypoints(e, entries.place_index(e))
+
+
+@registered(with_inputs(_IDS + """, refs AS (SELECT guide_id, id, 'R' || (seq % 400 + 5) AS ref_id FROM ids UNION ALL SELECT guide_id, id, NULL FROM ids)
+SELECT guide_id, id, ref_id FROM refs r WHERE ref_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM ids i WHERE i.guide_id = r.guide_id AND i.id = r.ref_id)""", "raw_ids"))
+def dangling_references(spark, d):
+    e = entries.assign_ids(read(spark, d, "raw_ids"))
+    told = e.select("guide_id", "id", F.explode(F.array(F.concat(F.lit("R"), (F.col("seq") % 400 + 5).cast("string")), F.lit(None).cast("string"))).alias("ref_id"))
+    return entries.dangling_references(told, e).select("guide_id", "id", "ref_id")
+
+
+@registered(with_inputs(_IDS + """, kinds AS (SELECT *, CASE seq % 3 WHEN 0 THEN 'place' WHEN 1 THEN 'route' ELSE 'traverse' END AS kind FROM ids),
+par AS (SELECT *, CASE WHEN kind = 'route' THEN last_value(CASE WHEN kind = 'place' THEN id END IGNORE NULLS) OVER (PARTITION BY guide_id ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) END AS destination_id FROM kinds)
+SELECT guide_id, kind, count(*) AS n_entries, count(*) FILTER (id_source = 'book') AS n_book, count(*) FILTER (id_source = 'inferred') AS n_inferred, count(*) FILTER (id_source = 'synthetic') AS n_synthetic,
+  count(*) FILTER (collision) AS n_collisions, count(*) FILTER (kind = 'route' AND destination_id IS NULL) AS n_parentless FROM par GROUP BY guide_id, kind""", "raw_ids"))
+def merge_report(spark, d):
+    e = entries.assign_ids(read(spark, d, "raw_ids"))
+    kind = F.when(F.col("seq") % 3 == 0, "place").when(F.col("seq") % 3 == 1, "route").otherwise("traverse")
+    return entries.merge_report(entries.parents(e.withColumn("kind", kind)))
+
+
+@registered(with_inputs(_PARENTS + """ SELECT id, kind, name, place_type, NULL::VARCHAR AS elevation, NULL::VARCHAR AS peak, CASE WHEN kind <> 'place' THEN grade_no::VARCHAR END AS grade, NULL::VARCHAR AS time, NULL::VARCHAR AS height_m, NULL::VARCHAR AS first_ascent,
+  destination_id, []::VARCHAR[] AS place_ids, []::VARCHAR[] AS "references", NULL::VARCHAR AS summary, NULL::VARCHAR AS description, NULL::VARCHAR AS description_source FROM parents""", "entries"))
+def contract_projection(spark, d):
+    e = entries.parents(read(spark, d, "entries"))
+    built = entries.build_entry(F.col("kind"), {"id": F.col("id"), "kind": F.col("kind"), "name": F.col("name"), "place_type": F.col("place_type"), "grade": F.col("grade_no"), "destination_id": F.col("destination_id")})
+    return entries.contract(e.select(*[c.alias(n) for n, c in built.items()]))
+
+
+_ROLES = ["foreword", "places", "routes", "traverses"]
+
+
+@registered("""
+WITH s AS (SELECT n_regionkey AS guide_id, n_nationkey AS position, n_nationkey * 7 + 3 AS book_page FROM nation)
+SELECT guide_id, position, book_page AS first_page, coalesce(lead(book_page) OVER (PARTITION BY guide_id ORDER BY book_page) - 1, 500) AS last_page FROM s""")
+def section_ranges(spark, d):
+    s = read(spark, d, "nation").select(F.col("n_regionkey").alias("guide_id"), F.col("n_nationkey").alias("position"), (F.col("n_nationkey") * 7 + 3).alias("book_page"))
+    return entries.section_ranges(s, F.lit(500)).select("guide_id", "position", "first_page", "last_page")
+
+
+@registered("""
+WITH s AS (SELECT n_regionkey AS guide_id, n_nationkey AS position, CASE WHEN n_nationkey % 4 = 3 THEN n_nationkey ELSE n_nationkey * 7 + 3 END AS book_page,
+  CASE n_nationkey % 6 WHEN 0 THEN 'places' WHEN 1 THEN 'routes' WHEN 2 THEN 'traverses' WHEN 3 THEN 'index' ELSE 'foreword' END AS role FROM nation),
+p AS (SELECT *, lag(book_page) OVER (PARTITION BY guide_id ORDER BY position) AS prior FROM s)
+SELECT guide_id, position, 'unknown_role' AS fault FROM p WHERE role = 'index' UNION ALL SELECT guide_id, position, 'not_ascending' FROM p WHERE book_page <= prior
+UNION ALL SELECT guide_id, NULL, 'no_traverses' FROM p GROUP BY guide_id HAVING count(*) FILTER (role = 'traverses') = 0""")
+def section_faults(spark, d):
+    k = F.col("n_nationkey")
+    role = F.when(k % 6 == 0, "places").when(k % 6 == 1, "routes").when(k % 6 == 2, "traverses").when(k % 6 == 3, "index").otherwise("foreword")
+    s = read(spark, d, "nation").select(F.col("n_regionkey").alias("guide_id"), k.alias("position"), F.when(k % 4 == 3, k).otherwise(k * 7 + 3).alias("book_page"), role.alias("role"))
+    return entries.section_faults(s, _ROLES)
+
+
+# gazetteer
+
+_TAG_MAP = (("peak", (("natural", "ECONOMY"),)), ("hut", (("tourism", "Brand#2"), ("natural", "SMALL"))), ("path", (("natural", "LARGE"), ("tourism", "Brand#7"))))
+_GUARDED = (("hut", (("amenity", "11"), ("amenity", "28"))),)
+
+
+@registered("""SELECT p_partkey, CASE WHEN p_type = 'ECONOMY' THEN 'peak' WHEN p_brand = 'Brand#2' OR p_type = 'SMALL' THEN 'hut' WHEN p_type = 'LARGE' OR p_brand = 'Brand#7' THEN 'path' END AS type FROM part""")
+def classify_tags(spark, d):
+    tags = F.create_map(F.lit("natural"), "p_type", F.lit("tourism"), "p_brand")
+    return read(spark, d, "part").select("p_partkey", gazetteer.classify(tags, _TAG_MAP).alias("type"))
+
+
+@registered("""
+WITH e AS (SELECT *, CASE WHEN p_type = 'ECONOMY' THEN 'peak' WHEN p_brand = 'Brand#2' OR p_type = 'SMALL' THEN 'hut' WHEN p_type = 'LARGE' OR p_brand = 'Brand#7' THEN 'path' END AS plain,
+  CASE WHEN p_size IN (11, 28) THEN 'hut' END AS guard, CASE WHEN p_partkey % 9 = 0 THEN '' ELSE p_name END AS name FROM part)
+SELECT name, coalesce(plain, guard) AS type, CASE WHEN p_partkey % 2 = 0 THEN 47.0 ELSE 48.0 END AS lat, p_size::DOUBLE AS lon, CASE WHEN p_partkey % 5 = 0 THEN p_size + 0.5 END AS ele,
+  CASE p_partkey % 2 WHEN 0 THEN 'node/' ELSE 'way/' END || p_partkey AS osm, plain IS NULL AS guarded FROM e WHERE name <> '' AND coalesce(plain, guard) IS NOT NULL AND p_partkey % 11 <> 0""")
+def parsed_elements(spark, d):
+    """A feature dump of nested elements, built from parts, taken apart again."""
+    k = F.col("p_partkey")
+    tags = F.map_filter(F.create_map(F.lit("name"), F.when(k % 9 == 0, "").otherwise(F.col("p_name")), F.lit("natural"), F.col("p_type"), F.lit("tourism"), F.col("p_brand"), F.lit("amenity"), F.col("p_size").cast("string"), F.lit("ele"), F.when(k % 5 == 0, F.concat(F.col("p_size").cast("string"), F.lit(",5 m")))), lambda _, v: v.isNotNull())
+    center = F.when(k % 2 == 1, F.struct(F.lit(48.0).alias("lat"), F.col("p_size").cast("double").alias("lon")))
+    lat = F.when((k % 2 == 0), F.when(k % 11 != 0, 47.0)).otherwise(1.0)
+    center = F.when(k % 11 == 0, F.when(k % 2 == 1, F.struct(F.lit(None).cast("double").alias("lat"), F.lit(1.0).alias("lon")))).otherwise(center)
+    e = read(spark, d, "part").select(F.floor(k / 50).alias("g"), F.struct(F.when(k % 2 == 0, "node").otherwise("way").alias("type"), k.alias("id"), lat.alias("lat"), F.col("p_size").cast("double").alias("lon"), center.alias("center"), tags.alias("tags")).alias("e"))
+    return gazetteer.parse_elements(e.groupBy("g").agg(F.collect_list("e").alias("elements")), _TAG_MAP, _GUARDED)
+
+
+@registered(with_inputs("""SELECT name, type, lat, lon, ele, osm FROM gazetteer_in QUALIFY type <> 'path' AND type <> 'ridge' OR row_number() OVER (PARTITION BY type, name ORDER BY CASE split_part(osm, '/', 1) WHEN 'relation' THEN 0 WHEN 'way' THEN 1 ELSE 2 END, split_part(osm, '/', 2)::BIGINT) = 1""", "gazetteer"))
+def dedupe_linear(spark, d):
+    return gazetteer.dedupe_linear(read(spark, d, "gazetteer"), ["path", "ridge"])
+
+
+@registered(with_inputs("SELECT type, count(*) AS n FROM gazetteer_in GROUP BY type", "gazetteer"))
+def gazetteer_counts(spark, d):
+    return read(spark, d, "gazetteer").groupBy("type").agg(F.count("*").alias("n"))
+
+
+@registered(with_inputs(f"""
++ cand AS (SELECT 'Inn ' || (c_custkey % 600) AS name, 46.9 + (c_custkey % 997) / 800.0::DOUBLE AS lat, 10.9 + (c_custkey % 991) / 900.0::DOUBLE AS lon, c_custkey FROM customer),
+feat AS (SELECT name, type, lat, lon FROM gazetteer_in UNION ALL SELECT 'inn-' || (s_suppkey * 3), 'hut', 0.0, 0.0 FROM supplier)
+SELECT c_custkey, name FROM cand c WHERE NOT EXISTS (SELECT 1 FROM feat f WHERE {_of(KEY, 'f.name')} = {_of(KEY, 'c.name')})
+  AND NOT EXISTS (SELECT 1 FROM feat s WHERE s.type = 'settlement' AND sqrt(((s.lat - c.lat) * 111.32) ** 2 + ((s.lon - c.lon) * 111.32 * cos(radians((c.lat + s.lat) / 2))) ** 2) < 2.0)""", "gazetteer"))
+def admit_guarded(spark, d):
+    k = F.col("c_custkey")
+    c = read(spark, d, "customer").select(k, F.concat(F.lit("Inn "), (k % 600).cast("string")).alias("name"), (F.lit(46.9) + (k % 997) / F.lit(800.0)).alias("lat"), (F.lit(10.9) + (k % 991) / F.lit(900.0)).alias("lon"))
+    extra = read(spark, d, "supplier").select(F.concat(F.lit("inn-"), (F.col("s_suppkey") * 3).cast("string")).alias("name"), F.lit("hut").alias("type"), F.lit(0.0).alias("lat"), F.lit(0.0).alias("lon"))
+    features = read(spark, d, "gazetteer").select("name", "type", "lat", "lon").unionByName(extra)
+    return gazetteer.admit_guarded(c, features, 2.0).select("c_custkey", "name")
+
+
+# matching
+
+_NEAR = "(i.type IS NULL OR i.type = g.type OR i.type = 'locality' OR g.type = 'locality' OR (i.type IN ('peak', 'pass', 'ridge') AND g.type IN ('peak', 'pass', 'ridge')) OR (i.type IN ('hut', 'settlement') AND g.type IN ('hut', 'settlement')))"
+_GUARD = f"{_NEAR} AND (i.elevation_m IS NULL OR g.ele IS NULL OR abs(i.elevation_m - g.ele) <= 50)"
+_LCS = """list_reduce(list_prepend({'row': list_transform(range(len(%B%)), lambda z: 0::BIGINT), 'x': ''}, list_transform(range(1, len(%A%) + 1), lambda i: {'row': []::BIGINT[], 'x': %A%[i]})),
+  lambda r, c: {'row': list_reduce(list_prepend({'o': []::BIGINT[], 'y': '', 'u': 0::BIGINT, 'd': 0::BIGINT}, list_transform(range(1, len(%B%) + 1), lambda j: {'o': []::BIGINT[], 'y': %B%[j], 'u': r.row[j], 'd': CASE WHEN j > 1 THEN r.row[j - 1] ELSE 0 END})),
+    lambda p, q: {'o': list_append(p.o, CASE WHEN q.y = c.x THEN q.d + 1 ELSE greatest(q.u, coalesce(p.o[-1], 0)) END), 'y': '', 'u': 0::BIGINT, 'd': 0::BIGINT}).o, 'x': ''}).row[-1]"""
+_MATCH = f"""
++ it AS (SELECT *, {_of(KEY, 'name')} AS key FROM items_in), gz AS (SELECT *, {_of(KEY, 'name')} AS key FROM gazetteer_in),
+ex AS (SELECT i.*, g.osm, g.name AS g_name, g.type AS g_type, g.ele AS g_ele, 100.0 AS score, 'exact' AS level FROM it i JOIN gz g ON i.key = g.key WHERE {_GUARD}),
+r1 AS (SELECT i.* FROM it i ANTI JOIN ex USING (item_id)),
+kp AS (SELECT k.key, h.key AS g_key FROM (SELECT DISTINCT key FROM r1) k, (SELECT DISTINCT key FROM gz) h
+  WHERE abs(length(k.key) - length(h.key)) * 10 <= 4 * (length(k.key) + length(h.key)) AND levenshtein(k.key, h.key) <= 0.4 * (length(k.key) + length(h.key))),
+ks AS (SELECT key, g_key, {_LCS.replace('%A%', "string_split(key, '')").replace('%B%', "string_split(g_key, '')")} AS lcs FROM kp),
+sim AS (SELECT key, g_key, length(key) + length(g_key) - 2 * lcs AS dist, length(key) + length(g_key) AS total, round_even(200.0 * lcs / (length(key) + length(g_key)), 1) AS score FROM ks),
+fz AS (SELECT i.*, g.osm, g.name AS g_name, g.type AS g_type, g.ele AS g_ele, s.score, 'fuzzy' AS level FROM r1 i JOIN sim s ON s.key = i.key AND 10 * s.dist <= s.total JOIN gz g ON g.key = s.g_key WHERE {_GUARD}
+  QUALIFY s.score = max(s.score) OVER (PARTITION BY i.item_id)),
+r2 AS (SELECT i.* FROM r1 i ANTI JOIN fz USING (item_id)),
+sl AS (SELECT i.*, g.osm, g.name AS g_name, g.type AS g_type, g.ele AS g_ele, s.score, 'none' AS level FROM r2 i JOIN sim s ON s.key = i.key AND 10 * s.dist <= 4 * s.total JOIN gz g ON g.key = s.g_key
+  QUALIFY row_number() OVER (PARTITION BY i.item_id ORDER BY s.score DESC, g.osm) <= 10),
+cand AS (FROM ex UNION ALL FROM fz UNION ALL FROM sl),
+listed AS (SELECT item_id, any_value(level) AS level, list(osm ORDER BY score DESC, osm) AS refs, list(score ORDER BY score DESC, osm) AS scores FROM cand GROUP BY item_id)
+"""
+
+
+@registered(with_inputs(_MATCH + " SELECT item_id, osm FROM ex", "items", "gazetteer"))
+def exact_matches(spark, d):
+    return matching.exact_candidates(read(spark, d, "items"), read(spark, d, "gazetteer")).select("item_id", "osm")
+
+
+@registered(with_inputs(_MATCH + " SELECT item_id, osm, score FROM fz", "items", "gazetteer"))
+def fuzzy_matches(spark, d):
+    items, g = read(spark, d, "items"), read(spark, d, "gazetteer")
+    rest = items.join(matching.exact_candidates(items, g), "item_id", "left_anti")
+    return matching.best_only(matching.similar_candidates(rest, g, matching.FUZZY, guarded=True)).select("item_id", "osm", "score")
+
+
+@registered(with_inputs(_MATCH + " SELECT item_id, osm, score FROM sl", "items", "gazetteer"))
+def shortlists(spark, d):
+    c = matching.cascade(read(spark, d, "items"), read(spark, d, "gazetteer")).filter("level = 'none'")
+    return c.select("item_id", F.inline("candidates")).select("item_id", "osm", "score")
+
+
+@registered(with_inputs(_MATCH + " SELECT i.item_id, coalesce(l.level, 'none') AS level, coalesce(len(refs), 0) AS n FROM it i LEFT JOIN listed l USING (item_id)", "items", "gazetteer"))
+def cascade_levels(spark, d):
+    c = matching.cascade(read(spark, d, "items"), read(spark, d, "gazetteer"))
+    return c.select("item_id", "level", F.coalesce(F.size("candidates"), F.lit(0)).cast("long").alias("n"))
+
+
+_PATTERNS = (("anvil", "tools are not features"), ("^Bergstation .*rod", "lifts of rods"))
+
+
+def _decided(spark, d) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Items and features with decisions and verdicts that follow from the items' numbers and best candidates."""
+    items, g = read(spark, d, "items"), read(spark, d, "gazetteer")
+    first = matching.cascade(items, g).filter("candidates is not null").select("item_id", "entry_id", "name", "type", "kind", F.get("candidates", F.lit(0)).osm.alias("best"))
+    k = F.col("item_id")
+    decision = F.when(k % 10 == 1, "skip").when(k % 10 == 2, F.col("best")).when(k % 10 == 3, "node/gone")
+    decisions = first.select("entry_id", "name", "type", "kind", decision.alias("decision"), F.when(k % 10 == 4, "look again").alias("note"))
+    pick = F.when(k % 4 == 0, F.col("best")).when(k % 4 == 1, "way/gone")
+    case = text.case_id(F.col("entry_id"), F.col("name"), F.col("type"), F.col("kind"))
+    verdicts = first.filter(k % 3 == 0).select(case.alias("case_id"), pick.alias("pick"), F.lit("as told").alias("reason"))
+    # one row a case, as the readers give them
+    return items, g, decisions.dropDuplicates(["entry_id", "name", "type", "kind"]), verdicts.dropDuplicates(["case_id"])
+
+
+def _resolved(spark, d) -> DataFrame:
+    return matching.resolve(*_decided(spark, d), _PATTERNS)
+
+
+_RESOLVED = (
+    _MATCH
+    + f""",
+base AS (SELECT i.*, coalesce(l.level, 'none') AS level, coalesce(l.refs, []) AS refs, coalesce(l.scores, []) AS scores, {CASE_ID} AS case_id,
+    CASE WHEN regexp_matches({_of(STRIP, 'name')}, '(?i)anvil') THEN 'tools are not features' WHEN regexp_matches({_of(STRIP, 'name')}, '(?i)^Bergstation .*rod') THEN 'lifts of rods' END AS scope,
+    CASE WHEN l.refs IS NOT NULL THEN CASE i.item_id % 10 WHEN 1 THEN 'skip' WHEN 2 THEN l.refs[1] WHEN 3 THEN 'node/gone' END END AS decision,
+    CASE WHEN l.refs IS NOT NULL AND i.item_id % 10 = 4 THEN 'look again' END AS note,
+    l.refs IS NOT NULL AND i.item_id % 3 = 0 AS judged, CASE WHEN l.refs IS NOT NULL AND i.item_id % 3 = 0 THEN CASE i.item_id % 4 WHEN 0 THEN l.refs[1] WHEN 1 THEN 'way/gone' END END AS pick
+  FROM it i LEFT JOIN listed l USING (item_id)),
+flags AS (SELECT *, level <> 'none' AND len(refs) = 1 AS found, level <> 'none' AND len(refs) > 1 AS tie, coalesce(decision = 'skip', false) AS skip, coalesce(list_contains(refs, decision), false) AS known,
+    coalesce(list_contains(refs, pick), false) AS pick_known, level = 'none' AND len(refs) > 0 AND scope IS NULL AS open FROM base),
+res AS (SELECT *, CASE WHEN found THEN level WHEN tie AND skip THEN 'skipped' WHEN tie AND known THEN 'review' WHEN tie THEN 'tie' WHEN scope IS NOT NULL THEN 'skipped' WHEN len(refs) = 0 THEN 'unmatched'
+    WHEN skip THEN 'skipped' WHEN known THEN 'review' WHEN pick_known THEN 'llm' ELSE 'unmatched' END AS method FROM flags),
+done AS (SELECT *, CASE WHEN method IN ('exact', 'fuzzy') THEN refs[1] WHEN method = 'review' THEN decision WHEN method = 'llm' THEN pick END AS chosen FROM res),
+fin AS (SELECT *, scores[list_position(refs, chosen)] AS chosen_score,
+    CASE WHEN tie AND decision IS NOT NULL AND NOT skip AND NOT known THEN 'accepted candidate ' || decision || ' is gone: case reopened'
+      WHEN open AND decision IS NOT NULL AND NOT skip AND NOT known THEN 'accepted candidate ' || decision || ' is gone: override cleared'
+      WHEN open AND NOT skip AND NOT known AND judged AND pick IS NOT NULL AND NOT pick_known THEN 'verdict ' || pick || ' is no candidate: ignored'
+      WHEN (tie AND NOT skip AND NOT known) OR open THEN note END AS note2 FROM done)
+"""
+)
+
+
+@registered(with_inputs(_RESOLVED + " SELECT item_id, method, chosen, open AND NOT skip AND NOT known AND NOT judged AS queued, tie OR (open AND (skip OR known OR judged OR note2 IS NOT NULL)) AS reviewed, note2 AS note FROM fin", "items", "gazetteer"))
+def resolution(spark, d):
+    return _resolved(spark, d).select("item_id", "method", F.col("chosen.osm").alias("chosen"), "queued", "reviewed", "note")
+
+
+@registered(with_inputs(_RESOLVED + """, b AS (SELECT CASE WHEN kind = 'place' THEN 'place' ELSE coalesce(type, 'untyped') END AS type, method FROM fin)
+SELECT type, count(*) AS mentions, count(*) FILTER (method = 'exact') AS exact, count(*) FILTER (method = 'fuzzy') AS fuzzy, count(*) FILTER (method = 'llm') AS llm, count(*) FILTER (method = 'review') AS review,
+  count(*) FILTER (method = 'tie') AS tie, count(*) FILTER (method = 'skipped') AS skipped, count(*) FILTER (method = 'unmatched') AS unmatched FROM b GROUP BY ROLLUP (type)""", "items", "gazetteer"))
+def funnel_by_type(spark, d):
+    return matching.funnel(_resolved(spark, d))
+
+
+@registered(with_inputs(_RESOLVED + """,
+r AS (SELECT *, 'osm-' || replace(chosen, '/', '-') AS poi_id, CASE method WHEN 'review' THEN 4 WHEN 'exact' THEN 3 WHEN 'fuzzy' THEN 2 WHEN 'llm' THEN 1 END AS rk FROM fin WHERE chosen IS NOT NULL),
+best AS (SELECT poi_id, method, chosen_score, chosen FROM r QUALIFY row_number() OVER (PARTITION BY poi_id ORDER BY rk DESC, chosen_score DESC, seq) = 1),
+n AS (SELECT b.*, g.name AS own, g.type AS own_type FROM best b JOIN gazetteer_in g ON g.osm = b.chosen),
+forms AS (SELECT poi_id, seq, 0 AS p, """ + _of(STRIP, "surface") + """ AS f FROM r UNION ALL SELECT poi_id, seq, 1, name FROM r),
+al AS (SELECT f.poi_id, f.f, min({'s': seq, 'p': p}) AS o FROM forms f JOIN n USING (poi_id) WHERE f.f <> '' AND f.f <> n.own GROUP BY ALL)
+SELECT poi_id, own AS name, own_type AS type, method, chosen_score AS score, coalesce((SELECT list(f ORDER BY o) FROM al WHERE al.poi_id = n.poi_id), []) AS aliases FROM n""", "items", "gazetteer"))
+def poi_registry(spark, d):
+    return matching.registry(_resolved(spark, d)).select("poi_id", "name", "type", "match.method", "match.score", "aliases")
+
+
+_LINKS = """, pl AS (SELECT entry_id AS place_id, arg_max('osm-' || replace(chosen, '/', '-'), seq) AS poi_id FROM fin WHERE chosen IS NOT NULL AND kind = 'place' GROUP BY entry_id),
+el AS (SELECT entry_id, 'osm-' || replace(chosen, '/', '-') AS poi_id, arg_min(surface, seq) AS surface FROM fin WHERE chosen IS NOT NULL AND kind <> 'place' GROUP BY ALL)"""
+
+
+@registered(with_inputs(_RESOLVED + _LINKS + " SELECT place_id, poi_id FROM pl", "items", "gazetteer"))
+def place_links(spark, d):
+    return matching.place_links(_resolved(spark, d))
+
+
+@registered(with_inputs(_RESOLVED + _LINKS + " SELECT entry_id, poi_id, surface FROM el", "items", "gazetteer"))
+def entry_links(spark, d):
+    return matching.entry_links(_resolved(spark, d))
+
+
+@registered(with_inputs(_RESOLVED + _LINKS + " SELECT poi_id, count(*) AS n_entries FROM (SELECT place_id, poi_id FROM pl UNION SELECT entry_id, poi_id FROM el) GROUP BY poi_id", "items", "gazetteer"))
+def poi_entry_counts(spark, d):
+    r = _resolved(spark, d)
+    return matching.entry_counts(matching.place_links(r), matching.entry_links(r))
+
+
+@registered(with_inputs(_RESOLVED + " SELECT item_id, case_id, refs FROM fin WHERE open AND NOT skip AND NOT known AND NOT judged", "items", "gazetteer"))
+def adjudication_queue(spark, d):
+    return _resolved(spark, d).filter("queued").select("item_id", "case_id", F.transform("candidates", lambda x: x.osm).alias("refs"))
+
+
+@registered(with_inputs(_RESOLVED + " SELECT item_id, CASE WHEN level = 'none' THEN scope END AS skip_reason, CASE WHEN method = 'skipped' AND (level <> 'none' OR scope IS NULL) THEN 'review' END AS skipped_by, CASE WHEN method = 'unmatched' AND open AND judged AND pick IS NULL THEN 'as told' END AS llm_reason FROM fin WHERE method IN ('skipped', 'unmatched')", "items", "gazetteer"))
+def unmatched_items(spark, d):
+    return _resolved(spark, d).filter("method in ('skipped', 'unmatched')").select("item_id", "skip_reason", "skipped_by", "llm_reason")
+
+
+@registered(with_inputs("""SELECT poi_id, '{"type":"Feature","geometry":{"type":"Point","coordinates":[' || lon || ',' || lat || ']},"properties":{"poi_id":"' || poi_id || '","name":"' || name || '","type":"' || type || '","ele":' || coalesce(ele::VARCHAR, 'null') || ',"osm":"node/' || s_suppkey || '","aliases":[],"n_entries":' || (SELECT count(DISTINCT place_id) FROM graph_place_links_in l WHERE l.poi_id = p.poi_id) || '}}' AS feature FROM graph_pois_in p""", "graph_pois", "graph_place_links"))
+def geojson_features(spark, d):
+    pois = read(spark, d, "graph_pois").withColumn("osm", F.concat(F.lit("node/"), F.col("s_suppkey").cast("string"))).withColumn("aliases", F.array().cast("array<string>"))
+    links = read(spark, d, "graph_place_links")
+    none = links.limit(0).select(F.col("place_id").alias("entry_id"), "poi_id")
+    return matching.geojson(pois, matching.entry_counts(links, none))
+
+
+@registered("""
+WITH w AS (SELECT DISTINCT p_name AS a FROM part), x AS (SELECT DISTINCT p_name || ' ' || p_type AS b FROM part WHERE p_partkey % 7 = 0),
+p AS (SELECT a, b, """ + _LCS.replace("%A%", "string_split(a, '')").replace("%B%", "string_split(b, '')") + """ AS lcs FROM w, x WHERE length(a) % 3 = length(b) % 3)
+SELECT a, b, lcs::INT AS lcs, round_even(200.0 * lcs / (length(a) + length(b)), 1) AS ratio FROM p""")
+def indel_ratio(spark, d):
+    """The similarity of all names and longer forms whose lengths agree modulo 3."""
+    part = read(spark, d, "part")
+    a = part.select(F.col("p_name").alias("a")).distinct().withColumn("r", F.length("a") % 3)
+    b = part.filter("p_partkey % 7 = 0").select(F.concat_ws(" ", "p_name", "p_type").alias("b")).distinct().withColumn("r", F.length("b") % 3)
+    lcs = similarity.lcs_length(F.col("a"), F.col("b"))
+    return a.join(b, "r").withColumn("lcs", lcs).select("a", "b", "lcs", similarity.ratio(F.col("lcs"), F.length("a") + F.length("b")).alias("ratio"))
+
+
+# work lists and audit
+
+_UNITS = "SELECT o_custkey % 10 AS guide_id, o_orderkey AS seq, o_custkey FROM orders"
+
+
+def _units(spark, d):
+    return read(spark, d, "orders").select((F.col("o_custkey") % 10).alias("guide_id"), F.col("o_orderkey").alias("seq"), "o_custkey")
+
+
+@registered(f"WITH u AS ({_UNITS}) SELECT guide_id, seq, ((row_number() OVER (PARTITION BY guide_id ORDER BY seq) - 1) // 25 + 1)::INT AS batch FROM u")
+def plan_batches(spark, d):
+    return work.batches(_units(spark, d), "seq", 25).select("guide_id", "seq", "batch")
+
+
+@registered(f"""WITH u AS ({_UNITS}), n AS (SELECT *, ((row_number() OVER (PARTITION BY guide_id ORDER BY seq) - 1) // 25 + 1)::INT AS batch FROM u),
+r AS (SELECT guide_id, seq, ((row_number() OVER (PARTITION BY guide_id ORDER BY seq) - 1) // 25 + 1)::INT AS batch FROM u WHERE o_custkey % 3 <> 0)
+SELECT 'stable' AS mode, guide_id, seq, batch FROM n WHERE o_custkey % 3 <> 0 UNION ALL SELECT 'remaining', guide_id, seq, batch FROM r""")
+def plan_resume(spark, d):
+    u = _units(spark, d)
+    done = u.filter("o_custkey % 3 = 0")
+    modes = [work.batches(u, "seq", 25, done, stable=s).select(F.lit(m).alias("mode"), "guide_id", "seq", "batch") for m, s in (("stable", True), ("remaining", False))]
+    return modes[0].unionByName(modes[1])
+
+
+@registered(with_inputs("""
++ e AS (SELECT id, name, destination_id FROM graph_routes_in UNION ALL SELECT id, name, NULL FROM graph_places_in), pp AS (SELECT place_id, min(poi_id) AS poi_id FROM graph_place_links_in GROUP BY place_id)
+SELECT e.id, e.destination_id, n.name AS destination_name, pp.poi_id AS destination_poi FROM e LEFT JOIN e n ON n.id = e.destination_id LEFT JOIN pp ON pp.place_id = e.destination_id""", "graph_routes", "graph_places", "graph_place_links"))
+def destination_context(spark, d):
+    e = read(spark, d, "graph_routes").select("id", "name", "destination_id").unionByName(read(spark, d, "graph_places").select("id", "name", F.lit(None).cast("string").alias("destination_id")))
+    pp = read(spark, d, "graph_place_links").groupBy("place_id").agg(F.min("poi_id").alias("poi_id"))
+    return work.destination_context(e, pp).select("id", "destination_id", "destination_name", "destination_poi")
+
+
+_PARTS = "SELECT CAST((o_orderkey - o_orderkey % 10) / 10 AS INT) AS page, o_orderkey AS position, CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE 'R ' || (o_custkey % 6)::VARCHAR END AS raw_id, o_orderpriority AS name FROM orders"
+
+
+@registered(f"""WITH p AS ({_PARTS}), q AS (SELECT page, position, 'R' || substr(raw_id, 3) AS id, name FROM p),
+i AS (SELECT page, id, min(position) AS position FROM q WHERE id IS NOT NULL GROUP BY ALL HAVING count(*) = 1), n AS (SELECT page, name, min(position) AS position FROM q GROUP BY ALL HAVING count(*) = 1),
+r AS (SELECT position AS seq, page, CASE WHEN position % 4 = 0 THEN NULL ELSE id END AS entry_id, name FROM q)
+SELECT r.seq, r.page, coalesce(i.position, n.position) AS position FROM r LEFT JOIN i ON i.page = r.page AND i.id = r.entry_id LEFT JOIN n ON n.page = r.page AND n.name = r.name""")
+def repair_matches(spark, d):
+    k = F.col("o_orderkey")
+    parts = read(spark, d, "orders").select(F.floor(k / 10).cast("int").alias("page"), k.alias("position"), F.when(k % 3 != 0, F.concat(F.lit("R "), (F.col("o_custkey") % 6).cast("string"))).alias("raw_id"), F.col("o_orderpriority").alias("name"))
+    repairs = parts.select(F.col("position").alias("seq"), "page", F.when(F.col("position") % 4 != 0, F.col("raw_id")).alias("entry_id"), "name")
+    return work.match_repairs(repairs, parts).select("seq", "page", "position")
+
+
+@registered("""
+WITH r AS (SELECT p_partkey AS k, CASE p_partkey % 40 WHEN 0 THEN 'fuzzy' WHEN 1 THEN 'llm' WHEN 2 THEN 'review' ELSE 'exact' END AS method FROM part)
+SELECT k, method FROM r ORDER BY CASE WHEN method IN ('fuzzy', 'llm') THEN 0 WHEN method = 'review' THEN 1 ELSE 2 END, md5('0:' || k), k LIMIT 30""")
+def audit_sample(spark, d):
+    k = F.col("p_partkey") % 40
+    r = read(spark, d, "part").select(F.col("p_partkey").alias("k"), F.when(k == 0, "fuzzy").when(k == 1, "llm").when(k == 2, "review").otherwise("exact").alias("method"))
+    return work.audit_sample(r, "k", "method", 30, 0).select("k", "method")
+
+
+_FLAT = r"trim(regexp_replace(text, '\s+', ' ', 'g'), ' ')"
+
+
+@registered(rf"""
+WITH t AS (SELECT doc_id, {_FLAT} AS t, CASE WHEN doc_id % 3 = 0 THEN 'is nowhere here' ELSE substr({_FLAT}, 120, 12) END AS needle FROM documents),
+a AS (SELECT *, strpos(lower(t), lower(needle)) AS pos FROM t),
+b AS (SELECT *, CASE WHEN pos > 0 THEN greatest(1, pos - (90 - length(needle)) // 2) ELSE 1 END AS begin FROM a)
+SELECT doc_id, CASE WHEN begin > 1 THEN '…' ELSE '' END || substr(t, begin, 90) || CASE WHEN begin + 89 < length(t) THEN '…' ELSE '' END AS excerpt,
+  '| ' || doc_id || ' | ' || coalesce(nullif(replace(trim(needle, ' '), '|', '\|'), ''), '—') || ' |' AS line FROM b""")
+def audit_excerpts(spark, d):
+    docs = read(spark, d, "documents")
+    needle = F.when(F.col("doc_id") % 3 == 0, "is nowhere here").otherwise(F.substring(text.squeezed(F.col("text")), 120, 12))
+    docs = docs.withColumn("needle", needle)
+    return docs.select("doc_id", text.excerpt(F.col("text"), F.col("needle"), 90).alias("excerpt"), work.markdown_row([F.col("doc_id").cast("string"), F.col("needle")]).alias("line"))
+
+
+@registered(with_inputs("""SELECT item_id, CASE WHEN elevation_m IS NULL THEN '—' ELSE elevation_m::BIGINT || ' m' END AS stated, CASE WHEN elevation_m IS NULL THEN '—' ELSE CASE WHEN round_even(item_id % 100 - 49.5, 0) >= 0 THEN '+' ELSE '' END || round_even(item_id % 100 - 49.5, 0)::BIGINT END AS delta FROM items_in""", "items"))
+def audit_elevations(spark, d):
+    e = F.col("elevation_m")
+    return read(spark, d, "items").select("item_id", text.metres(e).alias("stated"), text.elevation_delta(e, e + F.col("item_id") % 100 - F.lit(49.5)).alias("delta"))
+
+
+# graph
+
+
+@registered(with_inputs("""SELECT p.id, p.name, (SELECT arg_max(l.poi_id, l.seq) FROM graph_place_links_in l SEMI JOIN graph_pois_in o ON o.poi_id = l.poi_id WHERE l.place_id = p.id) AS poi_id FROM graph_places_in p""", "graph_places", "graph_place_links", "graph_pois"))
+def graph_places(spark, d):
+    return graph.linked_places(read(spark, d, "graph_places"), read(spark, d, "graph_place_links"), read(spark, d, "graph_pois")).select("id", "name", "poi_id")
+
+
+@registered(with_inputs("""SELECT p.id FROM graph_places_in p WHERE NOT EXISTS (SELECT 1 FROM graph_place_links_in l JOIN graph_pois_in o ON o.poi_id = l.poi_id WHERE l.place_id = p.id)""", "graph_places", "graph_place_links", "graph_pois"))
+def uncoordinated_places(spark, d):
+    return graph.uncoordinated(graph.linked_places(read(spark, d, "graph_places"), read(spark, d, "graph_place_links"), read(spark, d, "graph_pois"))).select("id")
+
+
+@registered(with_inputs("""SELECT entry_id, list(m.poi_id ORDER BY seq, m.poi_id) AS poi_ids FROM graph_mentions_in m SEMI JOIN graph_pois_in o ON o.poi_id = m.poi_id SEMI JOIN graph_routes_in r ON r.id = m.entry_id GROUP BY entry_id""", "graph_mentions", "graph_pois", "graph_routes"))
+def graph_mentions(spark, d):
+    return graph.mentions(read(spark, d, "graph_routes"), read(spark, d, "graph_mentions"), read(spark, d, "graph_pois"))
+
+
+@registered(with_inputs("SELECT p.id, p.name, (SELECT count(*) FROM graph_routes_in r WHERE r.destination_id = p.id) AS n_routes FROM graph_places_in p", "graph_places", "graph_routes"))
+def routes_leading_here(spark, d):
+    return graph.routes_leading_here(read(spark, d, "graph_routes"), read(spark, d, "graph_places"))
+
+
+_ROUTES = """+ r AS (SELECT *, CASE WHEN c_custkey % 3 = 0 THEN [] WHEN c_custkey % 3 = 1 THEN ['N98', 'X'] ELSE ['N' || (c_custkey % 40), 'N99', 'N' || c_nationkey] END AS place_ids FROM graph_routes_in)"""
+
+
+def _routes(spark, d):
+    k = F.col("c_custkey")
+    n = lambda c: F.concat(F.lit("N"), c.cast("string"))
+    ids = F.when(k % 3 == 0, F.array().cast("array<string>")).when(k % 3 == 1, F.array(F.lit("N98"), F.lit("X"))).otherwise(F.array(n(k % 40), F.lit("N99"), n(F.col("c_nationkey"))))
+    return read(spark, d, "graph_routes").withColumn("place_ids", ids)
+
+
+@registered(with_inputs(_ROUTES + """, u AS (SELECT id, unnest(place_ids) AS place_id, unnest(range(len(place_ids))) AS pos FROM r)
+SELECT u.id, list(place_id ORDER BY pos) AS places FROM u SEMI JOIN graph_places_in p ON p.id = u.place_id GROUP BY u.id""", "graph_routes", "graph_places"))
+def route_places(spark, d):
+    return graph.route_places(_routes(spark, d), read(spark, d, "graph_places"))
+
+
+@registered(with_inputs(_ROUTES + " SELECT id FROM r WHERE NOT EXISTS (SELECT 1 FROM graph_places_in p WHERE p.id = r.destination_id OR list_contains(r.place_ids, p.id))", "graph_routes", "graph_places"))
+def placeless_routes(spark, d):
+    return graph.placeless_routes(_routes(spark, d), read(spark, d, "graph_places")).select("id")
+
+
+@registered(with_inputs("""
++ refs AS (SELECT id, CASE WHEN c_custkey % 4 = 0 THEN NULL ELSE 'C' || (c_custkey * 2) END AS ref_id FROM graph_routes_in)
+SELECT f.id, f.ref_id, t.name AS target_name, CASE WHEN f.ref_id IS NULL THEN 'anaphora' WHEN t.name IS NULL THEN 'dangling' ELSE 'resolved' END AS state FROM refs f LEFT JOIN graph_routes_in t ON t.id = f.ref_id""", "graph_routes"))
+def graph_references(spark, d):
+    r = read(spark, d, "graph_routes")
+    refs = r.select("id", F.when(F.col("c_custkey") % 4 != 0, F.concat(F.lit("C"), (F.col("c_custkey") * 2).cast("string"))).alias("ref_id"))
+    return graph.references(refs, r).select("id", "ref_id", "target_name", "state")
+
+
+@registered(with_inputs("+ f AS (SELECT poi_id, entry_id, min(seq) AS seq FROM graph_mentions_in GROUP BY ALL) SELECT poi_id, list(entry_id ORDER BY seq, entry_id) AS entry_ids FROM f GROUP BY poi_id", "graph_mentions"))
+def entries_by_poi(spark, d):
+    return graph.entries_by_poi(read(spark, d, "graph_mentions"))
+
+
+_SELECTED = "C7"
+_TARGETS = """+ t AS (SELECT DISTINCT r.id AS entry_id, l.poi_id FROM graph_routes_in r JOIN graph_place_links_in l ON l.place_id = r.destination_id)"""
+
+
+def _targets(spark, d):
+    r, links = read(spark, d, "graph_routes"), read(spark, d, "graph_place_links")
+    return r.join(links, r["destination_id"] == links["place_id"]).select(F.col("id").alias("entry_id"), "poi_id").distinct()
+
+
+@registered(with_inputs(_TARGETS + """ SELECT poi_id, 'target' AS role FROM t WHERE entry_id = 'C8'
+UNION SELECT poi_id, 'mention' FROM graph_mentions_in WHERE entry_id = 'C8' AND poi_id NOT IN (SELECT poi_id FROM t WHERE entry_id = 'C8')""", "graph_routes", "graph_place_links", "graph_mentions"))
+def highlight_set(spark, d):
+    return graph.highlight(F.lit("C8"), _targets(spark, d), read(spark, d, "graph_mentions"))
+
+
+@registered(with_inputs("SELECT poi_id, name FROM graph_pois_in p WHERE poi_id IN (SELECT poi_id FROM graph_place_links_in) OR poi_id IN (SELECT poi_id FROM graph_mentions_in WHERE entry_id = 'C7')", "graph_pois", "graph_place_links", "graph_mentions"))
+def visible_pois(spark, d):
+    chosen = read(spark, d, "graph_mentions").filter(F.col("entry_id") == _SELECTED)
+    return graph.visible(read(spark, d, "graph_pois"), read(spark, d, "graph_place_links"), chosen).select("poi_id", "name")
+
+
+@registered(with_inputs("SELECT id FROM graph_routes_in WHERE contains(lower(name || ' ' || coalesce(peak, '')), '7 mach')", "graph_routes"))
+def route_search(spark, d):
+    return graph.search(read(spark, d, "graph_routes"), ["name", "peak"], " 7 MACH ").select("id")
+
+
+@registered(with_inputs("""SELECT 'all' AS which, 'bounds' AS kind, NULL::INT AS zoom, count(*) AS n, min(lon) AS min_lon, min(lat) AS min_lat, max(lon) AS max_lon, max(lat) AS max_lat FROM graph_pois_in
+UNION ALL SELECT 'one', 'center', 12, count(*), min(lon), min(lat), max(lon), max(lat) FROM graph_pois_in WHERE s_suppkey = 3 UNION ALL SELECT 'none', 'default', NULL, 0, NULL, NULL, NULL, NULL""", "graph_pois"))
+def map_extent(spark, d):
+    p = read(spark, d, "graph_pois")
+    parts = [graph.extent(p.filter(c)).select(F.lit(n).alias("which"), "*") for n, c in (("all", "true"), ("one", "s_suppkey = 3"), ("none", "false"))]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@registered("""
+WITH g AS (SELECT r_regionkey AS id, r_name AS name, r_regionkey + 10.0 AS w, 47.0 AS s, r_regionkey + 10.5 AS e, 47.5 AS n FROM region)
+SELECT id, name, [[w, s], [e, s], [e, n], [w, n], [w, s]] AS ring, (w + e) / 2 AS lon, (s + n) / 2 AS lat, ((row_number() OVER (ORDER BY id) - 1) % 3)::INT AS colour FROM g""")
+def guide_boxes(spark, d):
+    k = F.col("r_regionkey")
+    box = F.array(k + F.lit(10.0), F.lit(47.0), k + F.lit(10.5), F.lit(47.5))
+    return graph.guide_boxes(read(spark, d, "region").select(k.alias("id"), F.col("r_name").alias("name"), box.alias("bbox")), 3)
+
+
+@registered(with_inputs("SELECT poi_id, name || CASE WHEN ele IS NULL THEN '' ELSE chr(10) || round_even(ele, 0)::BIGINT || ' m' END AS label, coalesce(ele, 0.0) AS height FROM graph_pois_in WHERE type = 'peak'", "graph_pois"))
+def peak_labels(spark, d):
+    return graph.peak_labels(read(spark, d, "graph_pois"))
+
+
+@registered("SELECT n_nationkey AS id, n_name AS label FROM nation WHERE n_nationkey % 5 NOT IN (1, 2, 3)")
+def manifest_guard(spark, d):
+    k = F.col("n_nationkey")
+    box = F.when(k % 5 == 1, F.array(F.lit(1.0))).when(k % 5 == 2, F.array(F.lit(1.0), F.lit(float("nan")), F.lit(2.0), F.lit(3.0))).otherwise(F.array(*[F.lit(float(i)) for i in range(4)]))
+    raw = read(spark, d, "nation").select(k.alias("id"), F.when(k % 5 == 3, "  ").otherwise(F.col("n_name")).alias("name"), F.col("n_name").alias("label"), box.alias("bbox"))
+    return graph.valid_guides(raw).select("id", "label")
+
+
+@registered("SELECT event_id, json_extract_string(props, '$.k')::BIGINT AS k FROM events WHERE event_id % 10 <> 0")
+def jsonl_permissive(spark, d):
+    """Lines of JSON of which every tenth is cut off: bad lines are passed over."""
+    from entrygraph.sources.readers import parsed_lines
+
+    line = F.when(F.col("event_id") % 10 == 0, F.concat(F.lit("{\"k\": "), F.lit("oops"))).otherwise(F.col("props"))
+    return parsed_lines(read(spark, d, "events").withColumn("line", line), "line", "k bigint").select("event_id", "record.k")
+
+
+@registered(with_inputs("SELECT p.id, f.field, f.value FROM graph_routes_in p, LATERAL (SELECT unnest(['peak', 'name']) AS field, unnest([CASE c_custkey % 3 WHEN 0 THEN ' - ' ELSE peak END, name]) AS value) f WHERE trim(f.value) NOT IN ('', '—', '-')", "graph_routes"))
+def detail_rows(spark, d):
+    r = read(spark, d, "graph_routes").withColumn("peak", F.when(F.col("c_custkey") % 3 == 0, " - ").otherwise(F.col("peak")))
+    return r.unpivot("id", ["peak", "name"], "field", "value").filter(graph.has_value(F.col("value")))
+
+
+@registered(with_inputs("SELECT poi_id, CASE type WHEN 'peak' THEN '#b03a2e' WHEN 'hut' THEN '#1f618d' ELSE '#707b7c' END AS colour, poi_id IN (SELECT poi_id FROM graph_place_links_in) AS is_place FROM graph_pois_in", "graph_pois", "graph_place_links"))
+def poi_features(spark, d):
+    ids = read(spark, d, "graph_place_links").select("poi_id").distinct().withColumn("_is", F.lit(True))
+    pois = read(spark, d, "graph_pois").join(ids, "poi_id", "left")
+    return pois.select("poi_id", graph.colour_of(F.col("type"), {"peak": "#b03a2e", "hut": "#1f618d"}, "#707b7c").alias("colour"), F.coalesce("_is", F.lit(False)).alias("is_place"))
