@@ -27,29 +27,31 @@ def strict_lines(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 def permissive_lines(spark: SparkSession, path: str, schema: str) -> tuple[DataFrame, DataFrame]:
     """(records, malformed lines) of JSON lines."""
-    raw = spark.read.schema(f"{schema}, _bad string").option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_bad").json(path)
-    return raw.filter("_bad is null").drop("_bad"), raw.filter("_bad is not null").select(F.col("_bad").alias("line"))
+    lines = spark.read.text(path).filter("trim(value) <> ''").withColumn("r", _parsed("value", schema))
+    return lines.filter("r._bad is null").select("r.*").drop("_bad"), lines.filter("r._bad is not null").select(F.col("value").alias("line"))
+
+
+def _parsed(column: str, schema: str):
+    return F.from_json(column, f"{schema}, _bad string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"})
 
 
 def parsed_lines(df: DataFrame, column: str, schema: str) -> DataFrame:
     """Rows whose column is JSON of the schema, with it as ``record``; blank and bad ones are passed over."""
-    record = F.from_json(column, f"{schema}, _bad string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"})
+    record = _parsed(column, schema)
     return df.filter(F.trim(column) != "").withColumn("record", record).filter("record is not null and record._bad is null")
 
 
 def parts(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """(entries, corrupt files) of one JSON file a page: page, position from 1, and the extracted fields."""
-    raw = (
-        spark.read.schema(f"entries array<struct<{PART_ENTRY}>>, _bad string").option("multiLine", True).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_bad").json(path)
-    ).withColumn("page", F.regexp_extract(F.input_file_name(), r"page_(\d+)", 1).cast("int"))
-    good = raw.filter("_bad is null").select("page", F.posexplode("entries").alias("position", "e"))
-    return good.select("page", (F.col("position") + 1).alias("position"), "e.*"), raw.filter("_bad is not null").select("page")
+    files = spark.read.text(path, wholetext=True).select(F.regexp_extract(F.input_file_name(), r"page_(\d+)", 1).cast("int").alias("page"), _parsed("value", f"entries array<struct<{PART_ENTRY}>>").alias("r"))
+    good = files.filter("r._bad is null").select("page", F.posexplode("r.entries").alias("position", "e"))
+    return good.select("page", (F.col("position") + 1).alias("position"), "e.*"), files.filter("r._bad is not null").select("page")
 
 
 def verdicts(spark: SparkSession, path: str) -> DataFrame:
     """External verdicts, one file a case; any malformed file ends the read and says which."""
-    raw = spark.read.schema(f"{VERDICT}, _bad string").option("multiLine", True).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_bad").json(path)
-    raw = raw.withColumn("_file", F.regexp_extract(F.input_file_name(), r"([^/]+)\.json$", 1))
+    files = spark.read.text(path, wholetext=True).select(F.regexp_extract(F.input_file_name(), r"([^/]+)\.json$", 1).alias("_file"), _parsed("value", VERDICT).alias("r"))
+    raw = files.select("_file", "r.*")
     whole = F.col("_bad").isNull() & F.col("case_id").eqNullSafe(F.url_decode("_file")) & (F.trim(F.coalesce("reason", F.lit(""))) != "")
     checked = F.when(whole, F.col("case_id")).otherwise(F.raise_error(F.concat(F.lit("malformed verdict: "), F.col("_file"))))
     return raw.select(checked.alias("case_id"), "pick", "reason")
