@@ -248,7 +248,7 @@ def merge_report(spark, d):
 
 
 @registered(with_inputs(_PARENTS + """ SELECT id, kind, name, place_type, NULL::VARCHAR AS elevation, NULL::VARCHAR AS peak, CASE WHEN kind <> 'place' THEN grade_no::VARCHAR END AS grade, NULL::VARCHAR AS time, NULL::VARCHAR AS height_m, NULL::VARCHAR AS first_ascent,
-  destination_id, []::VARCHAR[] AS place_ids, []::VARCHAR[] AS "references", NULL::VARCHAR AS summary, NULL::VARCHAR AS description, NULL::VARCHAR AS description_source FROM parents""", "entries"))
+  destination_id, []::VARCHAR[] AS place_ids, []::STRUCT(ref_id VARCHAR, surface VARCHAR)[] AS "references", NULL::VARCHAR AS summary, NULL::VARCHAR AS description, NULL::VARCHAR AS description_source FROM parents""", "entries"))
 def contract_projection(spark, d):
     e = entries.parents(read(spark, d, "entries"))
     built = entries.build_entry(F.col("kind"), {"id": F.col("id"), "kind": F.col("kind"), "name": F.col("name"), "place_type": F.col("place_type"), "grade": F.col("grade_no"), "destination_id": F.col("destination_id")})
@@ -294,7 +294,7 @@ def classify_tags(spark, d):
 @registered("""
 WITH e AS (SELECT *, CASE WHEN p_type = 'ECONOMY' THEN 'peak' WHEN p_brand = 'Brand#2' OR p_type = 'SMALL' THEN 'hut' WHEN p_type = 'LARGE' OR p_brand = 'Brand#7' THEN 'path' END AS plain,
   CASE WHEN p_size IN (11, 28) THEN 'hut' END AS guard, CASE WHEN p_partkey % 9 = 0 THEN '' ELSE p_name END AS name FROM part)
-SELECT name, coalesce(plain, guard) AS type, CASE WHEN p_partkey % 2 = 0 THEN 47.0 ELSE 48.0 END AS lat, p_size::DOUBLE AS lon, CASE WHEN p_partkey % 5 = 0 THEN p_size + 0.5 END AS ele,
+SELECT name, coalesce(plain, guard) AS type, CASE WHEN p_partkey % 2 = 0 THEN 47.0::DOUBLE ELSE 48.0::DOUBLE END AS lat, p_size::DOUBLE AS lon, CASE WHEN p_partkey % 5 = 0 THEN p_size + 0.5::DOUBLE END AS ele,
   CASE p_partkey % 2 WHEN 0 THEN 'node/' ELSE 'way/' END || p_partkey AS osm, plain IS NULL AS guarded FROM e WHERE name <> '' AND coalesce(plain, guard) IS NOT NULL AND p_partkey % 11 <> 0""")
 def parsed_elements(spark, d):
     """A feature dump of nested elements, built from parts, taken apart again."""
@@ -668,7 +668,7 @@ def map_extent(spark, d):
 
 
 @registered("""
-WITH g AS (SELECT r_regionkey AS id, r_name AS name, r_regionkey + 10.0 AS w, 47.0 AS s, r_regionkey + 10.5 AS e, 47.5 AS n FROM region)
+WITH g AS (SELECT r_regionkey AS id, r_name AS name, r_regionkey + 10.0::DOUBLE AS w, 47.0::DOUBLE AS s, r_regionkey + 10.5::DOUBLE AS e, 47.5::DOUBLE AS n FROM region)
 SELECT id, name, [[w, s], [e, s], [e, n], [w, n], [w, s]] AS ring, (w + e) / 2 AS lon, (s + n) / 2 AS lat, ((row_number() OVER (ORDER BY id) - 1) % 3)::INT AS colour FROM g""")
 def guide_boxes(spark, d):
     k = F.col("r_regionkey")
