@@ -58,7 +58,7 @@ def similar_keys(left: DataFrame, right: DataFrame, least: int) -> DataFrame:
     a = a.withColumn("_m", F.explode(F.sequence(low.cast("int"), high.cast("int"))))
     most = F.floor(F.lit(slack) * (F.col("_n") + F.col("_m")) / 100).cast("int")
     met = a.join(b, "_m").filter(F.levenshtein("key", "g_key") <= most)
-    lcs = similarity.lcs_length(F.col("key"), F.col("g_key"))
+    lcs = similarity.lcs_batched(F.col("key"), F.col("g_key"))
     met = met.withColumn("_lcs", lcs).filter(F.lit(100) * (F.col("_n") + F.col("_m") - 2 * F.col("_lcs")) <= F.lit(slack) * (F.col("_n") + F.col("_m")))
     return met.select("key", "g_key", similarity.ratio(F.col("_lcs"), F.col("_n") + F.col("_m")).alias("score"))
 

@@ -75,6 +75,7 @@ def test_similarity(spark):
     lcs = similarity.lcs_length(F.col("a"), F.col("b"))
     got = one(spark, rows, lcs, similarity.ratio(lcs, F.length("a") + F.length("b")))
     assert [g[0] for g in got] == [plain_lcs(*r) for r in rows]
+    assert [g[0] for g in one(spark, rows, similarity.lcs_batched(F.col("a"), F.col("b")))] == [plain_lcs(*r) for r in rows]
     assert got[0][1] == 94.1 and got[2][1] == 100.0
 
 
