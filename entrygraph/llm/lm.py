@@ -31,6 +31,7 @@ from __future__ import annotations
 import heapq
 import math
 import zlib
+from array import array
 from collections import Counter
 
 import numpy as np
@@ -44,10 +45,10 @@ from entrygraph.llm.common import arrow_map, arrow_schema, staged
 FOLDS, HELD, TUNE = 7, 2, 3
 HEAD = 50_000
 #: Bytes of text whose rare words go to one bucket; tokens and documents after which a task sends what it has.
-BUCKET_BYTES, FLUSH_TOKENS = 48 << 20, 2_000_000
+BUCKET_BYTES, FLUSH_TOKENS = 24 << 20, 600_000
 #: Context lengths and log2 of their slots; where counts are dense, log odds are stored in steps of 1/STEP.
 ORDERS, SLOTS, STEP = (1, 2, 3, 4, 6), (8, 14, 15, 15, 15), 12.0
-PAD, PIECE, RATE = 6, 1 << 16, 0.02
+PAD, PIECE, RATE = 6, 1 << 16, 0.0133
 GATES, HEIGHTS = 16, 33
 
 
@@ -228,30 +229,36 @@ class Mixer:
         slots = contexts(data, at)
         gate = self.seen[-2][slots[-2]].astype(np.int64) * 4 + self.seen[-1][slots[-1]]
         bases = [s << 8 for s in slots]
-        log = np.zeros(len(at), np.float32)
+        chance = np.ones(len(at))
+        held = [w[gate] for w in self.weights]
+        flat = self.map.ravel()
         counts = np.searchsorted(-deep, -np.arange(int(deep.max(initial=0))), side="left")
         for d, n in enumerate(counts.tolist()):
-            node, bit, g = tree.node[d][symbol[:n]], tree.bit[d][symbol[:n]], gate[:n]
-            inputs = [np.take(t, b[:n] + node).astype(np.float32) for t, b in zip(self.tables, bases)]
-            odds = inputs[0] * np.take(self.weights[0], g)
-            for x, w in zip(inputs[1:], self.weights[1:]):
-                odds += x * np.take(w, g)
+            node, bit = tree.node[d][symbol[:n]], tree.bit[d][symbol[:n]]
+            inputs = [t[b[:n] + node] for t, b in zip(self.tables, bases)]
+            odds = inputs[0] * held[0][:n]
+            for x, w in zip(inputs[1:], held[1:]):
+                odds += x * w[:n]
             odds *= np.float32(1 / STEP)
             np.clip(odds, -8, 8, out=odds)
-            place = node * HEIGHTS + ((odds + 8) * ((HEIGHTS - 1) / 16) + 0.5).astype(np.int64)
-            refined = 0.5 * odds + 0.5 * np.take(self.map.ravel(), place)
-            signed = np.where(bit, refined, -refined)
-            log[:n] -= np.log1p(np.exp(-signed))
+            place = node * HEIGHTS + (odds * np.float32((HEIGHTS - 1) / 16) + np.float32((HEIGHTS - 1) / 2 + 0.5)).astype(np.int64)
+            refined = odds + flat[place]
+            refined *= np.where(bit, np.float32(-0.5), np.float32(0.5))
+            np.exp(refined, out=refined)
+            refined += 1
+            chance[:n] /= refined
             if learn:
+                g = gate[:n]
                 wrong = bit - 1 / (1 + np.exp(-odds))
+                size = np.maximum(np.bincount(g, minlength=GATES), 50)
                 for k, x in enumerate(inputs):
-                    force = np.bincount(g, wrong * x, GATES) / STEP
-                    self.weights[k] += (RATE * force / np.maximum(np.bincount(g, minlength=GATES), 50)).astype(np.float32) * 8
+                    self.weights[k] += (RATE * np.bincount(g, wrong * x, GATES) / size).astype(np.float32)
+                held = [w[gate] for w in self.weights]
                 for side in (0, 1):
                     self.hits[side] += np.bincount(place[bit == side], minlength=256 * HEIGHTS)
                 self.decisions += n
         out = np.empty(len(at))
-        out[order] = log / math.log(2)
+        out[order] = np.log2(chance)
         return out
 
     def settle(self, weights: np.ndarray, hits: np.ndarray) -> None:
@@ -296,16 +303,14 @@ def exchange(docs: DataFrame, head: dict[bytes, int], tree: Tree, buckets: int)
         keys: list[int] = []
         trains: list[bool] = []
         ids: dict[bytes, int] = {}
-        word_at: list[int] = []
-        doc_at: list[int] = []
-        times: list[int] = []
+        word_at, doc_at, times = array("I"), array("I"), array("I")
 
         def flush():
             words = list(ids)
             b, order, cut = _by_bucket(words, buckets)
             place = np.empty(len(words), np.uint32)  # of a word within its bucket
             place[order] = (np.arange(len(words)) - cut[b[order]]).astype(np.uint32)
-            w, d, t = np.array(word_at, np.int64), np.array(doc_at, np.uint32), np.array(times, np.uint32)
+            w, d, t = (np.frombuffer(x.tobytes(), np.uint32) for x in (word_at, doc_at, times))
             of = b[w]
             by = np.argsort(of, kind="stable")
             ends = np.searchsorted(of[by], np.arange(buckets + 1))
@@ -315,7 +320,7 @@ def exchange(docs: DataFrame, head: dict[bytes, int], tree: Tree, buckets: int)
                     part = _packed([np.array(keys, np.int64), np.array(trains, np.uint8), place[w[own]], d[own], t[own]])
                     yield pa.record_batch([[i], [part], [b" ".join([words[k] for k in order[cut[i] : cut[i + 1]]])]], schema=schema)
             for x in (keys, trains, word_at, doc_at, times):
-                x.clear()
+                del x[:]
             ids.clear()
 
         for batch in batches:
@@ -327,9 +332,9 @@ def exchange(docs: DataFrame, head: dict[bytes, int], tree: Tree, buckets: int)
                 n = len(keys)
                 keys.append(row_key(doc_id, text or ""))
                 trains.append(f != HELD)
-                word_at += [ids.setdefault(w, len(ids)) for w in rare]
-                doc_at += [n] * len(rare)
-                times += rare.values()
+                word_at.extend([ids.setdefault(w, len(ids)) for w in rare])
+                doc_at.extend([n] * len(rare))
+                times.extend(rare.values())
                 if f not in (HELD, TUNE):
                     pending.append(b" ".join(words) + b"\n")
                     size += len(pending[-1])
@@ -354,7 +359,7 @@ def exchange(docs: DataFrame, head: dict[bytes, int], tree: Tree, buckets: int)
                 some = at[i : i + PIECE * 4]
                 symbol = data[some].astype(np.int64)
                 for k, slot in enumerate(contexts(data, some)):
-                    np.add.at(counts[k], (slot << 8) + symbol, 1) if len(some) < 1000 else _tally(counts[k], (slot << 8) + symbol)
+                    np.add.at(counts[k], (slot << 8) + symbol, np.uint32(1))
 
     def receive(batches):
         _, tree = shared.value
@@ -392,13 +397,6 @@ def exchange(docs: DataFrame, head: dict[bytes, int], tree: Tree, buckets: int)
     return staged(arrow_map(sent.repartition(buckets, "bucket"), receive, out_ddl))
 
 
-def _tally(counts: np.ndarray, at: np.ndarray) -> None:
-    """Add one at each place; sorting first keeps the passes over a large table short."""
-    at = np.sort(at)
-    edge = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
-    counts[at[edge]] += np.diff(np.append(edge, len(at))).astype(counts.dtype)
-
-
 def assembled(tree: Tree, parts: list[tuple[int, bytes]]) -> Mixer:
     tables = [np.zeros(256 << s, np.int8) for s in SLOTS]
     seen = [np.zeros(1 << s, np.uint8) for s in SLOTS]
