@@ -290,11 +290,11 @@ SHARE = 1 << 12
 
 
 def exchange(docs: DataFrame, head: dict[bytes, int], tree: Tree, buckets: int) -> DataFrame:
-    """Rows of kind 0 with (key, sum, known) of rare words, and of kind 1 with a stretch of a context's table."""
+    """Rows of kind 0 with sums over rare words by home bucket, and of kind 1 with a stretch of a context's table."""
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast((frozenset(head), tree))
     stretches = [(k, i) for k, s in enumerate(SLOTS) for i in range(0, 1 << s, min(SHARE, 1 << s))]
-    ddl, out_ddl = "bucket int, part binary, words binary", "kind int, key long, sum double, known long, part binary"
+    ddl, out_ddl = "bucket int, part binary, words binary", "kind int, key long, part binary"
     schema, out_schema = arrow_schema(ddl), arrow_schema(out_ddl)
 
     def send(batches):
@@ -379,7 +379,7 @@ def exchange(docs: DataFrame, head: dict[bytes, int], tree: Tree, buckets: int)
                 columns.append([local[w], keys[d], t, trains[d]])
         for n, t in tables.items():
             odds, seen = table_of(t.reshape(-1, 256).astype(np.float32), tree)
-            yield pa.record_batch([[1], [n], [0.0], [0], [zlib.compress(odds.tobytes() + seen.tobytes(), 1)]], schema=out_schema)
+            yield pa.record_batch([[1], [n], [zlib.compress(odds.tobytes() + seen.tobytes(), 1)]], schema=out_schema)
         if columns:
             word, key, t, train = (np.concatenate(c) for c in zip(*columns))
             c = np.bincount(word, t * train.astype(np.float64), len(ids))
@@ -388,15 +388,35 @@ def exchange(docs: DataFrame, head: dict[bytes, int], tree: Tree, buckets: int)
             first = np.unique(at * len(ids) + word, return_index=True)[1]
             at, word, t = at[first], word[first], t[first].astype(np.float64)
             sums, known = np.bincount(at, t * np.log10(c[word] + 1), len(unique)), np.bincount(at, t * (c[word] > 0), len(unique))
-            for i in range(0, len(unique), 100_000):
-                some = slice(i, i + 100_000)
-                n = len(unique[some])
-                yield pa.record_batch([pa.array(np.zeros(n, np.int32)), pa.array(unique[some]), pa.array(sums[some]), pa.array(known[some].astype(np.int64)), pa.nulls(n, pa.binary())], schema=out_schema)
+            # sums go to their documents' home buckets, packed
+            home = unique % buckets
+            by = np.argsort(home, kind="stable")
+            cut = np.searchsorted(home[by], np.arange(buckets + 1)).tolist()
+            for i in range(buckets):
+                own = by[cut[i] : cut[i + 1]]
+                if len(own):
+                    yield pa.record_batch([[0], [i], [_packed([unique[own], sums[own], known[own]])]], schema=out_schema)
 
     sent = arrow_map(docs.select("doc_id", "text"), send, ddl)
     return staged(arrow_map(sent.repartition(buckets, "bucket"), receive, out_ddl))
 
 
+def rare_sums(gathered: DataFrame, buckets: int) -> DataFrame:
+    """key, rare and rare_known: each document's sums over all buckets of words."""
+    ddl = "key long, rare double, rare_known long"
+    schema = arrow_schema(ddl)
+
+    def add(batches):
+        parts = [_unpacked(p, "i8 f8 f8") for batch in batches for p in batch.column(2).to_pylist()]
+        if parts:
+            key, sums, known = (np.concatenate(c) for c in zip(*parts))
+            unique, at = np.unique(key, return_inverse=True)
+            columns = [unique, np.bincount(at, sums, len(unique)), np.bincount(at, known, len(unique)).astype(np.int64)]
+            yield pa.record_batch([pa.array(c) for c in columns], schema=schema)
+
+    return arrow_map(gathered.filter("kind = 0").repartition(buckets, "key"), add, ddl)
+
+
 def assembled(tree: Tree, parts: list[tuple[int, bytes]]) -> Mixer:
     tables = [np.zeros(256 << s, np.int8) for s in SLOTS]
     seen = [np.zeros(1 << s, np.uint8) for s in SLOTS]
@@ -490,7 +510,7 @@ def score_texts(docs: DataFrame) -> DataFrame:
                 yield pa.record_batch([pa.array(list(c), type=f.type) for c, f in zip(columns, schema)], schema=schema)
 
     scored = arrow_map(docs, score, ddl)
-    rare = gathered.filter("kind = 0").groupBy("key").agg(F.sum("sum").alias("rare"), F.sum("known").alias("rare_known"))
+    rare = rare_sums(gathered, buckets)
     joined = scored.join(rare, "key", "left")
     return joined.select(
         "doc_id",
