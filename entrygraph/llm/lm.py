@@ -74,6 +74,13 @@ def _unpacked(blob: bytes, kinds: str) -> list[np.ndarray]:
     return out
 
 
+def _small(batches, rows: int = 256):
+    """Slices of batches, so that a task never holds the words of a whole batch."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def _by_bucket(words: list[bytes], buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Bucket of each word; the order by bucket and where each bucket begins in it."""
     b = np.fromiter(map(zlib.crc32, words), np.uint32, len(words)) % np.uint32(buckets)
@@ -101,7 +108,7 @@ def count_words(docs: DataFrame, buckets: int) -> tuple[dict[bytes, int], int, i
             seen.clear()
             return pa.record_batch([pa.array(list(c), type=f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 
-        for batch in batches:
+        for batch in _small(batches):
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 if fold(doc_id) == HELD:
                     continue
@@ -323,7 +330,7 @@ def exchange(docs: DataFrame, head: dict[bytes, int], tree: Tree, buckets: int)
                 del x[:]
             ids.clear()
 
-        for batch in batches:
+        for batch in _small(batches):
             doc_ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             pending, size = [], 0
             for doc_id, text, words in zip(doc_ids, texts, model_texts(texts)):
@@ -451,7 +458,7 @@ def tuned(docs: DataFrame, tree: Tree, parts: list[tuple[int, bytes]]) -> tuple[
 
     def learn(batches):
         mixer = None
-        for batch in batches:
+        for batch in _small(batches, 2048):
             texts = [t for k, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()) if fold(k) == TUNE]
             mixer = mixer or assembled(*shared.value)
             for _, run in grouped(model_texts(texts)):
@@ -486,7 +493,7 @@ def score_texts(docs: DataFrame) -> DataFrame:
 
     def score(batches):
         mixer = None
-        for batch in batches:
+        for batch in _small(batches):
             tree, parts, weights, hits, head, texts = shared.value
             if mixer is None:
                 mixer = assembled(tree, parts)
