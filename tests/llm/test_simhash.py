@@ -81,3 +81,35 @@ def test_table(spark):
     got = sorted(((r.doc_id, r.component_id) for r in simhash.near_duplicates(docs, 3).collect()), key=str)
     assert got == sorted([(4, 2), (2, 2), (9, 8), (8, 8), (3, 3), (3, 3), (None, 8)], key=str)
     assert simhash.near_duplicates(docs.limit(0), 3).count() == 0
+
+
+def test_near_copies_against_all_pairs(spark):
+    rng = random.Random(9)
+    words = [f"w{i}" for i in range(900)]
+    texts = []
+    for _ in range(60):
+        text = [rng.choice(words) for _ in range(rng.randint(40, 200))]
+        for _ in range(4):
+            texts.append(" ".join(text))
+            text = list(text)
+            for _ in range(rng.randint(0, max(1, len(text) // 60))):
+                text[rng.randrange(len(text))] = rng.choice(words)
+    texts += ["short text", "short text", "a b", "", None, "the same words " * 30, "the same words " * 31]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(3, texts[3])]
+    docs = spark.createDataFrame([(*r, "k") for r in rows], "doc_id long, text string, node string")
+    kept = simhash.keep_one(docs, 5)
+    assert kept.columns == docs.columns
+    sets = {i: {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} for i, t in enumerate(texts) if (w := (t or "").split())}
+    label = {i: i for i in sets}
+    changed = True
+    while changed:
+        changed = False
+        for i in sets:
+            for j in sets:
+                if label[j] > label[i] and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
+                    label[j] = label[i]
+                    changed = True
+    want = sorted([i for i in sets if label[i] == i] + [i for i, t in enumerate(texts) if not (t or "").split()])
+    got = sorted(r.doc_id for r in kept.collect())
+    assert len(want) < 200 and len(set(got) ^ set(want)) <= 1 and len(got) == len(set(got))
+    assert simhash.keep_one(docs.limit(0), 5).count() == 0
