@@ -31,7 +31,7 @@ OTHER, LETTER, NUMBER, BLANK, SPACE = range(5)
 #: The code points of Unicode's White_Space besides the blank.
 WHITE = [*range(9, 14), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
 #: Code points in a block of texts that is split at once, and slices that a cache holds.
-BLOCK, CACHED = 1 << 20, 400_000
+BLOCK, CACHED = 1 << 20, 200_000
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
 
@@ -194,23 +194,26 @@ def encode_documents(docs: DataFrame, path: str, with_ids: bool = False) -> Data
     def run(batches):
         encoder, decoder = models(ranks_file.value)
         for batch in batches:
-            ids, texts = batch.column(0), [t or "" for t in batch.column(1).to_pylist()]
-            rows, i = [], 0
+            doc_ids, texts = batch.column(0), [t or "" for t in batch.column(1).to_pylist()]
+            i = 0
             while i < len(texts):
                 j, size = i, 0
                 while j < len(texts) and (j == i or size + len(texts[j]) <= BLOCK):
                     size += len(texts[j])
                     j += 1
+                rows, ids = [], []
                 for parts in slices(texts[i:j]):
                     coded = [encoder[p] for p in parts]
                     line = ",".join(coded)
-                    digest = hashlib.sha256()
-                    digest.update(b"".join([decoder[c] for c in coded]))
-                    row = (line.count(",") + 1 if line else 0, hashlib.sha256(line.encode()).hexdigest(), digest.hexdigest())
-                    rows.append((*row, [int(x) for x in line.split(",")] if line else []) if with_ids else row)
+                    decoded = hashlib.sha256(b"".join([decoder[c] for c in coded]))
+                    rows.append((line.count(",") + 1 if line else 0, hashlib.sha256(line.encode()).hexdigest(), decoded.hexdigest()))
+                    if with_ids:
+                        ids.append(np.fromstring(line, np.int32, sep=","))
+                columns = [pa.array(list(c), type=f.type) for c, f in zip(zip(*rows), list(schema)[1:])]
+                if with_ids:
+                    ends = np.cumsum([0, *map(len, ids)]).astype(np.int32)
+                    columns.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(ids))).cast(pa.list_(pa.int32())))
+                yield pa.record_batch([doc_ids.slice(i, j - i), *columns], schema=schema)
                 i = j
-            if rows:
-                columns = list(zip(*rows))
-                yield pa.record_batch([ids, *[pa.array(list(c), type=f.type) for c, f in zip(columns, list(schema)[1:])]], schema=schema)
 
     return arrow_map(docs.select("doc_id", "text"), run, ddl)
