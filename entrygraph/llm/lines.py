@@ -8,8 +8,8 @@ doc_id, then place in the document. Blank lines stay.
 Equal lines are met by 128 hash bits and a partial aggregate, so a line that
 makes up a third of the corpus sends one row a task. Of the distinct lines only
 those go on that share a half with another of fitting length: with one edit,
-either the first or the second half is untouched. The other half then emits its
-deletion neighbourhood, each variant hashed with the half they share. Lines of
+either the first or the second half is untouched. What is left is halved the same way, and then emits its deletion
+neighbourhood, each variant hashed with all that is shared. Lines of
 equal length that meet at a deleted place differ in that place only; a line
 that equals another's variant lacks one of its characters. So the earliest line
 of a variant is the only partner its lines need, and no pairs are spread out;
@@ -32,6 +32,8 @@ from entrygraph.llm.common import join_checked, staged, text_or_empty
 
 #: Characters from which a line is also compared with lines one edit away.
 LEAST = 20
+#: How often what may differ is halved again before the neighbourhood is emitted.
+NARROWED = 2
 AROUND = " \t\r"
 
 
@@ -62,16 +64,32 @@ def _sharing(distinct: DataFrame) -> DataFrame:
     """(line, half) for the halves that lines of fitting length share; m is the shorter line's length."""
     options = F.array(*[F.struct(F.col(f"{side}{less}").alias("k"), F.lit(side).alias("side"), (F.col("n") - less).alias("m")) for side in "ps" for less in (0, 1)])
     keyed = distinct.filter(F.col("n") >= LEAST).select("h1", "h2", "n", "first", F.inline(options))
+    return _in_company(keyed)
+
+
+def _narrowed(held: DataFrame) -> DataFrame:
+    """The same lines with half of what may still differ: where the edit is in one half, the other is shared.
+
+    ``held`` has first, k (what is shared so far, hashed), m (the rest's length in the shorter line), n and rest.
+    """
+    half = F.floor(F.col("m") / 2).cast("int")
+    front, back = F.substring(F.col("rest"), F.lit(1), half), F.right("rest", F.col("m") - half)
+    options = F.array(
+        F.struct(F.xxhash64("k", F.lit("p"), front).alias("k"), (F.col("m") - half).alias("m"), (F.col("n") - half).alias("n"), F.substring(F.col("rest"), half + 1, F.col("n")).alias("rest")),
+        F.struct(F.xxhash64("k", F.lit("s"), back).alias("k"), half.alias("m"), (F.col("n") - F.col("m") + half).alias("n"), F.left("rest", F.col("n") - F.col("m") + half).alias("rest")),
+    )
+    return _in_company(held.select("first", F.inline(options)))
+
+
+def _in_company(keyed: DataFrame) -> DataFrame:
+    """Rows whose key k has another line of fitting length."""
     groups = keyed.groupBy("k").agg(F.count("*").alias("_lines"), F.count_if(F.col("n") == F.col("m")).alias("_exact")).filter("_lines > 1 and _exact > 0").select("k")
     return keyed.join(groups, "k", "left_semi")
 
 
 def _variants() -> Column:
-    """The deletion neighbourhood of the half that is not shared, and that half itself for the shorter line."""
-    half = F.floor(F.col("m") / 2).cast("int")
-    rest = F.when(F.col("side") == "p", F.expr("substring(norm, cast(floor(m / 2) as int) + 1)")).otherwise(F.expr("left(norm, n - (m - cast(floor(m / 2) as int)))"))
-    size = F.when(F.col("side") == "p", F.col("n") - half).otherwise(F.col("n") - F.col("m") + half)
-    equal = F.col("n") == F.col("m")
+    """The deletion neighbourhood of the rest, and for the shorter line the rest itself."""
+    rest, size, equal = F.col("rest"), F.col("n"), F.col("n") == F.col("m")
 
     def without(i: Column) -> Column:
         cut = F.concat(F.substring(rest, F.lit(1), i - 1), F.substring(rest, i + 1, size))
@@ -79,19 +97,26 @@ def _variants() -> Column:
         return F.struct(F.xxhash64("k", equal, place, cut).alias("v"), F.when(equal, "same").otherwise("longer").alias("role"))
 
     itself = F.array(F.struct(F.xxhash64(F.col("k"), F.lit(False), F.lit(0), rest).alias("v"), F.lit("shorter").alias("role")))
-    all_of = F.transform(F.sequence(F.lit(1), size), without)
+    none = F.array().cast("array<struct<v:bigint,role:string>>")
+    all_of = F.when(size > 0, F.transform(F.sequence(F.lit(1), F.greatest(size, F.lit(1))), without)).otherwise(none)
     return F.when(equal, F.concat(all_of, itself)).otherwise(all_of)
 
 
 def _near(lines: DataFrame, distinct: DataFrame) -> DataFrame:
     """The first places (doc_id, th, line_no) of lines that an earlier line is one edit away from."""
-    sharing = staged(_sharing(distinct).select("h1", "h2", "n", "first.*", "k", "side", "m"))
+    sharing = staged(_sharing(distinct).select("first.*", "k", "side", "m", "n"))
     places = staged(sharing.select("doc_id", "th", "line_no").distinct())
     texts = join_checked(lines.select("doc_id", "th", "line_no", "norm"), places, ["doc_id", "th", "line_no"], "left_semi")
     # rows that are repeated have a place twice
     texts = staged(texts.dropDuplicates(["doc_id", "th", "line_no"]).withColumnsRenamed({"doc_id": "_d", "th": "_t", "line_no": "_l"}))
     here = F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("th") == F.col("_t")) & (F.col("line_no") == F.col("_l"))
-    held = sharing.join(texts, here).drop("_d", "_t", "_l").withColumn("first", F.struct("doc_id", "th", "line_no"))
+    half = F.floor(F.col("m") / 2).cast("int")
+    front = F.col("side") == "p"
+    shared = F.when(front, half).otherwise(F.col("m") - half)
+    rest = F.when(front, F.substring(F.col("norm"), half + 1, F.col("n"))).otherwise(F.left("norm", F.col("n") - shared))
+    held = sharing.join(texts, here).select(F.struct("doc_id", "th", "line_no").alias("first"), "k", (F.col("m") - shared).alias("m"), (F.col("n") - shared).alias("n"), rest.alias("rest"))
+    for _ in range(NARROWED):
+        held = staged(_narrowed(held))
     emitted = held.select("first", F.inline(_variants()))
     least = lambda role: F.min(F.when(F.col("role") == role, F.col("first"))).alias(role)
     met = emitted.groupBy("v").agg(F.count("*").alias("_n"), least("same"), least("shorter"), least("longer")).filter("_n > 1").drop("_n")
@@ -106,7 +131,7 @@ def _near(lines: DataFrame, distinct: DataFrame) -> DataFrame:
 def removed_lines(docs: DataFrame) -> DataFrame:
     """A row for each document that loses lines: doc_id, th, gone (their places), n_exact, n_near."""
     lines = _lines(docs.select("doc_id", "text"))
-    distinct = _distinct(lines)
+    distinct = staged(_distinct(lines))
     repeated = distinct.filter("times > 1").select(F.col("h1").alias("_h1"), F.col("h2").alias("_h2"), F.col("first").alias("_first"))
     hashed = lines.select("doc_id", "th", "line_no", F.xxhash64("norm").alias("h1"), F.xxhash64(F.lit(7), "norm").alias("h2"))
     again = hashed.join(repeated, (F.col("h1") == F.col("_h1")) & (F.col("h2") == F.col("_h2"))).filter(F.struct("doc_id", "th", "line_no") > F.col("_first"))
