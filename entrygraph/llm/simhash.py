@@ -182,17 +182,18 @@ def near_duplicates(docs: DataFrame, size: int) -> DataFrame:
     return marked.join(classes, "root").select("doc_id", "fp", "component_id")
 
 
-# near copies by shingle similarity: longer fingerprints, keys of two segments, exact check
+# near copies by shingle similarity: prefix keys, candidates' components, exact classes within them
 
-#: Bits of the long fingerprint (words of 64), its segments, and how far two may be for a pair to be verified.
-WORDS64, SEGMENTS, FAR = 6, 16, 84
-#: Steps between the two segments of a key: each segment is paired with that many others.
-STEPS = (1, 2, 3)
 #: One in so many shingles, by hash, says whether a document shares text at all; and the least share of them.
 SAMPLED, SHARED = 4, 0.5
 SIMILAR = 0.8
 
 
+def prefix(n):
+    """How many of a set's n members, in any order common to all sets, hold one in common with each similar set."""
+    return n - np.ceil(SIMILAR * n - 1e-9).astype(np.int64) + 1
+
+
 def _shingle_hashes(text: str | None, size: int) -> np.ndarray:
     words = (text or "").encode().lower().split()
     if not words:
@@ -206,40 +207,6 @@ def _shingle_hashes(text: str | None, size: int) -> np.ndarray:
     return np.array([digest(whole[a:b], SEED) for a, b in zip(starts[:n].tolist(), last.tolist())], np.uint64)
 
 
-def _long_print(hashes: np.ndarray) -> np.ndarray:
-    """WORDS64 words of majority bits over the distinct shingles, each word from hashes mixed anew."""
-    out = np.zeros(WORDS64, np.uint64)
-    for w in range(WORDS64):
-        x = (hashes ^ np.uint64(0x9E3779B97F4A7C15 * (w + 1) & (1 << 64) - 1)) * np.uint64(0xBF58476D1CE4E5B9)
-        x = (x ^ (x >> np.uint64(31))) * np.uint64(0x94D049BB133111EB)
-        x ^= x >> np.uint64(29)
-        ones = np.zeros(64, np.int64)
-        for at in range(0, len(x), 1 << 14):
-            ones += np.unpackbits(x[at : at + (1 << 14)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
-        out[w] = np.packbits(2 * ones > len(x), bitorder="little").view("<u8")[0]
-    return out
-
-
-def _segments(prints: np.ndarray) -> np.ndarray:
-    """SEGMENTS words of 23 bits for each long fingerprint (rows of WORDS64)."""
-    bits = np.unpackbits(prints.view(np.uint8).reshape(len(prints), -1), axis=1, bitorder="little")[:, : SEGMENTS * LENGTH]
-    return bits.reshape(len(prints), SEGMENTS, LENGTH).astype(np.int64) @ (1 << np.arange(LENGTH))
-
-
-def pair_keys(prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(row, key): codeword indices of two segments, each decoded to all codewords within 4 bits."""
-    near = codewords(_segments(prints).ravel()).reshape(len(prints), SEGMENTS, 6)
-    rows, keys = [], []
-    for step in STEPS:
-        for i in range(SEGMENTS):
-            j = (i + step) % SEGMENTS
-            both = (near[:, i, :, None] >= 0) & (near[:, j, None, :] >= 0)
-            r, x, y = np.nonzero(both)
-            rows.append(r)
-            keys.append(np.int64(step * SEGMENTS + i) << 24 | near[r, i, x] << 12 | near[r, j, y])
-    return np.concatenate(rows), np.concatenate(keys)
-
-
 def _signed(values: np.ndarray) -> list[int]:
     return values.view(np.int64).tolist()
 
@@ -248,77 +215,133 @@ def near_copies(docs: DataFrame, size: int) -> DataFrame:
     """doc_id, th and root for each row of ``docs`` with words: root is the class of its near copies.
 
     Two documents link if their texts are equal or the similarity of their sets
-    of shingles (shared by all) is at least SIMILAR. Of a document similar to
-    another at least 0.8 of the shingles are the other's too; documents of
-    whose sampled shingles less than SHARED stand elsewhere have no partner and
-    get no keys. The others meet by equal keys of two segments; with similarity
-    0.8 a segment shares a codeword in six cases of ten and some key of the 48
-    is shared in all but about one pair in a thousand, fewer above. Fingerprints
-    within FAR bits of 384 are verified on the texts.
+    of shingles (shared by all) is at least SIMILAR. Two such sets share a
+    member among the first ``prefix`` of each, in whatever order, as long as it
+    is the same for all. The order by hash finds the documents that may have a
+    partner; for these the order is anew by how many of them hold a shingle,
+    rarest first. What meets by such keys is joined to blocks, and within a
+    block the similarities themselves decide.
     """
-    ddl = "doc_id long, th long, node long, fp array<long>, sample array<long>"
+    ddl = "doc_id long, th long, node long, first array<long>, sample array<long>"
     keyed = docs.select("doc_id", F.xxhash64("text").alias("th"), F.xxhash64("doc_id", "text").alias("node"), "text")
 
     def one(doc_id, th, node, text):
         h = np.unique(_shingle_hashes(text, size))
-        return doc_id, th, node, _signed(_long_print(h)) if len(h) else None, _signed(h[h % np.uint64(SAMPLED) == 0])
-
-    read = staged(map_rows(keyed, ["doc_id", "th", "node", "text"], lambda: one, ddl, arrow_schema(ddl)).filter("fp is not null"))
-    # equal texts are linked to the least node; one stands for all
-    texts = read.groupBy("th").agg(F.min("node").alias("first"), F.count_distinct("node").alias("n"))
-    equal = read.join(texts.filter("n > 1"), "th").filter("node > first").select(F.col("first").alias("a"), F.col("node").alias("b"))
-    single = read.join(texts.select(F.col("first").alias("node")), "node", "left_semi").dropDuplicates(["node"])
-    single = staged(single)
+        return doc_id, th, node, _signed(h[: prefix(np.int64(len(h)))]) if len(h) else None, _signed(h[h % np.uint64(SAMPLED) == 0])
+
+    read = staged(map_rows(keyed, ["doc_id", "th", "node", "text"], lambda: one, ddl, arrow_schema(ddl)).filter("first is not null"))
+    # the least node stands for all of equal texts
+    texts = staged(read.groupBy("th").agg(F.min("node").alias("one")))
+    single = staged(read.join(texts.select(F.col("one").alias("node")), "node", "left_semi").dropDuplicates(["node"]))
     shingles = single.select("node", F.explode("sample").alias("h"))
     elsewhere = shingles.groupBy("h").agg(F.count("*").alias("n")).filter("n > 1").select("h")
     told = shingles.join(elsewhere, "h", "left_semi").groupBy("node").agg(F.count("*").alias("n_shared"))
-    company = single.join(told, "node", "left").filter((F.size("sample") < 4) | (F.coalesce("n_shared", F.lit(0)) >= SHARED * F.size("sample")))
-    company = staged(company.select("node", "fp"))
-    verified = _verified(_met(company), keyed, size)
-    edges = staged(equal.unionByName(verified).distinct())
-    rooted = components(edges).withColumnRenamed("root", "_root")
-    return read.select("doc_id", "th", "node").join(rooted, "node", "left").withColumn("root", F.coalesce("_root", "node")).drop("_root")
+    single = single.join(told, "node", "left").filter((F.size("sample") < 4) | (F.coalesce("n_shared", F.lit(0)) >= SHARED * F.size("sample")))
+    keys = single.select("node", F.explode("first").alias("h"))
+    met = keys.join(keys.groupBy("h").count().filter("count > 1"), "h", "left_semi").select("node").distinct()
+    rooted = staged(_classes(_company(keyed, staged(met), size))).withColumnRenamed("node", "one")
+    return read.select("doc_id", "th", "node").join(texts, "th").join(rooted, "one", "left").select("doc_id", "th", "node", F.coalesce("root", "one").alias("root"))
+
 
+def _company(keyed: DataFrame, met: DataFrame, size: int) -> DataFrame:
+    """node, n, held, n_keys for the documents ``met`` that may have a partner among them.
+
+    ``n`` counts the shingles, ``held`` are those that others of ``met`` hold
+    too, rarest first; the first ``n_keys`` of them lie in the prefix. The
+    shingles nobody else holds come before and are only counted.
+    """
+    ddl = "node long, n long, hashes array<long>"
 
-def _met(company: DataFrame) -> DataFrame:
-    """Pairs (a, b) that share a key and are within FAR bits; large keys pair all with their least member."""
-    ddl = "key long, node long"
+    def one(node, text):
+        h = np.unique(_shingle_hashes(text, size))
+        return node, len(h), _signed(h)
+
+    texts = join_checked(keyed.select("node", "text"), met, ["node"], "left_semi").dropDuplicates(["node"])
+    sets = staged(map_rows(texts, ["node", "text"], lambda: one, ddl, arrow_schema(ddl)))
+    shingles = sets.select("node", "n", F.explode("hashes").alias("h"))
+    counted = shingles.groupBy("h").agg(F.count("*").alias("df")).filter("df > 1")
+    held = shingles.join(counted, "h").groupBy("node", "n").agg(F.sort_array(F.collect_list(F.struct("df", "h"))).h.alias("held"))
+    n_keys = F.size("held") - F.ceil(SIMILAR * F.col("n") - 1e-9) + 1
+    return staged(held.withColumn("n_keys", n_keys.cast("int")).filter("n_keys > 0"))
+
+
+def _classes(company: DataFrame) -> DataFrame:
+    """node and root for the documents that meet others; linked ones have one root."""
+    keys = staged(company.select("node", F.explode(F.slice("held", F.lit(1), F.col("n_keys"))).alias("h")))
+    least = keys.groupBy("h").agg(F.min("node").alias("a"), F.count("*").alias("n")).filter("n > 1").select("h", "a")
+    blocks = components(keys.join(least, "h").select("a", F.col("node").alias("b")).filter("a < b").distinct())
+    rows = company.join(blocks.withColumnRenamed("root", "block"), "node").select("block", "node", "n", "held")
+    ddl = "node long, root long"
     schema = arrow_schema(ddl)
 
+    def closed(parts):
+        node, n, lengths, held = (np.concatenate(x) for x in zip(*parts))
+        return pa.record_batch([pa.array(node), pa.array(node[linked(n, lengths, held)])], schema=schema)
+
     def run(batches):
+        parts, now = [], None
         for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                part = batch.slice(at, 500)
-                node = part.column(0).to_numpy()
-                prints = np.array(part.column(1).to_pylist(), np.int64).view(np.uint64).reshape(len(node), WORDS64)
-                rows, keys = pair_keys(prints)
-                yield pa.record_batch([pa.array(keys), pa.array(node[rows])], schema=schema)
-
-    keyed = staged(arrow_map(company, run, ddl))
-    counted = keyed.groupBy("key").agg(F.count("*").alias("n"), F.min("node").alias("least")).filter("n > 1")
-    held = keyed.join(counted, "key")
-    small = held.filter(F.col("n") <= PAIRED).select("key", "node")
-    pairs = small.select("key", F.col("node").alias("a")).join(small.select("key", F.col("node").alias("b")), "key").filter("a < b").select("a", "b")
-    stars = held.filter((F.col("n") > PAIRED) & (F.col("least") < F.col("node"))).select(F.col("least").alias("a"), F.col("node").alias("b"))
-    pairs = pairs.unionByName(stars).distinct()
-    a, b = company.select(F.col("node").alias("a"), F.col("fp").alias("_x")), company.select(F.col("node").alias("b"), F.col("fp").alias("_y"))
-    far = sum((F.bit_count(F.col("_x")[i].bitwiseXOR(F.col("_y")[i])) for i in range(WORDS64)), F.lit(0))
-    return pairs.join(a, "a").join(b, "b").filter(far <= FAR).select("a", "b")
-
-
-def _verified(pairs: DataFrame, keyed: DataFrame, size: int) -> DataFrame:
-    """The pairs whose texts' sets of shingles are similar enough."""
-    pairs = staged(pairs)
-    nodes = staged(pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct())
-    texts = staged(join_checked(keyed.select("node", "text"), nodes, ["node"], "left_semi").dropDuplicates(["node"]))
-    both = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("x")), "a").join(texts.select(F.col("node").alias("b"), F.col("text").alias("y")), "b")
-
-    def check(a, b, x, y):
-        p, q = set(_shingle_hashes(x, size).tolist()), set(_shingle_hashes(y, size).tolist())
-        return a, b, len(p & q) / len(p | q) >= SIMILAR
-
-    ddl = "a long, b long, similar boolean"
-    return map_rows(both, ["a", "b", "x", "y"], lambda: check, ddl, arrow_schema(ddl)).filter("similar").select("a", "b")
+            block, node, n = (batch.column(i).to_numpy() for i in range(3))
+            lengths, held = np.diff(batch.column(3).offsets.to_numpy()), batch.column(3).flatten().to_numpy()
+            at = np.concatenate([[0], np.cumsum(lengths)])
+            cuts = [0, *(np.flatnonzero(np.diff(block)) + 1).tolist(), len(block)]
+            for i, j in zip(cuts, cuts[1:]):
+                if i == j:
+                    continue
+                if parts and block[i] != now:
+                    yield closed(parts)
+                    parts = []
+                now = block[i]
+                parts.append((node[i:j], n[i:j], lengths[i:j], held[at[i] : at[j]].copy()))
+        if parts:
+            yield closed(parts)
+
+    return arrow_map(rows.repartition("block").sortWithinPartitions("block"), run, ddl)
+
+
+def linked(n: np.ndarray, lengths: np.ndarray, held: np.ndarray) -> np.ndarray:
+    """For each set the index of its class's first: the closure of all pairs similar enough.
+
+    Set i has ``n[i]`` members, of which others may hold the next ``lengths[i]``
+    of ``held``. A set reached is compared with all not yet reached that share a
+    key of the block's own rarest-first prefixes; those linked are reached next.
+    So no link is lost, and sets reached already are not compared again.
+    """
+    _, ids, df = np.unique(held, return_inverse=True, return_counts=True)
+    order = np.argsort(df, kind="stable")
+    rank = np.empty(len(df), np.int64)
+    rank[order] = np.arange(len(df))
+    ids, df, owner = rank[ids], df[order], np.repeat(np.arange(len(n)), lengths)
+    ids = ids[np.lexsort((ids, owner))]
+    ids, owner = ids[df[ids] > 1], owner[df[ids] > 1]
+    lengths = np.bincount(owner, minlength=len(n))
+    starts = np.cumsum(lengths) - lengths
+    n_keys = np.maximum(prefix(n) - (n - lengths), 0)
+    key = np.arange(len(ids)) - starts[owner] < n_keys[owner]
+    by_id = np.argsort(ids[key], kind="stable")
+    posts = np.split(owner[key][by_id], np.searchsorted(ids[key][by_id], np.arange(1, len(df))))
+    root, mark, left = np.full(len(n), -1), np.zeros(len(df), bool), len(n)
+    for first in range(len(n)):
+        if root[first] >= 0:
+            continue
+        root[first], todo, left = first, [first], left - 1
+        while todo and left:
+            x = todo.pop()
+            mine = ids[starts[x] : starts[x] + lengths[x]]
+            for e in mine[: n_keys[x]].tolist():
+                posts[e] = posts[e][root[posts[e]] < 0]
+            near = np.unique(np.concatenate([posts[e] for e in mine[: n_keys[x]].tolist()] or [mine[:0]]))
+            mark[mine] = True
+            for at in range(0, len(near), 4096):
+                some = near[at : at + 4096]
+                size = lengths[some]
+                begin = np.cumsum(size) - size
+                same = np.add.reduceat(mark[ids[np.repeat(starts[some] - begin, size) + np.arange(size.sum())]].astype(np.int64), begin)
+                some = some[same / (n[x] + n[some] - same) >= SIMILAR]
+                root[some], left = first, left - len(some)
+                todo += some.tolist()
+            mark[mine] = False
+    return root
 
 
 def keep_one(docs: DataFrame, size: int) -> DataFrame:

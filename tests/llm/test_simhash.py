@@ -113,3 +113,32 @@ def test_near_copies_against_all_pairs(spark):
     got = sorted(r.doc_id for r in kept.collect())
     assert len(want) < 200 and len(set(got) ^ set(want)) <= 1 and len(got) == len(set(got))
     assert simhash.keep_one(docs.limit(0), 5).count() == 0
+
+
+def test_one_original_with_a_thousand_copies_unlike_each_other(spark):
+    rng = random.Random(4)
+    base = [f"w{i}" for i in range(300)]
+    rows = [(0, " ".join(base))]
+    for i in range(1, 1000):
+        text = list(base)
+        for k in rng.sample(range(0, 300, 6), 5):
+            text[k] = f"v{i}x{k}"
+        rows.append((i, " ".join(text)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert [r.doc_id for r in simhash.keep_one(docs, 5).collect()] == [0]
+
+
+def test_classes_of_a_block_against_all_pairs():
+    rng = random.Random(6)
+    for _ in range(60):
+        base = [[rng.randrange(1 << 40) for _ in range(rng.randint(1, 60))] for _ in range(4)]
+        sets = [{x for x in rng.choice(base) if rng.random() < 0.93} | {rng.randrange(1 << 40) for _ in range(rng.randint(0, 4))} | {1, 2} for _ in range(50)]
+        want = list(range(len(sets)))
+        for _ in sets:
+            for i, x in enumerate(sets):
+                for j, y in enumerate(sets):
+                    if len(x & y) / len(x | y) >= 0.8:
+                        want[i] = want[j] = min(want[i], want[j])
+        n = np.array([len(x) for x in sets])
+        got = simhash.linked(n, n, np.array([h for x in sets for h in x])).tolist()
+        assert got == want
