@@ -184,8 +184,6 @@ def near_duplicates(docs: DataFrame, size: int) -> DataFrame:
 
 # near copies by shingle similarity: prefix keys, candidates' components, exact classes within them
 
-#: One in so many shingles, by hash, says whether a document shares text at all; and the least share of them.
-SAMPLED, SHARED = 4, 0.5
 SIMILAR = 0.8
 
 
@@ -217,29 +215,32 @@ def near_copies(docs: DataFrame, size: int) -> DataFrame:
     Two documents link if their texts are equal or the similarity of their sets
     of shingles (shared by all) is at least SIMILAR. Two such sets share a
     member among the first ``prefix`` of each, in whatever order, as long as it
-    is the same for all. The order by hash finds the documents that may have a
-    partner; for these the order is anew by how many of them hold a shingle,
-    rarest first. What meets by such keys is joined to blocks, and within a
-    block the similarities themselves decide.
+    is the same for all, and k among the first ``prefix`` - 1 + k. The order by
+    hash, with k as large as the prefix itself (as the least partner's, when
+    counted), finds the documents that may have a partner; for these the order
+    is anew by how many of them hold a shingle, rarest first. What meets by
+    such keys is joined to blocks, and within a block the similarities
+    themselves decide.
     """
-    ddl = "doc_id long, th long, node long, first array<long>, sample array<long>"
+    ddl = "doc_id long, th long, node long, need long, first array<long>"
     keyed = docs.select("doc_id", F.xxhash64("text").alias("th"), F.xxhash64("doc_id", "text").alias("node"), "text")
 
     def one(doc_id, th, node, text):
         h = np.unique(_shingle_hashes(text, size))
-        return doc_id, th, node, _signed(h[: prefix(np.int64(len(h)))]) if len(h) else None, _signed(h[h % np.uint64(SAMPLED) == 0])
+        if not len(h):
+            return doc_id, th, node, None, None
+        n = np.int64(len(h))
+        return doc_id, th, node, int(prefix(n - prefix(n) + 1)), _signed(h[: 2 * prefix(n) - 1])
 
     read = staged(map_rows(keyed, ["doc_id", "th", "node", "text"], lambda: one, ddl, arrow_schema(ddl)).filter("first is not null"))
     # the least node stands for all of equal texts
-    texts = staged(read.groupBy("th").agg(F.min("node").alias("one")))
-    single = staged(read.join(texts.select(F.col("one").alias("node")), "node", "left_semi").dropDuplicates(["node"]))
-    shingles = single.select("node", F.explode("sample").alias("h"))
-    elsewhere = shingles.groupBy("h").agg(F.count("*").alias("n")).filter("n > 1").select("h")
-    told = shingles.join(elsewhere, "h", "left_semi").groupBy("node").agg(F.count("*").alias("n_shared"))
-    single = single.join(told, "node", "left").filter((F.size("sample") < 4) | (F.coalesce("n_shared", F.lit(0)) >= SHARED * F.size("sample")))
-    keys = single.select("node", F.explode("first").alias("h"))
-    met = keys.join(keys.groupBy("h").count().filter("count > 1"), "h", "left_semi").select("node").distinct()
-    rooted = staged(_classes(_company(keyed, staged(met), size))).withColumnRenamed("node", "one")
+    texts = staged(read.groupBy("th").agg(F.min("node").alias("one"), F.min("need").alias("need")))
+    # one exchange for both sides: those two texts hold, and who holds them
+    keys = read.select("th", F.explode("first").alias("h")).repartition("h")
+    shared = keys.groupBy("h").agg(F.min("th").alias("x"), F.max("th").alias("y")).filter("x <> y").select("h")
+    told = keys.join(shared, "h").groupBy("th").agg(F.count("*").alias("n_shared"))
+    met = staged(told.join(texts, "th").filter("n_shared >= need").select(F.col("one").alias("node")))
+    rooted = staged(_classes(_company(keyed, met, size))).withColumnRenamed("node", "one")
     return read.select("doc_id", "th", "node").join(texts, "th").join(rooted, "one", "left").select("doc_id", "th", "node", F.coalesce("root", "one").alias("root"))
 
 
@@ -258,9 +259,9 @@ def _company(keyed: DataFrame, met: DataFrame, size: int) -> DataFrame:
 
     texts = join_checked(keyed.select("node", "text"), met, ["node"], "left_semi").dropDuplicates(["node"])
     sets = staged(map_rows(texts, ["node", "text"], lambda: one, ddl, arrow_schema(ddl)))
-    shingles = sets.select("node", "n", F.explode("hashes").alias("h"))
-    counted = shingles.groupBy("h").agg(F.count("*").alias("df")).filter("df > 1")
-    held = shingles.join(counted, "h").groupBy("node", "n").agg(F.sort_array(F.collect_list(F.struct("df", "h"))).h.alias("held"))
+    shingles = sets.select("node", F.explode("hashes").alias("h")).repartition("h")
+    counted = shingles.groupBy("h").agg(F.count("node").alias("df")).filter("df > 1")
+    held = shingles.join(counted, "h").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("df", "h"))).h.alias("held")).join(sets.select("node", "n"), "node")
     n_keys = F.size("held") - F.ceil(SIMILAR * F.col("n") - 1e-9) + 1
     return staged(held.withColumn("n_keys", n_keys.cast("int")).filter("n_keys > 0"))
 

@@ -142,3 +142,17 @@ def test_classes_of_a_block_against_all_pairs():
         n = np.array([len(x) for x in sets])
         got = simhash.linked(n, n, np.array([h for x in sets for h in x])).tolist()
         assert got == want
+
+
+def test_similar_documents_whose_sampled_shingles_differ(spark):
+    rng = random.Random(11)
+    rows = []
+    while len(rows) < 40:
+        a = [f"w{rng.randrange(10**6)}" for _ in range(46)]
+        b = a[: 42 - rng.randrange(3)] + [f"x{rng.randrange(10**6)}" for _ in range(4)]
+        p, q = (simhash._shingle_hashes(" ".join(t), 5) for t in (a, b))
+        sampled = p[p % np.uint64(4) == 0]
+        if len(set(p) & set(q)) >= 0.8 * len(set(p) | set(q)) and len(sampled) >= 4 and len(np.intersect1d(sampled, q)) < 0.5 * len(sampled):
+            rows += [(len(rows), " ".join(a)), (len(rows) + 1, " ".join(b))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(r.doc_id for r in simhash.keep_one(docs, 5).collect()) == list(range(0, 40, 2))
