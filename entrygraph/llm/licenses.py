@@ -1,8 +1,9 @@
 """License scans with a positional rare-token index, in DataFrame functions only.
 
 Each licence phrase is a template: its words with their positions. The index
-keeps, for each template, its words of the highest inverse document frequency
-in the corpus, with the templates and positions they post to. A document looks
+keeps, for each template, the words of its mandatory key phrase (of a base
+phrase, all its words) of the highest inverse document frequency in the corpus,
+with the templates and positions they post to. A document looks
 up only these rare words among its own, each hit votes for the place where the
 template would start, and the places are verified against all words of the
 template. A label needs its mandatory key phrase, and a template of several
@@ -64,12 +65,21 @@ def document_frequencies(docs: DataFrame, vocabulary: list[str]) -> dict[str, in
     return {w: counts.get(w, 0) for w in vocabulary}
 
 
-def index(frequencies: dict[str, int], phrases: list[str]) -> list[list[int]]:
-    """For each phrase the positions of its rarest words, rarest first, ties by position."""
+def key_at(words: list[str], keys: list[str]) -> int:
+    """Where the key phrase stands in its template."""
+    return next(k for k in range(len(words)) if words[k : k + len(keys)] == keys)
+
+
+def index(frequencies: dict[str, int], phrases: list[str], keys: list[str]) -> list[list[int]]:
+    """For each phrase the positions of its key phrase's rarest words, rarest first, ties by position.
+
+    Every match holds the whole key phrase, so each of these words votes for it.
+    """
     out = []
-    for phrase in phrases:
-        words = phrase.split()
-        order = sorted(range(len(words)), key=lambda i: (frequencies[words[i]], i))
+    for phrase, key in zip(phrases, keys):
+        words, inside = phrase.split(), key.split()
+        at = key_at(words, inside)
+        order = sorted(range(at, at + len(inside)), key=lambda i: (frequencies[words[i]], i))
         kept = []
         for i in order:
             if words[i] not in {words[k] for k in kept}:
@@ -82,7 +92,7 @@ def scan_licenses(docs: DataFrame) -> DataFrame:
     """doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score for each row of ``docs``."""
     phrases = [p for p, _ in BASE] + [p for p, *_ in TEMPLATES]
     vocabulary = sorted({w for p in phrases for w in p.split()})
-    posts = index(document_frequencies(docs, vocabulary), phrases)
+    posts = index(document_frequencies(docs, vocabulary), phrases, [p for p, _ in BASE] + [key for _, _, key in TEMPLATES])
     rare = sorted({p.split()[i] for p, at in zip(phrases, posts) for i in at})
     terms = F.array(*[F.lit(w) for w in rare])
 
@@ -114,7 +124,7 @@ def scan_licenses(docs: DataFrame) -> DataFrame:
         """The best share of phrase n's words in place, 0 without its key phrase."""
         words, (_, _, key) = phrases[n].split(), TEMPLATES[n - len(BASE)]
         keys = key.split()
-        at = next(k for k in range(len(words)) if words[k : k + len(keys)] == keys)
+        at = key_at(words, keys)
         key_array = F.array(*[F.lit(w) for w in keys])
 
         def one(s: Column) -> Column:

@@ -37,3 +37,9 @@ def test_labels_of_the_method(spark):
     got = {r.doc_id: (r.labels, r.score) for r in licenses.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got[1] == ("gpl-3", 1.0) and got[2][0] == "" and got[3][0] == "mit" and got[4][0] == ""
     assert all(0 <= s <= 1 for _, s in got.values())
+
+
+def test_a_template_is_found_without_its_rarest_words(spark):
+    rows = [(1, "released under the creative commons attribution sharealike licence")]
+    (got,) = licenses.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert (got.labels, got.score) == ("cc-by-sa", 6 / 8)
