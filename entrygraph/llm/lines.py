@@ -166,15 +166,15 @@ ORACLE = """
 WITH l AS (
   SELECT doc_id, no, ln, trim(ln, ' ' || chr(9) || chr(13)) AS norm
   FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS ln, unnest(range(len(string_split(text, chr(10))))) AS no FROM documents)),
-f AS (SELECT norm, length(norm) AS n, min({'d': doc_id, 'n': no}) AS at FROM l WHERE norm <> '' GROUP BY norm),
+f AS (SELECT norm, length(norm) AS n, min({'d': doc_id, 'n': no}) AS spot FROM l WHERE norm <> '' GROUP BY norm),
 long AS (SELECT * FROM f WHERE n >= 20),
 half AS (
-  SELECT norm, n, at, m, side, CASE side WHEN 'p' THEN left(norm, m // 2) ELSE right(norm, m - m // 2) END AS h
-  FROM (SELECT norm, n, at, unnest([n, n - 1]) AS m FROM long), (SELECT unnest(['p', 's']) AS side)),
+  SELECT norm, n, spot, m, side, CASE side WHEN 'p' THEN left(norm, m // 2) ELSE right(norm, m - m // 2) END AS h
+  FROM (SELECT norm, n, spot, unnest([n, n - 1]) AS m FROM long), (SELECT unnest(['p', 's']) AS side)),
 pair AS (
   SELECT DISTINCT a.norm AS x, b.norm AS y, a.n AS n, b.n AS k
   FROM half a JOIN half b ON a.m = b.m AND a.side = b.side AND a.h = b.h AND least(a.n, b.n) = a.m
-  WHERE a.norm <> b.norm AND b.at < a.at),
+  WHERE a.norm <> b.norm AND b.spot < a.spot),
 near AS (
   SELECT DISTINCT x FROM pair
   WHERE len(list_filter(range(0, greatest(n, k)), lambda i:
@@ -182,7 +182,7 @@ near AS (
          WHEN n > k THEN left(x, i) = left(y, i) AND right(x, n - 1 - i) = right(y, k - i)
          ELSE left(x, i) = left(y, i) AND right(x, n - i) = right(y, k - 1 - i) END)) > 0),
 judged AS (
-  SELECT l.doc_id, l.no, l.ln, coalesce({'d': l.doc_id, 'n': l.no} > f.at, false) AS exact, coalesce({'d': l.doc_id, 'n': l.no} = f.at AND near.x IS NOT NULL, false) AS near
+  SELECT l.doc_id, l.no, l.ln, coalesce({'d': l.doc_id, 'n': l.no} > f.spot, false) AS exact, coalesce({'d': l.doc_id, 'n': l.no} = f.spot AND near.x IS NOT NULL, false) AS near
   FROM l LEFT JOIN f ON l.norm = f.norm LEFT JOIN near ON near.x = l.norm)
 SELECT doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER (exact)::BIGINT AS n_exact, count(*) FILTER (near)::BIGINT AS n_near,
   sha256(coalesce(string_agg(ln, chr(10) ORDER BY no) FILTER (NOT exact AND NOT near), '')) AS kept_sha256
