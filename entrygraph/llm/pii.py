@@ -16,6 +16,7 @@ repeated results; an empty table an empty one; other columns are ignored by
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import math
 import random
@@ -33,11 +34,14 @@ TRAIN_SPANS, TREES, DEPTH, RATE, BINS = 6000, 40, 3, 0.3, 16
 #: A span is added only where the calibrated precision on held-out examples is at least this.
 PRECISION = 0.995
 
-EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
-IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+# The base patterns, in forms that read a long run of characters once: what may stand before an @ is taken
+# backwards from it, and numbers are tried from their first digit only.
+LOCAL = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-"
+DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
+IP = re.compile(r"(?<![0-9])[0-9]++(\.[0-9]++){3}")
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-_DIGIT = re.compile("[0-9]")
+_DIGIT, _AT = re.compile("[0-9]"), re.compile("@")
 
 
 def luhn(digits: str) -> bool:
@@ -52,14 +56,28 @@ def digits_of(s: str) -> str:
     return "".join(c for c in s if "0" <= c <= "9")
 
 
+def addresses(text: str, at: re.Pattern, domain: re.Pattern) -> list[tuple[int, int]]:
+    """Leftmost non-overlapping runs of LOCAL, then ``at``, then ``domain``."""
+    out, free, last = [], 0, 0
+    for m in at.finditer(text):
+        low = max(free, last)
+        start = low + len(text[low : m.start()].rstrip(LOCAL))
+        last = m.end()
+        if start < m.start() and (found := domain.match(text, m.end())):
+            out.append((start, found.end()))
+            free = found.end()
+    return out
+
+
 def base_spans(text: str) -> list[tuple[int, int, int]]:
     """(start, kind, end) of the exact patterns, by start and kind."""
     out = []
     if "@" in text:
-        out += [(m.start(), 0, m.end()) for m in EMAIL.finditer(text)]
+        out += [(a, 0, b) for a, b in addresses(text, _AT, DOMAIN)]
     if _DIGIT.search(text):
         for m in IP.finditer(text):
-            if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m.group().split(".")):
+            parts = [p.lstrip("0") for p in m.group().split(".")]
+            if all(len(p) <= 3 and int(p or 0) <= 255 for p in parts):
                 out.append((m.start(), 1, m.end()))
         for m in CARD.finditer(text):
             d = digits_of(m.group())
@@ -72,12 +90,13 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 #: Generators of candidates: (kind, pattern, what the text must hold for it to be tried).
 GENERATORS = (
-    (0, re.compile(r"[A-Za-z0-9._%+-]+ ?(?:@|\(at\)|\[at\]) ?[A-Za-z0-9-]+(?: ?(?:\.|\(dot\)|\[dot\]) ?[A-Za-z0-9-]+)+"), ("@", "(at)", "[at]")),
+    (0, re.compile(r" ?(?:@|\(at\)|\[at\]) ?"), ("@", "(at)", "[at]")),
     (1, re.compile(r"(?<![0-9A-Fa-f:])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![0-9A-Fa-f:])"), (":",)),
     (2, re.compile(r"(?<![0-9])[0-9]{4}([ ./-])[0-9]{4,6}\1[0-9]{4,5}(?:\1[0-9]{1,4})?(?![0-9])"), ()),
     (3, re.compile(r"(?<![0-9A-Za-z+])(?:00[1-9]|\(0?[0-9]{2,4}\) ?|[0-9]{2,4}[ ./-])[0-9][0-9 ()./-]{4,14}[0-9](?![0-9A-Za-z])"), ()),
-    (4, re.compile(r"(?<![A-Za-z0-9_])(?=[A-Za-z_-]*[0-9])[A-Za-z0-9_-]{16,128}(?![A-Za-z0-9_])"), ()),
+    (4, re.compile(r"(?<![A-Za-z0-9_-])(?=[A-Za-z_-]*[0-9])[A-Za-z0-9_-]{16,}+(?![A-Za-z0-9_])"), ()),
 )
+_DOTTED = re.compile(r"[A-Za-z0-9-]+(?: ?(?:\.|\(dot\)|\[dot\]) ?[A-Za-z0-9-]+)+")
 _CUES = (
     re.compile(r"mail|contact|write|kontakt|correo|courriel", re.I),
     re.compile(r"\bip\b|host|server|address", re.I),
@@ -92,7 +111,12 @@ def proposed(text: str) -> list[tuple[int, int, int]]:
     """Overlapping candidates (start, kind, end) of all generators."""
     if not _DIGIT.search(text) and not any(m in text for m in GENERATORS[0][2]):
         return []
-    return [(m.start(), kind, m.end()) for kind, pattern, needs in GENERATORS if not needs or any(x in text for x in needs) for m in pattern.finditer(text)]
+    out = []
+    for kind, pattern, needs in GENERATORS:
+        if not needs or any(x in text for x in needs):
+            found = addresses(text, pattern, _DOTTED) if kind == 0 else [m.span() for m in pattern.finditer(text)]
+            out += [(a, kind, b) for a, b in found]
+    return out
 
 
 def describe(text: str, start: int, kind: int, end: int) -> list[float]:
@@ -226,11 +250,23 @@ def added_spans(text: str, base: list[tuple[int, int, int]], trees: Trees, least
         return []
     scores = trees.predict(np.array([describe(text, *c) for c in found]))
     out: list[tuple[int, int, int]] = []
-    taken = sorted((a, b) for a, _, b in base)
+    # begins and ends of what is taken, which never overlap each other
+    begins: list[int] = []
+    ends: list[int] = []
+    for a, _, b in base:
+        if ends and a < ends[-1]:
+            ends[-1] = max(b, ends[-1])
+        else:
+            begins.append(a)
+            ends.append(b)
     for p, c in sorted(zip(scores.tolist(), found), key=lambda x: (-x[0], x[1])):
-        if p >= least[c[1]] and not any(a < c[2] and c[0] < b for a, b in taken):
+        if p < least[c[1]]:
+            continue
+        i = bisect.bisect_right(begins, c[0])
+        if (not i or ends[i - 1] <= c[0]) and (i == len(begins) or begins[i] >= c[2]):
             out.append(c)
-            taken.append((c[0], c[2]))
+            begins.insert(i, c[0])
+            ends.insert(i, c[2])
     return sorted(out)
 
 
@@ -238,11 +274,11 @@ def written(spans: list[tuple[int, int, int]]) -> str:
     return ",".join(f"{KINDS[k]}:{a}:{b}" for a, k, b in spans)
 
 
-SCHEMA = "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_added long"
+SCHEMA = "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_added long, n_spans long"
 
 
 def find_spans(docs: DataFrame) -> DataFrame:
-    """One row a document: counts and digest of the base spans, all spans, and how many the trees added."""
+    """One row a document: counts and digest of the base spans, all spans, how many the trees added and how many there are."""
     shared = docs.sparkSession.sparkContext.broadcast(model())
 
     def make():
@@ -253,7 +289,7 @@ def find_spans(docs: DataFrame) -> DataFrame:
             base = base_spans(text)
             more = added_spans(text, base, trees, least)
             n = [sum(k == i for _, k, _ in base) for i in range(4)]
-            return (doc_id, *n, hashlib.sha256(written(base).encode()).hexdigest(), written(sorted(base + more)), len(more))
+            return (doc_id, *n, hashlib.sha256(written(base).encode()).hexdigest(), written(sorted(base + more)), len(more), len(base) + len(more))
 
         return one
 

@@ -1,11 +1,15 @@
 import hashlib
 import re
+import time
 
 import numpy as np
+import pyarrow.parquet as pq
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from entrygraph.llm import pii
+from tests.oracle import DATA, PRESENT
 
 
 def plain(text):
@@ -14,7 +18,7 @@ def plain(text):
     for kind, pattern in (("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"), ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"), ("card", r"[0-9]([\x20-]?[0-9])+"), ("phone", r"\+[0-9][\x20().0-9-]+[0-9]")):
         for m in re.finditer(pattern, text):
             d = [int(c) for c in m.group() if c in "0123456789"]
-            if kind == "ip" and any(int(p) > 255 for p in m.group().split(".")):
+            if kind == "ip" and any(len(p.lstrip("0")) > 3 or int(p.lstrip("0") or 0) > 255 for p in m.group().split(".")):
                 continue
             if kind == "card" and not (12 <= len(d) <= 19 and sum(x if i % 2 == 0 else (2 * x - 9 if x > 4 else 2 * x) for i, x in enumerate(d[::-1])) % 10 == 0):
                 continue
@@ -30,6 +34,41 @@ def test_base_spans(text):
     assert pii.base_spans(text) == plain(text)
 
 
+@settings(max_examples=500, deadline=None)
+@given(st.text(st.sampled_from("ab1.%-@@ "), max_size=40))
+def test_base_emails(text):
+    assert pii.base_spans(text) == plain(text)
+
+
+def test_long_runs_take_time_in_proportion():
+    """Texts of a megabyte that make patterns with nested or repeated scans take the square."""
+    long = 1 << 20
+    for text in ("0" * 5000 + ".1.1.1", "0" * long + ".1.1.1", "1." * (long // 2), "a" * long + "(at)", "a@" * (long // 2), "a-" * (long // 2), "+" * long, "+1" + "(" * long):
+        began = time.perf_counter()
+        base = pii.base_spans(text)
+        pii.proposed(text)
+        assert time.perf_counter() - began < 10
+        if text.endswith(".1.1.1") and text[0] == "0":
+            assert base[0] == (0, 1, len(text))
+
+
+def test_long_secrets_are_proposed_whole():
+    secret = "9f" * 400
+    assert (4, 4, 804) in pii.proposed("is: " + secret + " ")
+
+
+@pytest.mark.skipif(not PRESENT, reason="needs the driver's tables")
+def test_recall_on_the_documents():
+    """All tokens that the tables hold are caught, and nothing else is added to the base spans."""
+    trees, least = pii.model()
+    held = added = right = 0
+    for text in pq.read_table(DATA.replace("0.001", "0.01") + "/documents.parquet", columns=["text"])["text"].to_pylist():
+        truth = {m.span(1) for m in re.finditer(r'token = "([0-9a-f]{40})"', text or "")}
+        got = {(a, b) for a, _, b in pii.added_spans(text or "", pii.base_spans(text or ""), trees, least)}
+        held, added, right = held + len(truth), added + len(got), right + len(truth & got)
+    assert held > 5 and right == held and right == added
+
+
 def test_trees_are_right_on_held_out_examples():
     trees, least = pii.model()
     rows = pii.invented(2000, seed=99)
