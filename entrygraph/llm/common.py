@@ -38,10 +38,13 @@ def staged(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def join_checked(left: DataFrame, right: DataFrame, on: list[str], how: str, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Null-safe equi join; ``right`` (staged already) is broadcast only if its counted rows are at most ``rows``."""
+def join_checked(left: DataFrame, right: DataFrame, on: list[str], how: str, rows: int = BROADCAST_ROWS, each: Column | None = None) -> DataFrame:
+    """Null-safe equi join; ``right`` (staged already) is broadcast only if its counted rows are at most ``rows``.
+
+    ``each`` says as how many a row counts, where rows are not of one size.
+    """
     marked = right.select(*[F.col(c).alias(f"_r_{c}") if c in on else F.col(c) for c in right.columns])
-    if right.count() <= rows:
+    if (right.agg(F.coalesce(F.sum(F.lit(1) if each is None else each), F.lit(0))).first()[0]) <= rows:
         marked = F.broadcast(marked)
     condition = None
     for c in on:

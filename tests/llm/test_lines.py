@@ -63,8 +63,27 @@ def test_against_all_pairs(spark):
 
 
 def test_repeated_rows_extra_columns_and_empty(spark):
-    rows = [(1, "a line that is long enough\nshort", "k"), (1, "a line that is long enough\nshort", "k"), (2, "A line that is long enough\nshort\n ", None)]
-    docs = spark.createDataFrame(rows, "doc_id long, text string, th string")
-    got = sorted((r.doc_id, r.text, r.th) for r in lines.clean_lines(docs).drop("_n_lines", "_n_exact", "_n_near").collect())
-    assert got == [(1, rows[0][1], "k"), (1, rows[0][1], "k"), (2, " ", None)]
-    assert lines.line_report(docs.limit(0)).count() == 0
+    names = ["th", "k", "row", "kept", "exact", "near", "n_exact", "_th", "_n_lines", "_kept", "_exact", "a b"]
+    rows = [(1, "a line that is long enough\nshort"), (1, "a line that is long enough\nshort"), (2, "A line that is long enough\nshort\n "), (3, None)]
+    docs = spark.createDataFrame([(k, *[f"{n}{k}" for n in names[:6]], t, *[f"{n}{k}" for n in names[6:]]) for k, t in rows], ["doc_id", *names[:6], "text", *names[6:]])
+    got = lines.clean_lines(docs)
+    assert got.columns == docs.columns
+    want = [(k, *[f"{n}{k}" for n in names[:6]], {2: " "}.get(k, t), *[f"{n}{k}" for n in names[6:]]) for k, t in rows]
+    assert sorted(map(tuple, got.collect())) == want
+    assert lines.line_report(docs.limit(0)).count() == 0 and lines.clean_lines(docs.limit(0)).count() == 0
+
+
+def test_very_long_lines(spark):
+    """A near copy of a line of 100,000 characters is found, wherever the edit is; the neighbourhood stays small."""
+    rng = random.Random(3)
+    base = "".join(rng.choice("abcdefgh ") for _ in range(100_000)).strip() + "."
+    n = len(base)
+    copies = [base[:7] + "X" + base[8:], base[: n // 2] + base[n // 2 + 1 :], base[:-3] + "Y" + base[-3:], base[: n // 3] + "XY" + base[n // 3 :]]
+    docs = spark.createDataFrame([(0, base), *[(i + 1, c) for i, c in enumerate(copies)]], "doc_id long, text string")
+    assert sorted((r.doc_id, r.n_near) for r in lines.line_report(docs).collect()) == [(0, 0), (1, 1), (2, 1), (3, 1), (4, 0)]
+
+
+def test_least_length_is_an_argument(spark):
+    docs = spark.createDataFrame([(1, "ab"), (2, "abc"), (3, "x"), (4, "xyzw")], "doc_id long, text string")
+    assert sorted((r.doc_id, r.n_near) for r in lines.line_report(docs, least=1).collect()) == [(1, 0), (2, 1), (3, 0), (4, 0)]
+    assert sum(r.n_near for r in lines.line_report(docs).collect()) == 0
