@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from entrygraph.functions import similarity, text
 from entrygraph.inputs import read, with_inputs
-from entrygraph.operators import entries, gazetteer, graph, matching, work
+from entrygraph.operators import audit, entries, gazetteer, graph, matching, planning, records, work
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -485,16 +485,14 @@ def geojson_features(spark, d):
 
 
 @registered("""
-WITH w AS (SELECT DISTINCT p_name AS a FROM part), x AS (SELECT DISTINCT p_name || ' ' || p_type AS b FROM part WHERE p_partkey % 7 = 0),
-p AS (SELECT a, b, """ + _LCS.replace("%A%", "string_split(a, '')").replace("%B%", "string_split(b, '')") + """ AS lcs FROM w, x WHERE length(a) % 3 = length(b) % 3)
-SELECT a, b, lcs::INT AS lcs, round_even(200.0 * lcs / (length(a) + length(b)), 1) AS ratio FROM p""")
+WITH p AS (SELECT p_partkey, p_name AS a, p_type || ' ' || p_brand || ' ' || p_name AS b FROM part),
+d AS (SELECT a, b, """ + _LCS.replace("%A%", "string_split(a, '')").replace("%B%", "string_split(b, '')") + """ AS lcs FROM (SELECT DISTINCT a, b FROM p))
+SELECT p_partkey, lcs::INT AS lcs, round_even(200.0 * lcs / (length(a) + length(b)), 1) AS ratio FROM p JOIN d USING (a, b)""")
 def indel_ratio(spark, d):
-    """The similarity of all names and longer forms whose lengths agree modulo 3."""
-    part = read(spark, d, "part")
-    a = part.select(F.col("p_name").alias("a")).distinct().withColumn("r", F.length("a") % 3)
-    b = part.filter("p_partkey % 7 = 0").select(F.concat_ws(" ", "p_name", "p_type").alias("b")).distinct().withColumn("r", F.length("b") % 3)
-    lcs = similarity.lcs_length(F.col("a"), F.col("b"))
-    return a.join(b, "r").withColumn("lcs", lcs).select("a", "b", "lcs", similarity.ratio(F.col("lcs"), F.length("a") + F.length("b")).alias("ratio"))
+    """The similarity of each part's name and its longer form."""
+    longer = F.concat_ws(" ", "p_type", "p_brand", "p_name")
+    lcs = similarity.lcs_length(F.col("p_name"), longer)
+    return read(spark, d, "part").withColumn("lcs", lcs).select("p_partkey", "lcs", similarity.ratio(F.col("lcs"), F.length("p_name") + F.length(longer)).alias("ratio"))
 
 
 # work lists and audit
@@ -554,25 +552,221 @@ def audit_sample(spark, d):
 
 
 _FLAT = r"trim(regexp_replace(text, '\s+', ' ', 'g'), ' ')"
+_ESCAPED = "replace(replace(X, '\\', '\\\\'), '|', '\\|')"
 
 
 @registered(rf"""
-WITH t AS (SELECT doc_id, {_FLAT} AS t, CASE WHEN doc_id % 3 = 0 THEN 'is nowhere here' ELSE substr({_FLAT}, 120, 12) END AS needle FROM documents),
-a AS (SELECT *, strpos(lower(t), lower(needle)) AS pos FROM t),
-b AS (SELECT *, CASE WHEN pos > 0 THEN greatest(1, pos - (90 - length(needle)) // 2) ELSE 1 END AS begin FROM a)
-SELECT doc_id, CASE WHEN begin > 1 THEN '…' ELSE '' END || substr(t, begin, 90) || CASE WHEN begin + 89 < length(t) THEN '…' ELSE '' END AS excerpt,
-  '| ' || doc_id || ' | ' || coalesce(nullif(replace(trim(needle, ' '), '|', '\|'), ''), '—') || ' |' AS line FROM b""")
+WITH t AS (SELECT doc_id, {_FLAT} AS t, CASE doc_id % 3 WHEN 0 THEN 'is nowhere here' WHEN 1 THEN substr({_FLAT}, 120, 12) ELSE right({_FLAT}, 9) END AS raw FROM documents),
+n AS (SELECT doc_id, t, trim(regexp_replace(raw, '\s+', ' ', 'g'), ' ') AS needle, raw FROM t),
+a AS (SELECT *, CASE WHEN needle = '' THEN 0 ELSE strpos(lower(t), lower(needle)) END AS pos FROM n),
+b AS (SELECT *, CASE WHEN pos > 0 THEN least(length(t), greatest(0, pos - 1 - CAST(floor((90 - length(needle)) / 2.0) AS BIGINT)) + 90) ELSE least(length(t), 90) END AS stop FROM a),
+c AS (SELECT *, greatest(0, stop - 90) AS begin FROM b),
+e AS (SELECT *, CASE WHEN begin > 0 THEN '…' ELSE '' END || substr(t, begin + 1, stop - begin) || CASE WHEN stop < length(t) THEN '…' ELSE '' END AS cut FROM c)
+SELECT doc_id, CASE WHEN t = '' THEN '—' ELSE {_ESCAPED.replace('X', 'cut')} END AS excerpt, '| ' || doc_id || ' | ' || coalesce(nullif({_ESCAPED.replace('X', 'needle')}, ''), '—') || ' |' AS line FROM e""")
 def audit_excerpts(spark, d):
-    docs = read(spark, d, "documents")
-    needle = F.when(F.col("doc_id") % 3 == 0, "is nowhere here").otherwise(F.substring(text.squeezed(F.col("text")), 120, 12))
-    docs = docs.withColumn("needle", needle)
+    """Texts with white space of their own in the needle, a needle at the end, and one that is nowhere."""
+    k, flat = F.col("doc_id") % 3, text.squeezed(F.col("text"))
+    needle = F.when(k == 0, "is nowhere here").when(k == 1, F.substring(flat, 120, 12)).otherwise(F.right(flat, F.lit(9)))
+    docs = read(spark, d, "documents").withColumn("needle", needle)
     return docs.select("doc_id", text.excerpt(F.col("text"), F.col("needle"), 90).alias("excerpt"), work.markdown_row([F.col("doc_id").cast("string"), F.col("needle")]).alias("line"))
 
 
-@registered(with_inputs("""SELECT item_id, CASE WHEN elevation_m IS NULL THEN '—' ELSE elevation_m::BIGINT || ' m' END AS stated, CASE WHEN elevation_m IS NULL THEN '—' ELSE CASE WHEN round_even(item_id % 100 - 49.5, 0) >= 0 THEN '+' ELSE '' END || round_even(item_id % 100 - 49.5, 0)::BIGINT END AS delta FROM items_in""", "items"))
+@registered(r"""WITH p AS (SELECT p_partkey, p_retailprice AS stated, CASE WHEN p_partkey % 7 = 0 THEN NULL ELSE p_retailprice + p_partkey % 100 - 49.5 END AS found, p_name || CASE p_partkey % 3 WHEN 0 THEN ' \ |' WHEN 1 THEN '  |x' ELSE '' END AS name FROM part)
+SELECT p_partkey, format('{:g}', stated) || ' m' AS stated, CASE WHEN found IS NULL THEN '—' ELSE CASE WHEN stated - found < 0 THEN '-' ELSE '+' END || abs(round_even(stated - found, 0))::BIGINT || ' m' END AS delta, replace(replace(regexp_replace(name, '\s+', ' ', 'g'), '\', '\\'), '|', '\|') AS cell FROM p""")
 def audit_elevations(spark, d):
-    e = F.col("elevation_m")
-    return read(spark, d, "items").select("item_id", text.metres(e).alias("stated"), text.elevation_delta(e, e + F.col("item_id") % 100 - F.lit(49.5)).alias("delta"))
+    k, stated = F.col("p_partkey"), F.col("p_retailprice")
+    found = F.when(k % 7 != 0, stated + k % 100 - F.lit(49.5))
+    name = F.concat("p_name", F.when(k % 3 == 0, " \\ |").when(k % 3 == 1, "  |x").otherwise(""))
+    return read(spark, d, "part").select("p_partkey", text.metres(stated).alias("stated"), text.elevation_delta(stated, found).alias("delta"), text.cell(name).alias("cell"))
+
+
+_CELL = "coalesce(nullif(replace(replace(trim(regexp_replace(X, '\\s+', ' ', 'g'), ' '), '\\', '\\\\'), '|', '\\|'), ''), '—')".replace("\\\\s", "\\s")
+_DELTA = "CASE WHEN o.poi_id IS NULL OR i.elevation_m IS NULL OR o.ele IS NULL THEN '—' ELSE CASE WHEN i.elevation_m - o.ele < 0 THEN '-' ELSE '+' END || abs(round_even(i.elevation_m - o.ele, 0))::BIGINT || ' m' END"
+_OSM_NAME = f"CASE WHEN o.poi_id IS NULL THEN '(missing POI ' || l.poi_id || ')' ELSE {_CELL.replace('X', 'o.name')} END"
+_METHOD = "CASE K % 5 WHEN 0 THEN 'exact' WHEN 1 THEN 'fuzzy' WHEN 2 THEN 'llm' WHEN 3 THEN 'review' ELSE 'exact' END"
+_HEAD = "CASE WHEN t = '' THEN '—' ELSE " + _ESCAPED.replace("X", "left(t, 90) || CASE WHEN length(t) > 90 THEN '…' ELSE '' END") + " END"
+_PLACE_ROWS = rf"""
++ e AS (SELECT 'N' || n_nationkey AS id, CASE WHEN n_nationkey % 6 = 0 THEN '' ELSE n_name || ' | \ ' END AS name, coalesce({_FLAT}, '') AS t FROM nation LEFT JOIN documents ON doc_id = n_nationkey),
+i AS (SELECT 'N' || n_nationkey AS entry_id, CASE WHEN n_nationkey % 8 = 0 THEN 'route' ELSE 'place' END AS kind, 'item ' || n_name AS item, CASE WHEN n_nationkey % 3 = 0 THEN NULL ELSE 800 + n_nationkey * 37.5::DOUBLE END AS elevation_m, {_METHOD.replace('K', 'n_nationkey')} AS method FROM nation),
+prows AS (SELECT l.place_id AS key, l.poi_id, {_CELL.replace('X', "coalesce(nullif(e.name, ''), i.item) || CASE WHEN i.elevation_m IS NULL THEN '' ELSE ', ' || format('{:g}', i.elevation_m) || ' m' END")} AS title, {_HEAD} AS excerpt, {_OSM_NAME} AS osm_name, {_DELTA} AS delta, i.method
+  FROM graph_place_links_in l JOIN e ON e.id = l.place_id JOIN i ON i.entry_id = l.place_id AND i.kind = 'place' LEFT JOIN graph_pois_in o ON o.poi_id = l.poi_id)
+"""
+
+
+def _method(k):
+    return F.when(k % 5 == 1, "fuzzy").when(k % 5 == 2, "llm").when(k % 5 == 3, "review").otherwise("exact")
+
+
+def _place_rows(spark, d):
+    k = F.col("n_nationkey")
+    id_ = F.concat(F.lit("N"), k.cast("string"))
+    nation, docs = read(spark, d, "nation"), read(spark, d, "documents").select("doc_id", "text")
+    e = nation.join(docs, k == F.col("doc_id"), "left").select(id_.alias("id"), F.when(k % 6 == 0, "").otherwise(F.concat("n_name", F.lit(" | \\ "))).alias("name"), F.col("text").alias("description"))
+    items = nation.select(id_.alias("entry_id"), F.when(k % 8 == 0, "route").otherwise("place").alias("kind"), F.concat(F.lit("item "), "n_name").alias("name"), F.when(k % 3 != 0, F.lit(800) + k * F.lit(37.5)).alias("elevation_m"), _method(k).alias("method"))
+    return audit.place_rows(read(spark, d, "graph_place_links").drop("seq"), e, items, read(spark, d, "graph_pois"))
+
+
+@registered(with_inputs(_PLACE_ROWS + " SELECT * FROM prows", "graph_place_links", "graph_pois"))
+def audit_places(spark, d):
+    return _place_rows(spark, d)
+
+
+_MENTION_ROWS = rf"""
++ ln AS (SELECT entry_id, poi_id, 'stop ' || (l_partkey % 4) AS surface FROM graph_mentions_in),
+items AS (SELECT 'C' || c_custkey AS entry_id, 'stop ' || j AS surface, CASE WHEN (c_custkey + j) % 4 = 0 THEN NULL ELSE (900 + c_custkey % 300 + j)::DOUBLE END AS elevation_m, {_METHOD.replace('K', '(c_custkey + j)')} AS method FROM customer, (SELECT unnest([0, 1, 2]) AS j)),
+told AS (SELECT r.id, coalesce({_FLAT}, '') AS t FROM graph_routes_in r LEFT JOIN documents ON doc_id = c_custkey),
+mrows AS (SELECT l.entry_id || chr(31) || l.surface || chr(31) || l.poi_id AS key, l.poi_id, l.surface AS title, {_HEAD} AS excerpt, {_OSM_NAME} AS osm_name, {_DELTA} AS delta, coalesce(i.method, '?') AS method
+  FROM ln l JOIN told e ON e.id = l.entry_id LEFT JOIN items i ON i.entry_id = l.entry_id AND i.surface = l.surface LEFT JOIN graph_pois_in o ON o.poi_id = l.poi_id)
+"""
+
+
+def _mention_rows(spark, d):
+    links = read(spark, d, "graph_mentions").select("entry_id", "poi_id", F.concat(F.lit("stop "), (F.col("l_partkey") % 4).cast("string")).alias("surface"))
+    k = F.col("c_custkey")
+    made = read(spark, d, "customer").select(k, F.explode(F.array(*[F.lit(j) for j in range(3)])).alias("j"))
+    n = k + F.col("j")
+    items = made.select(
+        F.concat(F.lit("C"), k.cast("string")).alias("entry_id"), F.lit("mention").alias("kind"), F.concat(F.lit("stop "), F.col("j").cast("string")).alias("surface"), F.when(n % 4 != 0, (F.lit(900) + k % 300 + F.col("j")).cast("double")).alias("elevation_m"), _method(n).alias("method"), F.col("j").alias("seq")
+    )
+    e = read(spark, d, "graph_routes").join(read(spark, d, "documents").select("doc_id", "text"), k == F.col("doc_id"), "left").select("id", F.col("text").alias("description"))
+    return audit.mention_rows(links, e, items, read(spark, d, "graph_pois"))
+
+
+@registered(with_inputs(_MENTION_ROWS + " SELECT * FROM mrows", "graph_mentions", "graph_routes", "graph_pois"))
+def audit_mentions(spark, d):
+    return _mention_rows(spark, d)
+
+
+@registered(with_inputs(_PLACE_ROWS + "," + _MENTION_ROWS.lstrip().lstrip("+") + """
+SELECT 'place' AS kind, method, count(*) AS n FROM prows GROUP BY method UNION ALL SELECT 'mention', method, count(*) FROM mrows GROUP BY method""", "graph_place_links", "graph_mentions", "graph_routes", "graph_pois"))
+def audit_methods(spark, d):
+    both = [audit.methods(rows).select(F.lit(kind).alias("kind"), "method", "n") for kind, rows in (("place", _place_rows(spark, d)), ("mention", _mention_rows(spark, d)))]
+    return both[0].unionByName(both[1])
+
+
+@registered(with_inputs(_PLACE_ROWS + """,
+s AS (SELECT * FROM prows ORDER BY CASE WHEN method IN ('fuzzy', 'llm') THEN 0 WHEN method = 'review' THEN 1 ELSE 2 END, md5('0:' || key), key, poi_id LIMIT 30),
+c AS (SELECT method, count(*) AS n FROM s GROUP BY method)
+SELECT 'place' AS kind, (SELECT count(*) FROM prows) AS n_rows, (SELECT count(*) FROM s) AS n_sampled, (SELECT string_agg(method || ': ' || n, ', ' ORDER BY method) FROM c) AS tally, (SELECT count(*) FROM items_in WHERE kind = 'place' AND type IS NULL) AS n_unmatched""", "graph_place_links", "graph_pois", "items"))
+def audit_sections(spark, d):
+    _, numbers = audit.section(_place_rows(spark, d), read(spark, d, "items").filter("type is null"), "place", 30)
+    return numbers
+
+
+@registered(with_inputs("SELECT kind, count(*) AS n FROM items_in WHERE type IS NULL GROUP BY kind", "items"))
+def unmatched_kinds(spark, d):
+    return audit.unmatched_by_kind(read(spark, d, "items").filter("type is null"))
+
+
+# records and planning
+
+
+@registered(with_inputs("""SELECT id, CASE WHEN k = 'place'
+  THEN to_json({'id': id, 'id_source': src, 'kind': k, 'source_page': page, 'name': name, 'description': NULL::VARCHAR, 'description_source': 'none', 'summary': NULL::VARCHAR, 'references': []::VARCHAR[], 'place_type': place_type, 'elevation': NULL::VARCHAR})
+  ELSE to_json({'id': id, 'id_source': src, 'kind': k, 'source_page': page, 'name': name, 'description': NULL::VARCHAR, 'description_source': 'none', 'summary': NULL::VARCHAR, 'references': []::VARCHAR[], 'peak': NULL::VARCHAR, 'grade': grade, 'first_ascent': NULL::VARCHAR, 'time': NULL::VARCHAR, 'height_m': NULL::VARCHAR, 'destination_id': NULL::VARCHAR, 'place_ids': [name]}) END::VARCHAR AS record
+FROM (SELECT id, name, place_type, grade_no::VARCHAR AS grade, CASE seq % 3 WHEN 0 THEN 'synthetic' ELSE 'book' END AS src, CASE WHEN kind = 'traverse' THEN 'route' ELSE kind END AS k, seq::INT AS page FROM entries_in)""", "entries"))
+def wire_records(spark, d):
+    """Records that leave out kinds, sources and lists get the defaults, and only the fields of their kind."""
+    e = read(spark, d, "entries")
+    raw = e.select("id", "name", "place_type", F.col("grade_no").alias("grade"), F.when(F.col("seq") % 3 == 0, "synthetic").alias("id_source"), F.nullif("kind", F.lit("traverse")).alias("kind"), F.col("seq").cast("int").alias("source_page"), F.array("name").alias("place_ids"))
+    return records.wire(records.with_defaults(raw))
+
+
+@registered("""
+WITH o AS (SELECT l_orderkey AS page, l_linenumber AS pos, l_quantity::INT AS w, (l_partkey % 40 + 1)::INT AS h FROM lineitem),
+m AS (SELECT page, w, h FROM o QUALIFY row_number() OVER (PARTITION BY page ORDER BY w * h DESC, pos, w) = 1)
+SELECT page, w AS width, h AS height FROM m""")
+def largest_images(spark, d):
+    images = read(spark, d, "lineitem").select(F.col("l_orderkey").alias("page"), F.struct("l_linenumber", F.col("l_quantity").cast("int").alias("width"), (F.col("l_partkey") % 40 + 1).cast("int").alias("height")).alias("i"))
+    listed = images.groupBy("page").agg(F.array_sort(F.collect_list("i")).alias("i"))
+    one = records.largest_image(F.transform("i", lambda x: F.struct(x.width.alias("width"), x.height.alias("height"))))
+    return listed.select("page", one.alias("d")).select("page", "d.width", "d.height")
+
+
+_TODO = """
++ p AS (SELECT guide_id, page, length(trim(text)) AS chars, length(trim(text)) < 600 AS is_sketch, lang FROM pages_in JOIN (SELECT doc_id, lang FROM documents) ON doc_id = page * 2 + CASE guide_id WHEN 'even' THEN 0 ELSE 1 END)
+"""
+
+
+def _todo(spark, d):
+    size = F.length(F.trim("text"))
+    p = read(spark, d, "documents").select("doc_id", "lang", "text")
+    p = p.withColumn("guide_id", F.when(F.col("doc_id") % 2 == 0, "even").otherwise("odd")).withColumn("page", ((F.col("doc_id") - F.col("doc_id") % 2) / 2).cast("int"))
+    return p.select("guide_id", "page", size.alias("char_count"), (size < 600).alias("is_sketch"), "lang")
+
+
+@registered(with_inputs(_TODO + """ SELECT 'clean' AS step, guide_id, page FROM p WHERE NOT is_sketch AND lang NOT IN ('en', 'de') UNION ALL SELECT 'pass', guide_id, page FROM p WHERE is_sketch AND lang NOT IN ('en', 'de')
+UNION ALL SELECT 'structure', guide_id, page FROM p WHERE NOT is_sketch AND lang = 'de'""", "pages"))
+def pages_to_do(spark, d):
+    """English and German pages are clean, the English ones structured."""
+    p = _todo(spark, d)
+    cleaned, structured = p.filter("lang in ('en', 'de')"), p.filter("lang = 'en'")
+    steps = (("clean", planning.to_clean(p, cleaned)), ("pass", planning.passed_through(p, cleaned)), ("structure", planning.to_structure(p, cleaned, structured)))
+    first, *rest = [f.select(F.lit(name).alias("step"), "guide_id", "page") for name, f in steps]
+    for f in rest:
+        first = first.unionByName(f)
+    return first
+
+
+@registered(with_inputs(_TODO + " SELECT guide_id, count(*) AS n_pages, count(*) FILTER (NOT is_sketch) AS n_text, count(*) FILTER (is_sketch) AS n_sketch, sum(chars)::BIGINT AS n_chars, floor(sum(chars) / 6)::BIGINT AS n_words FROM p GROUP BY guide_id", "pages"))
+def extract_summary(spark, d):
+    return planning.extract_summary(_todo(spark, d))
+
+
+@registered(f"""WITH p AS ({_PARTS}), q AS (SELECT page, position, 'R' || substr(raw_id, 3) AS id, name FROM p),
+i AS (SELECT page, id, min(position) AS position FROM q WHERE id IS NOT NULL GROUP BY ALL HAVING count(*) = 1), n AS (SELECT page, name, min(position) AS position FROM q GROUP BY ALL HAVING count(*) = 1),
+r AS (SELECT position AS seq, page, CASE WHEN position % 4 = 0 THEN NULL ELSE id END AS entry_id, name, CASE position % 5 WHEN 0 THEN 'stub' WHEN 1 THEN 'empty_anchor' WHEN 2 THEN 'start_not_found' WHEN 3 THEN 'start_ambiguous' ELSE 'end_mismatch' END AS reason FROM q)
+SELECT r.seq, r.page, r.entry_id, r.reason, 'from ' || coalesce(i.position, n.position) AS start_quote FROM r LEFT JOIN i ON i.page = r.page AND i.id = r.entry_id LEFT JOIN n ON n.page = r.page AND n.name = r.name WHERE reason NOT IN ('stub', 'empty_anchor')""")
+def repair_tasks(spark, d):
+    k = F.col("o_orderkey")
+    start = F.concat(F.lit("from "), k.cast("string")).alias("start_quote")
+    raw = F.when(k % 3 != 0, F.concat(F.lit("R "), (F.col("o_custkey") % 6).cast("string"))).alias("raw_id")
+    parts = read(spark, d, "orders").select(F.floor(k / 10).cast("int").alias("page"), k.alias("position"), raw, F.col("o_orderpriority").alias("name"), start, F.lit("to").alias("end_quote"))
+    reason = F.element_at(F.array(*[F.lit(x) for x in ("stub", "empty_anchor", "start_not_found", "start_ambiguous", "end_mismatch")]), (F.col("position") % 5 + 1).cast("int"))
+    id_ = F.when(F.col("position") % 4 != 0, text.normalize_entry_id(F.col("raw_id")))
+    unsliced = parts.select(F.col("position").alias("seq"), "page", id_.alias("entry_id"), "name", F.lit("route").alias("kind"), reason.alias("reason"))
+    return planning.repair_tasks(unsliced, parts).select("seq", "page", "entry_id", "reason", "start_quote")
+
+
+@registered("SELECT DISTINCT 'C' || (o_custkey + 40) AS entry_id FROM orders WHERE o_custkey + 40 NOT IN (SELECT c_custkey FROM customer)")
+def lost_queue_entries(spark, d):
+    queue = read(spark, d, "orders").select(F.concat(F.lit("C"), (F.col("o_custkey") + 40).cast("string")).alias("entry_id"))
+    return planning.lost_entries(queue, read(spark, d, "graph_routes"))
+
+
+@registered(with_inputs("SELECT item_id, entry_id FROM items_in WHERE kind = 'mention'", "items"))
+def queue_of_mentions(spark, d):
+    """The mentions of a queue all of whose entries are there."""
+    items = read(spark, d, "items")
+    return planning.checked_queue(planning.queue_of(items, "mention"), items.select(F.col("entry_id").alias("id"))).select("item_id", "entry_id")
+
+
+@registered(with_inputs("SELECT id, c_custkey IN (SELECT o_custkey FROM orders) AS has_part FROM graph_routes_in", "graph_routes"))
+def entries_with_part(spark, d):
+    parts = read(spark, d, "orders").select(F.concat(F.lit("C"), F.col("o_custkey").cast("string")).alias("entry_id"))
+    return planning.with_part(read(spark, d, "graph_routes"), parts).select("id", "has_part")
+
+
+@registered(with_inputs("SELECT l.place_id, p.poi_id, p.name, p.ele FROM graph_place_links_in l JOIN graph_pois_in p USING (poi_id) QUALIFY row_number() OVER (PARTITION BY l.place_id ORDER BY l.seq DESC) = 1", "graph_place_links", "graph_pois"))
+def place_features(spark, d):
+    return planning.place_features(read(spark, d, "graph_place_links"), read(spark, d, "graph_pois")).select("place_id", "poi_id", "name", "ele")
+
+
+_POLICY = {"places": "places and what is filed under them", "routes": "routes", "traverses": "tours that end nowhere in particular"}
+
+
+@registered("""
+WITH s AS (SELECT n_regionkey AS guide_id, n_nationkey AS position, n_name AS title, CASE n_nationkey % 4 WHEN 0 THEN 'places' WHEN 1 THEN 'routes' WHEN 2 THEN 'traverses' ELSE 'index' END AS role, n_nationkey * 7 + 3 AS first_page FROM nation),
+r AS (SELECT *, coalesce(lead(first_page) OVER (PARTITION BY guide_id ORDER BY first_page) - 1, 150) AS last_page FROM s),
+l AS (SELECT *, '- ' || title || ' (' || CASE WHEN last_page > first_page THEN 'pp. ' || first_page || '-' || last_page ELSE 'p. ' || first_page END || '): ' ||
+  CASE role WHEN 'places' THEN 'places and what is filed under them' WHEN 'routes' THEN 'routes' WHEN 'traverses' THEN 'tours that end nowhere in particular' ELSE '' END AS line FROM r)
+SELECT guide_id, 'Sections:' || chr(10) || string_agg(line, chr(10) ORDER BY position) AS block FROM l GROUP BY guide_id""")
+def section_blocks(spark, d):
+    k = F.col("n_nationkey")
+    role = F.when(k % 4 == 0, "places").when(k % 4 == 1, "routes").when(k % 4 == 2, "traverses").otherwise("index")
+    s = read(spark, d, "nation").select(F.col("n_regionkey").alias("guide_id"), k.alias("position"), F.col("n_name").alias("title"), role.alias("role"), (k * 7 + 3).alias("book_page"))
+    lines = planning.policies(entries.section_ranges(s, F.lit(150)), _POLICY)
+    return planning.block(lines, "guide_id", "position", head="Sections:")
 
 
 # graph
@@ -628,26 +822,39 @@ def graph_references(spark, d):
     return graph.references(refs, r).select("id", "ref_id", "target_name", "state")
 
 
-@registered(with_inputs("+ f AS (SELECT poi_id, entry_id, min(seq) AS seq FROM graph_mentions_in GROUP BY ALL) SELECT poi_id, list(entry_id ORDER BY seq, entry_id) AS entry_ids FROM f GROUP BY poi_id", "graph_mentions"))
+@registered(with_inputs("""+ b AS (SELECT poi_id, place_id AS entry_id, 0 AS t, seq FROM graph_place_links_in UNION ALL SELECT poi_id, entry_id, 1, seq FROM graph_mentions_in),
+f AS (SELECT poi_id, entry_id, min({'t': t, 'q': seq}) AS o FROM b GROUP BY ALL) SELECT poi_id, list(entry_id ORDER BY o, entry_id) AS entry_ids FROM f GROUP BY poi_id""", "graph_mentions", "graph_place_links"))
 def entries_by_poi(spark, d):
-    return graph.entries_by_poi(read(spark, d, "graph_mentions"))
+    return graph.entries_by_poi(read(spark, d, "graph_place_links"), read(spark, d, "graph_mentions"))
 
 
 _SELECTED = "C7"
-_TARGETS = """+ t AS (SELECT DISTINCT r.id AS entry_id, l.poi_id FROM graph_routes_in r JOIN graph_place_links_in l ON l.place_id = r.destination_id)"""
+_TARGETS = _ROUTES + """, pl AS (SELECT p.id, (SELECT arg_max(l.poi_id, l.seq) FROM graph_place_links_in l SEMI JOIN graph_pois_in o ON o.poi_id = l.poi_id WHERE l.place_id = p.id) AS poi_id FROM graph_places_in p),
+led AS (SELECT id AS entry_id, destination_id AS place_id FROM r UNION SELECT id, unnest(place_ids) FROM r UNION SELECT id, id FROM pl),
+t AS (SELECT DISTINCT entry_id, poi_id FROM led JOIN pl ON pl.id = led.place_id WHERE poi_id IS NOT NULL)"""
 
 
 def _targets(spark, d):
-    r, links = read(spark, d, "graph_routes"), read(spark, d, "graph_place_links")
-    return r.join(links, r["destination_id"] == links["place_id"]).select(F.col("id").alias("entry_id"), "poi_id").distinct()
+    linked = graph.linked_places(read(spark, d, "graph_places"), read(spark, d, "graph_place_links"), read(spark, d, "graph_pois"))
+    return graph.targets(_routes(spark, d), linked)
+
+
+@registered(with_inputs(_TARGETS + " SELECT entry_id, poi_id FROM t", "graph_routes", "graph_places", "graph_place_links", "graph_pois"))
+def highlight_targets(spark, d):
+    return _targets(spark, d)
 
 
 @registered(with_inputs(_TARGETS + """ SELECT poi_id, 'target' AS role FROM t WHERE entry_id = 'C8'
-UNION SELECT poi_id, 'mention' FROM graph_mentions_in WHERE entry_id = 'C8' AND poi_id NOT IN (SELECT poi_id FROM t WHERE entry_id = 'C8')""", "graph_routes", "graph_place_links", "graph_mentions"))
+UNION SELECT poi_id, 'mention' FROM graph_mentions_in WHERE entry_id = 'C8' AND poi_id NOT IN (SELECT poi_id FROM t WHERE entry_id = 'C8')""", "graph_routes", "graph_places", "graph_place_links", "graph_pois", "graph_mentions"))
 def highlight_set(spark, d):
     return graph.highlight(F.lit("C8"), _targets(spark, d), read(spark, d, "graph_mentions"))
 
 
+@registered(with_inputs("""SELECT p.id, p.name, (SELECT arg_max(l.poi_id, l.seq) FROM graph_place_links_in l SEMI JOIN graph_pois_in o ON o.poi_id = l.poi_id WHERE l.place_id = p.id) AS poi_id FROM graph_places_in p WHERE EXISTS (SELECT 1 FROM graph_place_links_in l JOIN graph_pois_in o ON o.poi_id = l.poi_id WHERE l.place_id = p.id)""", "graph_places", "graph_place_links", "graph_pois"))
+def mapped_places(spark, d):
+    return graph.mapped(graph.linked_places(read(spark, d, "graph_places"), read(spark, d, "graph_place_links"), read(spark, d, "graph_pois"))).select("id", "name", "poi_id")
+
+
 @registered(with_inputs("SELECT poi_id, name FROM graph_pois_in p WHERE poi_id IN (SELECT poi_id FROM graph_place_links_in) OR poi_id IN (SELECT poi_id FROM graph_mentions_in WHERE entry_id = 'C7')", "graph_pois", "graph_place_links", "graph_mentions"))
 def visible_pois(spark, d):
     chosen = read(spark, d, "graph_mentions").filter(F.col("entry_id") == _SELECTED)
@@ -676,7 +883,7 @@ def guide_boxes(spark, d):
     return graph.guide_boxes(read(spark, d, "region").select(k.alias("id"), F.col("r_name").alias("name"), box.alias("bbox")), 3)
 
 
-@registered(with_inputs("SELECT poi_id, name || CASE WHEN ele IS NULL THEN '' ELSE chr(10) || round_even(ele, 0)::BIGINT || ' m' END AS label, coalesce(ele, 0.0) AS height FROM graph_pois_in WHERE type = 'peak'", "graph_pois"))
+@registered(with_inputs("SELECT poi_id, name || CASE WHEN ele IS NULL THEN '' ELSE chr(10) || regexp_replace(ele::VARCHAR, '\\.0$', '') || ' m' END AS label, coalesce(ele, 0.0) AS height FROM graph_pois_in WHERE type = 'peak'", "graph_pois"))
 def peak_labels(spark, d):
     return graph.peak_labels(read(spark, d, "graph_pois"))
 
@@ -709,3 +916,34 @@ def poi_features(spark, d):
     ids = read(spark, d, "graph_place_links").select("poi_id").distinct().withColumn("_is", F.lit(True))
     pois = read(spark, d, "graph_pois").join(ids, "poi_id", "left")
     return pois.select("poi_id", graph.colour_of(F.col("type"), {"peak": "#b03a2e", "hut": "#1f618d"}, "#707b7c").alias("colour"), F.coalesce("_is", F.lit(False)).alias("is_place"))
+
+
+@registered(with_inputs("SELECT poi_id, 'https://maps.example.org/node/' || s_suppkey AS osm_url FROM graph_pois_in WHERE s_suppkey % 4 <> 1 AND s_suppkey % 5 <> 1", "graph_pois"))
+def pois_guarded(spark, d):
+    """Features of which some lack an id, others a point or a part of it."""
+    k = F.col("s_suppkey")
+    point = F.when(k % 10 == 1, F.array(F.col("lon"))).when(k % 5 == 1, F.array(F.col("lon"), F.lit(None).cast("double"))).otherwise(F.array("lon", "lat"))
+    raw = read(spark, d, "graph_pois").withColumn("poi_id", F.when(k % 4 != 1, F.col("poi_id"))).withColumn("osm", F.concat(F.lit("node/"), k.cast("string"))).withColumn("coordinates", point)
+    return graph.valid_pois(raw, "https://maps.example.org/").select("poi_id", "osm_url")
+
+
+@registered(with_inputs("SELECT id, kind, CASE WHEN seq % 3 = 0 THEN 'stub' WHEN seq % 2 = 0 THEN 'sliced' ELSE 'none' END AS description_source FROM entries_in WHERE kind IN ('place', 'route') AND seq % 5 <> 4", "entries"))
+def entries_guarded(spark, d):
+    n = F.col("seq")
+    raw = read(spark, d, "entries").withColumn("id", F.when(n % 5 != 4, F.col("id"))).withColumn("description", F.when(n % 2 == 0, "text")).withColumn("description_source", F.when(n % 3 == 0, "stub"))
+    return graph.valid_entries(raw).select("id", "kind", "description_source")
+
+
+@registered(with_inputs("SELECT poi_id, CASE s_suppkey % 5 WHEN 0 THEN 'target' WHEN 1 THEN 'mention' ELSE CASE WHEN poi_id IN (SELECT poi_id FROM graph_place_links_in) THEN 'place' ELSE 'plain' END END AS class FROM graph_pois_in", "graph_pois", "graph_place_links"))
+def marker_classes(spark, d):
+    ids = read(spark, d, "graph_place_links").select("poi_id").distinct().withColumn("_is", F.lit(True))
+    role = F.when(F.col("s_suppkey") % 5 == 0, "target").when(F.col("s_suppkey") % 5 == 1, "mention")
+    return read(spark, d, "graph_pois").join(ids, "poi_id", "left").select("poi_id", graph.marker_class(F.coalesce("_is", F.lit(False)), role).alias("class"))
+
+
+@registered("SELECT n_nationkey, CASE WHEN n_nationkey % 3 <> 0 AND n_nationkey IN (SELECT r_regionkey FROM region) THEN n_nationkey::VARCHAR END AS guide_id FROM nation")
+def deep_links(spark, d):
+    k = F.col("n_nationkey")
+    asked = F.when(k % 3 == 0, F.concat(F.lit("?other="), k.cast("string"))).otherwise(F.concat(F.lit("?zoom=3&guide="), k.cast("string")))
+    requests = read(spark, d, "nation").select(k, F.concat(F.lit("https://maps.example.org/app"), asked).alias("url"))
+    return graph.deep_link(requests, read(spark, d, "region").select(F.col("r_regionkey").cast("string").alias("id"))).select("n_nationkey", "guide_id")

@@ -114,29 +114,59 @@ def parse_elevation(tag: Column) -> Column:
     return F.replace(F.regexp_extract(tag, ELEVATION_TAG, 0), F.lit(","), F.lit(".")).try_cast("double")
 
 
+def escaped(s: Column) -> Column:
+    """Backslashes doubled, then bars escaped, so that a table cell stays one cell."""
+    return F.replace(F.replace(s, F.lit("\\"), F.lit("\\\\")), F.lit("|"), F.lit("\\|"))
+
+
 def cell(value: Column) -> Column:
-    """A table cell: white space collapsed, bars escaped, a dash for nothing."""
-    return F.coalesce(F.nullif(F.replace(squeezed(value), F.lit("|"), F.lit("\\|")), F.lit("")), F.lit("—"))
+    """A table cell: white space collapsed, backslashes and bars escaped, a dash for nothing."""
+    return F.coalesce(F.nullif(escaped(squeezed(value)), F.lit("")), F.lit("—"))
+
+
+def short_number(value: Column) -> Column:
+    """A number with six significant digits and no trailing zeros."""
+    size = F.abs(value)
+    out = F.format_string("%.5e", value)
+    for limit, digits in ((1e6, 0), (1e5, 1), (1e4, 2), (1e3, 3), (1e2, 4), (1e1, 5)):
+        plain = F.bround(value, digits)
+        out = F.when(size < limit, F.format_string(f"%.{digits}f", plain)).otherwise(out)
+    return F.regexp_replace(F.regexp_replace(out, r"(\.\d*?)0+(?=$|e)", "$1"), r"\.(?=$|e)", "")
 
 
 def metres(value: Column) -> Column:
-    return F.when(value.isNotNull(), F.concat(F.bround(value, 0).cast("bigint").cast("string"), F.lit(" m"))).otherwise("—")
+    return F.when(value.isNotNull(), F.concat(short_number(value), F.lit(" m"))).otherwise("—")
 
 
 def elevation_delta(stated: Column, found: Column) -> Column:
-    """The signed difference in whole metres, half to even."""
-    d = F.bround(found - stated, 0).cast("bigint")
-    return F.when(d.isNotNull(), F.concat(F.when(d >= 0, "+").otherwise(""), d.cast("string"))).otherwise("—")
+    """Stated less found in whole metres, half to even, with its sign; a dash where either is unknown."""
+    gap = stated - found
+    return F.when(gap.isNotNull(), F.concat(F.when(gap < 0, "-").otherwise("+"), F.abs(F.bround(gap, 0)).cast("bigint").cast("string"), F.lit(" m"))).otherwise("—")
 
 
 def excerpt(text: Column, needle: Column, width: int) -> Column:
-    """``width`` characters around the needle, in either case; the head of the text where it is not found."""
-    flat = squeezed(text)
-    at = F.instr(F.lower(flat), F.lower(needle))
-    start = F.greatest(F.lit(1), at - F.floor((F.lit(width) - F.length(needle)) / 2).cast("int"))
-    begin = F.when(at > 0, start).otherwise(1)
-    cut = F.substring(flat, begin, F.lit(width))
-    return F.concat(F.when(begin > 1, "…").otherwise(""), cut, F.when(begin + width - 1 < F.length(flat), "…").otherwise(""))
+    """At most ``width`` characters of the text on one line, escaped; a dash for no text.
+
+    Around the needle, in either case and with its white space collapsed, where
+    it stands; else the head. At the text's end the window moves left.
+    """
+    return excerpt_of(squeezed(text), needle, width)
+
+
+def excerpt_of(flat: Column, needle: Column, width: int) -> Column:
+    """The same of a text whose white space is collapsed already, which is read several times."""
+    flat, sought = F.coalesce(flat, F.lit("")), F.coalesce(squeezed(needle), F.lit(""))
+    at = F.when(sought != "", F.instr(F.lower(flat), F.lower(sought))).otherwise(0)
+
+    def cut(v: Column) -> Column:
+        """From (text, its length, the needle's place and length), so that the search is done once."""
+        first = F.greatest(F.lit(0), v["at"] - 1 - F.floor((F.lit(width) - v["wide"]) / 2).cast("int"))
+        end = F.when(v["at"] > 0, F.least(v["size"], first + width)).otherwise(F.least(v["size"], F.lit(width)))
+        begin = F.greatest(F.lit(0), end - width)
+        return F.concat(F.when(begin > 0, "…").otherwise(""), F.substring(v["text"], begin + 1, end - begin), F.when(end < v["size"], "…").otherwise(""))
+
+    found = F.array(F.struct(flat.alias("text"), F.length(flat).alias("size"), at.alias("at"), F.length(sought).alias("wide")))
+    return F.when(flat == "", "—").otherwise(escaped(F.transform(found, cut)[0]))
 
 
 def distance_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:

@@ -31,7 +31,7 @@ INPUTS = {
           47.0 + CAST(p_partkey % 1000 AS DOUBLE) / 1000.0 AS lat, 11.0 + CAST(p_partkey % 777 AS DOUBLE) / 1000.0 AS lon,
           CASE WHEN p_partkey % 4 = 0 THEN NULL ELSE CAST(p_size * 40 + 780 AS DOUBLE) END AS ele,
           CASE p_partkey % 3 WHEN 0 THEN 'node/' WHEN 1 THEN 'way/' ELSE 'relation/' END || CAST(p_partkey AS STRING) AS osm
-        FROM {part} WHERE p_partkey % 16 = 5 OR p_partkey % 16 = 6""",
+        FROM {part}""",
     "items": """
         SELECT k AS item_id, k AS seq, 'R' || CAST(k - k % 3 AS STRING) AS entry_id, CASE WHEN k % 3 = 0 THEN 'place' ELSE 'mention' END AS kind,
           surface, surface AS name, type, CASE WHEN k % 5 = 0 THEN CAST(p_size * 40 + 800 AS DOUBLE) END AS elevation_m
@@ -71,9 +71,9 @@ INPUTS = {
           47.0 + CAST(s_suppkey % 100 AS DOUBLE) / 64.0 AS lat, 11.0 + CAST(s_suppkey % 90 AS DOUBLE) / 64.0 AS lon, CASE WHEN s_suppkey % 4 = 0 THEN NULL ELSE CAST(s_suppkey AS DOUBLE) + 1000.25 END AS ele, s_suppkey
         FROM {supplier}""",
     "graph_place_links": """
-        SELECT s_suppkey AS seq, 'N' || CAST(s_nationkey AS STRING) AS place_id, 'osm-node-' || CAST(s_suppkey * 2 AS STRING) AS poi_id FROM {supplier} WHERE s_nationkey % 3 <> 0""",
+        SELECT s_suppkey AS seq, CASE WHEN s_nationkey % 3 = 0 THEN 'X' ELSE 'N' END || CAST(s_nationkey AS STRING) AS place_id, 'osm-node-' || CAST(s_suppkey * 2 AS STRING) AS poi_id FROM {supplier}""",
     "graph_mentions": """
-        SELECT l_orderkey * 10 + l_linenumber AS seq, l_partkey, 'C' || CAST(l_partkey % 500 AS STRING) AS entry_id, 'osm-node-' || CAST(l_suppkey AS STRING) AS poi_id FROM {lineitem} WHERE l_quantity > 40""",
+        SELECT l_orderkey * 10 + l_linenumber AS seq, l_partkey, 'C' || CAST(l_partkey % 500 AS STRING) AS entry_id, 'osm-node-' || CAST(l_suppkey AS STRING) AS poi_id FROM {lineitem}""",
 }
 
 

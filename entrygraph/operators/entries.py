@@ -22,10 +22,12 @@ def gap_fill(df: DataFrame, value: str = "value", out: str = "filled") -> DataFr
     """Fill runs of missing numbers before a known one, where the run fits above the number before it."""
     here = in_book_order()
     df = df.withColumn("_at", F.row_number().over(here))
-    before, behind = here.rowsBetween(Window.unboundedPreceding, 0), here.rowsBetween(0, Window.unboundedFollowing)
+    # both are running frames: the one behind runs from the end
+    before = here.rowsBetween(Window.unboundedPreceding, 0)
+    behind = Window.partitionBy("guide_id").orderBy(F.desc("seq")).rowsBetween(Window.unboundedPreceding, 0)
     seen = F.struct(F.col(value).alias("v"), F.col("_at").alias("p"))
     known = F.when(F.col(value).isNotNull(), seen)
-    df = df.withColumn("_before", F.last(known, ignorenulls=True).over(before)).withColumn("_behind", F.first(known, ignorenulls=True).over(behind))
+    df = df.withColumn("_before", F.last(known, ignorenulls=True).over(before)).withColumn("_behind", F.last(known, ignorenulls=True).over(behind))
     # the number that the first of the run would get has to lie above the one before the run
     lowest = F.col("_behind.v") - (F.col("_behind.p") - (F.coalesce("_before.p", F.lit(0)) + 1))
     fill = F.when(lowest > F.coalesce("_before.v", F.lit(0)), F.col("_behind.v") - (F.col("_behind.p") - F.col("_at")))

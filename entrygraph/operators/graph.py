@@ -17,6 +17,10 @@ def uncoordinated(linked: DataFrame) -> DataFrame:
     return linked.filter("poi_id is null")
 
 
+def mapped(linked: DataFrame) -> DataFrame:
+    return linked.filter("poi_id is not null")
+
+
 def mentions(entries: DataFrame, links: DataFrame, pois: DataFrame) -> DataFrame:
     """For each entry its mentioned features in the order of the links, repeats kept."""
     met = links.join(pois.select("poi_id"), "poi_id", "left_semi").join(entries.select(F.col("id").alias("entry_id")), "entry_id", "left_semi")
@@ -37,10 +41,11 @@ def route_places(routes: DataFrame, places: DataFrame) -> DataFrame:
     return met.groupBy("id").agg(F.transform(F.array_sort(F.collect_list(F.struct("at", "place_id"))), lambda x: x.place_id).alias("places"))
 
 
-def routes_leading_here(routes: DataFrame, places: DataFrame) -> DataFrame:
-    """Places with how many routes end there, most first."""
+def routes_leading_here(routes: DataFrame, places: DataFrame, order: str = "id") -> DataFrame:
+    """Places with how many routes end there, most first; ties in the order of ``order``."""
     n = routes.groupBy("destination_id").agg(F.count("*").alias("n_routes"))
-    return places.join(n, places["id"] == n["destination_id"], "left").select(places["id"], places["name"], F.coalesce("n_routes", F.lit(0)).alias("n_routes"))
+    met = places.join(n, places["id"] == n["destination_id"], "left")
+    return met.select(places["id"], places["name"], F.coalesce("n_routes", F.lit(0)).alias("n_routes"), places[order].alias("_order")).orderBy(F.desc("n_routes"), "_order").drop("_order")
 
 
 def placeless_routes(routes: DataFrame, places: DataFrame) -> DataFrame:
@@ -57,10 +62,26 @@ def references(refs: DataFrame, entries: DataFrame) -> DataFrame:
     return refs.join(target, "ref_id", "left").withColumn("state", state)
 
 
-def entries_by_poi(links: DataFrame) -> DataFrame:
-    """For each feature its entries, each once, in first-seen order."""
-    first = links.groupBy("poi_id", "entry_id").agg(F.min("seq").alias("seq"))
-    return first.groupBy("poi_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("seq", "entry_id"))), lambda x: x.entry_id).alias("entry_ids"))
+def entries_by_poi(place_links: DataFrame, links: DataFrame) -> DataFrame:
+    """For each feature its entries, each once, in first-seen order: those whose place it is, then those that mention it.
+
+    place_links: (seq, place_id, poi_id); links: (seq, entry_id, poi_id); both
+    of known entries and features.
+    """
+    own = place_links.select("poi_id", F.col("place_id").alias("entry_id"), F.struct(F.lit(0).alias("t"), "seq").alias("o"))
+    told = links.select("poi_id", "entry_id", F.struct(F.lit(1).alias("t"), "seq").alias("o"))
+    first = own.unionByName(told).groupBy("poi_id", "entry_id").agg(F.min("o").alias("o"))
+    return first.groupBy("poi_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("o", "entry_id"))), lambda x: x.entry_id).alias("entry_ids"))
+
+
+def targets(routes: DataFrame, linked: DataFrame) -> DataFrame:
+    """(entry_id, poi_id) of what an entry leads to: a route's destination and waypoint places, a place's own feature.
+
+    routes: id, destination_id, place_ids; linked: places with their poi_id.
+    """
+    found = mapped(linked).select(F.col("id").alias("place_id"), "poi_id")
+    led = routes.select(F.col("id").alias("entry_id"), F.explode(F.concat(F.array("destination_id"), F.coalesce("place_ids", F.array().cast("array<string>")))).alias("place_id"))
+    return led.join(found, "place_id").select("entry_id", "poi_id").unionByName(found.select(F.col("place_id").alias("entry_id"), "poi_id")).distinct()
 
 
 def highlight(entry_id: Column, targets: DataFrame, mentioned: DataFrame) -> DataFrame:
@@ -98,9 +119,11 @@ def guide_boxes(guides: DataFrame, colours: int) -> DataFrame:
 
 
 def peak_labels(pois: DataFrame) -> DataFrame:
-    """Peaks with the text of their label and their place in the order of height."""
-    label = F.concat(F.col("name"), F.coalesce(F.concat(F.lit("\n"), F.bround("ele", 0).cast("bigint").cast("string"), F.lit(" m")), F.lit("")))
-    return pois.filter("type = 'peak'").select("poi_id", label.alias("label"), F.coalesce("ele", F.lit(0.0)).alias("height"))
+    """Peaks with the text of their label, its second line the height as it stands; the highest first."""
+    number = F.regexp_replace(F.col("ele").cast("string"), r"\.0$", "")
+    label = F.concat("name", F.coalesce(F.concat(F.lit("\n"), number, F.lit(" m")), F.lit("")))
+    peaks = pois.filter("type = 'peak'").select("poi_id", label.alias("label"), F.coalesce("ele", F.lit(0.0)).alias("height"))
+    return peaks.orderBy(F.desc("height"), "poi_id")
 
 
 def valid_guides(raw: DataFrame) -> DataFrame:
@@ -118,3 +141,28 @@ def colour_of(type_: Column, colours: dict[str, str], default: str) -> Column:
     for k, v in colours.items():
         out = F.when(type_ == k, v) if out is None else out.when(type_ == k, v)
     return out.otherwise(default)
+
+
+def valid_pois(raw: DataFrame, base_url: str) -> DataFrame:
+    """Features (poi_id, name, type, ele, osm, coordinates) with an id and a point, and their address under ``base_url``."""
+    point = (F.size("coordinates") >= 2) & F.col("coordinates")[0].isNotNull() & F.col("coordinates")[1].isNotNull()
+    return raw.filter(F.col("poi_id").isNotNull() & F.coalesce(point, F.lit(False))).withColumn("osm_url", F.concat(F.lit(base_url), "osm"))
+
+
+def valid_entries(raw: DataFrame, kinds: tuple[str, ...] = ("place", "route")) -> DataFrame:
+    """Entries with an id and a known kind; a missing source of the description is inferred from whether there is one."""
+    known = raw.filter(F.col("id").isNotNull() & F.col("kind").isin(*kinds))
+    inferred = F.when(F.col("description").isNotNull(), "sliced").otherwise("none")
+    return known.withColumn("description_source", F.coalesce("description_source", inferred))
+
+
+def marker_class(is_place: Column, role: Column) -> Column:
+    """How a marker is drawn: by its role for the selected entry, else by whether a place lies there."""
+    return F.when(role == "target", "target").when(role == "mention", "mention").when(is_place, "place").otherwise("plain")
+
+
+def deep_link(requests: DataFrame, guides: DataFrame) -> DataFrame:
+    """requests (url) with guide_id: the guide that the address names, if the manifest has it."""
+    asked = F.try_parse_url("url", F.lit("QUERY"), F.lit("guide"))
+    known = guides.select(F.col("id").alias("guide_id"))
+    return requests.withColumn("_asked", asked).join(known, F.col("_asked") == F.col("guide_id"), "left").drop("_asked")

@@ -7,11 +7,17 @@ list, queue and leftovers are read off it.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from entrygraph.functions import similarity, text
+from entrygraph.plans.staging import written
+
+#: Columns that items and features share, such as guide_id, and within which alone they meet.
+Scope = Sequence[str]
 
 # Least scores, tolerance in metres, and how many candidates a case lists.
 FUZZY, FLOOR, TOLERANCE, LISTED = 90, 60, 50.0, 10
@@ -33,69 +39,105 @@ def _candidate() -> Column:
     return F.struct("osm", F.col("g_name").alias("name"), F.col("g_type").alias("type"), F.col("g_ele").alias("ele"), "lat", "lon", "score")
 
 
-def _features(gazetteer: DataFrame) -> DataFrame:
-    return gazetteer.select(text.norm_key(F.col("name")).alias("g_key"), F.col("name").alias("g_name"), F.col("type").alias("g_type"), F.col("ele").alias("g_ele"), "lat", "lon", "osm")
+def _features(gazetteer: DataFrame, scope: Scope = ()) -> DataFrame:
+    g = gazetteer.select(text.norm_key(F.col("name")).alias("g_key"), F.col("name").alias("g_name"), F.col("type").alias("g_type"), F.col("ele").alias("g_ele"), "lat", "lon", "osm", *scope)
+    return g.withColumnsRenamed({c: f"g_{c}" for c in scope})
+
+
+def _same_scope(left: DataFrame, right: DataFrame, scope: Scope) -> Column:
+    """Items meet features of their own guide only."""
+    out = F.lit(True)
+    for c in scope:
+        out = out & (left[c] == right[f"g_{c}"])
+    return out
 
 
-def exact_candidates(items: DataFrame, gazetteer: DataFrame) -> DataFrame:
+def _bare(met: DataFrame, scope: Scope) -> DataFrame:
+    return met.drop(*[f"g_{c}" for c in scope])
+
+
+def exact_candidates(items: DataFrame, gazetteer: DataFrame, scope: Scope = ()) -> DataFrame:
     """Items (item_id, name, type, elevation_m) with the features of the same key that pass the guards."""
-    met = items.join(_features(gazetteer), text.norm_key(F.col("name")) == F.col("g_key"))
-    return met.filter(guards(F.col("type"), F.col("elevation_m"), F.col("g_type"), F.col("g_ele"))).withColumn("score", F.lit(100.0))
+    features = _features(gazetteer, scope)
+    met = items.join(features, (text.norm_key(F.col("name")) == F.col("g_key")) & _same_scope(items, features, scope))
+    return _bare(met, scope).filter(guards(F.col("type"), F.col("elevation_m"), F.col("g_type"), F.col("g_ele"))).withColumn("score", F.lit(100.0))
 
 
-def similar_keys(left: DataFrame, right: DataFrame, least: int) -> DataFrame:
-    """(key, g_key, score) of distinct keys with a similarity of at least ``least``.
+def similar_keys(left: DataFrame, right: DataFrame, least: int, scope: Scope = ()) -> DataFrame:
+    """(key, g_key, score, and gap and total, which decide) of distinct keys of one scope, similar by at least ``least``.
 
-    Keys meet by length only where their lengths allow the score, the edit
-    distance (never above the Indel distance) cuts most of the rest in compiled
-    code, and what is left gets the exact score.
+    Keys meet within their scope, and only where their lengths allow the score.
+    The edit distance, computed no further than it may go (it is never above
+    the Indel distance), cuts most of the rest in compiled code; what is left
+    gets the exact score.
     """
     slack = 100 - least
-    a = left.select("key").distinct().withColumn("_n", F.length("key"))
-    b = right.select("g_key").distinct().withColumn("_m", F.length("g_key"))
+    a = left.select("key", *scope).distinct().withColumn("_n", F.length("key"))
+    b = right.select("g_key", *[f"g_{c}" for c in scope]).distinct().withColumn("_m", F.length("g_key"))
     # |n - m| * 100 <= slack * (n + m) bounds the lengths that may meet
     low, high = F.ceil(F.col("_n") * (100 - slack) / (100 + slack)), F.floor(F.col("_n") * (100 + slack) / (100 - slack))
-    a = a.withColumn("_m", F.explode(F.sequence(low.cast("int"), high.cast("int"))))
-    most = F.floor(F.lit(slack) * (F.col("_n") + F.col("_m")) / 100).cast("int")
-    met = a.join(b, "_m").filter(F.levenshtein("key", "g_key") <= most)
-    lcs = similarity.lcs_batched(F.col("key"), F.col("g_key"))
-    met = met.withColumn("_lcs", lcs).filter(F.lit(100) * (F.col("_n") + F.col("_m") - 2 * F.col("_lcs")) <= F.lit(slack) * (F.col("_n") + F.col("_m")))
-    return met.select("key", "g_key", similarity.ratio(F.col("_lcs"), F.col("_n") + F.col("_m")).alias("score"))
+    a = a.withColumn("_length", F.explode(F.sequence(low.cast("int"), high.cast("int"))))
+    met = a.join(b, (F.col("_length") == F.col("_m")) & _same_scope(a, b, scope))
+    met = _bare(met, scope).withColumn("total", F.col("_n") + F.col("_m")).withColumn("_most", F.floor(F.lit(slack) * F.col("total") / 100).cast("int"))
+    met = met.filter(F.expr("levenshtein(key, g_key, _most) >= 0"))
+    met = met.withColumn("_lcs", similarity.lcs_batched(F.col("key"), F.col("g_key"))).withColumn("gap", F.col("total") - 2 * F.col("_lcs"))
+    return met.filter(near_enough(least)).select("key", "g_key", *scope, similarity.ratio(F.col("_lcs"), F.col("total")).alias("score"), "gap", "total")
+
 
+def near_enough(least: int) -> Column:
+    """By the unrounded similarity."""
+    return F.lit(100) * F.col("gap") <= F.lit(100 - least) * F.col("total")
 
-def similar_candidates(items: DataFrame, gazetteer: DataFrame, least: int, guarded: bool) -> DataFrame:
-    features, keyed = _features(gazetteer), items.withColumn("key", text.norm_key(F.col("name")))
-    met = keyed.join(similar_keys(keyed, features, least), "key").join(features, "g_key").drop("key")
+
+def _keyed(items: DataFrame) -> DataFrame:
+    return items.withColumn("key", text.norm_key(F.col("name")))
+
+
+def _met(items: DataFrame, keys: DataFrame, features: DataFrame, scope: Scope) -> DataFrame:
+    """Items with the features of the keys that are similar to theirs."""
+    met = _keyed(items).join(keys, ["key", *scope])
+    return _bare(met.join(features, (met["g_key"] == features["g_key"]) & _same_scope(met, features, scope)), scope).drop(met["g_key"], features["g_key"], "key", "gap", "total")
+
+
+def similar_candidates(items: DataFrame, gazetteer: DataFrame, least: int, guarded: bool, scope: Scope = ()) -> DataFrame:
+    features = _features(gazetteer, scope)
+    met = _met(items, similar_keys(_keyed(items), features, least, scope), features, scope)
     return met.filter(guards(F.col("type"), F.col("elevation_m"), F.col("g_type"), F.col("g_ele"))) if guarded else met
 
 
-def best_only(candidates: DataFrame) -> DataFrame:
-    return candidates.withColumn("_best", F.max("score").over(Window.partitionBy("item_id"))).filter("score = _best").drop("_best")
+def best_only(candidates: DataFrame, scope: Scope = ()) -> DataFrame:
+    return candidates.withColumn("_best", F.max("score").over(Window.partitionBy("item_id", *scope))).filter("score = _best").drop("_best")
 
 
-def shortlist(items: DataFrame, gazetteer: DataFrame) -> DataFrame:
-    """The best candidates of each item, whatever their type: by score, then osm."""
-    met = similar_candidates(items, gazetteer, FLOOR, guarded=False)
-    order = Window.partitionBy("item_id").orderBy(F.desc("score"), "osm")
+def shortlists(keys: DataFrame, features: DataFrame, scope: Scope = ()) -> DataFrame:
+    """For each key the best candidates, whatever their type: by score, then osm. Items of one key share the list."""
+    met = _bare(keys.join(features, (keys["g_key"] == features["g_key"]) & _same_scope(keys, features, scope)), scope)
+    order = Window.partitionBy("key", *scope).orderBy(F.desc("score"), "osm")
     return met.withColumn("position", F.row_number().over(order)).filter(F.col("position") <= LISTED)
 
 
-def _listed(candidates: DataFrame, method: str) -> DataFrame:
-    """One row an item: its candidates by score and osm."""
+def _listed(candidates: DataFrame, method: str, by: list[str]) -> DataFrame:
+    """One row for each of ``by``: its candidates by score and osm."""
     order = F.struct((-F.col("score")).alias("o"), F.col("osm").alias("p"), _candidate().alias("c"))
-    grouped = candidates.groupBy("item_id").agg(F.array_sort(F.collect_list(order)).alias("_c"))
-    return grouped.select("item_id", F.transform("_c", lambda x: x.c).alias("candidates"), F.lit(method).alias("level"))
+    grouped = candidates.groupBy(*by).agg(F.array_sort(F.collect_list(order)).alias("_c"))
+    return grouped.select(*by, F.transform("_c", lambda x: x.c).alias("candidates"), F.lit(method).alias("level"))
+
 
+def cascade(items: DataFrame, gazetteer: DataFrame, scope: Scope = ()) -> DataFrame:
+    """items with level (exact, fuzzy, none) and candidates: fuzzy only where exact found none.
 
-def cascade(items: DataFrame, gazetteer: DataFrame) -> DataFrame:
-    """items with level (exact, fuzzy, none) and candidates: fuzzy only where exact found none."""
-    exact = _listed(exact_candidates(items, gazetteer), "exact")
-    rest = items.join(exact.select("item_id"), "item_id", "left_anti")
-    fuzzy = _listed(best_only(similar_candidates(rest, gazetteer, FUZZY, guarded=True)), "fuzzy")
-    rest = rest.join(fuzzy.select("item_id"), "item_id", "left_anti")
-    open_ = _listed(shortlist(rest, gazetteer), "none")
+    With ``scope`` (such as guide_id, held by items and gazetteer), an item meets
+    the features of its own scope only. Each level's result is written once.
+    """
+    by, features = ["item_id", *scope], _features(gazetteer, scope)
+    exact = written(_listed(exact_candidates(items, gazetteer, scope), "exact", by))
+    rest = _keyed(items.join(exact.select(*by), by, "left_anti"))
+    keys = written(similar_keys(rest, features, FLOOR, scope))
+    near = _met(rest.drop("key"), keys.filter(near_enough(FUZZY)), features, scope).filter(guards(F.col("type"), F.col("elevation_m"), F.col("g_type"), F.col("g_ele")))
+    fuzzy = written(_listed(best_only(near, scope), "fuzzy", by))
+    open_ = rest.join(fuzzy.select(*by), by, "left_anti").select(*by, "key").join(_listed(shortlists(keys, features, scope), "none", ["key", *scope]), ["key", *scope]).drop("key")
     found = exact.unionByName(fuzzy).unionByName(open_)
-    return items.join(found, "item_id", "left").withColumn("level", F.coalesce("level", F.lit("none")))
+    return items.join(found, by, "left").withColumn("level", F.coalesce("level", F.lit("none")))
 
 
 def out_of_scope(name: Column, patterns: Sequence[tuple[str, str]]) -> Column:
@@ -106,19 +148,21 @@ def out_of_scope(name: Column, patterns: Sequence[tuple[str, str]]) -> Column:
     return out
 
 
-def resolve(items: DataFrame, gazetteer: DataFrame, decisions: DataFrame, verdicts: DataFrame, patterns: Sequence[tuple[str, str]]) -> DataFrame:
+def resolve(items: DataFrame, gazetteer: DataFrame, decisions: DataFrame, verdicts: DataFrame, patterns: Sequence[tuple[str, str]], scope: Scope = ()) -> DataFrame:
     """One row an item: method, the chosen candidate, and what the review list, queue and leftovers need.
 
     decisions: (entry_id, name, type, kind, decision, note); verdicts: (case_id,
     pick, reason). A decision counts before a verdict, and one for a candidate
-    that is gone reopens the case.
+    that is gone reopens the case. With ``scope``, decisions and verdicts have
+    its columns too. The result is written once: several tables are read off it.
     """
-    c = cascade(items, gazetteer)
+    c = cascade(items, gazetteer, scope)
     c = c.withColumn("case_id", text.case_id(F.col("entry_id"), F.col("name"), F.col("type"), F.col("kind")))
-    d = decisions.select(*[F.col(k).alias(f"_{k}") for k in ("entry_id", "name", "type", "kind")], "decision", "note")
-    same = [c[k].eqNullSafe(d[f"_{k}"]) for k in ("entry_id", "name", "type", "kind")]
-    c = c.join(d, same[0] & same[1] & same[2] & same[3], "left").drop("_entry_id", "_name", "_type", "_kind")
-    c = c.join(verdicts.select("case_id", "pick", F.col("reason").alias("llm_reason"), F.lit(True).alias("judged")), "case_id", "left")
+    keys = ("entry_id", "name", "type", "kind", *scope)
+    d = decisions.select(*[F.col(k).alias(f"_{k}") for k in keys], "decision", "note")
+    same = reduce(and_, [c[k].eqNullSafe(d[f"_{k}"]) for k in keys])
+    c = c.join(d, same, "left").drop(*[f"_{k}" for k in keys])
+    c = c.join(verdicts.select("case_id", *scope, "pick", F.col("reason").alias("llm_reason"), F.lit(True).alias("judged")), ["case_id", *scope], "left")
     has = lambda ref: F.exists("candidates", lambda x: x.osm == ref)
     n = F.coalesce(F.size("candidates"), F.lit(0))
     known = F.coalesce(has(F.col("decision")), F.lit(False))
@@ -155,10 +199,10 @@ def resolve(items: DataFrame, gazetteer: DataFrame, decisions: DataFrame, verdic
     c = c.withColumn("reviewed", tie | (case & (settled | judged | F.col("note").isNotNull())))
     c = c.withColumn("skip_reason", F.when((F.col("level") == "none") & scope.isNotNull(), scope))
     c = c.withColumn("skipped_by", F.when((F.col("method") == "skipped") & F.col("skip_reason").isNull(), "review"))
-    return c.withColumn("llm_reason", F.when(F.col("method") == "llm", F.col("llm_reason")).when((F.col("method") == "unmatched") & case & judged & F.col("pick").isNull(), F.col("llm_reason")))
+    return written(c.withColumn("llm_reason", F.when(F.col("method") == "llm", F.col("llm_reason")).when((F.col("method") == "unmatched") & case & judged & F.col("pick").isNull(), F.col("llm_reason"))))
 
 
-def registry(resolved: DataFrame) -> DataFrame:
+def registry(resolved: DataFrame, scope: Scope = ()) -> DataFrame:
     """One row a map feature that something resolved to, with its best provenance and its aliases."""
     r = resolved.filter("chosen is not null").withColumn("poi_id", text.poi_id(F.col("chosen.osm")))
     rank = F.lit(0)
@@ -166,32 +210,33 @@ def registry(resolved: DataFrame) -> DataFrame:
         rank = F.when(F.col("method") == method, n).otherwise(rank)
     best = F.min(F.struct((-rank).alias("r"), (-F.col("chosen.score")).alias("s"), F.col("seq").alias("q"), F.struct("method", F.col("chosen.score").alias("score"), F.when(F.col("method") == "llm", F.col("llm_reason")).alias("reason")).alias("m")))
     forms = F.array(F.struct(F.col("seq").alias("s"), F.lit(0).alias("p"), text.strip_elevation(F.col("surface")).alias("f")), F.struct(F.col("seq").alias("s"), F.lit(1).alias("p"), F.col("name").alias("f")))
-    one = r.groupBy("poi_id").agg(F.any_value("chosen").alias("c"), best.alias("b"))
-    forms = r.select("poi_id", F.inline(forms)).join(r.select("poi_id", F.col("chosen.name").alias("_own")).distinct(), "poi_id").filter("f <> '' and f <> _own")
-    firsts = forms.groupBy("poi_id", "f").agg(F.min(F.struct("s", "p")).alias("o"))
-    aliases = firsts.groupBy("poi_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("o", "f"))), lambda x: x.f).alias("aliases"))
-    return one.join(aliases, "poi_id", "left").select(
-        "poi_id", "c.name", "c.type", "c.lat", "c.lon", "c.ele", "c.osm", F.coalesce("aliases", F.array().cast("array<string>")).alias("aliases"), F.col("b.m").alias("match")
+    by = ["poi_id", *scope]
+    one = r.groupBy(*by).agg(F.any_value("chosen").alias("c"), best.alias("b"))
+    forms = r.select(*by, F.col("chosen.name").alias("_own"), F.inline(forms)).filter("f <> '' and f <> _own")
+    firsts = forms.groupBy(*by, "f").agg(F.min(F.struct("s", "p")).alias("o"))
+    aliases = firsts.groupBy(*by).agg(F.transform(F.array_sort(F.collect_list(F.struct("o", "f"))), lambda x: x.f).alias("aliases"))
+    return one.join(aliases, by, "left").select(
+        *by, "c.name", "c.type", "c.lat", "c.lon", "c.ele", "c.osm", F.coalesce("aliases", F.array().cast("array<string>")).alias("aliases"), F.col("b.m").alias("match")
     )
 
 
-def place_links(resolved: DataFrame) -> DataFrame:
+def place_links(resolved: DataFrame, scope: Scope = ()) -> DataFrame:
     """(place_id, poi_id), the last one a place."""
     p = resolved.filter("chosen is not null and kind = 'place'")
-    return p.groupBy(F.col("entry_id").alias("place_id")).agg(F.max_by(text.poi_id(F.col("chosen.osm")), "seq").alias("poi_id"))
+    return p.groupBy(*scope, F.col("entry_id").alias("place_id")).agg(F.max_by(text.poi_id(F.col("chosen.osm")), "seq").alias("poi_id"))
 
 
-def entry_links(resolved: DataFrame) -> DataFrame:
+def entry_links(resolved: DataFrame, scope: Scope = ()) -> DataFrame:
     """(entry_id, poi_id, surface), the first mention of a feature in an entry."""
     m = resolved.filter("chosen is not null and kind <> 'place'")
-    return m.groupBy("entry_id", text.poi_id(F.col("chosen.osm")).alias("poi_id")).agg(F.min_by("surface", "seq").alias("surface"))
+    return m.groupBy(*scope, "entry_id", text.poi_id(F.col("chosen.osm")).alias("poi_id")).agg(F.min_by("surface", "seq").alias("surface"))
 
 
 def funnel(resolved: DataFrame) -> DataFrame:
-    """Counts by type and outcome, with a row of totals (type null)."""
+    """Counts by type and outcome, with a row of totals (type null) at the end; most mentions first, then by type."""
     bucket = F.when(F.col("kind") == "place", "place").otherwise(F.coalesce("type", F.lit("untyped")))
     counts = [F.count("*").alias("mentions"), *[F.count_if(F.col("method") == m).alias(m) for m in OUTCOMES]]
-    return resolved.withColumn("bucket", bucket).rollup("bucket").agg(*counts).withColumnRenamed("bucket", "type")
+    return resolved.withColumn("bucket", bucket).rollup("bucket").agg(*counts).withColumnRenamed("bucket", "type").orderBy(F.col("type").isNull(), F.desc("mentions"), "type")
 
 
 def entry_counts(places: DataFrame, mentions: DataFrame) -> DataFrame:

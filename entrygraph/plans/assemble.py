@@ -51,10 +51,10 @@ def items_of(entries_: DataFrame, mentions: DataFrame) -> DataFrame:
     return both.withColumn("seq", F.concat_ws("\x1f", "entry_id", F.lpad((F.col("position") + 1).cast("string"), 9, "0"))).withColumn("item_id", F.col("seq"))
 
 
-def match(items: DataFrame, features: DataFrame, decisions: DataFrame, verdicts: DataFrame, patterns: Sequence[tuple[str, str]]) -> dict[str, DataFrame]:
-    """The resolution and all that is read off it."""
-    r = matching.resolve(items, features, decisions, verdicts, patterns)
-    pois, places, told = matching.registry(r), matching.place_links(r), matching.entry_links(r)
+def match(items: DataFrame, features: DataFrame, decisions: DataFrame, verdicts: DataFrame, patterns: Sequence[tuple[str, str]], scope: Sequence[str] = ()) -> dict[str, DataFrame]:
+    """The resolution, written once, and all that is read off it."""
+    r = matching.resolve(items, features, decisions, verdicts, patterns, scope)
+    pois, places, told = matching.registry(r, scope), matching.place_links(r, scope), matching.entry_links(r, scope)
     return {
         "resolution": r,
         "pois": pois,

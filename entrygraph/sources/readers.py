@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -49,12 +50,18 @@ def parts(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
 
 
 def verdicts(spark: SparkSession, path: str) -> DataFrame:
-    """External verdicts, one file a case; any malformed file ends the read and says which."""
-    files = spark.read.text(path, wholetext=True).select(F.regexp_extract(F.input_file_name(), r"([^/]+)\.json$", 1).alias("_file"), _parsed("value", VERDICT).alias("r"))
-    raw = files.select("_file", "r.*")
-    whole = F.col("_bad").isNull() & F.col("case_id").eqNullSafe(F.url_decode("_file")) & (F.trim(F.coalesce("reason", F.lit(""))) != "")
-    checked = F.when(whole, F.col("case_id")).otherwise(F.raise_error(F.concat(F.lit("malformed verdict: "), F.col("_file"))))
-    return raw.select(checked.alias("case_id"), "pick", "reason")
+    """External verdicts, one file a case; any malformed file ends the read and says which.
+
+    A verdict needs a pick (text, or null for none), a reason, and no other case's id.
+    """
+    files = spark.read.text(path, wholetext=True).select(F.regexp_extract(F.input_file_name(), r"([^/]+)\.json$", 1).alias("_file"), F.try_parse_json("value").alias("_v"), _parsed("value", VERDICT).alias("r"))
+    kind = lambda name: F.schema_of_variant(F.try_variant_get("_v", f"$.{name}", "variant"))
+    name = F.url_decode("_file")
+    picked = F.coalesce(kind("pick").isin("VOID", "STRING"), F.lit(False))
+    own = kind("case_id").isNull() | F.col("r.case_id").eqNullSafe(name)
+    whole = F.col("_v").isNotNull() & F.col("r._bad").isNull() & picked & own & (F.trim(F.coalesce("r.reason", F.lit(""))) != "")
+    checked = F.when(whole, name).otherwise(F.raise_error(F.concat(F.lit("malformed verdict: "), F.col("_file"))))
+    return files.select(checked.alias("case_id"), "r.pick", "r.reason")
 
 
 def decisions(review: DataFrame) -> DataFrame:
@@ -76,6 +83,82 @@ def mentions(spark: SparkSession, path: str) -> DataFrame:
     return strict_lines(spark, path, MENTIONS).select("entry_id", F.posexplode("mentions").alias("position", "m")).select("entry_id", "position", "m.*")
 
 
+#: Where a guide's published tables lie under its folder.
+PUBLISHED = {
+    "entries": "parse-routes/03_structured/routes.json",
+    "pois": "fetch-pois/04_final/pois.geojson",
+    "place_links": "fetch-pois/04_final/place_pois.jsonl",
+    "entry_links": "fetch-pois/04_final/entry_pois.jsonl",
+}
+ENTRY = (
+    "id string, kind string, name string, place_type string, elevation string, peak string, grade string, time string, height_m string, first_ascent string, destination_id string, place_ids array<string>, "
+    "references array<struct<ref_id string, surface string>>, summary string, description string, description_source string"
+)
+POI = "type string, geometry struct<type string, coordinates array<double>>, properties struct<poi_id string, name string, type string, ele double, osm string, aliases array<string>, n_entries bigint>"
+
+
 def guide_paths(root: str, guide_id: str) -> dict[str, str]:
     """Where a guide's published tables lie."""
-    return {n: f"{root}/{guide_id}/{n}" for n in ("entries.json", "pois.geojson", "place_pois.jsonl", "entry_pois.jsonl")}
+    return {n: f"{root}/{guide_id}/{p}" for n, p in PUBLISHED.items()}
+
+
+def published(spark: SparkSession, root: str, guide_id: str) -> dict[str, DataFrame]:
+    """A guide's published tables: entries, pois, place_links and entry_links; a missing one ends the read.
+
+    Bad lines of the links are passed over; links keep their order in seq.
+    """
+    at = guide_paths(root, guide_id)
+    whole = spark.read.option("multiLine", True)
+    pois = whole.schema(f"features array<struct<{POI}>>").json(at["pois"]).select(F.inline("features")).select("properties.*", F.col("geometry.coordinates").alias("coordinates"))
+    order = F.monotonically_increasing_id().alias("seq")
+    links = lambda name, schema: permissive_lines(spark, at[name], schema)[0].select(order, "*")
+    return {
+        "entries": whole.schema(ENTRY).json(at["entries"]),
+        "pois": pois,
+        "place_links": links("place_links", "place_id string, poi_id string"),
+        "entry_links": links("entry_links", "entry_id string, poi_id string, surface string"),
+    }
+
+
+def manifest(spark: SparkSession, path: str) -> DataFrame:
+    """The page manifest; a missing or malformed one ends the read."""
+    return needed(spark, path, PAGE_META, "extraction")
+
+
+def gazetteer(spark: SparkSession, path: str) -> DataFrame:
+    return needed(spark, path, FEATURE, "the gazetteer")
+
+
+def entry_index(spark: SparkSession, path: str) -> DataFrame:
+    """The entries by id, in the order of code points."""
+    return needed(spark, path, ENTRY, "assembly").orderBy("id")
+
+
+def needed(spark: SparkSession, path: str, schema: str, stage: str) -> DataFrame:
+    """JSON lines that an earlier stage wrote; where they are missing, the error names it."""
+    try:
+        return strict_lines(spark, path, schema)
+    except AnalysisException as e:
+        raise FileNotFoundError(f"missing {path}: run {stage} first") from e
+
+
+def optional_lines(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """JSON lines, or no rows where they have not been written yet."""
+    try:
+        return strict_lines(spark, path, schema)
+    except AnalysisException:
+        return spark.createDataFrame([], schema)
+
+
+def repairs(spark: SparkSession, path: str) -> DataFrame:
+    """Repair files, one JSON record or list each, in the order of their names: seq, page, entry_id, name and anchors."""
+    raw = spark.read.option("multiLine", True).schema("entry_id string, source_page int, name string, start_quote string, end_quote string").json(path)
+    named = raw.select(F.col("_metadata.file_name").alias("_file"), F.monotonically_increasing_id().alias("_at"), F.col("source_page").alias("page"), "entry_id", "name", "start_quote", "end_quote")
+    order = F.struct("_file", "_at")
+    return named.withColumn("seq", order).drop("_file", "_at")
+
+
+def section_map(spark: SparkSession, path: str) -> DataFrame:
+    """The sections of a guide's contents in their order: position, role, title, book_page."""
+    raw = spark.read.option("multiLine", True).schema("sections array<struct<role string, title string, book_page int>>").json(path)
+    return raw.select(F.posexplode("sections").alias("position", "s")).select("position", "s.*")

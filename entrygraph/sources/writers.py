@@ -24,10 +24,32 @@ def contract_array(df: DataFrame, order: str) -> DataFrame:
     return df.groupBy("guide_id").agg(F.to_json(F.transform(rows, lambda x: x.r), {"ignoreNullFields": "false"}).alias("routes"))
 
 
-def feature_collection(features: DataFrame) -> DataFrame:
-    """One GeoJSON collection of features given as text, by poi_id."""
-    texts = F.transform(F.array_sort(F.collect_list(F.struct("poi_id", "feature"))), lambda x: x.feature)
-    return features.agg(F.concat(F.lit('{"type":"FeatureCollection","features":['), F.array_join(texts, ","), F.lit("]}")).alias("collection"))
+def feature_collection(features: DataFrame, path: str) -> None:
+    """One GeoJSON collection of features given as text, by poi_id, as the lines of the files under ``path``.
+
+    Read one after another, the files are the collection: a first line opens it,
+    a last one closes it, and each feature but the first begins with a comma.
+    No row holds more than one feature.
+    """
+    first = features.agg(F.min("poi_id")).first()[0]
+    line = F.concat(F.when(F.col("poi_id") == F.lit(first), "").otherwise(","), "feature")
+    lines = features.select(F.lit(1).alias("part"), "poi_id", line.alias("value"))
+    spark = features.sparkSession
+    frame = spark.createDataFrame([(0, "", '{"type":"FeatureCollection","features":['), (2, "", "]}")], "part int, poi_id string, value string")
+    lines.unionByName(frame).repartitionByRange("part", "poi_id").sortWithinPartitions("part", "poi_id").select("value").write.mode("overwrite").text(path)
+
+
+def page_texts(pages: DataFrame, path: str) -> None:
+    """Page texts and their manifest, by guide: pages has guide_id, page, text, char_count, rotation, n_images, largest_image, is_sketch."""
+    pages.select("guide_id", "page", "text").write.mode("overwrite").partitionBy("guide_id").parquet(f"{path}/pages")
+    meta = pages.select("guide_id", "page", F.format_string("page_%04d", "page").alias("stem"), "char_count", "rotation", "n_images", "largest_image", "is_sketch")
+    meta.repartitionByRange("guide_id", "page").sortWithinPartitions("guide_id", "page").write.mode("overwrite").option("ignoreNullFields", False).partitionBy("guide_id").json(f"{path}/manifest")
+
+
+def match_outputs(tables: dict[str, DataFrame], path: str) -> None:
+    """All tables of a matching pass under ``path``, each replaced; the resolution they are read off is written once."""
+    for name, df in tables.items():
+        df.write.mode("overwrite").parquet(f"{path}/{name}")
 
 
 def work_batches(df: DataFrame) -> DataFrame:

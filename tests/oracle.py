@@ -36,4 +36,5 @@ def agree(spark, query, sql):
     at = [have.index(c) for c in names]
     want = sorted([plain(r[i]) for i in at] for r in found.fetchall())
     assert got == want
+    assert got, "both sides are empty: nothing was compared"
     return len(got)

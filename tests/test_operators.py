@@ -1,10 +1,12 @@
 import json
 import random
+from pathlib import Path
 
+import pytest
 from pyspark.sql import functions as F
 
-from entrygraph.operators import entries, gazetteer, graph, matching, work
-from entrygraph.plans import assemble
+from entrygraph.operators import entries, gazetteer, graph, planning, records, work
+from entrygraph.plans import assemble, guides
 from entrygraph.sources import readers, writers
 from entrygraph.streaming.incremental import run_available
 
@@ -28,7 +30,7 @@ def plain_fill(values):
 
 def test_gap_fill_against_a_walk(spark):
     rng = random.Random(3)
-    lists = [[276, None, 281], [285, None, None, 288], [285, None, None, None, 288], [None, 3], [None, None, 1], [5, None]]
+    lists = [[40, None, 47], [61, None, None, 64], [61, None, None, None, 64], [None, 6], [None, None, 2], [9, None]]
     lists += [[rng.choice([None, rng.randint(1, 12)]) for _ in range(rng.randint(1, 9))] for _ in range(300)]
     rows = [(g, s, v) for g, values in enumerate(lists) for s, v in enumerate(values)]
     got = entries.gap_fill(spark.createDataFrame(rows, "guide_id int, seq int, value bigint").repartition(3)).orderBy("guide_id", "seq").collect()
@@ -100,20 +102,46 @@ def test_guarded_admission_against_all_distances(spark):
 
 
 def test_cascade_and_decisions(spark):
-    features = [("Zugspitze", "peak", 47.4, 11.0, 2962.0, "node/1"), ("Knorrhütte", "hut", 47.4, 11.1, 2052.0, "node/2"), ("Eck", "peak", 47.0, 11.0, None, "node/3"), ("Eck", "peak", 47.1, 11.0, None, "node/4"), ("Kreuzeck", "settlement", 47.1, 11.2, None, "node/5")]
+    """Every way an item may end, on invented names."""
+    features = [("Amberkogel", "peak", 46.1, 9.0, 2410.0, "node/11"), ("Salzblickhaus", "hut", 46.1, 9.1, 1530.0, "node/12"), ("Spitz", "peak", 46.2, 9.0, None, "node/13"), ("Spitz", "peak", 46.3, 9.0, None, "way/14"), ("Lindenau", "settlement", 46.3, 9.2, None, "node/15")]
     g = spark.createDataFrame(features, "name string, type string, lat double, lon double, ele double, osm string")
-    rows = [("Zugspitze, 2962 m", "peak", 2962.0), ("Zugspitz", "peak", None), ("Zugspitze", "hut", None), ("Knorr-Hütte", "hut", None), ("Eck", None, None), ("Kreuzecke", "peak", None), ("Nichts dergleichen", None, None), ("Eck", "peak", None)]
-    items = spark.createDataFrame([(i, i, f"E{i}", "mention", s, s, t, e) for i, (s, t, e) in enumerate(rows)], "item_id int, seq int, entry_id string, kind string, surface string, name string, type string, elevation_m double")
-    d = spark.createDataFrame([("E4", "Eck", None, "mention", "node/4", None), ("E7", "Eck", "peak", "mention", "skip", None)], "entry_id string, name string, type string, kind string, decision string, note string")
+    told = {
+        "same name, stated height": (("Amberkogel, 2410 m", "peak", 2410.0), ("exact", "node/11")),
+        "a letter short": (("Amberkoge", "peak", None), ("fuzzy", "node/11")),
+        "the wrong type": (("Amberkogel", "hut", None), ("unmatched", None)),
+        "written apart": (("Salzblick-Haus", "hut", None), ("exact", "node/12")),
+        "two of the name, one chosen": (("Spitz", None, None), ("review", "way/14")),
+        "no peak is a settlement": (("Lindenaue", "peak", None), ("unmatched", None)),
+        "out of scope": (("Xylophon spielen", None, None), ("skipped", None)),
+        "two of the name, put aside": (("Spitz", "peak", None), ("skipped", None)),
+        "too far up": (("Amberkogel", "peak", 2461.0), ("unmatched", None)),
+    }
+    schema = "item_id int, seq int, entry_id string, kind string, surface string, name string, type string, elevation_m double"
+    items = spark.createDataFrame([(i, i, f"E{i}", "mention", n, n, t, e) for i, ((n, t, e), _) in enumerate(told.values())], schema)
+    d = spark.createDataFrame([("E4", "Spitz", None, "mention", "way/14", None), ("E7", "Spitz", "peak", "mention", "skip", None)], "entry_id string, name string, type string, kind string, decision string, note string")
     v = spark.createDataFrame([], "case_id string, pick string, reason string")
-    got = {r.item_id: (r.method, r.chosen.osm if r.chosen else None) for r in matching.resolve(items, g, d, v, [("nichts", "nothing")]).collect()}
-    assert got == {0: ("exact", "node/1"), 1: ("fuzzy", "node/1"), 2: ("unmatched", None), 3: ("exact", "node/2"), 4: ("review", "node/4"), 5: ("unmatched", None), 6: ("skipped", None), 7: ("skipped", None)}
-    out = assemble.match(items, g, d, v, [("nichts", "nothing")])
-    assert {r.item_id for r in out["queue"].collect()} == {2, 5}
-    total = [r for r in out["funnel"].collect() if r.type is None][0]
-    assert (total.mentions, total.exact, total.fuzzy, total.review, total.skipped, total.unmatched) == (8, 2, 1, 1, 2, 2)
+    out = assemble.match(items, g, d, v, [("xylophon", "no place")])
+    got = {r.item_id: (r.method, r.chosen.osm if r.chosen else None) for r in out["resolution"].collect()}
+    assert got == {i: want for i, (_, want) in enumerate(told.values())}
+    assert {r.item_id for r in out["queue"].collect()} == {2, 5, 8}
+    total = out["funnel"].collect()[-1]
+    assert total.type is None and (total.mentions, total.exact, total.fuzzy, total.review, total.skipped, total.unmatched) == (9, 2, 1, 1, 2, 3)
     assert json.loads(out["geojson"].first().feature)["geometry"]["type"] == "Point"
-    assert {r.poi_id: r.match.method for r in out["pois"].collect()}["osm-node-1"] == "exact"
+    assert {r.poi_id: r.match.method for r in out["pois"].collect()}["osm-node-11"] == "exact"
+
+
+def test_guides_do_not_meet(spark):
+    """With a scope, items, decisions and registries of two guides stay apart."""
+    g = spark.createDataFrame([("a", "Amberkogel", "peak", 1.0, 1.0, None, "node/1"), ("b", "Amberkogl", "peak", 1.0, 1.0, None, "node/2"), ("b", "Spitz", "peak", 1.0, 1.0, None, "node/3")], "guide_id string, name string, type string, lat double, lon double, ele double, osm string")
+    rows = [("a", 1, "Amberkogel"), ("b", 1, "Amberkogel"), ("a", 2, "Spitz"), ("b", 2, "Spitz")]
+    items = spark.createDataFrame([(guide, i, i, "E", "mention", n, n, "peak", None) for guide, i, n in rows], "guide_id string, item_id int, seq int, entry_id string, kind string, surface string, name string, type string, elevation_m double")
+    d = spark.createDataFrame([], "guide_id string, entry_id string, name string, type string, kind string, decision string, note string")
+    v = spark.createDataFrame([], "guide_id string, case_id string, pick string, reason string")
+    out = assemble.match(items, g, d, v, [], scope=["guide_id"])
+    got = {(r.guide_id, r.item_id): (r.method, r.chosen.osm if r.chosen else None) for r in out["resolution"].collect()}
+    assert got == {("a", 1): ("exact", "node/1"), ("b", 1): ("fuzzy", "node/2"), ("a", 2): ("unmatched", None), ("b", 2): ("exact", "node/3")}
+    assert {(r.guide_id, r.poi_id) for r in out["pois"].collect()} == {("a", "osm-node-1"), ("b", "osm-node-2"), ("b", "osm-node-3")}
+    assert out["entry_pois"].count() == 3
 
 
 def test_assembled_entries(spark):
@@ -156,6 +184,12 @@ def test_readers_and_writers(spark, tmp_path):
         raise AssertionError("a verdict under another's name was read")
     except Exception as e:
         assert "malformed verdict" in str(e)
+    (tmp_path / "verdicts" / "c2.json").write_text('{"pick": "node/1", "reason": "its name"}')
+    assert {(r.case_id, r.pick) for r in readers.verdicts(spark, str(tmp_path / "verdicts")).collect()} == {("c1", None), ("c2", "node/1")}
+    for bad in ('{"case_id": "c2", "reason": "no pick"}', '{"pick": 5, "reason": "a number"}', '{"pick": null, "reason": " "}', "{cut off"):
+        (tmp_path / "verdicts" / "c2.json").write_text(bad)
+        with pytest.raises(Exception, match="malformed verdict"):
+            readers.verdicts(spark, str(tmp_path / "verdicts")).collect()
     df = spark.createDataFrame([("g", 2, "b"), ("g", 1, "a")], "guide_id string, seq int, id string")
     writers.json_lines(df, str(tmp_path / "out"), "seq")
     assert spark.read.json(str(tmp_path / "out")).count() == 2
@@ -187,3 +221,72 @@ def test_repairs(spark):
     m = work.match_repairs(repairs, parts)
     assert {r.seq: r.position for r in m.collect()} == {1: 1, 2: None}
     assert {r.position: r.start_quote for r in work.apply_repairs(parts, m).collect()} == {1: "new", 2: "s"}
+
+
+def test_published_tables(spark, tmp_path):
+    """Written where a guide publishes them, read back and guarded; collections hold no row of more than one feature."""
+    for name, text in {
+        "entries": json.dumps([{"id": "R1", "kind": "place", "name": "A"}, {"id": "R2", "kind": "route", "description": "d", "place_ids": ["R1"]}, {"kind": "place"}, {"id": "R4", "kind": "poem"}]),
+        "place_links": '{"place_id": "R1", "poi_id": "p1"}\n{broken\n{"place_id": "R1", "poi_id": "p2"}\n',
+        "entry_links": '{"entry_id": "R2", "poi_id": "p2", "surface": "s"}\n',
+    }.items():
+        path = Path(readers.guide_paths(str(tmp_path), "g")[name])
+        path.parent.mkdir(parents=True, exist_ok=True)
+        path.write_text(text)
+    feature = lambda i, point, ele: json.dumps({"type": "Feature", "geometry": {"type": "Point", "coordinates": point}, "properties": {"poi_id": i, "name": "n", "type": "peak", "ele": ele, "osm": "node/1", "aliases": [], "n_entries": 1}})
+    rows = [("p1", feature("p1", [1.0, 2.0], 3.5)), ("p2", feature("p2", [1.0, 2.0], None)), ("p3", feature(None, [1.0, 2.0], None)), ("p4", feature("p4", [1.0], None))]
+    writers.feature_collection(spark.createDataFrame(rows, "poi_id string, feature string").repartition(3), str(tmp_path / "made"))
+    text = "".join(p.read_text() for p in sorted((tmp_path / "made").glob("part-*")))
+    assert [f["properties"]["poi_id"] for f in json.loads(text)["features"]] == ["p1", "p2", None, "p4"]
+    with pytest.raises(Exception, match="pois.geojson"):
+        readers.published(spark, str(tmp_path), "g")
+    Path(readers.guide_paths(str(tmp_path), "g")["pois"]).parent.mkdir(parents=True, exist_ok=True)
+    Path(readers.guide_paths(str(tmp_path), "g")["pois"]).write_text(text)
+    got = readers.published(spark, str(tmp_path), "g")
+    assert sorted(r.id for r in graph.valid_pois(got["pois"].withColumnRenamed("poi_id", "id").withColumn("poi_id", F.col("id")), "u/").collect()) == ["p1", "p2"]
+    assert {r.id: r.description_source for r in graph.valid_entries(got["entries"]).collect()} == {"R1": "none", "R2": "sliced"}
+    assert [r.poi_id for r in got["place_links"].orderBy("seq").collect()] == ["p1", "p2"] and got["entry_links"].count() == 1
+
+
+def test_missing_sources(spark, tmp_path):
+    with pytest.raises(FileNotFoundError, match="run extraction first"):
+        readers.manifest(spark, str(tmp_path / "none.jsonl"))
+    assert readers.optional_lines(spark, str(tmp_path / "none.jsonl"), "place_id string, poi_id string").count() == 0
+    (tmp_path / "sections.json").write_text('{"sections": [{"role": "huts", "title": "H", "book_page": 3}, {"role": "peaks", "title": "P", "book_page": 9}]}')
+    assert [(r.position, r.role, r.book_page) for r in readers.section_map(spark, str(tmp_path / "sections.json")).orderBy("position").collect()] == [(0, "huts", 3), (1, "peaks", 9)]
+    (tmp_path / "repairs").mkdir()
+    for name, page in (("b", 2), ("a", 1)):
+        (tmp_path / "repairs" / f"{name}.json").write_text(json.dumps({"entry_id": name, "source_page": page, "name": "n", "start_quote": "s", "end_quote": "e"}))
+    assert [(r.entry_id, r.page) for r in readers.repairs(spark, str(tmp_path / "repairs")).orderBy("seq").collect()] == [("a", 1), ("b", 2)]
+
+
+def test_landed_pages_and_images(spark, tmp_path):
+    """Page texts come from files that are there already; of a page's images the largest is told, of equal ones the first."""
+    pages = spark.createDataFrame([("g", 1, "text", 4, 0, 2, [30, 40], False), ("g", 2, "", 0, 90, 0, None, True)], "guide_id string, page int, text string, char_count int, rotation int, n_images int, largest_image array<int>, is_sketch boolean")
+    writers.page_texts(pages, str(tmp_path / "out"))
+    meta = {r.page: r for r in spark.read.json(str(tmp_path / "out" / "manifest")).collect()}
+    assert meta[2].stem == "page_0002" and meta[2].largest_image is None and meta[1].largest_image == [30, 40]
+    d = spark.createDataFrame([([(3, 4), (6, 2), (1, 1)],), ([],), (None,)], "i array<struct<width int, height int>>")
+    assert [r.d and tuple(r.d) for r in d.select(records.largest_image(F.col("i")).alias("d")).collect()] == [(3, 4), None, None]
+
+
+def test_guide_configuration(tmp_path):
+    (tmp_path / "g").mkdir()
+    raw = {"facts": {"Title": "T", "Year": 1999}, "bbox": [1, 2, 3, 4], "tags": {"peak": [["natural", "peak"]], "hut": [["tourism", 5]]}, "contents_pages": [5, 12], "out_of_scope": [["x", "why"]]}
+    (tmp_path / "g" / "config.json").write_text(json.dumps(raw))
+    g = guides.load(str(tmp_path), "g")
+    assert g.tags == (("peak", (("natural", "peak"),)), ("hut", (("tourism", "5"),))) and g.bbox == (1.0, 2.0, 3.0, 4.0)
+    assert g.contents_stems() == ["page_0005", "page_0012"] and g.facts_block("Facts:") == "Facts:\n- Title: T\n- Year: 1999"
+    assert gazetteer.query_text([p for _, ps in g.tags for p in ps], g.bbox).count("nwr[") == 2
+    with pytest.raises(FileNotFoundError):
+        guides.load(str(tmp_path), "h")
+    with pytest.raises(ValueError):
+        guides.Guide.of("g", {"bbox": [1]})
+
+
+def test_queue_whose_entry_is_gone(spark):
+    queue = spark.createDataFrame([("E1", "place"), ("E2", "mention")], "entry_id string, kind string")
+    there = spark.createDataFrame([("E1",)], "id string")
+    assert planning.checked_queue(planning.queue_of(queue, "place"), there).count() == 1
+    with pytest.raises(Exception, match="no longer an entry: E2"):
+        planning.checked_queue(queue, there).collect()
