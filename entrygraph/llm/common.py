@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import re
 import tempfile
-import uuid
 import zipfile
 from collections.abc import Callable, Iterable, Iterator
 from pathlib import Path
@@ -13,6 +12,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from entrygraph.plans.staging import written
+
 #: Tables above this many rows are never broadcast; rows here are narrow (under 100 bytes).
 BROADCAST_ROWS = 300_000
 
@@ -21,21 +22,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder of spark.checkpoint.dir; a temporary one is set only where none is configured."""
-    where = spark.conf.get("spark.checkpoint.dir", None)
-    if not where:
-        where = "file://" + tempfile.mkdtemp(prefix="entrygraph-checkpoint-")
-        spark.conf.set("spark.checkpoint.dir", where)
-    return where
-
-
 def staged(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared folder and read it again, which cuts the lineage."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/staged-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    """Write ``df`` to the shared folder of spark.checkpoint.dir and read it again, which cuts the lineage."""
+    return written(df)
 
 
 def join_checked(left: DataFrame, right: DataFrame, on: list[str], how: str, rows: int = BROADCAST_ROWS, each: Column | None = None) -> DataFrame:
@@ -54,6 +43,32 @@ def join_checked(left: DataFrame, right: DataFrame, on: list[str], how: str, row
     return out.drop(*[f"_r_{c}" for c in on]) if how not in ("left_semi", "left_anti") else out
 
 
+def carried(docs: DataFrame) -> DataFrame:
+    """row (all columns of ``docs``, whatever their names), k (doc_id) and th (the text's hash)."""
+    return docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"), F.col("doc_id").alias("k"), F.xxhash64("text").alias("th"))
+
+
+def released(rows: DataFrame, docs: DataFrame) -> DataFrame:
+    """The columns of ``docs`` out of ``row``."""
+    return rows.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
+
+
+#: A key is hot if it has at least a HOT-th of all rows, and at least LEAST_HOT; so at most HOT keys are.
+HOT, LEAST_HOT = 100_000, 64
+
+
+def join_hot(left: DataFrame, right: DataFrame, key: str, times: str) -> DataFrame:
+    """Inner join of ``left`` with ``right``, which has one row a key and in ``times`` how many rows of ``left`` have it.
+
+    Hot keys, at most HOT, are sent to all tasks; the others are dealt by key and
+    none is large. Both sides are staged already.
+    """
+    least = F.greatest(F.lit(LEAST_HOT), F.lit((right.agg(F.sum(times)).first()[0] or 0) // HOT))
+    hot = F.broadcast(right.filter(F.col(times) >= least).drop(times))
+    rest = right.filter(F.col(times) < least).drop(times)
+    return left.join(hot, key).unionByName(left.join(hot.select(key), key, "left_anti").join(rest, key))
+
+
 def ascii_lower(text: Column) -> Column:
     """Lower case such that ASCII words come out as if only A-Z were lowered (the Kelvin sign would become k)."""
     return F.lower(F.replace(text, F.lit("K"), F.lit("ĸ")))

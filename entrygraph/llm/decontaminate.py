@@ -3,7 +3,8 @@
 A document is contaminated by an item if some window of as many words as the
 item has a weighted similarity of at least SIMILAR with it: over shingles of
 five words (an item with fewer words is one shingle), the sum of the lesser
-counts divided by the sum of the greater counts.
+counts divided by the sum of the greater counts. A document with fewer words
+than the item, but no fewer than a shingle, is one window.
 
 Windows that share no shingle with an item of their size have similarity 0, so
 only the others get a fingerprint: the majority of each bit over the hashes of
@@ -19,8 +20,8 @@ The benchmark is the query set: it is sent to all tasks in runs of at most
 ITEM_BYTES, each run against all documents.
 
 Defined cases: null and empty texts of documents match nothing; items without
-words are passed over; a document shorter than the item has no window and does
-not match; repeated items and repeated documents are each reported; of equally
+words are passed over; a document shorter than a shingle does not match; very
+long texts are looked through in stretches of bounded size; repeated items and repeated documents are each reported; of equally
 similar windows the first counts; empty tables give an empty result; other
 columns are ignored by ``matches`` and carried by ``clean_documents``.
 """
@@ -28,6 +29,7 @@ columns are ignored by ``matches`` and carried by ``clean_documents``.
 from __future__ import annotations
 
 from collections import Counter
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -146,25 +148,27 @@ class Items:
                 continue
             # hashes of words are needed around these places only
             span = max(s for s in self.sized if min(SHINGLE, s) == k)
-            for a, b in _stretches(at, span, len(words)):
+            for a, b in _cut(_stretches(at, span, len(words)), span):
                 h = shingled(hashed(words[a:b]), k)
                 place = np.searchsorted(keys, h)
                 hits = np.flatnonzero(keys[np.minimum(place, len(keys) - 1)] == h)
                 starts: dict[int, list[np.ndarray]] = {}
                 for p in hits.tolist():
                     for s in sizes[place[p]]:
-                        starts.setdefault(s, []).append(np.arange(max(0, p - (s - k)), min(p, len(h) - 1 - (s - k)) + 1))
+                        # a whole document that is shorter than the item is its only window
+                        wide = min(s, len(words))
+                        starts.setdefault(s, []).append(np.arange(max(0, p - (wide - k)), min(p, len(h) - 1 - (wide - k)) + 1))
                 for s, parts in starts.items():
                     begin = np.unique(np.concatenate(parts))
                     if not len(begin):
                         continue
-                    sized = self.sized[s]
-                    w, i = sized.near(prints(h, begin, s - k + 1))
+                    sized, wide = self.sized[s], min(s, len(words))
+                    w, i = sized.near(prints(h, begin, wide - k + 1))
                     for x, item in zip((begin[w] + a).tolist(), (sized.items[j] for j in i)):
-                        score = similarity(words[x : x + s], self.words[item], k)
+                        score = similarity(words[x : x + wide], self.words[item], k)
                         if score >= SIMILAR and (item not in best or (-score, x) < (-best[item][0], best[item][1])):
                             best[item] = score, x
-        return [(self.ids[i], x, len(self.words[i]), score) for i, (score, x) in sorted(best.items())]
+        return [(self.ids[i], x, min(len(self.words[i]), len(words)), score) for i, (score, x) in sorted(best.items())]
 
 
 def _stretches(at: np.ndarray, span: int, n: int) -> list[tuple[int, int]]:
@@ -174,6 +178,19 @@ def _stretches(at: np.ndarray, span: int, n: int) -> list[tuple[int, int]]:
     return list(zip(lo[cut].tolist(), hi[np.append(cut[1:], len(hi)) - 1].tolist()))
 
 
+def _cut(stretches: list[tuple[int, int]], span: int, most: int = 1 << 15) -> Iterator[tuple[int, int]]:
+    """Long stretches in parts, each with the words that windows which begin in it need."""
+    for a, b in stretches:
+        for c in range(a, b, most):
+            yield c, min(c + most + span, b)
+
+
+def _small(batches, rows: int = 512):
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def _runs(benchmark: DataFrame) -> list[Items]:
     """The benchmark in runs of bounded size."""
     runs, run, size = [], [], 0
@@ -196,7 +213,7 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
         def run(batches, shared=shared):
             items = shared.value
-            for batch in batches:
+            for batch in _small(batches):
                 rows = [(k, *m) for k, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()) for m in items.matches(t)]
                 if rows:
                     yield pa.record_batch([pa.array(list(c), type=f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
@@ -212,7 +229,7 @@ def clean_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
         def run(batches, shared=shared):
             items = shared.value
-            for batch in batches:
+            for batch in _small(batches):
                 clean = [not items.matches(t) for t in batch.column(batch.schema.get_field_index("text")).to_pylist()]
                 yield batch.filter(pa.array(clean, pa.bool_()))
 
@@ -240,11 +257,11 @@ dsh AS (
   SEMI JOIN ish USING (k, sh)),
 hit AS (SELECT doc_id, n, p, item_id, m, ish.k, sh, c FROM dsh JOIN ish USING (k, sh)),
 win AS (
-  SELECT doc_id, item_id, m, k, s, sh, c, count(*) AS cw FROM (
-    SELECT doc_id, item_id, m, k, sh, c, unnest(range(greatest(0, p - (m - k)), least(p, n - m) + 1)) AS s FROM hit WHERE n >= m)
+  SELECT doc_id, item_id, m, k, s, wide, sh, c, count(*) AS cw FROM (
+    SELECT doc_id, item_id, m, k, sh, c, unnest(range(greatest(0, p - (least(m, n) - k)), least(p, n - least(m, n)) + 1)) AS s, least(m, n) AS wide FROM hit)
   GROUP BY ALL),
-sim AS (SELECT doc_id, item_id, m, k, s, sum(least(c, cw)) AS i FROM win GROUP BY ALL),
-scored AS (SELECT doc_id, item_id, s, m, i::DOUBLE / (2 * (m - k + 1) - i)::DOUBLE AS similarity FROM sim)
+sim AS (SELECT doc_id, item_id, m, k, s, wide, sum(least(c, cw)) AS i FROM win GROUP BY ALL),
+scored AS (SELECT doc_id, item_id, s, wide AS m, i::DOUBLE / (m - k + 1 + wide - k + 1 - i)::DOUBLE AS similarity FROM sim)
 SELECT doc_id, item_id, s::BIGINT AS start_word, m::BIGINT AS n_words, similarity FROM scored WHERE similarity >= 0.8
 QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY similarity DESC, s) = 1
 """

@@ -31,7 +31,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from entrygraph.llm.common import join_checked, staged, text_or_empty
+from entrygraph.llm.common import carried, join_checked, staged, text_or_empty
 
 #: Characters from which a line is also compared with lines one edit away.
 LEAST = 20
@@ -162,7 +162,7 @@ def removed_lines(docs: DataFrame, least: int = LEAST) -> DataFrame:
 def _judged(docs: DataFrame, least: int) -> DataFrame:
     """row (all columns of ``docs``), n_lines, n_exact, n_near and kept (the text that is left) for each row."""
     gone = staged(removed_lines(docs, least)).withColumnRenamed("doc_id", "k")
-    keyed = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"), F.col("doc_id").alias("k"), F.xxhash64("text").alias("th"))
+    keyed = carried(docs)
     none = F.array().cast("array<int>")
     # rows count as many times 24 bytes as their places take
     joined = join_checked(keyed, gone, ["k", "th"], "left", rows=PLACES_BYTES // 24, each=1 + (F.size("exact") + F.size("near")) / 6)

@@ -25,6 +25,7 @@ an empty result; other columns are ignored.
 
 from __future__ import annotations
 
+import itertools
 from functools import lru_cache
 from itertools import combinations
 
@@ -34,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from entrygraph.llm.common import arrow_map, arrow_schema, join_checked, map_rows, staged
+from entrygraph.llm.common import arrow_map, arrow_schema, carried, join_checked, join_hot, map_rows, released, staged
 
 SEED, MOST, PAIRED = 42, 2, 32
 #: The Golay code's generator polynomial (a fixed value) and its length and check bits.
@@ -174,17 +175,23 @@ def components(edges: DataFrame) -> DataFrame:
 def near_duplicates(docs: DataFrame, size: int) -> DataFrame:
     """doc_id, fp and component_id (the smallest doc_id reachable) for each row of ``docs``."""
     fp = staged(fingerprints(docs, size))
-    linked = components(links(fp.select("fp").distinct()))
-    rooted = staged(linked)
-    marked = fp.join(rooted.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    classes = marked.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    # a row for each fingerprint that has a class: joins on few distinct values may meet a hot one, which Spark splits
-    return marked.join(classes, "root").select("doc_id", "fp", "component_id")
+    own = staged(fp.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")))
+    rooted = staged(components(links(own.select("fp"))))
+    linked_fps = staged(rooted.join(own, rooted["node"] == own["fp"]).select("fp", "root", "least", "n"))
+    classes = staged(linked_fps.groupBy("root").agg(F.min("least").alias("component_id"), F.count("*").alias("fps")))
+    # neither a fingerprint of many rows nor a class of many fingerprints meets its result in one task
+    many = join_hot(linked_fps, classes, "root", "fps").select("fp", "component_id", "n")
+    alone = own.join(rooted, own["fp"] == rooted["node"], "left_anti").select("fp", F.col("least").alias("component_id"), "n")
+    return join_hot(fp, staged(many.unionByName(alone)), "fp", "n").select("doc_id", "fp", "component_id")
 
 
 # near copies by shingle similarity: prefix keys, candidates' components, exact classes within them
 
 SIMILAR = 0.8
+#: Documents of a block that is compared in one task.
+BLOCK = 256
+#: Pairs for each member of a key from which pivots are sent, rounds of them at least, and members to a part of a key.
+PAIRS_EACH, LEAST_TURNS, SPLIT = 32, 3, 4096
 
 
 def prefix(n):
@@ -267,11 +274,18 @@ def _company(keyed: DataFrame, met: DataFrame, size: int) -> DataFrame:
 
 
 def _classes(company: DataFrame) -> DataFrame:
-    """node and root for the documents that meet others; linked ones have one root."""
+    """node and root for the documents that meet others; linked ones have one root.
+
+    Documents that meet by keys, directly or over others, make a block. Blocks
+    of at most BLOCK documents are compared in one task each, larger ones by
+    pivots over all tasks.
+    """
     keys = staged(company.select("node", F.explode(F.slice("held", F.lit(1), F.col("n_keys"))).alias("h")))
     least = keys.groupBy("h").agg(F.min("node").alias("a"), F.count("*").alias("n")).filter("n > 1").select("h", "a")
-    blocks = components(keys.join(least, "h").select("a", F.col("node").alias("b")).filter("a < b").distinct())
-    rows = company.join(blocks.withColumnRenamed("root", "block"), "node").select("block", "node", "n", "held")
+    blocks = staged(components(keys.join(least, "h").select("a", F.col("node").alias("b")).filter("a < b").distinct()))
+    sizes = staged(blocks.groupBy(F.col("root").alias("block")).agg(F.count("*").alias("times")))
+    rows = staged(join_hot(blocks.withColumnRenamed("root", "block"), sizes.withColumn("n_block", F.col("times")), "block", "times"))
+    small = company.join(rows.filter(F.col("n_block") <= BLOCK), "node").select("block", "node", "n", "held")
     ddl = "node long, root long"
     schema = arrow_schema(ddl)
 
@@ -297,7 +311,84 @@ def _classes(company: DataFrame) -> DataFrame:
         if parts:
             yield closed(parts)
 
-    return arrow_map(rows.repartition("block").sortWithinPartitions("block"), run, ddl)
+    found = arrow_map(small.repartition("block").sortWithinPartitions("block"), run, ddl)
+    large = rows.filter(F.col("n_block") > BLOCK).select("node")
+    if large.isEmpty():
+        return found
+    return found.unionByName(_by_pivots(staged(company.join(large, "node", "left_semi"))))
+
+
+def _by_pivots(company: DataFrame) -> DataFrame:
+    """The same for documents of large blocks, without a block or a key in one task.
+
+    Each round, every key in which more than one class is left sends one of its
+    documents, the pivot, against its members of other classes, and takes it
+    out of the key, as its pairs there are decided. The pivot is the member with
+    the most links so far, so that a text from which many were copied is found.
+    Copies so join in a few rounds, each with as many pairs as the keys have
+    members. When the pairs that are left between classes are few, or get no
+    fewer, all of them are verified.
+    """
+    sets = staged(company.select("node", "n", "held"))
+    posts = company.select("node", "n", (F.col("n") - F.size("held")).alias("lone"), F.posexplode(F.slice("held", F.lit(1), F.col("n_keys"))).alias("at", "h"))
+    posts = staged(posts)
+    found = sets.limit(0).select(F.col("node").alias("a"), F.col("node").alias("b"))
+    classes = sets.select("node", F.col("node").alias("root"))
+    before = None
+    for turn in itertools.count():
+        linked_to = found.select(F.col("a").alias("node")).unionByName(found.select(F.col("b").alias("node"))).groupBy("node").agg(F.count("*").alias("links"))
+        now = staged(posts.join(classes, "node").join(linked_to, "node", "left").withColumn("links", F.coalesce("links", F.lit(0))))
+        by_class = now.groupBy("h", "root").agg(F.count("*").alias("c"))
+        members, c = F.sum("c"), F.col("c")
+        keys = by_class.groupBy("h").agg(members.alias("times"), ((members * members - F.sum(c * c)) / 2).alias("apart"), F.max_by("root", "c").alias("main"))
+        open_ = staged(keys.filter("apart > 0").withColumn("members", F.col("times")))
+        left, posted = open_.agg(F.sum("apart"), F.sum("times")).first()
+        if not left:
+            return classes
+        held = staged(join_hot(now, open_.drop("apart"), "h", "times"))
+        last = left <= PAIRS_EACH * posted or (turn >= LEAST_TURNS and left > before / 2)
+        if last:
+            pairs = _apart(held)
+        else:
+            order = F.struct("links", F.xxhash64("node", F.lit(turn)).alias("draw"))
+            picked = staged(held.groupBy("h").agg(F.max_by(F.struct("node", "root"), order).alias("p"), F.max("members").alias("times")))
+            met = staged(join_hot(held, picked, "h", "times"))
+            pairs = met.filter("root <> p.root").select(F.col("p.node").alias("a"), F.col("node").alias("b"))
+            posts = met.filter("node <> p.node").select("node", "n", "lone", "at", "h")
+        found = staged(found.unionByName(_similar(staged(pairs.distinct()), sets)))
+        joined = staged(components(found))
+        classes = staged(sets.select("node").join(joined, "node", "left").select("node", F.coalesce("root", "node").alias("root")))
+        if last:
+            return classes
+        before = left
+
+
+def _apart(held: DataFrame) -> DataFrame:
+    """Pairs (a, b) of members of a key in different classes, but those whose sizes or places rule similarity out.
+
+    The first has no document of the key's main class; it is sent to each of the
+    parts that the key's members are split into.
+    """
+    parts = F.ceil(F.col("members") / SPLIT).cast("int")
+    named = lambda x: [F.col(c).alias(f"{x}_{c}") for c in ("node", "n", "lone", "at", "root")]
+    a = held.filter("root <> main").select("h", *named("a"), F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"))
+    b = held.select("h", "main", *named("b"), F.pmod(F.xxhash64("node"), parts).cast("int").alias("part"))
+    met = a.join(b, ["h", "part"]).filter("a_root <> b_root and (b_root = main or a_node < b_node)")
+    # members stand in one order: before the key and behind it no more can be shared than the shorter part holds
+    behind = lambda x: F.col(f"{x}_n") - F.col(f"{x}_lone") - F.col(f"{x}_at") - 1
+    most = F.least("a_at", "b_at") + 1 + F.least(behind("a"), behind("b"))
+    enough = F.ceil(SIMILAR / (1 + SIMILAR) * (F.col("a_n") + F.col("b_n")) - 1e-9)
+    return met.filter(most >= enough).select(F.col("a_node").alias("a"), F.col("b_node").alias("b"))
+
+
+def _similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose sets are similar enough; one a may have many pairs. ``pairs`` is staged."""
+    named = lambda x: [F.col("node").alias(x), F.col("n").alias(f"{x}n"), F.col("held").alias(f"{x}h")]
+    times = pairs.groupBy("a").agg(F.count("*").alias("times"))
+    first = staged(sets.select(*named("a")).join(times, "a"))
+    met = join_hot(pairs, first, "a", "times").join(sets.select(*named("b")), "b")
+    both = F.size(F.array_intersect("ah", "bh"))
+    return met.withColumn("both", both).filter(F.col("both") / (F.col("an") + F.col("bn") - F.col("both")) >= SIMILAR).select("a", "b")
 
 
 def linked(n: np.ndarray, lengths: np.ndarray, held: np.ndarray) -> np.ndarray:
@@ -353,17 +444,15 @@ def keep_one(docs: DataFrame, size: int) -> DataFrame:
     """
     marked = staged(near_copies(docs, size))
     first = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id"), F.col("th"))
-    kept = marked.groupBy("root").agg(F.min(first).alias("first"), F.count("*").alias("n")).filter("n > 1")
-    met = staged(marked.join(kept, "root").select(F.col("doc_id").alias("_doc_id"), F.col("th").alias("_th"), (F.col("first") < first).alias("gone")).distinct())
-    keyed = docs.withColumns({"_doc_id": F.col("doc_id"), "_th": F.xxhash64("text")})
-    left = join_checked(keyed, met.filter("gone"), ["_doc_id", "_th"], "left_anti")
+    kept = staged(marked.groupBy("root").agg(F.min(first).alias("first"), F.count("*").alias("n")).filter("n > 1"))
+    met = staged(join_hot(marked, kept, "root", "n").select(F.col("doc_id").alias("k"), "th", (F.col("first") < first).alias("gone")).distinct())
+    left = join_checked(carried(docs), met.filter("gone"), ["k", "th"], "left_anti")
     # the row that stays may itself be there more than once
-    again = staged(marked.groupBy("doc_id", "th").count().filter("count > 1").select(F.col("doc_id").alias("_doc_id"), F.col("th").alias("_th")))
-    if again.isEmpty():
-        return left.drop("_doc_id", "_th")
-    single = join_checked(left, again, ["_doc_id", "_th"], "left_anti")
-    copies = join_checked(left, again, ["_doc_id", "_th"], "left_semi").dropDuplicates(["_doc_id", "_th"])
-    return single.unionByName(copies).drop("_doc_id", "_th")
+    again = staged(marked.groupBy("doc_id", "th").count().filter("count > 1").select(F.col("doc_id").alias("k"), "th"))
+    if not again.isEmpty():
+        copies = join_checked(left, again, ["k", "th"], "left_semi").dropDuplicates(["k", "th"])
+        left = join_checked(left, again, ["k", "th"], "left_anti").unionByName(copies)
+    return released(left, docs)
 
 
 def hex_of(fp) -> F.Column:

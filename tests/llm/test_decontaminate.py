@@ -50,3 +50,20 @@ def test_nulls_repeats_and_runs(spark, monkeypatch):
     assert decontaminate.clean_documents(d, b).count() == 1
     assert decontaminate.matches(d, b.limit(0)).count() == 0 and decontaminate.matches(d.limit(0), b).count() == 0
     assert decontaminate.clean_documents(d, b.limit(0)).count() == 4
+
+
+def test_stretches_are_cut_with_what_windows_need():
+    for a, b, span, most in ((0, 100, 7, 10), (5, 6, 3, 10), (0, 20, 30, 10)):
+        parts = list(decontaminate._cut([(a, b)], span, most))
+        assert parts[0][0] == a and parts[-1][1] == b
+        for start in range(a, b - span + 1):
+            assert any(x <= start and start + span <= y for x, y in parts)
+
+
+def test_an_item_less_its_last_words(spark):
+    item = " ".join(f"w{i}" for i in range(30))
+    docs = [(1, " ".join(item.split()[:-2])), (2, " ".join(item.split()[:-8])), (3, "w0 w1 w2 w3")]
+    d, b = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame([(9, item)], "item_id long, text string")
+    got = decontaminate.matches(d, b).collect()
+    assert [(r.doc_id, r.start_word, r.n_words, round(r.similarity, 6)) for r in got] == [(1, 0, 28, round(24 / 26, 6))]
+    assert sorted(r.doc_id for r in decontaminate.clean_documents(d, b).collect()) == [2, 3]

@@ -2,6 +2,7 @@ import random
 import re
 
 import numpy as np
+import pytest
 import xxhash
 
 from entrygraph.llm import simhash
@@ -96,9 +97,9 @@ def test_near_copies_against_all_pairs(spark):
                 text[rng.randrange(len(text))] = rng.choice(words)
     texts += ["short text", "short text", "a b", "", None, "the same words " * 30, "the same words " * 31]
     rows = [(i, t) for i, t in enumerate(texts)] + [(3, texts[3])]
-    docs = spark.createDataFrame([(*r, "k") for r in rows], "doc_id long, text string, node string")
+    docs = spark.createDataFrame([(*r, "k", i, "t", "d", 1) for i, r in enumerate(rows)], "doc_id long, text string, node string, k long, th string, _doc_id string, _th long")
     kept = simhash.keep_one(docs, 5)
-    assert kept.columns == docs.columns
+    assert kept.columns == docs.columns and {(r.node, r.th, r["_doc_id"], r["_th"]) for r in kept.collect()} == {("k", "t", "d", 1)}
     sets = {i: {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} for i, t in enumerate(texts) if (w := (t or "").split())}
     label = {i: i for i in sets}
     changed = True
@@ -111,10 +112,53 @@ def test_near_copies_against_all_pairs(spark):
                     changed = True
     want = sorted([i for i in sets if label[i] == i] + [i for i, t in enumerate(texts) if not (t or "").split()])
     got = sorted(r.doc_id for r in kept.collect())
-    assert len(want) < 200 and len(set(got) ^ set(want)) <= 1 and len(got) == len(set(got))
+    assert len(want) < 200 and got == want
     assert simhash.keep_one(docs.limit(0), 5).count() == 0
 
 
+def all_pairs(sets):
+    """Classes by comparing all pairs."""
+    label = list(range(len(sets)))
+    changed = True
+    while changed:
+        changed = False
+        for i, x in enumerate(sets):
+            for j, y in enumerate(sets):
+                if label[j] > label[i] and len(x & y) >= 0.8 * len(x | y):
+                    label[j], changed = label[i], True
+    return label
+
+
+@pytest.mark.parametrize("pairs_each", [0, 32])
+def test_pivots_against_all_pairs(spark, monkeypatch, pairs_each):
+    """Large blocks, taken apart over all tasks, have the classes that all pairs give."""
+    monkeypatch.setattr(simhash, "BLOCK", 3)
+    monkeypatch.setattr(simhash, "PAIRS_EACH", pairs_each)
+    monkeypatch.setattr(simhash, "SPLIT", 7)
+    rng = random.Random(21)
+    words = [f"w{i}" for i in range(4000)]
+    shared = [rng.choice(words) for _ in range(60)]  # a passage that unlike texts hold
+    texts = []
+    for g in range(12):
+        base = [rng.choice(words) for _ in range(rng.randint(50, 120))] + (shared if g % 2 else [])
+        for _ in range(rng.choice([2, 6, 25])):
+            text = list(base)
+            for _ in range(rng.randint(0, 3)):
+                text[rng.randrange(len(text))] = rng.choice(words)
+            texts.append(text)
+    texts += [shared + [f"x{i}{k}" for k in range(rng.randint(1, 12))] for i in range(40)]
+    label = all_pairs([{tuple(t[k : k + 5]) for k in range(len(t) - 4)} for t in texts])
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    assert sorted(r.doc_id for r in simhash.keep_one(docs, 5).collect()) == sorted(set(label))
+
+
+def test_hot_keys_join_whole(spark):
+    left = spark.createDataFrame([(1, i) for i in range(200)] + [(k, 0) for k in range(2, 30)] + [(99, 0)], "k long, x long")
+    right = left.groupBy("k").count().filter("k <> 99").selectExpr("k", "k * 2 as y", "count as times")
+    got = simhash.join_hot(left, right, "k", "times")
+    assert got.columns == ["k", "x", "y"] and got.count() == 228 and got.filter("y <> 2 * k").count() == 0
+
+
 def test_one_original_with_a_thousand_copies_unlike_each_other(spark):
     rng = random.Random(4)
     base = [f"w{i}" for i in range(300)]
