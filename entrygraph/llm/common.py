@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import re
 import tempfile
 import zipfile
@@ -92,9 +93,34 @@ def ship(spark: SparkSession) -> None:
     context._entrygraph_sent = True
 
 
+#: Rows of an Arrow batch: with texts, Spark's own number of them takes much memory on both sides. Set where it is Spark's.
+BATCH_ROWS = 2000
+_ROWS_KEY, _SPARKS_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", "10000"
+
+
 def arrow_map(df: DataFrame, run: Callable, schema: str) -> DataFrame:
-    ship(df.sparkSession)
-    return df.mapInArrow(run, schema)
+    """mapInArrow by a function of the package; a task that ends gives its memory back, as Python workers live on."""
+    spark = df.sparkSession
+    ship(spark)
+    if spark.conf.get(_ROWS_KEY, _SPARKS_ROWS) == _SPARKS_ROWS:
+        spark.conf.set(_ROWS_KEY, str(BATCH_ROWS))
+
+    def mapped(batches):
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return df.mapInArrow(mapped, schema)
+
+
+def give_back() -> None:
+    """Unused memory to the system, where the C library can."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):
+        pass
 
 
 def map_rows(df: DataFrame, names: list[str], make: Callable[[], Callable[..., tuple]], schema: str, arrow: pa.Schema) -> DataFrame:
