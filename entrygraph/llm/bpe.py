@@ -5,8 +5,10 @@ Pre-tokenisation takes no regular expression. Every code point has a class
 transition functions over these classes are constant after one symbol, except
 inside a contraction, so their scan needs no more than the neighbouring
 classes: all boundaries of a block of texts come from a few array operations.
-The slices then go through a cache of pair merges; the cached ids of a slice
-are a decimal string, and decoding goes the same way back by id sequence.
+The slices then go through a cache of pair merges; those of a block that are
+not in it are merged all at once, a merge of each a step, with pairs met in a
+hashed table. The cached ids of a slice are a decimal string, and decoding goes
+the same way back by id sequence.
 
 Defined cases: a null text is empty; an empty text has no tokens and the
 digests of nothing; long texts are handled in whole; repeated rows give
@@ -96,12 +98,111 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
 
 
+class Pairs:
+    """Which two ids merge to which, in two direct-mapped tables and a small sorted one for the rest."""
+
+    NONE = np.int32(2**31 - 1)
+
+    def __init__(self, ranks: dict[bytes, int]):
+        found = [(x << 32 | y, i) for t, i in ranks.items() if len(t) > 1 for k in range(1, len(t)) if (x := ranks.get(t[:k])) is not None and (y := ranks.get(t[k:])) is not None]
+        keys, ids = np.array([k for k, _ in found], np.uint64), np.array([i for _, i in found], np.int32)
+        self.bits = max(4, int(4 * len(keys)).bit_length())
+        self.tables = []
+        for seed in (1, 3):
+            at = self.place(keys, seed)
+            held, merged = np.full(1 << self.bits, np.uint64(2**64 - 1)), np.full(1 << self.bits, self.NONE)
+            held[at], merged[at] = keys, ids
+            self.tables.append((seed, held, merged))
+            left = held[at] != keys
+            keys, ids = keys[left], ids[left]
+        order = np.argsort(keys)
+        self.rest = np.append(keys[order], np.uint64(2**64 - 1)), np.append(ids[order], self.NONE)
+
+    def place(self, keys: np.ndarray, seed: int) -> np.ndarray:
+        h = keys * np.uint64(0x9E3779B97F4A7C15 * seed & 2**64 - 1)
+        return ((h ^ h >> np.uint64(32)) * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def merged(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """The id that a and b merge to, which is its rank too; NONE for none, or where one is below 0."""
+        keys = a.astype(np.uint32).astype(np.uint64) << np.uint64(32) | b.astype(np.uint32)
+        out = np.full(len(keys), self.NONE)
+        todo = np.flatnonzero((a >= 0) & (b >= 0))
+        for seed, held, merged in self.tables:
+            at = self.place(keys[todo], seed)
+            hit = held[at] == keys[todo]
+            out[todo[hit]] = merged[at[hit]]
+            todo = todo[~hit & (held[at] != np.uint64(2**64 - 1))]
+        at = np.searchsorted(self.rest[0], keys[todo])
+        out[todo] = np.where(self.rest[0][at] == keys[todo], self.rest[1][at], self.NONE)
+        return out
+
+
 class Encoder(dict):
     """Slice -> its ids as decimals joined by commas; misses are merged and kept."""
 
+    #: Bytes of a slice that is merged with others; longer ones are merged alone.
+    WIDE = 32
+
     def __init__(self, ranks: dict[bytes, int]):
         super().__init__()
         self.ranks = ranks
+        self.before: dict[str, str] = {}
+        self.pairs, self.names = Pairs(ranks), {i: str(i) for i in ranks.values()}
+        self.bytes = np.array([ranks[bytes([i])] for i in range(256)], np.int32)
+
+    def learn(self, slices: list[list[str]]) -> None:
+        """Merge all slices of a block that are not known."""
+        if len(self) >= CACHED:
+            self.before = dict(self)
+            self.clear()
+        new = set().union(*slices).difference(self)
+        # those that come again are taken over from the generation before
+        again = new.intersection(self.before)
+        self.update({p: self.before[p] for p in again})
+        new = [p for p in new - again if len(p) < self.WIDE]
+        datas, names = [p.encode("utf-8", "replace") for p in new], self.names
+        # of like lengths together, so that rows are about full
+        short = sorted([k for k, d in enumerate(datas) if len(d) <= self.WIDE], key=lambda k: len(datas[k]))
+        for at in range(0, len(short), 1 << 14):
+            some = short[at : at + (1 << 14)]
+            for k, ids in zip(some, self.merge_many([datas[k] for k in some])):
+                self[new[k]] = ",".join([names[i] for i in ids])
+
+    def merge_many(self, datas: list[bytes]) -> list[list[int]]:
+        """The ids of slices of few bytes, merging one pair of each at a time."""
+        sizes = np.fromiter(map(len, datas), np.int64, len(datas))
+        wide = int(sizes.max(initial=1))
+        tokens = np.full((len(datas), wide + 1), -1, np.int32)
+        tokens[np.arange(wide + 1) < sizes[:, None]] = self.bytes[np.frombuffer(b"".join(datas), np.uint8)]
+        out, rows = tokens.copy(), np.arange(len(datas))
+        ranks = self.pairs.merged(tokens[:, :-1].ravel(), tokens[:, 1:].ravel()).reshape(len(datas), wide)
+        while True:
+            at = ranks.argmin(1)
+            low = ranks[np.arange(len(rows)), at]
+            done = low == Pairs.NONE
+            if done.any():
+                out[rows[done], : tokens.shape[1]] = tokens[done]
+                out[rows[done], tokens.shape[1] :] = -1
+                rows, tokens, ranks, at, low = (x[~done] for x in (rows, tokens, ranks, at, low))
+            if not len(rows):
+                break
+            each = np.arange(len(rows))
+            # what stands behind the pair moves up by one
+            columns = np.arange(tokens.shape[1] - 1)
+            tokens = np.take_along_axis(tokens, columns + (columns > at[:, None]), 1)
+            tokens[each, at] = low
+            columns = columns[:-1]
+            if not len(columns):
+                ranks = np.full((len(rows), 1), Pairs.NONE)
+                continue
+            ranks = np.take_along_axis(ranks, columns + (columns > at[:, None]), 1)
+            here = np.flatnonzero(at < len(columns))
+            ranks[here, at[here]] = self.pairs.merged(tokens[here, at[here]], tokens[here, at[here] + 1])
+            there = np.flatnonzero(at > 0)
+            ranks[there, at[there] - 1] = self.pairs.merged(tokens[there, at[there] - 1], tokens[there, at[there]])
+        ends = (out >= 0).sum(1)
+        flat, cut = out[out >= 0].tolist(), np.cumsum(ends).tolist()
+        return [flat[i:j] for i, j in zip([0, *cut], cut)]
 
     def merge(self, data: bytes) -> list[int]:
         ranks = self.ranks
@@ -148,12 +249,7 @@ class Encoder(dict):
         return [ranks[p] for p in parts if p is not None]
 
     def __missing__(self, part: str) -> str:
-        if len(self) >= CACHED:
-            self.clear()
-        out = ",".join(map(str, self.merge(part.encode("utf-8", "replace"))))
-        if len(part) < 64:
-            self[part] = out
-        return out
+        return ",".join(map(str, self.merge(part.encode("utf-8", "replace"))))
 
 
 class Decoder(dict):
@@ -161,12 +257,12 @@ class Decoder(dict):
 
     def __init__(self, ranks: dict[bytes, int]):
         super().__init__()
-        self.bytes_of = {i: b for b, i in ranks.items()}
+        self.bytes_of = {str(i): b for b, i in ranks.items()}
 
     def __missing__(self, ids: str) -> bytes:
         if len(self) >= CACHED:
             self.clear()
-        out = b"".join([self.bytes_of[int(i)] for i in ids.split(",")]) if ids else b""
+        out = b"".join([self.bytes_of[i] for i in ids.split(",")]) if ids else b""
         if len(ids) < 256:
             self[ids] = out
         return out
@@ -202,7 +298,9 @@ def encode_documents(docs: DataFrame, path: str, with_ids: bool = False) -> Data
                     size += len(texts[j])
                     j += 1
                 rows, ids = [], []
-                for parts in slices(texts[i:j]):
+                split = slices(texts[i:j])
+                encoder.learn(split)
+                for parts in split:
                     coded = [encoder[p] for p in parts]
                     line = ",".join(coded)
                     decoded = hashlib.sha256(b"".join([decoder[c] for c in coded]))

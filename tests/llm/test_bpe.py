@@ -2,15 +2,18 @@ import base64
 import hashlib
 
 import public_tokenizers as P
+import pyarrow.parquet as pq
 import regex
 import tiktoken
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from entrygraph.llm import bpe
+from tests.oracle import DATA
 
 PATH = P.path("byte_bpe_multi_50k.tiktoken")
 RANKS = bpe.read_ranks(PATH)
+ENCODER = bpe.Encoder(RANKS)
 ORACLE = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=RANKS, special_tokens={})
 ALPHABET = st.sampled_from(list("aZstdmrevl'  \n\t\r\x0b\x1c 5²é漢ß.!#😀́ ")) | st.characters(blacklist_categories=["Cs", "Cn"], max_codepoint=0x2FFF)
 
@@ -24,13 +27,32 @@ def test_slices_are_the_matches_of_the_pattern(texts):
 @settings(max_examples=200, deadline=None)
 @given(st.text(ALPHABET, max_size=40))
 def test_ids_are_those_of_the_library(text):
-    encoder, decoder = bpe.Encoder(RANKS), bpe.Decoder(RANKS)
+    encoder, decoder = ENCODER, bpe.Decoder(RANKS)
+    encoder.clear()
     parts = [encoder[p] for p in bpe.slices([text])[0]]
     ids = [int(x) for p in parts for x in p.split(",")]
     assert ids == ORACLE.encode_ordinary(text)
     assert b"".join(decoder[p] for p in parts) == text.encode()
 
 
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.text(ALPHABET, max_size=30), max_size=12))
+def test_slices_merged_at_once(texts):
+    split = bpe.slices(texts)
+    ENCODER.clear()
+    ENCODER.learn(split)
+    for text, parts in zip(texts, split):
+        assert [int(x) for p in parts for x in ENCODER[p].split(",")] == ORACLE.encode_ordinary(text)
+    assert set(ENCODER) >= {p for parts in split for p in parts if len(p.encode()) < bpe.Encoder.WIDE}
+
+
+def test_words_of_the_documents_merge_alike():
+    words = list(dict.fromkeys(w for t in pq.read_table(DATA + "/documents.parquet", columns=["text"])["text"].to_pylist() for p in bpe.slices([t or ""]) for w in p))
+    ENCODER.clear()
+    ENCODER.learn([words])
+    assert all(ENCODER[w] == ",".join(map(str, ORACLE.encode_ordinary(w))) for w in words)
+
+
 def test_long_slices_merge_alike():
     encoder = bpe.Encoder(RANKS)
     for part in ("ab" * 700, "x" * 1001, "donaudampfschiff" * 90):
