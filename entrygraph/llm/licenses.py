@@ -5,8 +5,8 @@ keeps, for each template, the words of its mandatory key phrase (of a base
 phrase, all its words) of the highest inverse document frequency in the corpus,
 with the templates and positions they post to. A document looks
 up only these rare words among its own, each hit votes for the place where the
-template would start, and the places are verified against all words of the
-template. A label needs its mandatory key phrase, and a template of several
+template would start, the votes of a template's rare words are intersected, and
+the places are verified against all words of the template. A label needs its mandatory key phrase, and a template of several
 words may be met in part: the score is the best share of a template's words
 found at their relative positions.
 
@@ -20,6 +20,8 @@ an empty table an empty one; other columns are ignored.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -60,7 +62,9 @@ def words_of(text: Column) -> Column:
 def document_frequencies(docs: DataFrame, vocabulary: list[str]) -> dict[str, int]:
     """In how many documents each word of ``vocabulary`` stands; one row a word reaches the driver."""
     terms = F.array(*[F.lit(w) for w in vocabulary])
-    found = docs.select(F.explode(F.array_intersect(words_of(text_or_empty(F.col("text"))), terms)).alias("word"))
+    # the words first: within the generator the split would be computed again for every use
+    words = docs.select(words_of(text_or_empty(F.col("text"))).alias("words")).select(F.array_intersect("words", terms).alias("words"))
+    found = words.select(F.explode("words").alias("word"))
     counts = {r.word: r["count"] for r in found.groupBy("word").count().collect()}
     return {w: counts.get(w, 0) for w in vocabulary}
 
@@ -110,8 +114,9 @@ def scan_licenses(docs: DataFrame) -> DataFrame:
         return F.transform(F.filter("hits", lambda x: x.w == word), lambda x: x.i - F.lit(place))
 
     def starts(n: int) -> Column:
-        """Places where phrase n may start: the votes of its rare words, each once."""
-        return F.array_distinct(F.concat(*[vote(n, i) for i in posts[n]]))
+        """Places where phrase n may start: those that all its rare words vote for, as a match holds them all."""
+        first, *rest = [vote(n, i) for i in posts[n]]
+        return reduce(F.array_intersect, rest, F.array_distinct(first))
 
     def exact(n: int) -> Column:
         """Places where all words of phrase n stand; every rare word votes there, so the rarest one's votes do."""
