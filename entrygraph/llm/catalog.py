@@ -38,9 +38,9 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    checked = docs.withColumn("text_crc32", F.crc32(text_or_empty(F.col("text")))).withColumn("size", sharding.size_of(F.col("text"))).drop("text")
-    placed = checked.withColumn("old_shard", F.pmod(F.xxhash64("doc_id"), F.lit(32)).cast("int"))
+    text = text_or_empty(F.col("text"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.crc32(text).alias("text_crc32"), sharding.size_of(F.col("text")).alias("size"), F.xxhash64(text).alias("group"))
+    placed = docs.withColumn("old_shard", F.pmod("group", F.lit(32)).cast("int"))
     return sharding.transfer(placed, 32, 40).select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "old_shard")
 
 

@@ -54,6 +54,16 @@ def released(rows: DataFrame, docs: DataFrame) -> DataFrame:
     return rows.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
 
 
+#: Partitions of an exchange by bucket at most; each then takes several buckets.
+PARTITIONS = 20_000
+
+
+def dealt(df: DataFrame, buckets: int) -> DataFrame:
+    """Rows by their column bucket, each bucket in a partition of its own, not by hash, which would give some tasks several."""
+    parts = min(buckets, PARTITIONS)
+    return df.repartitionById(parts, F.pmod("bucket", F.lit(parts)).cast("int"))
+
+
 #: A key is hot if it has at least a HOT-th of all rows, and at least LEAST_HOT; so at most HOT keys are.
 HOT, LEAST_HOT = 100_000, 64
 

@@ -43,15 +43,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from entrygraph.llm.common import arrow_map, arrow_schema, staged
+from entrygraph.llm.common import arrow_map, arrow_schema, dealt, staged
 
 FOLDS, HELD, TUNE = 7, 2, 3
 #: Words and windows that all tasks know; others are looked up by bucket.
 HEAD, FREQUENT = 50_000, 1_500_000
 #: Bytes of text to a bucket; words, windows and look-ups after which a task sends what it has.
 BUCKET_BYTES, FLUSH_WORDS, FLUSH_WINDOWS, FLUSH_ASKED = 16 << 20, 300_000, 1_500_000, 2_000_000
-#: Partitions of an exchange at most; each then takes several buckets, one after another.
-PARTITIONS = 20_000
 #: Context lengths; those from the third on are counted by bucket.
 ORDERS, NEAR = (1, 2, 3, 4, 6), 3
 PAD, PIECE, CHUNK, BATCHES, RATE = 6, 1 << 20, 100_000, 128, 0.1
@@ -107,8 +105,7 @@ def _in_buckets(bucket: np.ndarray, buckets: int):
 
 def _by_bucket(df: DataFrame, buckets: int) -> DataFrame:
     """Buckets dealt evenly to partitions, each in one piece, first by kind."""
-    parts = min(buckets, PARTITIONS)
-    return df.repartitionById(parts, (F.col("bucket") % parts).cast("int")).sortWithinPartitions("bucket", "kind")
+    return dealt(df, buckets).sortWithinPartitions("bucket", "kind")
 
 
 def _streamed(batches):

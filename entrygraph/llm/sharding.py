@@ -3,14 +3,21 @@
 Documents lie in old shards; the new shards have capacities. The cheapest flow
 from old sizes to new capacities, where bytes that stay cost nothing and bytes
 that move cost one each, says how many bytes go from which shard to which.
-Old shards are split into blocks by a hash of the document, so that all
-running sums are taken within a block and the driver sees one row a block; the
-flow is then cut out of each old shard's blocks in their order.
-
-Defined cases: a null text has size 16 and the checksum of nothing; a null
-doc_id is dealt by the hash of a null; rows are placed one by one, so repeated
-rows lie in the same block, next to each other, with slots of their own; an
-empty table gives an empty result; other columns are carried by ``reshard``.
+Rows of equal texts are a group and go to one shard together, wherever they lay
+before; a group of more than a SHARE-th of a shard is split, its rows being
+placed one by one, as no shard could hold it beside others of its size.
+
+Groups are laid in blocks by a hash, the rows of large ones by a number drawn
+for the row, so that running sums are taken within a block and none is large.
+There are a fixed number of blocks to an old shard (more only where a block
+would hold more than BLOCK_BYTES, and at most BLOCKS in all), and the driver
+sees one row a block; the flow is then cut out of each old shard's blocks in
+their order.
+
+Defined cases: a null text has size 16 and the checksum of nothing, and is equal
+to other null and empty texts; a null doc_id is like any other; repeated rows are
+of one group, with slots of their own; an empty table gives an empty result;
+other columns are carried by ``reshard``, but for those named like the result's.
 """
 
 from __future__ import annotations
@@ -23,8 +30,10 @@ from pyspark.sql import functions as F
 from entrygraph.llm.common import staged, text_or_empty
 
 OVERHEAD = 16
-#: Bytes that a block is to hold at most, on average.
-BLOCK_BYTES = 128 << 20
+#: Bytes that a block is to hold at most, on average, as long as there are no more than BLOCKS.
+BLOCK_BYTES, BLOCKS = 128 << 20, 100_000
+#: A group that is placed whole has at most this part of a shard's bytes.
+SHARE = 32
 
 
 def min_cost_flow(supply: list[int], capacity: list[int], cost) -> dict[tuple[int, int], int]:
@@ -98,31 +107,39 @@ def size_of(text: Column) -> Column:
 def reshard(docs: DataFrame, old: int, new: int) -> DataFrame:
     """``docs`` with size, old_shard, shard and slot: sizes of the ``new`` shards are near equal.
 
-    The old shard of a document is the hash of its doc_id modulo ``old``; with
+    The old shard of a document is the hash of its text modulo ``old``; with
     a real layout, pass the rows with their own assignment to ``transfer``.
     """
-    placed = docs.withColumn("size", size_of(F.col("text"))).withColumn("old_shard", F.pmod(F.xxhash64("doc_id"), F.lit(old)).cast("int"))
-    return transfer(placed, old, new)
+    group = F.xxhash64(text_or_empty(F.col("text")))
+    placed = docs.withColumn("size", size_of(F.col("text"))).withColumn("group", group).withColumn("old_shard", F.pmod("group", F.lit(old)).cast("int"))
+    return transfer(placed, old, new).drop("group")
 
 
 def transfer(placed: DataFrame, old: int, new: int) -> DataFrame:
-    """Plan and apply the moves for rows that have old_shard and size.
+    """Plan and apply the moves for rows that have old_shard, group and size.
 
-    An old shard's rows are laid in the order of (block, order); each new shard
-    takes the stretch of bytes the flow gives it, a row going where its middle
-    byte lies. Sizes differ from equal by less than two rows for each stretch.
+    A group lies where most of its bytes lay, and is placed by its middle byte;
+    each new shard takes the stretch of bytes the flow gives it. Sizes differ
+    from equal by less than two groups for each stretch.
     """
     spark = placed.sparkSession
-    sums = placed.agg(F.sum("size"), F.count("*")).first()
-    blocks = max(8, -(-(sums[0] or 0) // (BLOCK_BYTES * old)))
-    laid = placed.withColumn("order", F.xxhash64(F.lit("order"), "doc_id")).withColumn("block", F.pmod(F.xxhash64(F.lit("block"), "doc_id"), F.lit(blocks)).cast("int"))
-    totals = laid.groupBy("old_shard", "block").agg(F.sum("size").alias("bytes")).orderBy("old_shard", "block").collect()
+    placed = staged(placed.withColumn("_draw", F.xxhash64(F.monotonically_increasing_id())))
+    whole, rows = placed.agg(F.coalesce(F.sum("size"), F.lit(0)), F.count("*")).first()
+    blocks = int(max(8, min(-(-whole // (BLOCK_BYTES * old)), BLOCKS // old)))
+    most = max(1, whole // (new * SHARE))
+    groups = placed.groupBy("group").agg(F.sum("size").alias("_bytes"), F.count("*").alias("_n"), F.max_by("old_shard", "size").alias("_home"))
+    # fewer than SHARE * new groups are large
+    large = F.broadcast(groups.filter(F.col("_bytes") > most).select("group", F.lit(True).alias("_large")))
+    laid = placed.join(large, "group", "left").withColumn("_key", F.when(F.col("_large"), F.col("_draw")).otherwise(F.col("group")))
+    units = laid.filter("_large").select("_key", "old_shard", "size").unionByName(groups.filter(F.col("_bytes") <= most).select(F.col("group").alias("_key"), F.col("_home").alias("old_shard"), F.col("_bytes").alias("size")))
+    units = units.withColumn("block", F.pmod(F.xxhash64(F.lit("block"), "_key"), F.lit(blocks)).cast("int"))
+    units = staged(units.groupBy("old_shard", "block", "_key").agg(F.sum("size").alias("bytes")))
+    totals = units.groupBy("old_shard", "block").agg(F.sum("bytes").alias("bytes")).orderBy("old_shard", "block").collect()  # at most BLOCKS
     supply = [0] * old
     begin = []
     for r in totals:
         begin.append((r.old_shard, r.block, supply[r.old_shard]))
         supply[r.old_shard] += r.bytes
-    whole = sum(supply)
     capacity = [whole * (j + 1) // new - whole * j // new for j in range(new)]
     flow = min_cost_flow(supply, capacity, lambda i, j: int(i != j))
     # stretches of each old shard: what stays comes first
@@ -131,27 +148,42 @@ def transfer(placed: DataFrame, old: int, new: int) -> DataFrame:
     for (i, j), n in sorted(flow.items(), key=lambda x: (x[0][0], x[0][0] != x[0][1], x[0][1])):
         at[i] += n
         cuts[i].append((at[i], j))
-    starts = spark.createDataFrame([(i, b, s) for i, b, s in begin], "old_shard int, block int, begin long")
+    starts = spark.createDataFrame(begin, "old_shard int, block int, begin long")
     table = spark.createDataFrame([(i, [c for c, _ in cuts[i]], [j for _, j in cuts[i]]) for i in range(old)], "old_shard int, upto array<long>, takers array<int>")
-    running = Window.partitionBy("old_shard", "block").orderBy("order", "doc_id", "size")
-    middle = F.col("begin") + F.sum("size").over(running.rowsBetween(Window.unboundedPreceding, 0)) - F.floor((F.col("size") + 1) / 2)
-    # both sides have a row a block or an old shard: bounded by the layout, not by rows
-    known = laid.join(F.broadcast(starts), ["old_shard", "block"]).withColumn("_middle", middle).join(F.broadcast(table), "old_shard")
+    running = Window.partitionBy("old_shard", "block").orderBy("_key")
+    middle = F.col("begin") + F.sum("bytes").over(running.rowsBetween(Window.unboundedPreceding, 0)) - F.floor((F.col("bytes") + 1) / 2)
+    # both sides have a row a block or an old shard
+    known = units.join(F.broadcast(starts), ["old_shard", "block"]).withColumn("_middle", middle).join(F.broadcast(table), "old_shard")
     taken = F.expr("size(filter(upto, c -> c <= _middle))")
-    known = known.withColumn("shard", F.get(F.col("takers"), F.least(taken, F.size("takers") - 1)))
-    within = Window.partitionBy("old_shard", "block", "shard").orderBy("order", "doc_id", "size")
-    known = known.withColumn("_rank", F.row_number().over(within).cast("long") - 1).drop("begin", "_middle", "upto", "takers")
-    known = staged(known)
-    counts = known.groupBy("shard", "old_shard", "block").agg(F.count("*").alias("rows"))
-    before = Window.partitionBy("shard").orderBy("old_shard", "block").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.withColumn("_first", F.coalesce(F.sum("rows").over(before), F.lit(0))).drop("rows")
-    return known.join(F.broadcast(offsets), ["shard", "old_shard", "block"]).withColumn("slot", F.col("_first") + F.col("_rank")).drop("_first", "_rank", "block", "order")
-
-
-def write_shards(resharded: DataFrame, path: str, only_changed: bool = True) -> None:
-    """Rewrite the shards' files; with only_changed, those that lose or gain no row stay as they are."""
-    rows = resharded
+    takers = staged(known.select("_key", F.get(F.col("takers"), F.least(taken, F.size("takers") - 1)).alias("shard")))
+    # a key has few rows: a small group's, or one
+    known = laid.join(takers, "_key")
+    spread = F.pmod(F.xxhash64("_draw"), F.lit(max(1, min(rows // 20_000, BLOCKS // new)))).cast("int")
+    within = Window.partitionBy("shard", "_part").orderBy("_draw")
+    known = staged(known.withColumn("_part", spread).withColumn("_rank", F.row_number().over(within).cast("long") - 1).drop("_key", "_large"))
+    counts = known.groupBy("shard", "_part").agg(F.count("*").alias("rows"))
+    before = Window.partitionBy("shard").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.withColumn("_first", F.coalesce(F.sum("rows").over(before), F.lit(0))).drop("rows")  # at most BLOCKS rows
+    return known.join(F.broadcast(offsets), ["shard", "_part"]).withColumn("slot", F.col("_first") + F.col("_rank")).drop("_first", "_rank", "_part", "_draw")
+
+
+def write_shards(resharded: DataFrame, path: str, new: int, only_changed: bool = True) -> None:
+    """Rewrite the shards' files under ``path``, as folders shard=0 to ``new`` - 1; folders beyond and empty shards go.
+
+    With only_changed, shards that lose or gain no row stay as they are. What is
+    written is read from ``resharded``'s own staged table, never from ``path``.
+    """
+    spark = resharded.sparkSession
+    rows = staged(resharded)
+    fresh = rows
     if only_changed:
-        changed = resharded.filter("shard <> old_shard").selectExpr("explode(array(shard, old_shard)) as shard").distinct()
-        rows = resharded.join(F.broadcast(changed), "shard", "left_semi")
-    rows.repartition("shard").sortWithinPartitions("shard", "slot").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("shard").parquet(path)
+        changed = rows.filter("shard <> old_shard").selectExpr("explode(array(shard, old_shard)) as shard").distinct()
+        fresh = rows.join(F.broadcast(changed), "shard", "left_semi")
+    fresh.repartition("shard").sortWithinPartitions("shard", "slot").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("shard").parquet(path)
+    there = {r.shard for r in rows.select("shard").distinct().collect()}  # at most ``new``
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    for status in files.listStatus(folder) if files.exists(folder) else []:
+        name = status.getPath().getName()
+        if name.startswith("shard=") and (int(name[6:]) >= new or int(name[6:]) not in there):
+            files.delete(status.getPath(), True)

@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from entrygraph.llm.common import arrow_map, arrow_schema, staged
+from entrygraph.llm.common import arrow_map, arrow_schema, dealt, staged
 
 SPAN, CORE, SIDE = 100, 40, 30
 REACH = SPAN - CORE  # a window's core starts within so many bytes of it
@@ -311,7 +311,7 @@ def anchor_pass(docs: DataFrame, buckets: int, homes: int) -> DataFrame:
             yield _batch(rows, schema)
 
     sent = arrow_map(docs.select("doc_id", "text"), send, PARTS)
-    return staged(arrow_map(sent.repartition(buckets, "bucket"), receive, PARTS))
+    return staged(arrow_map(dealt(sent, buckets), receive, PARTS))
 
 
 def with_texts(docs: DataFrame, parts: DataFrame, homes: int) -> DataFrame:
@@ -319,7 +319,7 @@ def with_texts(docs: DataFrame, parts: DataFrame, homes: int) -> DataFrame:
     home = F.pmod(F.coalesce("doc_id", F.lit(int(_LAST))), F.lit(homes)).cast("int")
     texts = docs.select(home.alias("bucket"), F.lit(9).alias("kind"), "doc_id", F.col("text").cast("binary").alias("part"))
     known = parts.select("bucket", "kind", F.lit(None).cast("long").alias("doc_id"), "part")
-    return known.unionByName(texts).repartition(homes, "bucket").sortWithinPartitions("kind")
+    return dealt(known.unionByName(texts), homes).sortWithinPartitions("kind")
 
 
 class Known:
@@ -443,7 +443,7 @@ def window_pass(docs: DataFrame, parts: DataFrame, homes: int, buckets: int) ->
             yield _batch(rows, schema)
 
     sent = arrow_map(with_texts(docs, parts.filter(F.col("kind") == WINDOWS), homes), send, PARTS)
-    return staged(arrow_map(sent.repartition(buckets, "bucket"), receive, PARTS))
+    return staged(arrow_map(dealt(sent, buckets), receive, PARTS))
 
 
 def repeated_spans(docs: DataFrame, with_text: bool = False) -> DataFrame:

@@ -2,6 +2,8 @@ import itertools
 import random
 import zlib
 
+from pyspark.sql import functions as F
+
 from entrygraph.llm import sharding
 
 
@@ -36,27 +38,45 @@ def test_flow_is_the_cheapest():
         assert sum(n * cost(i, j) for (i, j), n in flow.items()) == brute(supply, capacity, cost)
 
 
-def test_shards_are_near_equal_and_move_the_fewest_bytes(spark):
-    rows = [(i, "é" * (i * 37 % 400), "x") for i in range(3000)] + [(7, None, "x"), (None, "a", None), (9, "same", "x"), (9, "same", "x")]
-    docs = spark.createDataFrame(rows, "doc_id long, text string, shard_hint string")
-    got = sharding.reshard(docs, 32, 40).collect()
-    assert len(got) == len(rows)
+def numbered(got):
     sizes, slots, old = {}, {}, {}
     for r in got:
-        assert r.size == len((r.text or "").encode()) + 16
         sizes[r.shard] = sizes.get(r.shard, 0) + r.size
         old[r.old_shard] = old.get(r.old_shard, 0) + r.size
         slots.setdefault(r.shard, []).append(r.slot)
     assert set(sizes) <= set(range(40))
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    return sizes, old
+
+
+def test_shards_are_near_equal_and_move_the_fewest_bytes(spark):
+    rows = [(i, "é" * (i * 37 % 400) + str(i), "x") for i in range(3000)] + [(7, None, "x"), (None, "a", None), (9, "same", "x"), (9, "same", "x"), (None, "a", "y")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, shard_hint string")
+    got = sharding.reshard(docs, 32, 40).collect()
+    assert len(got) == len(rows) and all(r.size == len((r.text or "").encode()) + 16 for r in got)
+    sizes, old = numbered(got)
     mean = sum(sizes.values()) / 40
     assert all(abs(s - mean) <= 4 * 816 for s in sizes.values())
-    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
     moved = sum(r.size for r in got if r.shard != r.old_shard)
     least = sum(max(0, s - mean) for s in old.values())
     assert moved <= least + 40 * 816
     assert sharding.reshard(docs.limit(0), 32, 40).count() == 0
 
 
+def test_equal_texts_stay_together_unless_they_fill_a_shard(spark):
+    """A third of all rows has one text, and null ids; smaller groups lie in one shard each."""
+    rows = [(None, "t" * 300)] * 1500 + [(i, f"group {i % 500} " + "u" * (i % 500 % 30)) for i in range(3000)]
+    got = sharding.reshard(spark.createDataFrame(rows, "doc_id long, text string").repartition(7), 32, 40).collect()
+    assert len(got) == len(rows)
+    sizes, _ = numbered(got)
+    mean = sum(sizes.values()) / 40
+    assert all(abs(s - mean) < mean / 4 for s in sizes.values())
+    shards = {}
+    for r in got:
+        shards.setdefault(r.text, set()).add(r.shard)
+    assert all(len(v) == 1 for k, v in shards.items() if k.startswith("group")) and len(shards["t" * 300]) > 10
+
+
 def test_query_columns(spark, tmp_path):
     from entrygraph.llm import catalog
 
@@ -68,8 +88,15 @@ def test_query_columns(spark, tmp_path):
         assert r.text_crc32 == zlib.crc32(dict(rows)[r.doc_id].encode() if r.doc_id is not None else b"") and r.law == "bytes" and r.grown_shard is None
 
 
-def test_rewritten_files_hold_all_rows_of_changed_shards(spark, tmp_path):
-    docs = spark.createDataFrame([(i, "t" * (i % 50)) for i in range(500)], "doc_id long, text string")
-    done = sharding.reshard(docs, 4, 5)
-    sharding.write_shards(done, str(tmp_path / "out"))
-    assert spark.read.parquet(str(tmp_path / "out")).count() == 500
+def test_rewritten_files_hold_each_row_once(spark, tmp_path):
+    """From 4 shards to 5, and from those to 3: no row stays in a folder that is no shard any more."""
+    path = str(tmp_path / "out")
+    docs = spark.createDataFrame([(i, "t" * (i % 50) + str(i)) for i in range(500)], "doc_id long, text string")
+    sharding.write_shards(sharding.reshard(docs, 4, 5), path, 5, only_changed=False)
+    assert spark.read.parquet(path).count() == 500
+    now = spark.read.parquet(path).withColumn("old_shard", F.col("shard")).withColumn("group", F.xxhash64("text")).drop("shard", "slot")
+    done = sharding.transfer(now, 5, 3).drop("group")
+    sharding.write_shards(done, path, 3)
+    again = spark.read.parquet(path)
+    assert again.count() == 500 == again.select("doc_id").distinct().count() and {r.shard for r in again.select("shard").distinct().collect()} <= {0, 1, 2}
+    assert {p.name for p in (tmp_path / "out").glob("shard=*")} <= {"shard=0", "shard=1", "shard=2"}
