@@ -33,7 +33,8 @@ BASE = (
     ("apache license version 2", "apache-2"),
     ("cc by nc", "cc-by-nc"),
 )
-#: More templates: text, label, and the key phrase that must stand in the match.
+#: More templates: text, label, and the key phrase that must stand in the match. The notices
+#: that files carry, as the licences' own texts give them, in lower case and without punctuation.
 TEMPLATES = (
     ("licensed under the gnu general public license version 3", "gpl-3", "general public license version 3"),
     ("licensed under the gnu general public license version 2", "gpl-2", "general public license version 2"),
@@ -46,6 +47,76 @@ TEMPLATES = (
     ("this is free and unencumbered software released into the public domain", "unlicense", "released into the public domain"),
     ("licensed under the creative commons attribution sharealike license", "cc-by-sa", "attribution sharealike"),
     ("licensed under the creative commons attribution noncommercial license", "cc-by-nc", "attribution noncommercial"),
+    (
+        "licensed under the apache license version 2 0 the license you may not use this file except in compliance with the license you may obtain a copy of the license at",
+        "apache-2",
+        "may not use this file except in compliance with the license",
+    ),
+    (
+        "unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis without warranties or conditions of any kind either express or implied "
+        "see the license for the specific language governing permissions and limitations under the license",
+        "apache-2",
+        "distributed on an as is basis without warranties or conditions",
+    ),
+    (
+        "the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software the software is provided as is without warranty of any kind express or implied",
+        "mit",
+        "included in all copies or substantial portions of the software",
+    ),
+    (
+        "redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer redistributions in binary form must reproduce the above copyright notice "
+        "this list of conditions and the following disclaimer in the documentation and or other materials provided with the distribution",
+        "bsd",
+        "redistributions of source code must retain the above copyright notice",
+    ),
+    (
+        "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies",
+        "isc",
+        "for any purpose with or without fee is hereby granted",
+    ),
+    (
+        "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 3 of the license "
+        "or at your option any later version",
+        "gpl-3",
+        "gnu general public license as published by the free software foundation either version 3",
+    ),
+    (
+        "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 2 of the license "
+        "or at your option any later version",
+        "gpl-2",
+        "gnu general public license as published by the free software foundation either version 2",
+    ),
+    (
+        "this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation",
+        "lgpl",
+        "terms of the gnu lesser general public license as published",
+    ),
+    (
+        "this program is free software you can redistribute it and or modify it under the terms of the gnu affero general public license as published by the free software foundation",
+        "agpl",
+        "terms of the gnu affero general public license as published",
+    ),
+    (
+        "this source code form is subject to the terms of the mozilla public license v 2 0 if a copy of the mpl was not distributed with this file you can obtain one at",
+        "mpl-2",
+        "subject to the terms of the mozilla public license v 2 0",
+    ),
+    (
+        "this program and the accompanying materials are made available under the terms of the eclipse public license 2 0 which is available at",
+        "epl-2",
+        "terms of the eclipse public license 2 0",
+    ),
+    ("distributed under the boost software license version 1 0 see accompanying file", "bsl-1", "boost software license version 1 0"),
+    (
+        "anyone is free to copy modify publish use compile sell or distribute this software either in source code form or as a compiled binary for any purpose commercial or non commercial and by any means",
+        "unlicense",
+        "anyone is free to copy modify publish use compile sell or distribute this software",
+    ),
+    (
+        "to the extent possible under law the person who associated cc0 with this work has waived all copyright and related or neighboring rights to this work",
+        "cc0-1",
+        "has waived all copyright and related or neighboring rights",
+    ),
 )
 #: Rare words a template is looked up by, and the share of a template's words that has to be in place.
 RARE, SHARE = 2, 0.6
@@ -62,9 +133,9 @@ def words_of(text: Column) -> Column:
 def document_frequencies(docs: DataFrame, vocabulary: list[str]) -> dict[str, int]:
     """In how many documents each word of ``vocabulary`` stands; one row a word reaches the driver."""
     terms = F.array(*[F.lit(w) for w in vocabulary])
-    # the words first: within the generator the split would be computed again for every use
-    words = docs.select(words_of(text_or_empty(F.col("text"))).alias("words")).select(F.array_intersect("words", terms).alias("words"))
-    found = words.select(F.explode("words").alias("word"))
+    # not explode: Spark would filter by the size of what it explodes first, and split every text again for it
+    words = docs.select(F.array_intersect(words_of(text_or_empty(F.col("text"))), terms).alias("words"))
+    found = words.select(F.explode_outer("words").alias("word")).filter("word is not null")
     counts = {r.word: r["count"] for r in found.groupBy("word").count().collect()}
     return {w: counts.get(w, 0) for w in vocabulary}
 

@@ -44,7 +44,8 @@ AROUND = " \t\r"
 
 def _lines(docs: DataFrame) -> DataFrame:
     """Lines with a word: doc_id, th (the text's hash), line_no, norm, n."""
-    at = docs.select("doc_id", F.xxhash64("text").alias("th"), F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
+    # the outer form, here and below: Spark would filter by the size of the array first, and compute it once more for that
+    at = docs.select("doc_id", F.xxhash64("text").alias("th"), F.posexplode_outer(F.split("text", "\n")).alias("line_no", "line"))
     return at.withColumn("norm", F.btrim("line", F.lit(AROUND))).drop("line").filter("norm <> ''").withColumn("n", F.length("norm"))
 
 
@@ -128,7 +129,7 @@ def _near(lines: DataFrame, distinct: DataFrame, least_length: int) -> DataFrame
     while not (held := held.filter(F.col("n") > REST)).isEmpty():
         held = staged(_narrowed(held))
         short = short.unionByName(held.filter(F.col("n") <= REST))
-    emitted = short.select("first", F.inline(_variants()))
+    emitted = short.select("first", F.inline_outer(_variants())).filter("v is not null")
     least = lambda role: F.min(F.when(F.col("role") == role, F.struct("first", "place"))).alias(role)
     met = emitted.groupBy("v").agg(F.count("*").alias("_n"), least("same"), least("shorter"), least("longer")).filter("_n > 1").drop("_n")
     role = F.col("role")

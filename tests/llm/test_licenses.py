@@ -43,3 +43,40 @@ def test_a_template_is_found_without_its_rarest_words(spark):
     rows = [(1, "released under the creative commons attribution sharealike licence")]
     (got,) = licenses.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert (got.labels, got.score) == ("cc-by-sa", 6 / 8)
+
+
+def plain_labels(text):
+    """Labels and score by trying every template at every place."""
+    low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    words = WORD.findall(low)
+    labels, best = set(filter(None, plain(text)[4].split(","))), 0.0
+    for template, label, key in licenses.TEMPLATES:
+        t, k = template.split(), key.split()
+        at = next(i for i in range(len(t)) if t[i : i + len(k)] == k)
+        share = 0.0
+        for i in range(len(words) - len(k) + 1):
+            if words[i : i + len(k)] == k:
+                start = i - at
+                share = max(share, sum(0 <= start + j < len(words) and words[start + j] == w for j, w in enumerate(t)) / len(t))
+        best = max(best, share)
+        if share >= licenses.SHARE:
+            labels.add(label)
+    return ",".join(sorted(labels)), 1.0 if plain(text)[1] else best
+
+
+def test_labels_and_score_against_every_place(spark):
+    rng = random.Random(8)
+    texts = [None, ""]
+    for template, _, key in licenses.TEMPLATES:
+        words = template.split()
+        texts += [template.upper(), " ".join(words[:-1]), "before " + ", ".join(words) + ". " + template, key, key + " " + key]
+        for _ in range(4):
+            some = [w if rng.random() < 0.75 else rng.choice(["other", "license", "the"]) for w in words]
+            at = rng.randrange(len(some))
+            texts.append("x " * rng.randint(0, 5) + " ".join(some) + rng.choice(["", " " + key]) + " " + " ".join(words[at:]))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: (r.labels, round(r.score, 9)) for r in licenses.scan_licenses(docs).collect()}
+    assert got == {i: (p[0], round(p[1], 9)) for i, t in enumerate(texts) for p in [plain_labels(t)]}
+    # what other documents hold decides nothing
+    alone = {i: licenses.scan_licenses(docs.filter(f"doc_id = {i}")).first() for i in (5, 40, 90)}
+    assert {i: (r.labels, round(r.score, 9)) for i, r in alone.items()} == {i: got[i] for i in alone}
