@@ -280,11 +280,16 @@ def models(ranks_file: bytes) -> tuple[Encoder, Decoder]:
     return _models[key]
 
 
-def encode_documents(docs: DataFrame, path: str, with_ids: bool = False) -> DataFrame:
-    """One row a document: token count and digests of the ids and of the decoded bytes; with_ids adds ids."""
+def encode_documents(docs: DataFrame, path: str, with_ids: bool = False, with_offsets: bool = False) -> DataFrame:
+    """One row a document: token count and digests of the ids and of the decoded bytes.
+
+    with_ids adds ids; with_offsets adds them and, for each slice, where it
+    starts in the text (starts, in code points) and where its ids end (ends).
+    """
+    with_ids = with_ids or with_offsets
     with open(path, "rb") as f:  # a small file of the tokenizer library, on the driver
         ranks_file = docs.sparkSession.sparkContext.broadcast(f.read())
-    ddl = SCHEMA + (", ids array<int>" if with_ids else "")
+    ddl = SCHEMA + (", ids array<int>" if with_ids else "") + (", starts array<int>, ends array<int>" if with_offsets else "")
     schema = arrow_schema(ddl)
 
     def run(batches):
@@ -297,7 +302,7 @@ def encode_documents(docs: DataFrame, path: str, with_ids: bool = False) -> Data
                 while j < len(texts) and (j == i or size + len(texts[j]) <= BLOCK):
                     size += len(texts[j])
                     j += 1
-                rows, ids = [], []
+                rows, ids, starts, ends = [], [], [], []
                 split = slices(texts[i:j])
                 encoder.learn(split)
                 for parts in split:
@@ -307,11 +312,51 @@ def encode_documents(docs: DataFrame, path: str, with_ids: bool = False) -> Data
                     rows.append((line.count(",") + 1 if line else 0, hashlib.sha256(line.encode()).hexdigest(), decoded.hexdigest()))
                     if with_ids:
                         ids.append(np.fromstring(line, np.int32, sep=","))
-                columns = [pa.array(list(c), type=f.type) for c, f in zip(zip(*rows), list(schema)[1:])]
-                if with_ids:
-                    ends = np.cumsum([0, *map(len, ids)]).astype(np.int32)
-                    columns.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(ids))).cast(pa.list_(pa.int32())))
+                    if with_offsets:
+                        starts.append(np.cumsum([0, *map(len, parts)][:-1], dtype=np.int32) if parts else np.zeros(0, np.int32))
+                        ends.append(np.cumsum([c.count(",") + 1 for c in coded], dtype=np.int32))
+                columns = [pa.array(list(c), type=f.type) for c, f in zip(zip(*rows), list(schema)[1:4])]
+                columns += [_lists(x) for x in ([ids] if with_ids else []) + ([starts, ends] if with_offsets else [])]
                 yield pa.record_batch([doc_ids.slice(i, j - i), *columns], schema=schema)
                 i = j
 
     return arrow_map(docs.select("doc_id", "text"), run, ddl)
+
+
+def _lists(arrays: list[np.ndarray]) -> pa.Array:
+    ends = np.cumsum([0, *map(len, arrays)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(arrays).astype(np.int32))).cast(pa.list_(pa.int32()))
+
+
+def decode_documents(encoded: DataFrame, path: str) -> DataFrame:
+    """doc_id and text from rows with doc_id, ids and, where there are, starts and ends.
+
+    With offsets each slice is decoded by itself and must begin where it began;
+    null ids are no ids; ids that no rank has end the read.
+    """
+    with open(path, "rb") as f:
+        ranks_file = encoded.sparkSession.sparkContext.broadcast(f.read())
+    ddl = "doc_id long, text string"
+    schema = arrow_schema(ddl)
+    sliced = "starts" in encoded.columns
+
+    def run(batches):
+        bytes_of = {int(i): b for i, b in models(ranks_file.value)[1].bytes_of.items()}
+        for batch in batches:
+            texts = []
+            for row in zip(*(batch.column(k).to_pylist() for k in range(1, batch.num_columns))):
+                ids = row[0] or []
+                if not sliced:
+                    texts.append(b"".join([bytes_of[i] for i in ids]).decode("utf-8"))
+                    continue
+                begin = [0, *(row[2] or [])]
+                parts = [b"".join([bytes_of[i] for i in ids[a:b]]).decode("utf-8") for a, b in zip(begin, begin[1:])]
+                at = 0
+                for start, part in zip(row[1] or [], parts):
+                    if start != at:
+                        raise ValueError(f"a slice that began at {start} decodes to begin at {at}")
+                    at += len(part)
+                texts.append("".join(parts))
+            yield pa.record_batch([batch.column(0), pa.array(texts, pa.string())], schema=schema)
+
+    return arrow_map(encoded.select("doc_id", "ids", *(["starts", "ends"] if sliced else [])), run, ddl)

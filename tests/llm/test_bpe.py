@@ -3,6 +3,7 @@ import hashlib
 
 import public_tokenizers as P
 import pyarrow.parquet as pq
+import pytest
 import regex
 import tiktoken
 from hypothesis import given, settings
@@ -73,3 +74,18 @@ def test_table(spark):
 
 def test_ranks_file_is_read_whole():
     assert len(RANKS) == sum(1 for _ in open(PATH, "rb")) and base64.b64encode(next(iter(RANKS)))
+
+
+def test_offsets_and_decoding(spark):
+    texts = ["It's  a\n\n test's é漢字😀 end", "", "x" * 300 + " 12", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    coded = bpe.encode_documents(docs, PATH, with_offsets=True)
+    for r in coded.collect():
+        parts = regex.findall(P.PATTERN, texts[r.doc_id] or "")
+        assert r.starts == [sum(map(len, parts[:i])) for i in range(len(parts))] and len(r.ends) == len(parts)
+        assert [r.ids[a:b] for a, b in zip([0, *r.ends], r.ends)] == [ORACLE.encode_ordinary(p) for p in parts]
+    for form in (coded, coded.drop("starts", "ends")):
+        assert {r.doc_id: r.text for r in bpe.decode_documents(form, PATH).collect()} == {i: t or "" for i, t in enumerate(texts)}
+    moved = coded.filter("doc_id = 0").selectExpr("doc_id", "ids", "transform(starts, x -> x + 1) as starts", "ends")
+    with pytest.raises(Exception, match="decodes to begin"):
+        bpe.decode_documents(moved, PATH).collect()

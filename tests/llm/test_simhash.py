@@ -1,11 +1,13 @@
 import random
 import re
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
 import xxhash
 
 from entrygraph.llm import simhash
+from tests.oracle import DATA, PRESENT
 
 WORD = re.compile("[^\x20\x09-\x0d]+")
 
@@ -200,3 +202,22 @@ def test_similar_documents_whose_sampled_shingles_differ(spark):
             rows += [(len(rows), " ".join(a)), (len(rows) + 1, " ".join(b))]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     assert sorted(r.doc_id for r in simhash.keep_one(docs, 5).collect()) == list(range(0, 40, 2))
+
+
+@pytest.mark.skipif(not PRESENT, reason="needs the driver's tables")
+def test_recall_on_the_documents(spark):
+    """Documents whose id is divisible by 20 against all: every similar pair, by counting all shared shingles, has one class."""
+    docs = spark.read.parquet(DATA.replace("0.001", "0.01") + "/documents.parquet")
+    sets = {r.doc_id: set(simhash._shingle_hashes(r.text, 5).tolist()) for r in docs.select("doc_id", "text").collect()}
+    holders = defaultdict(list)
+    for k, x in sets.items():
+        for h in x:
+            holders[h].append(k)
+    root = {r.doc_id: r.root for r in simhash.near_copies(docs, 5).collect()}
+    links = found = 0
+    for k in (k for k in sets if k % 20 == 0 and sets[k]):
+        shared = Counter(j for h in sets[k] for j in holders[h])
+        for j, n in shared.items():
+            if j != k and n >= 0.8 * (len(sets[k]) + len(sets[j]) - n):
+                links, found = links + 1, found + (root[j] == root[k])
+    assert links and found == links
