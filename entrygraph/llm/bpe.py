@@ -258,11 +258,14 @@ class Decoder(dict):
     def __init__(self, ranks: dict[bytes, int]):
         super().__init__()
         self.bytes_of = {str(i): b for b, i in ranks.items()}
+        self.before: dict[str, bytes] = {}
 
     def __missing__(self, ids: str) -> bytes:
         if len(self) >= CACHED:
+            self.before = dict(self)
             self.clear()
-        out = b"".join([self.bytes_of[i] for i in ids.split(",")]) if ids else b""
+        if (out := self.before.get(ids)) is None:
+            out = b"".join([self.bytes_of[i] for i in ids.split(",")]) if ids else b""
         if len(ids) < 256:
             self[ids] = out
         return out
