@@ -34,18 +34,18 @@ def _cut(page: Column, after: Column, start: Column, end: Column) -> Column:
     return F.when(once, reflow(F.coalesce(here, F.when(after != "", spill))))
 
 
-def slice_description(page: Column, after: Column, start: Column, end: Column) -> Column:
-    """The text between the anchors, tried on the page as it is, then reflowed."""
+def slice_description(page: Column, after: Column, start: Column, end: Column, flow: Column | None = None, after_flow: Column | None = None) -> Column:
+    """The text between the anchors, tried on the page as it is, then reflowed (``flow``, if known already)."""
     first, last = pattern_of(start), pattern_of(end)
     raw = _cut(page, after, first, last)
-    flowed = _cut(reflow(page), reflow(after), first, last)
+    flowed = _cut(reflow(page) if flow is None else flow, reflow(after) if after_flow is None else after_flow, first, last)
     return F.when(~_blank(start) & ~_blank(end), F.coalesce(raw, flowed))
 
 
-def unsliced_reason(page: Column, start: Column, end: Column) -> Column:
+def unsliced_reason(page: Column, start: Column, end: Column, flow: Column | None = None) -> Column:
     """Why there is no slice: the first text in which the start occurs decides."""
     p = F.concat(F.lit("(?sU)"), pattern_of(start))
-    raw, flowed = F.regexp_count(page, p), F.regexp_count(reflow(page), p)
+    raw, flowed = F.regexp_count(page, p), F.regexp_count(reflow(page) if flow is None else flow, p)
     hits = F.when(raw > 0, raw).otherwise(flowed)
     return (
         F.when(_blank(start) | _blank(end), "empty_anchor")
@@ -59,7 +59,11 @@ def unsliced_reason(page: Column, start: Column, end: Column) -> Column:
 def description(page: Column, after: Column, start: Column, end: Column) -> tuple[Column, Column, Column]:
     """(description, its source, the reason there is none)."""
     cut = slice_description(page, after, start, end)
-    reason = F.when(cut.isNull(), unsliced_reason(page, start, end))
+    return described(cut, F.when(cut.isNull(), unsliced_reason(page, start, end)), start)
+
+
+def described(cut: Column, reason: Column, start: Column) -> tuple[Column, Column, Column]:
+    """The same from a slice and a reason that are columns already."""
     text = F.coalesce(cut, F.when(reason == "stub", start))
     source = F.when(cut.isNotNull(), "sliced").when(reason == "stub", "stub").otherwise("none")
     return text, source, reason

@@ -134,9 +134,19 @@ def section_faults(sections: DataFrame, roles: list[str]) -> DataFrame:
 
 
 def sliced(entries: DataFrame, pages: DataFrame) -> DataFrame:
-    """description, description_source and unsliced_reason of entries from their page and the next."""
-    here = pages.select("guide_id", "page", F.col("text").alias("_page"))
-    after = pages.select("guide_id", (F.col("page") - 1).alias("page"), F.col("text").alias("_after"))
+    """description, description_source and unsliced_reason of entries from their page and the next.
+
+    A page is reflowed once, before its entries meet it, and a slice is looked
+    for once: what is read off it are columns of a step of their own.
+    """
+    flowed = pages.withColumn("_flow", slicing.reflow(F.col("text")))
+    here = flowed.select("guide_id", "page", F.col("text").alias("_page"), "_flow")
+    after = flowed.select("guide_id", (F.col("page") - 1).alias("page"), F.col("text").alias("_after"), F.col("_flow").alias("_after_flow"))
     e = entries.join(here, ["guide_id", "page"], "left").join(after, ["guide_id", "page"], "left")
-    d, source, reason = slicing.description(F.coalesce("_page", F.lit("")), F.col("_after"), F.col("start_quote"), F.col("end_quote"))
-    return e.withColumn("description", d).withColumn("description_source", source).withColumn("unsliced_reason", reason).drop("_page", "_after")
+    e = e.withColumn("_page", F.coalesce("_page", F.lit(""))).withColumn("_flow", F.coalesce("_flow", F.lit("")))
+    start, end = F.col("start_quote"), F.col("end_quote")
+    e = e.withColumn("_cut", slicing.slice_description(F.col("_page"), F.col("_after"), start, end, F.col("_flow"), F.col("_after_flow")))
+    e = e.withColumn("_reason", F.when(F.col("_cut").isNull(), slicing.unsliced_reason(F.col("_page"), start, end, F.col("_flow"))))
+    d, source, reason = slicing.described(F.col("_cut"), F.col("_reason"), start)
+    out = e.withColumn("description", d).withColumn("description_source", source).withColumn("unsliced_reason", reason)
+    return out.drop("_page", "_flow", "_after", "_after_flow", "_cut", "_reason")
