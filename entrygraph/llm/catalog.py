@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from entrygraph.llm import bpe, decontaminate, licenses, lines, lm, pii, quality, sharding, simhash, suffixes
+from entrygraph.llm import bpe, decontaminate, licenses, lines, lm, periods, pii, quality, sharding, simhash, suffixes
 from entrygraph.llm.common import table, text_or_empty
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -57,8 +57,13 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_quality(table(spark, sf_dir, "documents")).select(*names)
 
 
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periods.run_report(table(spark, sf_dir, "documents"), plant=True)
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_lines, op2_pii, op3_byte_bpe, op4_licenses, op5_suffixes, op6_simhash, op7_sharding, op8_decontaminate, op9_language_model, op10_quality)}
+    found = (op1_lines, op2_pii, op3_byte_bpe, op4_licenses, op5_suffixes, op6_simhash, op7_sharding, op8_decontaminate, op9_language_model, op10_quality, op12_periodic_runs)
+    return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict:

@@ -11,4 +11,4 @@ def test_query_agrees_with_its_sql(spark, name):
 
 
 def test_one_query_for_each_operator():
-    assert sorted(int(n[2:].split("_")[0]) for n in catalog.queries()) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in catalog.queries()) == list(range(1, 14))
