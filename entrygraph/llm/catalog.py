@@ -6,10 +6,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from entrygraph.llm import bpe, decontaminate, licenses, lines, lm, periods, pii, quality, sharding, simhash, suffixes
+from entrygraph.llm import align, bpe, decontaminate, html, licenses, lines, lm, periods, pii, quality, sharding, simhash, suffixes
 from entrygraph.llm.common import table, text_or_empty
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
+ALIGNED = ("byte_bpe_50k.json", "piece_bpe_32k.model")
 
 
 def op1_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -57,12 +58,20 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_quality(table(spark, sf_dir, "documents")).select(*names)
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align.aligned(table(spark, sf_dir, "documents"), *map(public_tokenizers.path, ALIGNED))
+
+
 def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periods.run_report(table(spark, sf_dir, "documents"), plant=True)
 
 
+def op13_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.main_text(table(spark, sf_dir, "pages"))
+
+
 def queries() -> dict:
-    found = (op1_lines, op2_pii, op3_byte_bpe, op4_licenses, op5_suffixes, op6_simhash, op7_sharding, op8_decontaminate, op9_language_model, op10_quality, op12_periodic_runs)
+    found = (op1_lines, op2_pii, op3_byte_bpe, op4_licenses, op5_suffixes, op6_simhash, op7_sharding, op8_decontaminate, op9_language_model, op10_quality, op11_alignment, op12_periodic_runs, op13_main_text)
     return {f.__name__: f for f in found}
 
 
