@@ -13,7 +13,8 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from entrygraph.functions import similarity, text
+from entrygraph.functions import text
+from entrygraph.operators import similar
 from entrygraph.plans.staging import written
 
 #: Columns that items and features share, such as guide_id, and within which alone they meet.
@@ -21,6 +22,8 @@ Scope = Sequence[str]
 
 # Least scores, tolerance in metres, and how many candidates a case lists.
 FUZZY, FLOOR, TOLERANCE, LISTED = 90, 60, 50.0, 10
+#: Cutoffs at which a shortlist is looked for, until it is full.
+LEVELS = (FUZZY, 80, 70, FLOOR)
 NEAR_TYPES = (("peak", "pass", "ridge"), ("hut", "settlement"))
 RANKS = {"review": 4, "exact": 3, "fuzzy": 2, "llm": 1}
 OUTCOMES = ("exact", "fuzzy", "llm", "review", "tie", "skipped", "unmatched")
@@ -58,35 +61,21 @@ def _bare(met: DataFrame, scope: Scope) -> DataFrame:
 
 def exact_candidates(items: DataFrame, gazetteer: DataFrame, scope: Scope = ()) -> DataFrame:
     """Items (item_id, name, type, elevation_m) with the features of the same key that pass the guards."""
-    features = _features(gazetteer, scope)
-    met = items.join(features, (text.norm_key(F.col("name")) == F.col("g_key")) & _same_scope(items, features, scope))
+    return _exact(_keyed(items), _features(gazetteer, scope), scope).drop("key")
+
+
+def _exact(keyed: DataFrame, features: DataFrame, scope: Scope) -> DataFrame:
+    met = keyed.join(features, (keyed["key"] == features["g_key"]) & _same_scope(keyed, features, scope))
     return _bare(met, scope).filter(guards(F.col("type"), F.col("elevation_m"), F.col("g_type"), F.col("g_ele"))).withColumn("score", F.lit(100.0))
 
 
 def similar_keys(left: DataFrame, right: DataFrame, least: int, scope: Scope = ()) -> DataFrame:
-    """(key, g_key, score, and gap and total, which decide) of distinct keys of one scope, similar by at least ``least``.
-
-    Keys meet within their scope, and only where their lengths allow the score.
-    The edit distance, computed no further than it may go (it is never above
-    the Indel distance), cuts most of the rest in compiled code; what is left
-    gets the exact score.
-    """
-    slack = 100 - least
-    a = left.select("key", *scope).distinct().withColumn("_n", F.length("key"))
-    b = right.select("g_key", *[f"g_{c}" for c in scope]).distinct().withColumn("_m", F.length("g_key"))
-    # |n - m| * 100 <= slack * (n + m) bounds the lengths that may meet
-    low, high = F.ceil(F.col("_n") * (100 - slack) / (100 + slack)), F.floor(F.col("_n") * (100 + slack) / (100 - slack))
-    a = a.withColumn("_length", F.explode(F.sequence(low.cast("int"), high.cast("int"))))
-    met = a.join(b, (F.col("_length") == F.col("_m")) & _same_scope(a, b, scope))
-    met = _bare(met, scope).withColumn("total", F.col("_n") + F.col("_m")).withColumn("_most", F.floor(F.lit(slack) * F.col("total") / 100).cast("int"))
-    met = met.filter(F.expr("levenshtein(key, g_key, _most) >= 0"))
-    met = met.withColumn("_lcs", similarity.lcs_batched(F.col("key"), F.col("g_key"))).withColumn("gap", F.col("total") - 2 * F.col("_lcs"))
-    return met.filter(near_enough(least)).select("key", "g_key", *scope, similarity.ratio(F.col("_lcs"), F.col("total")).alias("score"), "gap", "total")
+    """(key, g_key, score, and gap and total, which decide) of distinct keys of one scope, similar by at least ``least``."""
+    return similar.similar(left, _feature_keys(right, scope), least, scope)
 
 
-def near_enough(least: int) -> Column:
-    """By the unrounded similarity."""
-    return F.lit(100) * F.col("gap") <= F.lit(100 - least) * F.col("total")
+def _feature_keys(features: DataFrame, scope: Scope = ()) -> DataFrame:
+    return features.select(F.col("g_key").alias("key"), *[F.col(f"g_{c}").alias(c) for c in scope])
 
 
 def _keyed(items: DataFrame) -> DataFrame:
@@ -94,14 +83,15 @@ def _keyed(items: DataFrame) -> DataFrame:
 
 
 def _met(items: DataFrame, keys: DataFrame, features: DataFrame, scope: Scope) -> DataFrame:
-    """Items with the features of the keys that are similar to theirs."""
-    met = _keyed(items).join(keys, ["key", *scope])
+    """Items, keyed, with the features of the keys that are similar to theirs."""
+    met = items.join(keys, ["key", *scope])
     return _bare(met.join(features, (met["g_key"] == features["g_key"]) & _same_scope(met, features, scope)), scope).drop(met["g_key"], features["g_key"], "key", "gap", "total")
 
 
 def similar_candidates(items: DataFrame, gazetteer: DataFrame, least: int, guarded: bool, scope: Scope = ()) -> DataFrame:
-    features = _features(gazetteer, scope)
-    met = _met(items, similar_keys(_keyed(items), features, least, scope), features, scope)
+    features = written(_features(gazetteer, scope))
+    keyed = written(_keyed(items))
+    met = _met(keyed, similar_keys(keyed, features, least, scope), features, scope)
     return met.filter(guards(F.col("type"), F.col("elevation_m"), F.col("g_type"), F.col("g_ele"))) if guarded else met
 
 
@@ -127,15 +117,22 @@ def cascade(items: DataFrame, gazetteer: DataFrame, scope: Scope = ()) -> DataFr
     """items with level (exact, fuzzy, none) and candidates: fuzzy only where exact found none.
 
     With ``scope`` (such as guide_id, held by items and gazetteer), an item meets
-    the features of its own scope only. Each level's result is written once.
+    the features of its own scope only. Each level's result is written once. A
+    shortlist is looked for at falling cutoffs, as far as it takes to fill it.
     """
-    by, features = ["item_id", *scope], _features(gazetteer, scope)
-    exact = written(_listed(exact_candidates(items, gazetteer, scope), "exact", by))
-    rest = _keyed(items.join(exact.select(*by), by, "left_anti"))
-    keys = written(similar_keys(rest, features, FLOOR, scope))
-    near = _met(rest.drop("key"), keys.filter(near_enough(FUZZY)), features, scope).filter(guards(F.col("type"), F.col("elevation_m"), F.col("g_type"), F.col("g_ele")))
+    # names are folded once: all levels read the keys
+    by, features, keyed = ["item_id", *scope], written(_features(gazetteer, scope)), written(_keyed(items))
+    exact = written(_listed(_exact(keyed, features, scope), "exact", by))
+    rest = keyed.join(exact.select(*by), by, "left_anti")
+    left, right = similar.ordered(rest, _feature_keys(features, scope), scope)
+    keys = written(similar.scored(similar.candidates(left, right, FUZZY, scope), FUZZY, scope))
+    near = _met(rest, keys, features, scope).filter(guards(F.col("type"), F.col("elevation_m"), F.col("g_type"), F.col("g_ele")))
     fuzzy = written(_listed(best_only(near, scope), "fuzzy", by))
-    open_ = rest.join(fuzzy.select(*by), by, "left_anti").select(*by, "key").join(_listed(shortlists(keys, features, scope), "none", ["key", *scope]), ["key", *scope]).drop("key")
+    open_ = rest.join(fuzzy.select(*by), by, "left_anti").select(*by, "key")
+    weights = features.groupBy("g_key", *[F.col(f"g_{c}").alias(c) for c in scope]).agg(F.count("*").alias("weight"))
+    asked = left.join(open_.select("key", *scope), ["key", *scope], "left_semi")
+    keys = reduce(DataFrame.unionByName, similar.falling(asked, right, weights, LEVELS, LISTED, keys, scope))
+    open_ = open_.join(_listed(shortlists(keys, features, scope), "none", ["key", *scope]), ["key", *scope]).drop("key")
     found = exact.unionByName(fuzzy).unionByName(open_)
     return items.join(found, by, "left").withColumn("level", F.coalesce("level", F.lit("none")))
 
