@@ -260,23 +260,27 @@ _ROLES = ["foreword", "places", "routes", "traverses"]
 
 @registered("""
 WITH s AS (SELECT n_regionkey AS guide_id, n_nationkey AS position, n_nationkey * 7 + 3 AS book_page FROM nation)
-SELECT guide_id, position, book_page AS first_page, coalesce(lead(book_page) OVER (PARTITION BY guide_id ORDER BY book_page) - 1, 500) AS last_page FROM s""")
+SELECT guide_id, position, book_page AS first_page, lead(book_page) OVER (PARTITION BY guide_id ORDER BY position) - 1 AS last_page FROM s""")
 def section_ranges(spark, d):
     s = read(spark, d, "nation").select(F.col("n_regionkey").alias("guide_id"), F.col("n_nationkey").alias("position"), (F.col("n_nationkey") * 7 + 3).alias("book_page"))
-    return entries.section_ranges(s, F.lit(500)).select("guide_id", "position", "first_page", "last_page")
+    return entries.section_ranges(s).select("guide_id", "position", "first_page", "last_page")
 
 
 @registered("""
-WITH s AS (SELECT n_regionkey AS guide_id, n_nationkey AS position, CASE WHEN n_nationkey % 4 = 3 THEN n_nationkey ELSE n_nationkey * 7 + 3 END AS book_page,
-  CASE n_nationkey % 6 WHEN 0 THEN 'places' WHEN 1 THEN 'routes' WHEN 2 THEN 'traverses' WHEN 3 THEN 'index' ELSE 'foreword' END AS role FROM nation),
-p AS (SELECT *, lag(book_page) OVER (PARTITION BY guide_id ORDER BY position) AS prior FROM s)
-SELECT guide_id, position, 'unknown_role' AS fault FROM p WHERE role = 'index' UNION ALL SELECT guide_id, position, 'not_ascending' FROM p WHERE book_page <= prior
-UNION ALL SELECT guide_id, NULL, 'no_traverses' FROM p GROUP BY guide_id HAVING count(*) FILTER (role = 'traverses') = 0""")
+WITH s AS (SELECT n_regionkey AS guide_id, n_nationkey AS position, n_nationkey // 4 * 28 AS book_page,
+  CASE n_nationkey % 6 WHEN 0 THEN 'places' WHEN 1 THEN 'routes' WHEN 2 THEN 'traverses' WHEN 3 THEN 'index' ELSE 'foreword' END AS role FROM nation WHERE n_regionkey <> 4),
+t AS (SELECT guide_id, position, CASE WHEN position % 11 = 7 THEN 1 ELSE book_page END AS book_page, role FROM s)
+SELECT guide_id, position, 'unknown_role' AS fault FROM t WHERE role NOT IN ('foreword', 'places', 'routes', 'traverses')
+UNION ALL SELECT a.guide_id, a.position, 'not_ascending' FROM t a WHERE a.book_page < (SELECT b.book_page FROM t b WHERE b.guide_id = a.guide_id AND b.position < a.position ORDER BY b.position DESC LIMIT 1)
+UNION ALL SELECT guide_id, NULL, 'no_traverses' FROM t GROUP BY guide_id HAVING NOT bool_or(role = 'traverses')
+UNION ALL SELECT r_regionkey, NULL, 'empty' FROM region WHERE r_regionkey NOT IN (SELECT guide_id FROM t)""")
 def section_faults(spark, d):
+    """Some maps have equal pages, which is no fault, some a page out of order, and one guide has no sections."""
     k = F.col("n_nationkey")
     role = F.when(k % 6 == 0, "places").when(k % 6 == 1, "routes").when(k % 6 == 2, "traverses").when(k % 6 == 3, "index").otherwise("foreword")
-    s = read(spark, d, "nation").select(F.col("n_regionkey").alias("guide_id"), k.alias("position"), F.when(k % 4 == 3, k).otherwise(k * 7 + 3).alias("book_page"), role.alias("role"))
-    return entries.section_faults(s, _ROLES)
+    page = F.when(k % 11 == 7, 1).otherwise(F.floor(k / 4) * 28)
+    s = read(spark, d, "nation").filter("n_regionkey <> 4").select(F.col("n_regionkey").alias("guide_id"), k.alias("position"), page.alias("book_page"), role.alias("role"))
+    return entries.section_faults(s, _ROLES, read(spark, d, "region").select(F.col("r_regionkey").alias("guide_id")))
 
 
 # gazetteer
@@ -752,21 +756,20 @@ def place_features(spark, d):
     return planning.place_features(read(spark, d, "graph_place_links"), read(spark, d, "graph_pois")).select("place_id", "poi_id", "name", "ele")
 
 
-_POLICY = {"places": "places and what is filed under them", "routes": "routes", "traverses": "tours that end nowhere in particular"}
-
-
 @registered("""
-WITH s AS (SELECT n_regionkey AS guide_id, n_nationkey AS position, n_name AS title, CASE n_nationkey % 4 WHEN 0 THEN 'places' WHEN 1 THEN 'routes' WHEN 2 THEN 'traverses' ELSE 'index' END AS role, n_nationkey * 7 + 3 AS first_page FROM nation),
-r AS (SELECT *, coalesce(lead(first_page) OVER (PARTITION BY guide_id ORDER BY first_page) - 1, 150) AS last_page FROM s),
-l AS (SELECT *, '- ' || title || ' (' || CASE WHEN last_page > first_page THEN 'pp. ' || first_page || '-' || last_page ELSE 'p. ' || first_page END || '): ' ||
-  CASE role WHEN 'places' THEN 'places and what is filed under them' WHEN 'routes' THEN 'routes' WHEN 'traverses' THEN 'tours that end nowhere in particular' ELSE '' END AS line FROM r)
-SELECT guide_id, 'Sections:' || chr(10) || string_agg(line, chr(10) ORDER BY position) AS block FROM l GROUP BY guide_id""")
+WITH s AS (SELECT n_regionkey AS guide_id, n_nationkey AS position, n_name AS title, n_nationkey % 6 AS role, n_nationkey * 7 + 3 AS page FROM nation),
+r AS (SELECT *, lead(page) OVER (PARTITION BY guide_id ORDER BY position) - 1 AS last FROM s),
+l AS (SELECT *, '- ' || title || ' (book pp. ' || page || CASE WHEN last IS NULL THEN '+' ELSE '–' || last END || ') — ' || CASE role
+  WHEN 0 THEN 'front matter — holds no Entries; skip.' WHEN 1 THEN 'valley places — Places (towns/localities) and any short Routes filed under them.' WHEN 2 THEN 'huts — Places (huts) and the Routes (Zugänge) filed under them.'
+  WHEN 3 THEN 'TRAVERSES — every itinerary here is kind=traverse: a range-wide tour filed under NO Place (no Destination). Not kind=route.' WHEN 4 THEN 'peaks — Places (summits) and the Routes filed under them.'
+  ELSE 'back matter — holds no Entries; skip.' END AS line FROM r)
+SELECT guide_id, 'Guidebook structure from the Inhaltsverzeichnis (ADR-0005). Classify each' || chr(10) || 'entry by the section its page falls in — the section title is reprinted' || chr(10) || 'in the running header at the top of every page:' || chr(10)
+  || string_agg(line, chr(10) ORDER BY position) || chr(10) || 'On a page that straddles two sections (both running headers present), classify each entry by the heading it sits under.' AS block FROM l GROUP BY guide_id""")
 def section_blocks(spark, d):
     k = F.col("n_nationkey")
-    role = F.when(k % 4 == 0, "places").when(k % 4 == 1, "routes").when(k % 4 == 2, "traverses").otherwise("index")
+    role = F.element_at(F.array(*map(F.lit, planning.ROLE_POLICY)), (k % 6 + 1).cast("int"))
     s = read(spark, d, "nation").select(F.col("n_regionkey").alias("guide_id"), k.alias("position"), F.col("n_name").alias("title"), role.alias("role"), (k * 7 + 3).alias("book_page"))
-    lines = planning.policies(entries.section_ranges(s, F.lit(150)), _POLICY)
-    return planning.block(lines, "guide_id", "position", head="Sections:")
+    return planning.section_block(entries.section_ranges(s))
 
 
 # graph

@@ -6,6 +6,8 @@ a guide, so results do not depend on how rows are spread.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -117,20 +119,38 @@ def merge_report(entries: DataFrame) -> DataFrame:
     )
 
 
-def section_ranges(sections: DataFrame, last_page: Column) -> DataFrame:
-    """first_page and last_page of each section; the last one runs to ``last_page``."""
-    following = F.lead("book_page").over(Window.partitionBy("guide_id").orderBy("book_page"))
-    return sections.withColumn("first_page", F.col("book_page")).withColumn("last_page", F.coalesce(following - 1, last_page))
+def section_ranges(sections: DataFrame) -> DataFrame:
+    """first_page and last_page of each section, in its map's order; the last one is open (null)."""
+    following = F.lead("book_page").over(Window.partitionBy("guide_id").orderBy("position"))
+    return sections.withColumn("first_page", F.col("book_page")).withColumn("last_page", following - 1)
+
 
+def section_faults(sections: DataFrame, roles: Sequence[str], guides: DataFrame | None = None) -> DataFrame:
+    """One row a fault: an unknown role, a page before the one before it, no section of traverses, an empty map.
 
-def section_faults(sections: DataFrame, roles: list[str]) -> DataFrame:
-    """One row a fault: an unknown role, pages that do not ascend, no section of traverses."""
+    Equal pages ascend. A guide of ``guides`` (guide_id) without any section has an empty map.
+    """
     here = Window.partitionBy("guide_id").orderBy("position")
     s = sections.withColumn("_prior", F.lag("book_page").over(here))
-    unknown = s.filter(~F.col("role").isin(roles)).select("guide_id", "position", F.lit("unknown_role").alias("fault"))
-    order = s.filter("book_page <= _prior").select("guide_id", "position", F.lit("not_ascending").alias("fault"))
-    none = s.groupBy("guide_id").agg(F.count_if(F.col("role") == "traverses").alias("_n")).filter("_n = 0").select("guide_id", F.lit(None).cast("int").alias("position"), F.lit("no_traverses").alias("fault"))
-    return unknown.unionByName(order).unionByName(none)
+    unknown = s.filter(~F.coalesce(F.col("role").isin(*roles), F.lit(False))).select("guide_id", "position", F.lit("unknown_role").alias("fault"))
+    order = s.filter("book_page < _prior").select("guide_id", "position", F.lit("not_ascending").alias("fault"))
+    whole = lambda fault: (F.lit(None).cast("int").alias("position"), F.lit(fault).alias("fault"))
+    none = s.groupBy("guide_id").agg(F.count_if(F.col("role") == "traverses").alias("_n")).filter("_n = 0").select("guide_id", *whole("no_traverses"))
+    out = unknown.unionByName(order).unionByName(none)
+    return out if guides is None else out.unionByName(guides.select("guide_id").distinct().join(sections, "guide_id", "left_anti").select("guide_id", *whole("empty")))
+
+
+def checked_sections(sections: DataFrame, roles: Sequence[str], guides: DataFrame | None = None) -> DataFrame:
+    """``sections``; where any guide's map has a fault, the read ends and names the first of them.
+
+    The check is a single row that every section meets, so it also ends a read of
+    no sections at all, where ``guides`` says that there should be some.
+    """
+    told = F.concat_ws(" ", "guide_id", "fault", F.coalesce(F.concat(F.lit("at "), F.col("position").cast("string")), F.lit("")))
+    first = section_faults(sections, roles, guides).agg(F.min(told).alias("_fault"))
+    refused = first.select(F.when(F.col("_fault").isNotNull(), F.raise_error(F.concat(F.lit("malformed section map: "), F.col("_fault")))).cast("string").alias("_fault"))
+    # one row on the left, so that it is read even if no section is
+    return refused.join(sections, F.col("_fault").isNull(), "left").filter("guide_id is not null").select(*sections.columns)
 
 
 def sliced(entries: DataFrame, pages: DataFrame) -> DataFrame:

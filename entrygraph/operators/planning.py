@@ -78,14 +78,40 @@ def place_features(links: DataFrame, pois: DataFrame) -> DataFrame:
     return met.withColumn("_n", F.row_number().over(last)).filter("_n = 1").drop("_n", "seq")
 
 
-def policies(sections: DataFrame, policy: dict[str, str]) -> DataFrame:
-    """Section rows (title, role, first_page, last_page) with the line that tells a reader what they hold."""
+# What readers of pages are told about each role of section, and what stands around it.
+ROLE_POLICY = {
+    "front_matter": "front matter — holds no Entries; skip.",
+    "valley_places": "valley places — Places (towns/localities) and any short Routes filed under them.",
+    "huts": "huts — Places (huts) and the Routes (Zugänge) filed under them.",
+    "traverses": "TRAVERSES — every itinerary here is kind=traverse: a range-wide tour filed under NO Place (no Destination). Not kind=route.",
+    "peaks": "peaks — Places (summits) and the Routes filed under them.",
+    "back_matter": "back matter — holds no Entries; skip.",
+}
+SECTIONS_HEAD = "\n".join(
+    (
+        "Guidebook structure from the Inhaltsverzeichnis (ADR-0005). Classify each",
+        "entry by the section its page falls in — the section title is reprinted",
+        "in the running header at the top of every page:",
+    )
+)
+SECTIONS_TAIL = "On a page that straddles two sections (both running headers present), classify each entry by the heading it sits under."
+FACTS_HEAD = "Guide facts for this run (the guidebook these scanned pages are from):"
+
+
+def policies(sections: DataFrame, policy: dict[str, str] = ROLE_POLICY) -> DataFrame:
+    """Section rows (title, role, first_page, last_page) with the line that tells a reader what they hold; the last is open."""
     known = F.create_map(*[F.lit(x) for pair in policy.items() for x in pair])
-    pages = F.when(F.col("last_page") > F.col("first_page"), F.concat(F.lit("pp. "), F.col("first_page").cast("string"), F.lit("-"), F.col("last_page").cast("string"))).otherwise(F.concat(F.lit("p. "), F.col("first_page").cast("string")))
-    return sections.withColumn("line", F.concat(F.lit("- "), "title", F.lit(" ("), pages, F.lit("): "), F.coalesce(F.try_element_at(known, "role"), F.lit(""))))
+    first = F.col("first_page").cast("string")
+    pages = F.when(F.col("last_page").isNull(), F.concat(F.lit("book pp. "), first, F.lit("+"))).otherwise(F.concat(F.lit("book pp. "), first, F.lit("–"), F.col("last_page").cast("string")))
+    return sections.withColumn("line", F.concat(F.lit("- "), "title", F.lit(" ("), pages, F.lit(") — "), F.coalesce(F.try_element_at(known, "role"), F.lit(""))))
+
+
+def section_block(sections: DataFrame) -> DataFrame:
+    """guide_id and block: a guide's sections (position, title, role and their ranges) as readers of its pages get them."""
+    return block(policies(sections), "guide_id", "position", head=SECTIONS_HEAD, tail=SECTIONS_TAIL)
 
 
-def block(lines: DataFrame, group: str, order: str, line: str = "line", head: str = "") -> DataFrame:
-    """One text for each group from its lines in order, after a heading; a group is a guide's few lines."""
+def block(lines: DataFrame, group: str, order: str, line: str = "line", head: str = "", tail: str = "") -> DataFrame:
+    """One text for each group from its lines in order, between a heading and a last line; a group is a guide's few lines."""
     listed = F.transform(F.array_sort(F.collect_list(F.struct(order, line))), lambda x: x[line])
-    return lines.groupBy(group).agg(F.concat_ws("\n", *([F.lit(head)] if head else []), listed).alias("block"))
+    return lines.groupBy(group).agg(F.concat_ws("\n", *([F.lit(head)] if head else []), listed, *([F.lit(tail)] if tail else [])).alias("block"))

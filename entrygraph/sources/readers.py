@@ -6,6 +6,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from entrygraph.operators import entries, planning
+
 PAGE_META = "page int, stem string, char_count int, rotation int, n_images int, largest_image array<int>, is_sketch boolean"
 PART_ENTRY = "kind string, entry_id_raw string, name string, summary string, start_quote string, end_quote string, place_type string, elevation string, peak string, grade string, first_ascent string, time string, height_m string, place_names array<string>"
 MENTIONS = "entry_id string, mentions array<struct<surface string, name string, type string, elevation_m double>>"
@@ -158,7 +160,12 @@ def repairs(spark: SparkSession, path: str) -> DataFrame:
     return named.withColumn("seq", order).drop("_file", "_at")
 
 
-def section_map(spark: SparkSession, path: str) -> DataFrame:
-    """The sections of a guide's contents in their order: position, role, title, book_page."""
+def section_map(spark: SparkSession, path: str, guide_id: str = "") -> DataFrame:
+    """The sections of a guide's contents in their order: guide_id, position, role, title, book_page.
+
+    An empty map, an unknown role, pages that do not ascend or a map without
+    traverses end the read; so does a missing file.
+    """
     raw = spark.read.option("multiLine", True).schema("sections array<struct<role string, title string, book_page int>>").json(path)
-    return raw.select(F.posexplode("sections").alias("position", "s")).select("position", "s.*")
+    sections = raw.select(F.lit(guide_id).alias("guide_id"), F.posexplode("sections").alias("position", "s")).select("guide_id", "position", "s.*")
+    return entries.checked_sections(sections, list(planning.ROLE_POLICY), raw.select(F.lit(guide_id).alias("guide_id")))

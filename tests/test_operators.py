@@ -252,8 +252,6 @@ def test_missing_sources(spark, tmp_path):
     with pytest.raises(FileNotFoundError, match="run extraction first"):
         readers.manifest(spark, str(tmp_path / "none.jsonl"))
     assert readers.optional_lines(spark, str(tmp_path / "none.jsonl"), "place_id string, poi_id string").count() == 0
-    (tmp_path / "sections.json").write_text('{"sections": [{"role": "huts", "title": "H", "book_page": 3}, {"role": "peaks", "title": "P", "book_page": 9}]}')
-    assert [(r.position, r.role, r.book_page) for r in readers.section_map(spark, str(tmp_path / "sections.json")).orderBy("position").collect()] == [(0, "huts", 3), (1, "peaks", 9)]
     (tmp_path / "repairs").mkdir()
     for name, page in (("b", 2), ("a", 1)):
         (tmp_path / "repairs" / f"{name}.json").write_text(json.dumps({"entry_id": name, "source_page": page, "name": "n", "start_quote": "s", "end_quote": "e"}))
@@ -270,18 +268,66 @@ def test_landed_pages_and_images(spark, tmp_path):
     assert [r.d and tuple(r.d) for r in d.select(records.largest_image(F.col("i")).alias("d")).collect()] == [(3, 4), None, None]
 
 
+def test_section_maps(spark, tmp_path):
+    """Equal pages pass; an empty map, unknown roles, falling pages and no traverses do not, nor does a missing file."""
+    good = [("huts", "H", 3), ("traverses", "T", 9), ("peaks", "P", 9), ("back_matter", "B", 40)]
+
+    def read(sections):
+        path = tmp_path / f"{len(list(tmp_path.iterdir()))}.json"
+        path.write_text(json.dumps({"sections": [dict(zip(("role", "title", "book_page"), s)) for s in sections]}))
+        return readers.section_map(spark, str(path), "g")
+
+    got = entries.section_ranges(read(good))
+    assert [(r.position, r.first_page, r.last_page) for r in got.orderBy("position").collect()] == [(0, 3, 8), (1, 9, 8), (2, 9, 39), (3, 40, None)]
+    block = planning.section_block(got).first().block.split("\n")
+    assert block[3] == "- H (book pp. 3–8) — huts — Places (huts) and the Routes (Zugänge) filed under them."
+    assert block[6].startswith("- B (book pp. 40+) — back matter") and "straddles" in block[7] and len(block) == 8
+    for bad, fault in (([], "empty"), ([good[1], good[0]], "not_ascending"), ([("gipfel", "X", 1), *good], "unknown_role"), ([good[0], good[2]], "no_traverses")):
+        with pytest.raises(Exception, match=f"malformed section map: g {fault}"):
+            read(bad).collect()
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        readers.section_map(spark, str(tmp_path / "none.json"))
+
+
+def _configuration(**more):
+    facts = {"title": "T", "author": "A/B", "edition": "2nd", "year": 1999, "language": "German"}
+    features = {
+        "tag_map": {"peak": [["natural", "peak"]], "hut": [["tourism", "alpine_hut"], ["place", "farm"]]}, "guarded_tag_map": {"hut": [["tourism", "chalet"]]},
+        "deduped_types": ["path", "water"], "settlement_exclusion_km": 1.5, "out_of_scope": [{"pattern": "gebirge$", "reason": "a range"}],
+    }
+    return {"id": "g", "facts": facts, "bbox": [1, 2, 3, 4], "parse-routes": {"pdf": "g.pdf", "min_text_chars": 150, "toc_pages": [5, 12]}, "fetch-pois": features} | more
+
+
 def test_guide_configuration(tmp_path):
     (tmp_path / "g").mkdir()
-    raw = {"facts": {"Title": "T", "Year": 1999}, "bbox": [1, 2, 3, 4], "tags": {"peak": [["natural", "peak"]], "hut": [["tourism", 5]]}, "contents_pages": [5, 12], "out_of_scope": [["x", "why"]]}
-    (tmp_path / "g" / "config.json").write_text(json.dumps(raw))
+    (tmp_path / "g" / "config.json").write_text(json.dumps(_configuration()))
     g = guides.load(str(tmp_path), "g")
-    assert g.tags == (("peak", (("natural", "peak"),)), ("hut", (("tourism", "5"),))) and g.bbox == (1.0, 2.0, 3.0, 4.0)
-    assert g.contents_stems() == ["page_0005", "page_0012"] and g.facts_block("Facts:") == "Facts:\n- Title: T\n- Year: 1999"
-    assert gazetteer.query_text([p for _, ps in g.tags for p in ps], g.bbox).count("nwr[") == 2
+    assert g.tag_map == (("peak", (("natural", "peak"),)), ("hut", (("tourism", "alpine_hut"), ("place", "farm")))) and g.guarded_tag_map == (("hut", (("tourism", "chalet"),)),)
+    assert (g.bbox, g.deduped_types, g.settlement_exclusion_km, g.out_of_scope) == ((1.0, 2.0, 3.0, 4.0), ("path", "water"), 1.5, (("gebirge$", "a range"),))
+    assert (g.pdf, g.min_text_chars, g.toc_stems()) == ("g.pdf", 150, ["page_0005", "page_0012"])
+    assert g.facts_block() == "Guide facts for this run (the guidebook these scanned pages are from):\n- Title: T\n- Author: A/B\n- Edition: 2nd\n- Year: 1999\n- Language: German"
+    assert gazetteer.query_text([p for _, ps in g.tag_map for p in ps], g.bbox).count("nwr[") == 3
+    plain = guides.Guide.of("g", {"id": "g", "bbox": [1, 2, 3, 4]}, ["fetch-pois"])
+    assert (plain.min_text_chars, plain.settlement_exclusion_km, plain.tag_map, plain.facts) == (200, 1.0, (), ())
     with pytest.raises(FileNotFoundError):
         guides.load(str(tmp_path), "h")
-    with pytest.raises(ValueError):
-        guides.Guide.of("g", {"bbox": [1]})
+
+
+@pytest.mark.parametrize(
+    "more", [{"bbox": [1]}, {"bbox": None}, {"id": "h"}, {"facts": {"title": "T"}}, {"parse-routes": {}}, {"fetch-pois": {"out_of_scope": [{"pattern": "x"}]}}]
+)
+def test_incomplete_configurations_are_refused(more):
+    with pytest.raises(ValueError, match="guide g"):
+        guides.Guide.of("g", _configuration(**more))
+
+
+def test_published_yaml_is_read(tmp_path):
+    pytest.importorskip("yaml")
+    (tmp_path / "g").mkdir()
+    text = "id: g\nbbox: [1, 2, 3, 4]\nfacts: {title: T, author: A, edition: E, year: 2011, language: German}\nparse-routes:\n  pdf: x.pdf\n  toc_pages: [6]\nfetch-pois:\n  tag_map:\n    pass: [[natural, saddle], [mountain_pass, \"yes\"]]\n"
+    (tmp_path / "g" / "config.yml").write_text(text)
+    g = guides.load(str(tmp_path), "g")
+    assert g.tag_map == (("pass", (("natural", "saddle"), ("mountain_pass", "yes"))),) and g.toc_stems() == ["page_0006"] and dict(g.facts)["year"] == "2011"
 
 
 def test_queue_whose_entry_is_gone(spark):
