@@ -14,14 +14,13 @@ DEGREE_KM = 111.32
 
 
 def classify(tags: Column, tag_map: Sequence[tuple[str, Sequence[tuple[str, str]]]]) -> Column:
-    """The first type, in the map's order, one of whose (key, value) pairs is among the tags."""
-    out = None
+    """The first type, in the map's order, one of whose (key, value) pairs is among the tags; none of an empty map."""
+    out = F.when(F.lit(False), F.lit(""))
     for kind, pairs in tag_map:
-        met = None
+        met = F.lit(False)
         for k, v in pairs:
-            one = F.try_element_at(tags, F.lit(k)).eqNullSafe(F.lit(v))
-            met = one if met is None else met | one
-        out = F.when(met, kind) if out is None else out.when(met, kind)
+            met = met | F.try_element_at(tags, F.lit(k)).eqNullSafe(F.lit(v))
+        out = out.when(met, kind)
     return out
 
 

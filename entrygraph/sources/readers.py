@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from entrygraph.operators import entries, planning
@@ -28,10 +28,16 @@ def strict_lines(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
 
 
-def permissive_lines(spark: SparkSession, path: str, schema: str) -> tuple[DataFrame, DataFrame]:
-    """(records, malformed lines) of JSON lines."""
-    lines = spark.read.text(path).filter("trim(value) <> ''").withColumn("r", _parsed("value", schema))
-    return lines.filter("r._bad is null").select("r.*").drop("_bad"), lines.filter("r._bad is not null").select(F.col("value").alias("line"))
+def permissive_lines(spark: SparkSession, path: str, schema: str, watch: Observation | None = None) -> tuple[DataFrame, DataFrame]:
+    """(records, malformed lines) of JSON lines.
+
+    ``watch`` gets n_lines, n_blank and n_bad of the scan that the records come
+    from, once these have been read: no second read counts them.
+    """
+    lines = spark.read.text(path).withColumn("r", _parsed("value", schema))
+    blank, bad = F.trim("value") == "", F.col("r._bad").isNotNull()
+    seen = lines if watch is None else lines.observe(watch, F.count(F.lit(1)).alias("n_lines"), F.count_if(blank).alias("n_blank"), F.count_if(bad & ~blank).alias("n_bad"))
+    return seen.filter(~blank & ~bad).select("r.*").drop("_bad"), lines.filter(~blank & bad).select(F.col("value").alias("line"))
 
 
 def _parsed(column: str, schema: str):
@@ -44,11 +50,16 @@ def parsed_lines(df: DataFrame, column: str, schema: str) -> DataFrame:
     return df.filter(F.trim(column) != "").withColumn("record", record).filter("record is not null and record._bad is null")
 
 
-def parts(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """(entries, corrupt files) of one JSON file a page: page, position from 1, and the extracted fields."""
+def parts(spark: SparkSession, path: str, watch: Observation | None = None) -> tuple[DataFrame, DataFrame]:
+    """(entries, corrupt files) of one JSON file a page: page, position from 1, and the extracted fields.
+
+    ``watch`` gets n_files and n_corrupt of the scan that the entries come from.
+    """
     files = spark.read.text(path, wholetext=True).select(F.regexp_extract(F.input_file_name(), r"page_(\d+)", 1).cast("int").alias("page"), _parsed("value", f"entries array<struct<{PART_ENTRY}>>").alias("r"))
-    good = files.filter("r._bad is null").select("page", F.posexplode("r.entries").alias("position", "e"))
-    return good.select("page", (F.col("position") + 1).alias("position"), "e.*"), files.filter("r._bad is not null").select("page")
+    corrupt = F.col("r._bad").isNotNull()
+    seen = files if watch is None else files.observe(watch, F.count(F.lit(1)).alias("n_files"), F.count_if(corrupt).alias("n_corrupt"))
+    good = seen.filter(~corrupt).select("page", F.posexplode("r.entries").alias("position", "e"))
+    return good.select("page", (F.col("position") + 1).alias("position"), "e.*"), files.filter(corrupt).select("page")
 
 
 def verdicts(spark: SparkSession, path: str) -> DataFrame:
@@ -136,19 +147,27 @@ def entry_index(spark: SparkSession, path: str) -> DataFrame:
     return needed(spark, path, ENTRY, "assembly").orderBy("id")
 
 
+def _missing(e: AnalysisException) -> bool:
+    return e.getCondition() == "PATH_NOT_FOUND"
+
+
 def needed(spark: SparkSession, path: str, schema: str, stage: str) -> DataFrame:
     """JSON lines that an earlier stage wrote; where they are missing, the error names it."""
     try:
         return strict_lines(spark, path, schema)
     except AnalysisException as e:
+        if not _missing(e):
+            raise
         raise FileNotFoundError(f"missing {path}: run {stage} first") from e
 
 
 def optional_lines(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """JSON lines, or no rows where they have not been written yet."""
+    """JSON lines, or no rows where they have not been written yet; any other fault ends the read."""
     try:
         return strict_lines(spark, path, schema)
-    except AnalysisException:
+    except AnalysisException as e:
+        if not _missing(e):
+            raise
         return spark.createDataFrame([], schema)
 
 

@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import json
+
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from entrygraph.sources.files import named_files
+
 
 def by_guide(df: DataFrame, path: str) -> None:
     """Parquet by guide; only the guides in ``df`` are replaced."""
@@ -56,3 +61,39 @@ def work_batches(df: DataFrame) -> DataFrame:
     """One JSON line a batch with its units in order."""
     units = F.transform(F.array_sort(F.collect_list("seq")), lambda x: x)
     return df.groupBy("guide_id", "batch").agg(units.alias("units")).select("guide_id", "batch", F.to_json(F.struct("batch", "units")).alias("line"))
+
+
+def entry_files(entries: DataFrame, path: str) -> None:
+    """One JSON file an entry (id and the published fields), named by its id; the folder is built anew, once all are written."""
+    value = F.to_json(F.struct(*entries.columns), {"ignoreNullFields": "false"})
+    named_files(entries.select(F.concat("id", F.lit(".json")).alias("name"), value.alias("value")), path, indent=2)
+
+
+def _anchored(values: pd.Series, edits: pd.Series) -> pd.Series:
+    """Part files with the anchors of some entries replaced, everything else as it was."""
+    out = []
+    for value, listed in zip(values, edits):
+        part = json.loads(value)
+        for e in listed:
+            part["entries"][e["position"] - 1] |= {"start_quote": e["start_quote"], "end_quote": e["end_quote"]}
+        out.append(json.dumps(part, ensure_ascii=False))
+    return pd.Series(out)
+
+
+def rewrite_parts(spark: SparkSession, path: str, matched: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Write repaired anchors back into the part files (page_NNNN.json) under ``path``; gives (applied, skipped) repairs.
+
+    matched: repairs with seq and the position (from 1) of the entry they mean,
+    as ``work.match_repairs`` tells it; of several for one entry the last counts.
+    Only files in which an entry is repaired are written, each in one step when
+    all are ready; the others stay byte for byte.
+    """
+    applied, skipped = matched.filter("position is not null"), matched.filter("position is null")
+    each = F.struct("seq", "position", "start_quote", "end_quote")
+    # a page has few entries, so a row holds its repairs
+    edits = applied.groupBy("page").agg(F.array_sort(F.collect_list(each)).alias("edits"))
+    edits = edits.select("page", F.transform("edits", lambda e: F.struct(e.position.cast("int").alias("position"), e.start_quote.alias("start_quote"), e.end_quote.alias("end_quote"))).alias("edits"))
+    files = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_name").alias("name"), F.regexp_extract("_metadata.file_name", r"page_(\d+)", 1).cast("int").alias("page"), "value")
+    changed = F.pandas_udf(_anchored, "string")("value", "edits")
+    named_files(files.join(edits, "page").select("name", changed.alias("value")), path, "append")
+    return applied, skipped
