@@ -163,6 +163,13 @@ def gap_fill(spark, d):
     return entries.gap_fill(read(spark, d, "numbers")).select("guide_id", "seq", "value", "filled")
 
 
+@registered(with_inputs("+ one AS (SELECT 1 AS guide_id, seq, value FROM numbers_in), " + _FILL.replace("SRC", "one").replace("VAL", "value").lstrip().lstrip("+").lstrip() + " SELECT seq, value, filled FROM filled", "numbers"))
+def gap_fill_one_guide(spark, d):
+    """All numbers as one guide, in blocks of 5000."""
+    one = read(spark, d, "numbers").withColumn("guide_id", F.lit(1))
+    return entries.gap_fill_blocks(one, rows=5000).select("seq", "value", "filled")
+
+
 _IDS = (
     rf"+ book AS (SELECT *, {NORMAL_ID} AS book, TRY_CAST(regexp_extract({NORMAL_ID}, '\d+') AS BIGINT) AS number FROM raw_ids_in), "
     + _FILL.replace("SRC", "book").replace("VAL", "number").lstrip().lstrip("+")
@@ -194,6 +201,13 @@ def destinations(spark, d):
     return entries.parents(read(spark, d, "entries")).select("guide_id", "id", "kind", "destination_id")
 
 
+@registered(with_inputs("""SELECT id, kind, CASE WHEN kind = 'route' THEN last_value(CASE WHEN kind = 'place' THEN id END IGNORE NULLS) OVER (ORDER BY guide_id, seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) END AS destination_id FROM entries_in""", "entries"))
+def destinations_one_guide(spark, d):
+    """All entries as one guide, in blocks of 10000."""
+    e = read(spark, d, "entries").select(F.lit(1).alias("guide_id"), (F.col("guide_id") * 10 + F.col("seq")).alias("seq"), "id", "kind")
+    return entries.parents_blocks(e, 10_000).select("id", "kind", "destination_id")
+
+
 @registered(with_inputs("SELECT guide_id, lower(name) AS name_key, arg_min(id, seq) AS place_id FROM entries_in WHERE kind = 'place' GROUP BY ALL", "entries"))
 def place_index(spark, d):
     return entries.place_index(read(spark, d, "entries"))

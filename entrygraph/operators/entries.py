@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from entrygraph.functions import slicing, text
+from entrygraph.operators import scan
 
 CONTRACT = ("id", "kind", "name", "place_type", "elevation", "peak", "grade", "time", "height_m", "first_ascent", "destination_id", "place_ids", "references", "summary", "description", "description_source")
 
@@ -30,12 +31,30 @@ def gap_fill(df: DataFrame, value: str = "value", out: str = "filled") -> DataFr
     seen = F.struct(F.col(value).alias("v"), F.col("_at").alias("p"))
     known = F.when(F.col(value).isNotNull(), seen)
     df = df.withColumn("_before", F.last(known, ignorenulls=True).over(before)).withColumn("_behind", F.last(known, ignorenulls=True).over(behind))
+    return _run_filled(df, value, out)
+
+
+def _run_filled(df: DataFrame, value: str, out: str) -> DataFrame:
     # the number that the first of the run would get has to lie above the one before the run
     lowest = F.col("_behind.v") - (F.col("_behind.p") - (F.coalesce("_before.p", F.lit(0)) + 1))
     fill = F.when(lowest > F.coalesce("_before.v", F.lit(0)), F.col("_behind.v") - (F.col("_behind.p") - F.col("_at")))
     return df.withColumn(out, F.coalesce(F.col(value), fill)).drop("_at", "_before", "_behind")
 
 
+def gap_fill_blocks(df: DataFrame, value: str = "value", out: str = "filled", rows: int = scan.ROWS) -> DataFrame:
+    """``gap_fill`` for guides of any size: by blocks of about ``rows``, not one task a guide."""
+    b = scan.positions(scan.blocks(df, rows), "_at")
+    known = F.when(F.col(value).isNotNull(), F.struct(F.col(value).alias("v"), F.col("_at").alias("p")))
+    return _run_filled(scan.next_known(scan.last_known(b, known, "_before"), known, "_behind"), value, out).drop(scan.BLOCK)
+
+
+def parents_blocks(entries: DataFrame, rows: int = scan.ROWS) -> DataFrame:
+    """``parents`` for guides of any size, by blocks of about ``rows``."""
+    place = F.when(F.col("kind") == "place", F.col("id"))
+    last = scan.last_known(scan.blocks(entries, rows), place, "_last", here=False)
+    return last.withColumn("destination_id", F.when(F.col("kind") == "route", F.col("_last"))).drop("_last", scan.BLOCK)
+
+
 def assign_ids(entries: DataFrame) -> DataFrame:
     """id, id_source and collision for entries with guide_id, seq, page, position and raw_id.
 
