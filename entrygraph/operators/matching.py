@@ -199,8 +199,12 @@ def resolve(items: DataFrame, gazetteer: DataFrame, decisions: DataFrame, verdic
     return written(c.withColumn("llm_reason", F.when(F.col("method") == "llm", F.col("llm_reason")).when((F.col("method") == "unmatched") & case & judged & F.col("pick").isNull(), F.col("llm_reason"))))
 
 
-def registry(resolved: DataFrame, scope: Scope = ()) -> DataFrame:
-    """One row a map feature that something resolved to, with its best provenance and its aliases."""
+def registry_summary(resolved: DataFrame, scope: Scope = ()) -> DataFrame:
+    """What the registry needs of each feature that something resolved to, in a form that can be merged.
+
+    chosen: the feature; best: the least (rank, score, seq) with its provenance;
+    forms: each other name it was given, with where that was first.
+    """
     r = resolved.filter("chosen is not null").withColumn("poi_id", text.poi_id(F.col("chosen.osm")))
     rank = F.lit(0)
     for method, n in RANKS.items():
@@ -208,13 +212,32 @@ def registry(resolved: DataFrame, scope: Scope = ()) -> DataFrame:
     best = F.min(F.struct((-rank).alias("r"), (-F.col("chosen.score")).alias("s"), F.col("seq").alias("q"), F.struct("method", F.col("chosen.score").alias("score"), F.when(F.col("method") == "llm", F.col("llm_reason")).alias("reason")).alias("m")))
     forms = F.array(F.struct(F.col("seq").alias("s"), F.lit(0).alias("p"), text.strip_elevation(F.col("surface")).alias("f")), F.struct(F.col("seq").alias("s"), F.lit(1).alias("p"), F.col("name").alias("f")))
     by = ["poi_id", *scope]
-    one = r.groupBy(*by).agg(F.any_value("chosen").alias("c"), best.alias("b"))
+    one = r.groupBy(*by).agg(F.any_value("chosen").alias("chosen"), best.alias("best"))
     forms = r.select(*by, F.col("chosen.name").alias("_own"), F.inline(forms)).filter("f <> '' and f <> _own")
-    firsts = forms.groupBy(*by, "f").agg(F.min(F.struct("s", "p")).alias("o"))
-    aliases = firsts.groupBy(*by).agg(F.transform(F.array_sort(F.collect_list(F.struct("o", "f"))), lambda x: x.f).alias("aliases"))
-    return one.join(aliases, by, "left").select(
-        *by, "c.name", "c.type", "c.lat", "c.lon", "c.ele", "c.osm", F.coalesce("aliases", F.array().cast("array<string>")).alias("aliases"), F.col("b.m").alias("match")
-    )
+    return one.join(_first_forms(forms.select(*by, "f", F.struct("s", "p").alias("o")), by), by, "left")
+
+
+def _first_forms(forms: DataFrame, by: list[str]) -> DataFrame:
+    """forms: the distinct ones of a feature (which are few), each with its first place."""
+    return forms.groupBy(*by, "f").agg(F.min("o").alias("o")).groupBy(*by).agg(F.array_sort(F.collect_list(F.struct("o", "f"))).alias("forms"))
+
+
+def merge_summaries(held: DataFrame, new: DataFrame, scope: Scope = ()) -> DataFrame:
+    """The summary of all items from those of two parts of them, such as what is kept and what has arrived."""
+    by, both = ["poi_id", *scope], held.unionByName(new)
+    one = both.groupBy(*by).agg(F.any_value("chosen").alias("chosen"), F.min("best").alias("best"))
+    return one.join(_first_forms(both.select(*by, F.inline("forms")), by), by, "left")
+
+
+def registry(resolved: DataFrame, scope: Scope = ()) -> DataFrame:
+    """One row a map feature that something resolved to, with its best provenance and its aliases."""
+    return registry_of(registry_summary(resolved, scope), scope)
+
+
+def registry_of(summary: DataFrame, scope: Scope = ()) -> DataFrame:
+    """The registry that a summary holds."""
+    aliases = F.coalesce(F.transform("forms", lambda x: x.f), F.array().cast("array<string>"))
+    return summary.select("poi_id", *scope, *[f"chosen.{c}" for c in ("name", "type", "lat", "lon", "ele", "osm")], aliases.alias("aliases"), F.col("best.m").alias("match"))
 
 
 def place_links(resolved: DataFrame, scope: Scope = ()) -> DataFrame:
