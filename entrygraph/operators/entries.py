@@ -175,17 +175,20 @@ def checked_sections(sections: DataFrame, roles: Sequence[str], guides: DataFram
 def sliced(entries: DataFrame, pages: DataFrame) -> DataFrame:
     """description, description_source and unsliced_reason of entries from their page and the next.
 
-    A page is reflowed once, before its entries meet it, and a slice is looked
-    for once: what is read off it are columns of a step of their own.
+    A page is marked and reflowed once, before its entries meet it; anchors are
+    looked up in it as plain text, and a slice is looked for once: what is read
+    off it are columns of a step of their own.
     """
-    flowed = pages.withColumn("_flow", slicing.reflow(F.col("text")))
-    here = flowed.select("guide_id", "page", F.col("text").alias("_page"), "_flow")
-    after = flowed.select("guide_id", (F.col("page") - 1).alias("page"), F.col("text").alias("_after"), F.col("_flow").alias("_after_flow"))
-    e = entries.join(here, ["guide_id", "page"], "left").join(after, ["guide_id", "page"], "left")
+    texts = pages.select("guide_id", "page", F.struct(slicing.marked(F.col("text")).alias("page"), slicing.reflow(F.col("text")).alias("flow")).alias("t"))
+    # each page counts for its own entries and for those of the page before; one shuffle brings both together
+    ends = texts.select("guide_id", F.explode(F.array(F.struct("page", F.lit(True).alias("here")), F.struct((F.col("page") - 1).alias("page"), F.lit(False).alias("here")))).alias("at"), "t")
+    met = ends.groupBy("guide_id", F.col("at.page").alias("page")).agg(F.max(F.when(F.col("at.here"), F.col("t"))).alias("_h"), F.max(F.when(~F.col("at.here"), F.col("t"))).alias("_a"))
+    here = met.select("guide_id", "page", F.col("_h.page").alias("_page"), F.col("_h.flow").alias("_flow"), F.col("_a.page").alias("_after"), F.col("_a.flow").alias("_after_flow"))
+    e = entries.join(here, ["guide_id", "page"], "left")
     e = e.withColumn("_page", F.coalesce("_page", F.lit(""))).withColumn("_flow", F.coalesce("_flow", F.lit("")))
     start, end = F.col("start_quote"), F.col("end_quote")
-    e = e.withColumn("_cut", slicing.slice_description(F.col("_page"), F.col("_after"), start, end, F.col("_flow"), F.col("_after_flow")))
-    e = e.withColumn("_reason", F.when(F.col("_cut").isNull(), slicing.unsliced_reason(F.col("_page"), start, end, F.col("_flow"))))
+    e = e.withColumn("_cut", slicing.slice_description(F.col("_page"), F.col("_after"), start, end, F.col("_flow"), F.col("_after_flow"), mark=False))
+    e = e.withColumn("_reason", F.when(F.col("_cut").isNull(), slicing.unsliced_reason(F.col("_page"), start, end, F.col("_flow"), mark=False)))
     d, source, reason = slicing.described(F.col("_cut"), F.col("_reason"), start)
     out = e.withColumn("description", d).withColumn("description_source", source).withColumn("unsliced_reason", reason)
     return out.drop("_page", "_flow", "_after", "_after_flow", "_cut", "_reason")
