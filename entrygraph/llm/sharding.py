@@ -4,8 +4,10 @@ Documents lie in old shards; the new shards have capacities. The cheapest flow
 from old sizes to new capacities, where bytes that stay cost nothing and bytes
 that move cost one each, says how many bytes go from which shard to which.
 Rows of equal texts are a group and go to one shard together, wherever they lay
-before; a group of more than a SHARE-th of a shard is split, its rows being
-placed one by one, as no shard could hold it beside others of its size.
+before. Groups of more than a SHARE-th of a shard, of which there are few, are
+placed first, the largest first, each whole: where most of its bytes lie if that
+shard has room, else where most room is. The flow fills what room is left. Only
+a group that is larger than a shard is split, its rows being placed one by one.
 
 Groups are laid in blocks by a hash, the rows of large ones by a number drawn
 for the row, so that running sums are taken within a block and none is large.
@@ -17,7 +19,9 @@ their order.
 Defined cases: a null text has size 16 and the checksum of nothing, and is equal
 to other null and empty texts; a null doc_id is like any other; repeated rows are
 of one group, with slots of their own; an empty table gives an empty result;
-other columns are carried by ``reshard``, but for those named like the result's.
+other columns are carried, whatever their names, but for those named like the
+result's (size, old_shard, shard, slot); groups of equal size are placed in the
+order of their hashes.
 """
 
 from __future__ import annotations
@@ -30,9 +34,11 @@ from pyspark.sql import functions as F
 from entrygraph.llm.common import staged, text_or_empty
 
 OVERHEAD = 16
+#: Columns of the result.
+RESULT = ("size", "old_shard", "shard", "slot")
 #: Bytes that a block is to hold at most, on average, as long as there are no more than BLOCKS.
 BLOCK_BYTES, BLOCKS = 128 << 20, 100_000
-#: A group that is placed whole has at most this part of a shard's bytes.
+#: Groups of more than this part of a shard's bytes are placed one by one, on the driver: fewer than SHARE to a shard.
 SHARE = 32
 
 
@@ -110,9 +116,20 @@ def reshard(docs: DataFrame, old: int, new: int) -> DataFrame:
     The old shard of a document is the hash of its text modulo ``old``; with
     a real layout, pass the rows with their own assignment to ``transfer``.
     """
-    group = F.xxhash64(text_or_empty(F.col("text")))
-    placed = docs.withColumn("size", size_of(F.col("text"))).withColumn("group", group).withColumn("old_shard", F.pmod("group", F.lit(old)).cast("int"))
-    return transfer(placed, old, new).drop("group")
+    row = F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row")
+    placed = docs.select(row, size_of(F.col("text")).alias("size"), F.xxhash64(text_or_empty(F.col("text"))).alias("group"))
+    done = transfer(placed.withColumn("old_shard", F.pmod("group", F.lit(old)).cast("int")), old, new)
+    return done.select(*[F.col("row").getField(c).alias(c) for c in docs.columns if c not in RESULT], *RESULT)
+
+
+def _placed_whole(groups: list[tuple[int, int, int]], capacity: list[int]) -> tuple[list[tuple[int, int]], list[int]]:
+    """(group, shard) for groups (hash, bytes, home) in the order given, and the room that is left in each shard."""
+    room, out = list(capacity), []
+    for group, size, home in groups:
+        to = home if home < len(room) and room[home] >= size else max(range(len(room)), key=room.__getitem__)
+        room[to] -= size
+        out.append((group, to))
+    return out, [max(0, r) for r in room]
 
 
 def transfer(placed: DataFrame, old: int, new: int) -> DataFrame:
@@ -120,16 +137,23 @@ def transfer(placed: DataFrame, old: int, new: int) -> DataFrame:
 
     A group lies where most of its bytes lay, and is placed by its middle byte;
     each new shard takes the stretch of bytes the flow gives it. Sizes differ
-    from equal by less than two groups for each stretch.
+    from equal by less than two small groups for each stretch, where the large
+    ones leave room for that.
     """
     spark = placed.sparkSession
-    placed = staged(placed.withColumn("_draw", F.xxhash64(F.monotonically_increasing_id())))
+    names = placed.columns
+    others = F.struct(*[placed[f"`{c}`"].alias(c) for c in names if c not in ("group", *RESULT)]).alias("_row") if set(names) - {"group", *RESULT} else F.struct(F.lit(0)).alias("_row")
+    placed = staged(placed.select("old_shard", "group", "size", others, F.xxhash64(F.monotonically_increasing_id()).alias("_draw")))
     whole, rows = placed.agg(F.coalesce(F.sum("size"), F.lit(0)), F.count("*")).first()
     blocks = int(max(8, min(-(-whole // (BLOCK_BYTES * old)), BLOCKS // old)))
     most = max(1, whole // (new * SHARE))
-    groups = placed.groupBy("group").agg(F.sum("size").alias("_bytes"), F.count("*").alias("_n"), F.max_by("old_shard", "size").alias("_home"))
-    # fewer than SHARE * new groups are large
-    large = F.broadcast(groups.filter(F.col("_bytes") > most).select("group", F.lit(True).alias("_large")))
+    each = placed.groupBy("group", "old_shard").agg(F.sum("size").alias("_b"))
+    groups = staged(each.groupBy("group").agg(F.sum("_b").alias("_bytes"), F.max_by("old_shard", F.struct("_b", -F.col("old_shard"))).alias("_home")))
+    capacity = [whole * (j + 1) // new - whole * j // new for j in range(new)]
+    # fewer than SHARE * new groups are large, and fewer than new are larger than a shard
+    fit = groups.filter((F.col("_bytes") > most) & (F.col("_bytes") <= whole // new)).orderBy(F.desc("_bytes"), "group").collect()
+    assigned, capacity = _placed_whole([(r.group, r._bytes, r._home) for r in fit], capacity)
+    large = F.broadcast(groups.filter(F.col("_bytes") > F.greatest(F.lit(most), F.lit(whole // new))).select("group", F.lit(True).alias("_large")))
     laid = placed.join(large, "group", "left").withColumn("_key", F.when(F.col("_large"), F.col("_draw")).otherwise(F.col("group")))
     units = laid.filter("_large").select("_key", "old_shard", "size").unionByName(groups.filter(F.col("_bytes") <= most).select(F.col("group").alias("_key"), F.col("_home").alias("old_shard"), F.col("_bytes").alias("size")))
     units = units.withColumn("block", F.pmod(F.xxhash64(F.lit("block"), "_key"), F.lit(blocks)).cast("int"))
@@ -140,7 +164,6 @@ def transfer(placed: DataFrame, old: int, new: int) -> DataFrame:
     for r in totals:
         begin.append((r.old_shard, r.block, supply[r.old_shard]))
         supply[r.old_shard] += r.bytes
-    capacity = [whole * (j + 1) // new - whole * j // new for j in range(new)]
     flow = min_cost_flow(supply, capacity, lambda i, j: int(i != j))
     # stretches of each old shard: what stays comes first
     cuts: dict[int, list[tuple[int, int]]] = {i: [] for i in range(old)}
@@ -155,8 +178,9 @@ def transfer(placed: DataFrame, old: int, new: int) -> DataFrame:
     # both sides have a row a block or an old shard
     known = units.join(F.broadcast(starts), ["old_shard", "block"]).withColumn("_middle", middle).join(F.broadcast(table), "old_shard")
     taken = F.expr("size(filter(upto, c -> c <= _middle))")
-    takers = staged(known.select("_key", F.get(F.col("takers"), F.least(taken, F.size("takers") - 1)).alias("shard")))
-    # a key has few rows: a small group's, or one
+    chosen = known.select("_key", F.get(F.col("takers"), F.least(taken, F.size("takers") - 1)).alias("shard"))
+    takers = staged(chosen.unionByName(spark.createDataFrame(assigned, "_key long, shard int")))
+    # a key has a group's rows, which fit a shard, or one
     known = laid.join(takers, "_key")
     spread = F.pmod(F.xxhash64("_draw"), F.lit(max(1, min(rows // 20_000, BLOCKS // new)))).cast("int")
     within = Window.partitionBy("shard", "_part").orderBy("_draw")
@@ -164,7 +188,8 @@ def transfer(placed: DataFrame, old: int, new: int) -> DataFrame:
     counts = known.groupBy("shard", "_part").agg(F.count("*").alias("rows"))
     before = Window.partitionBy("shard").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.withColumn("_first", F.coalesce(F.sum("rows").over(before), F.lit(0))).drop("rows")  # at most BLOCKS rows
-    return known.join(F.broadcast(offsets), ["shard", "_part"]).withColumn("slot", F.col("_first") + F.col("_rank")).drop("_first", "_rank", "_part", "_draw")
+    done = known.join(F.broadcast(offsets), ["shard", "_part"]).withColumn("slot", F.col("_first") + F.col("_rank"))
+    return done.select(*[F.col("_row").getField(c).alias(c) for c in names if c not in ("group", *RESULT)], "group", *RESULT)
 
 
 def write_shards(resharded: DataFrame, path: str, new: int, only_changed: bool = True) -> None:

@@ -100,3 +100,36 @@ def test_rewritten_files_hold_each_row_once(spark, tmp_path):
     again = spark.read.parquet(path)
     assert again.count() == 500 == again.select("doc_id").distinct().count() and {r.shard for r in again.select("shard").distinct().collect()} <= {0, 1, 2}
     assert {p.name for p in (tmp_path / "out").glob("shard=*")} <= {"shard=0", "shard=1", "shard=2"}
+
+
+def test_groups_that_fit_a_shard_stay_whole(spark):
+    """Groups of a twentieth to nine tenths of a shard, beside small ones; shards are near equal all the same."""
+    rows = [(i, f"small {i} " + "s" * (i % 90)) for i in range(6000)]
+    whole = sum(len(t) + 16 for _, t in rows) * 3 // 2
+    for k in range(24):
+        text = f"large {k} " + "l" * 400
+        rows += [(10_000 + k, text)] * (whole // 40 * (1 + k % 18) // 20 // (len(text) + 16))
+    got = sharding.reshard(spark.createDataFrame(rows, "doc_id long, text string").repartition(5), 32, 40).collect()
+    sizes, _ = numbered(got)
+    mean = sum(sizes.values()) / 40
+    shards = {}
+    for r in got:
+        shards.setdefault(r.text, set()).add(r.shard)
+    assert len(got) == len(rows) and all(len(v) == 1 for v in shards.values())
+    assert all(abs(s - mean) < mean / 20 for s in sizes.values())
+
+
+def test_a_group_goes_where_most_of_it_lies(spark):
+    rows = [(i, 3 if i else 0, 7, 116) for i in range(20)] + [(100 + i, i % 4, 1000 + i, 100) for i in range(400)]
+    for seed in (1, 2):
+        random.Random(seed).shuffle(rows)
+        got = sharding.transfer(spark.createDataFrame(rows, "doc_id long, old_shard int, group long, size long").repartition(3), 4, 4).collect()
+        assert sum(r.group == 7 and r.shard != r.old_shard for r in got) == 1
+
+
+def test_clashing_names_are_carried(spark):
+    names = ["group", "_draw", "_key", "_part", "_row", "_large", "bytes", "block", "upto", "odd.name"]
+    docs = spark.createDataFrame([(i, f"t{i % 7}", *[f"{n}{i}" for n in names], 5) for i in range(50)], ["doc_id", "text", *names, "slot"])
+    got = sharding.reshard(docs, 4, 5)
+    assert got.columns == ["doc_id", "text", *names, "size", "old_shard", "shard", "slot"]
+    assert all(r[n] == f"{n}{r.doc_id}" for r in got.collect() for n in names)
