@@ -671,6 +671,30 @@ def audit_sections(spark, d):
     return numbers
 
 
+_SAMPLED = "(SELECT * FROM T ORDER BY CASE WHEN method IN ('fuzzy', 'llm') THEN 0 WHEN method = 'review' THEN 1 ELSE 2 END, md5('0:' || key), key, poi_id LIMIT 30)"
+_TABLE = """SELECT 'KIND' AS kind, '## HEADING (' || (SELECT count(*) FROM S) || ' of ' || (SELECT count(*) FROM T) || ' matches)' || chr(10) || chr(10) || '| NAMES | OSM name | Δ elev. | method |' || chr(10) || '| --- | --- | --- | --- | --- |' || chr(10)
+  || (SELECT string_agg('| ' || title || ' | ' || excerpt || ' | ' || osm_name || ' | ' || delta || ' | ' || method || ' |', chr(10) ORDER BY key, poi_id) FROM S) AS markdown,
+  'SUMMED: ' || (SELECT count(*) FROM T) || ' matched (sample ' || (SELECT count(*) FROM S) || ' — ' || (SELECT string_agg(method || ': ' || n, ', ' ORDER BY method) FROM (SELECT method, count(*) AS n FROM S GROUP BY method)) || '), '
+  || (SELECT count(*) FROM items_in WHERE kind = 'KIND' AND type IS NULL) || ' without a match' AS summary"""
+
+
+def _table(kind, heading, names, summed, rows, sample):
+    out = _TABLE
+    for mark, value in (("KIND", kind), ("HEADING", heading), ("NAMES", names), ("SUMMED", summed), ("FROM T", f"FROM {rows}"), ("FROM S", f"FROM {sample}")):
+        out = out.replace(mark, value)
+    return out
+
+
+@registered(with_inputs(_PLACE_ROWS + "," + _MENTION_ROWS.lstrip().lstrip("+") + f""",
+ps AS {_SAMPLED.replace('FROM T', 'FROM prows')}, ms AS {_SAMPLED.replace('FROM T', 'FROM mrows')},
+sections AS ({_table('place', 'Place → POI matches', 'Place (book elev.) | Übersicht excerpt', 'place matches', 'prows', 'ps')} UNION ALL {_table('mention', 'Entry mentions → POI', 'Mention | Prose context', 'mention links', 'mrows', 'ms')})
+SELECT string_agg(markdown, chr(10) || chr(10) ORDER BY kind DESC) AS markdown, '[audit] ' || string_agg(summary, '; ' ORDER BY kind DESC) || '.' AS summary FROM sections""", "graph_place_links", "graph_mentions", "graph_routes", "graph_pois", "items"))
+def audit_report(spark, d):
+    unmatched = read(spark, d, "items").filter("type is null")
+    sections = [audit.rendered(rows, unmatched, kind) for kind, rows in (("place", _place_rows(spark, d)), ("mention", _mention_rows(spark, d)))]
+    return audit.report(sections[0].unionByName(sections[1]))
+
+
 @registered(with_inputs("SELECT kind, count(*) AS n FROM items_in WHERE type IS NULL GROUP BY kind", "items"))
 def unmatched_kinds(spark, d):
     return audit.unmatched_by_kind(read(spark, d, "items").filter("type is null"))

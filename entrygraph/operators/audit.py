@@ -11,6 +11,11 @@ from entrygraph.operators import work
 #: Characters of a description that a row shows.
 WIDTH = 90
 COLUMNS = ("title", "excerpt", "osm_name", "delta", "method")
+# Rows of a sample and its seed; headings, columns' names and the summary's words of each kind of item.
+SAMPLED, SEED = 30, 0
+HEADINGS = {"place": "Place → POI matches", "mention": "Entry mentions → POI"}
+NAMED = {"place": ("Place (book elev.)", "Übersicht excerpt", "OSM name", "Δ elev.", "method"), "mention": ("Mention", "Prose context", "OSM name", "Δ elev.", "method")}
+SUMMED = {"place": "place matches", "mention": "mention links"}
 
 
 def _told(rows: DataFrame, pois: DataFrame, title: Column, needle: Column) -> DataFrame:
@@ -77,3 +82,27 @@ def section(rows: DataFrame, unmatched: DataFrame, kind: str, size: int, seed: i
     lines = picked.withColumn("line", F.concat(F.lit("| "), F.concat_ws(" | ", *COLUMNS), F.lit(" |")))
     numbers = rows.agg(F.count("*").alias("n_rows")).crossJoin(picked.agg(F.count("*").alias("n_sampled"))).crossJoin(tally(picked))  # one row each
     return lines, numbers.crossJoin(unmatched.filter(F.col("kind") == kind).agg(F.count("*").alias("n_unmatched"))).withColumn("kind", F.lit(kind))
+
+
+def rendered(rows: DataFrame, unmatched: DataFrame, kind: str, size: int = SAMPLED, seed: int = SEED) -> DataFrame:
+    """One row of (kind, markdown, summary): the table of a sample of ``rows`` in the order of their keys, under its heading.
+
+    Only the sample is put into one row; counts come from all rows.
+    """
+    picked = work.audit_sample(rows, "key", "method", size, seed, ("poi_id",))
+    line = F.concat(F.lit("| "), F.concat_ws(" | ", *COLUMNS), F.lit(" |"))
+    lines = picked.agg(F.array_sort(F.collect_list(F.struct("key", "poi_id", line.alias("line")))).alias("_lines"), F.count(F.lit(1)).alias("_n"))
+    counted = rows.agg(F.count(F.lit(1)).alias("_all")).crossJoin(lines).crossJoin(tally(picked))  # one row each
+    counted = counted.crossJoin(unmatched.filter(F.col("kind") == kind).agg(F.count(F.lit(1)).alias("_without")))
+    text_of = lambda c: F.col(c).cast("string")
+    named = NAMED[kind]
+    top = [F.concat(F.lit(f"## {HEADINGS[kind]} ("), text_of("_n"), F.lit(" of "), text_of("_all"), F.lit(" matches)")), *map(F.lit, ("", f"| {' | '.join(named)} |", f"| {' | '.join('---' for _ in named)} |"))]
+    markdown = F.concat_ws("\n", *top, F.transform("_lines", lambda x: x.line))
+    summary = F.concat(F.lit(f"{SUMMED[kind]}: "), text_of("_all"), F.lit(" matched (sample "), text_of("_n"), F.lit(" — "), F.coalesce("tally", F.lit("")), F.lit("), "), text_of("_without"), F.lit(" without a match"))
+    return counted.select(F.lit(kind).alias("kind"), markdown.alias("markdown"), summary.alias("summary"))
+
+
+def report(sections: DataFrame) -> DataFrame:
+    """One row of (markdown, summary) from the rendered sections, places before mentions."""
+    order = F.array_sort(F.collect_list(F.struct((F.col("kind") != "place").alias("o"), "markdown", "summary")))
+    return sections.agg(order.alias("s")).select(F.array_join(F.transform("s", lambda x: x.markdown), "\n\n").alias("markdown"), F.concat(F.lit("[audit] "), F.array_join(F.transform("s", lambda x: x.summary), "; "), F.lit(".")).alias("summary"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -45,11 +47,11 @@ def apply_repairs(parts: DataFrame, matched: DataFrame) -> DataFrame:
     return out.withColumn("start_quote", F.coalesce("_start", "start_quote")).withColumn("end_quote", F.coalesce("_end", "end_quote")).drop("_start", "_end")
 
 
-def audit_sample(rows: DataFrame, key: str, method: str, size: int, seed: int) -> DataFrame:
-    """The rows to look at: uncertain methods first, then reviewed ones, in an order drawn by seed and key."""
+def audit_sample(rows: DataFrame, key: str, method: str, size: int, seed: int, also: Sequence[str] = ()) -> DataFrame:
+    """The rows to look at: uncertain methods first, then reviewed ones, in an order drawn by seed and key (then ``also``)."""
     tier = F.when(F.col(method).isin("fuzzy", "llm"), 0).when(F.col(method) == "review", 1).otherwise(2)
     draw = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(key).cast("string")))
-    return rows.withColumn("tier", tier).withColumn("draw", draw).orderBy("tier", "draw", key).limit(size)
+    return rows.withColumn("tier", tier).withColumn("draw", draw).orderBy("tier", "draw", key, *also).limit(size)
 
 
 def markdown_row(cells: list[Column]) -> Column:
