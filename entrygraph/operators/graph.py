@@ -126,10 +126,10 @@ def peak_labels(pois: DataFrame) -> DataFrame:
     return peaks.orderBy(F.desc("height"), "poi_id")
 
 
-def valid_guides(raw: DataFrame) -> DataFrame:
-    """Manifest rows with id and label, a name that is not blank and a box of four finite numbers."""
+def valid_guides(raw: DataFrame, *also: str) -> DataFrame:
+    """Manifest rows with id and label, a name that is not blank and a box of four finite numbers; and their columns ``also``."""
     finite = F.forall("bbox", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    return raw.filter(F.col("id").isNotNull() & F.col("label").isNotNull() & (F.trim("name") != "") & (F.size("bbox") == 4) & finite).select("id", "name", "label", "bbox")
+    return raw.filter(F.col("id").isNotNull() & F.col("label").isNotNull() & (F.trim("name") != "") & (F.size("bbox") == 4) & finite).select("id", "name", "label", "bbox", *also)
 
 
 def has_value(value: Column) -> Column:

@@ -259,6 +259,19 @@ def funnel(resolved: DataFrame) -> DataFrame:
     return resolved.withColumn("bucket", bucket).rollup("bucket").agg(*counts).withColumnRenamed("bucket", "type").orderBy(F.col("type").isNull(), F.desc("mentions"), "type")
 
 
+def unmatched_records(resolved: DataFrame) -> DataFrame:
+    """item_id and record of each item that nothing was found for or that was passed over.
+
+    The item's own keys are always there, null or not; who skipped it, and why,
+    only where that is known.
+    """
+    r = resolved.filter("method in ('skipped', 'unmatched')")
+    own = F.to_json(F.struct("entry_id", F.col("surface").alias("mention"), "name", "type", "kind", "elevation_m"), {"ignoreNullFields": "false"})
+    more = F.to_json(F.struct("skipped_by", "skip_reason", "llm_reason"))
+    both = F.concat(F.substring(own, F.lit(1), F.length(own) - 1), F.lit(","), F.substring(more, F.lit(2), F.length(more)))
+    return r.select("item_id", F.when(more == "{}", own).otherwise(both).alias("record"))
+
+
 def entry_counts(places: DataFrame, mentions: DataFrame) -> DataFrame:
     """n_entries: distinct entries linked to each feature by place or by mention."""
     both = places.select(F.col("place_id").alias("entry_id"), "poi_id").unionByName(mentions.select("entry_id", "poi_id"))

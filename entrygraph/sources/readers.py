@@ -6,7 +6,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from entrygraph.operators import entries, planning
+from entrygraph.operators import entries, graph, planning
 
 PAGE_META = "page int, stem string, char_count int, rotation int, n_images int, largest_image array<int>, is_sketch boolean"
 PART_ENTRY = "kind string, entry_id_raw string, name string, summary string, start_quote string, end_quote string, place_type string, elevation string, peak string, grade string, first_ascent string, time string, height_m string, place_names array<string>"
@@ -133,6 +133,17 @@ def published(spark: SparkSession, root: str, guide_id: str) -> dict[str, DataFr
     }
 
 
+def guides_manifest(spark: SparkSession, path: str) -> DataFrame:
+    """The guides that can be used of a published manifest (a JSON array), in its order by seq; a missing one ends the read."""
+    try:
+        raw = spark.read.option("multiLine", True).schema("id string, name string, label string, bbox array<double>").json(path)
+    except AnalysisException as e:
+        if not _missing(e):
+            raise
+        raise FileNotFoundError(f"no guides manifest at {path}") from e
+    return graph.valid_guides(raw.withColumn("seq", F.monotonically_increasing_id()), "seq")
+
+
 def manifest(spark: SparkSession, path: str) -> DataFrame:
     """The page manifest; a missing or malformed one ends the read."""
     return needed(spark, path, PAGE_META, "extraction")

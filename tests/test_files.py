@@ -9,7 +9,7 @@ from hypothesis import strategies as st
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
-from entrygraph.operators import gazetteer, work
+from entrygraph.operators import gazetteer, matching, work
 from entrygraph.sources import dump, files, readers, writers
 
 ODD = ['{"type":"node","id":1,', "a\\b", 'quote " and {', "ü 日 𝄞", "", ' {"type": "way", "id": 5}']
@@ -164,3 +164,24 @@ def test_only_a_missing_file_counts_as_missing(spark, tmp_path):
         with pytest.raises(Exception) as e:
             read()
         assert not isinstance(e.value, FileNotFoundError)
+
+
+def test_guides_manifest(spark, tmp_path):
+    good = {"id": "b", "name": "B", "label": "L", "bbox": [1, 2.5, 3, 4]}
+    bad = [{**good, "name": " "}, {**good, "bbox": [1, 2, 3]}, {**good, "bbox": [1, 2, 3, "x"]}, {k: v for k, v in good.items() if k != "id"}, {**good, "bbox": None}]
+    (tmp_path / "guides.json").write_text(json.dumps([bad[0], good, *bad[1:], {**good, "id": "a"}], indent=1))
+    got = readers.guides_manifest(spark, str(tmp_path / "guides.json")).orderBy("seq").collect()
+    assert [(r.id, r.bbox) for r in got] == [("b", [1.0, 2.5, 3.0, 4.0]), ("a", [1.0, 2.5, 3.0, 4.0])]
+    with pytest.raises(FileNotFoundError, match="no guides manifest"):
+        readers.guides_manifest(spark, str(tmp_path / "none.json"))
+
+
+def test_unmatched_records_leave_optional_keys_out(spark):
+    rows = [(1, "unmatched", "R1", "S, 5 m", "S", None, "mention", None, None, None, None), (2, "skipped", "R2", "T", "T", "hut", "place", 900.5, "review", None, None), (3, "unmatched", "R3", "U", 'U "q"', None, "mention", None, None, None, "no such"), (4, "exact", "R4", "V", "V", None, "mention", None, None, None, None)]
+    r = spark.createDataFrame(rows, "item_id int, method string, entry_id string, surface string, name string, type string, kind string, elevation_m double, skipped_by string, skip_reason string, llm_reason string")
+    got = {x.item_id: json.loads(x.record) for x in matching.unmatched_records(r).collect()}
+    assert got == {
+        1: {"entry_id": "R1", "mention": "S, 5 m", "name": "S", "type": None, "kind": "mention", "elevation_m": None},
+        2: {"entry_id": "R2", "mention": "T", "name": "T", "type": "hut", "kind": "place", "elevation_m": 900.5, "skipped_by": "review"},
+        3: {"entry_id": "R3", "mention": "U", "name": 'U "q"', "type": None, "kind": "mention", "elevation_m": None, "llm_reason": "no such"},
+    }
