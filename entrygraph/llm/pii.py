@@ -24,9 +24,10 @@ import re
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from entrygraph.llm.common import arrow_schema, map_rows
+from entrygraph.llm.common import arrow_map, arrow_schema, map_rows
 
 KINDS = ("email", "ip", "card", "phone", "secret")
 #: Invented examples for the trees; a quarter of them is held out to calibrate the thresholds.
@@ -297,24 +298,25 @@ def find_spans(docs: DataFrame) -> DataFrame:
 
 
 def redact(docs: DataFrame) -> DataFrame:
-    """doc_id and text with every span replaced by its kind in angle brackets; overlapping spans go as one."""
+    """``docs`` with all its columns, every span of its texts replaced by its kind in angle brackets; overlapping spans go as one."""
     shared = docs.sparkSession.sparkContext.broadcast(model())
 
-    def make():
+    def clean(text: str | None, trees, least) -> str | None:
+        if not text:
+            return text
+        base = base_spans(text)
+        out, at = [], 0
+        for a, k, b in sorted(base + added_spans(text, base, trees, least)):
+            if a >= at:
+                out += [text[at:a], f"<{KINDS[k]}>"]
+            at = max(at, b)
+        return "".join([*out, text[at:]])
+
+    def run(batches):
         trees, least = shared.value
+        for batch in batches:
+            at = batch.schema.get_field_index("text")
+            texts = pa.array([clean(t, trees, least) for t in batch.column(at).to_pylist()], batch.schema.field(at).type)
+            yield pa.RecordBatch.from_arrays([texts if i == at else c for i, c in enumerate(batch.columns)], names=batch.schema.names)
 
-        def one(doc_id, text):
-            if not text:
-                return doc_id, text
-            base = base_spans(text)
-            out, at = [], 0
-            for a, k, b in sorted(base + added_spans(text, base, trees, least)):
-                if a >= at:
-                    out += [text[at:a], f"<{KINDS[k]}>"]
-                at = max(at, b)
-            return doc_id, "".join([*out, text[at:]])
-
-        return one
-
-    ddl = "doc_id long, text string"
-    return map_rows(docs, ["doc_id", "text"], make, ddl, arrow_schema(ddl))
+    return arrow_map(docs, run, docs.schema)

@@ -93,3 +93,11 @@ def test_table(spark):
     clean = {r.doc_id: r.text for r in pii.redact(docs).collect()}
     assert "24be" not in clean[1] and "<email>" in clean[1] and clean[4] == "plain words only"
     assert pii.find_spans(docs.limit(0)).count() == 0
+
+
+def test_redaction_carries_all_columns(spark):
+    docs = spark.createDataFrame([(1, "x", "mail a.b@c.example now", 5), (2, "y", None, 6), (3, "z", "", 7), (1, "x", "mail a.b@c.example now", 5)], "doc_id long, spans string, text string, n_email int")
+    got = pii.redact(docs)
+    assert got.columns == docs.columns
+    assert sorted(map(tuple, got.collect()), key=str) == sorted([(1, "x", "mail <email> now", 5), (1, "x", "mail <email> now", 5), (2, "y", None, 6), (3, "z", "", 7)], key=str)
+    assert pii.redact(docs.limit(0)).count() == 0
