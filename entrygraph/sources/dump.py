@@ -41,7 +41,7 @@ class Range(InputPartition):
         self.begin, self.end, self.size = begin, end, size
 
 
-def split_elements(file, begin: int, end: int, size: int, chunk: int = CHUNK) -> Iterator[bytes]:
+def split_elements(file, begin: int, end: int, chunk: int = CHUNK) -> Iterator[bytes]:
     """The bytes of each element that begins in [begin, end) of ``file``, with what follows it up to the next one."""
     file.seek(begin)
     at, held, begun = begin, b"", -1
@@ -96,7 +96,7 @@ class DumpReader(DataSourceReader):
     def read(self, part: Range) -> Iterator[tuple]:
         system, path = opened(self.path)
         with system.open_input_file(path) as file:
-            for data in split_elements(file, part.begin, part.end, part.size):
+            for data in split_elements(file, part.begin, part.end):
                 row, behind = parsed(data)
                 if behind[:1] not in (",", "]"):
                     raise ValueError(f"{self.path} is malformed or cut short after {row[0]}/{row[1]}")

@@ -38,7 +38,7 @@ def test_splits_at_any_place_give_all_elements_once(seed, n, indent, split, chun
     draw = random.Random(seed)
     elements = [element(draw, i) for i in range(n)]
     data = document(elements, indent)
-    got = [dump.parsed(x)[0] for i in range(0, len(data), split) for x in dump.split_elements(io.BytesIO(data), i, min(i + split, len(data)), len(data), chunk)]
+    got = [dump.parsed(x)[0] for i in range(0, len(data), split) for x in dump.split_elements(io.BytesIO(data), i, min(i + split, len(data)), chunk)]
     assert [(r[0], r[1]) for r in got] == [(e["type"], e["id"]) for e in elements]
     assert [r[5] for r in got] == [e.get("tags") for e in elements]
 
