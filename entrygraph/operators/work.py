@@ -58,6 +58,32 @@ def markdown_row(cells: list[Column]) -> Column:
     return F.concat(F.lit("| "), F.concat_ws(" | ", *[text.cell(c) for c in cells]), F.lit(" |"))
 
 
-def funnel_line(columns: list[Column], width: int) -> Column:
-    first, *rest = columns
-    return F.concat(F.rpad(first, width, " "), *[F.lpad(c.cast("string"), 10, " ") for c in rest])
+# The funnel's columns, and the width of each.
+FUNNEL_COLUMNS, FUNNEL_WIDTH = ("mentions", "exact", "fuzzy", "llm", "review", "tie", "skipped", "unmatched"), 11
+
+
+def _right(cell: Column, width: int = FUNNEL_WIDTH) -> Column:
+    return F.lpad(cell, F.greatest(F.length(cell), F.lit(width)), " ")
+
+
+def funnel_table(funnel: DataFrame) -> DataFrame:
+    """One row of text: the funnel (a row a type, totals with type null) as a table, most mentions first, totals last.
+
+    There are a few types, so one row holds them.
+    """
+    name = F.coalesce("type", F.lit("total"))
+    cells = F.concat(*[_right(F.col(c).cast("string")) for c in FUNNEL_COLUMNS])
+    row = F.struct(F.col("type").isNull().alias("total"), (-F.col("mentions")).alias("n"), name.alias("name"), cells.alias("cells"))
+    told = funnel.agg(F.array_sort(F.collect_list(row)).alias("rows"), F.greatest(F.max(F.length(name)), F.length(F.lit("total"))).alias("width"))
+    head = F.concat(F.rpad(F.lit("type"), F.col("width"), " "), *[_right(F.lit(c)) for c in FUNNEL_COLUMNS])
+    lines = F.transform("rows", lambda r: F.concat(F.rpad(r["name"], F.col("width"), " "), r.cells))
+    return told.select(F.concat_ws("\n", head, lines).alias("text"))
+
+
+def funnel_summary(funnel: DataFrame, entries: DataFrame, review: str, unmatched: str) -> DataFrame:
+    """One row of text: how many entries (with has_part) have mentions, and what is open and left over, with where to look."""
+    told = entries.agg(F.count(F.lit(1)).alias("_all"), F.count_if("has_part").alias("_with")).crossJoin(funnel.filter("type is null").select("tie", "unmatched"))  # one row each
+    text_of = lambda c: F.col(c).cast("string")
+    return told.select(
+        F.concat(F.lit("[plan funnel] "), text_of("_with"), F.lit("/"), text_of("_all"), F.lit(" entries have extracted mentions; "), text_of("tie"), F.lit(f" open ties in {review}, "), text_of("unmatched"), F.lit(f" unmatched in {unmatched}.")).alias("text")
+    )
