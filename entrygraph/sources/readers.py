@@ -44,10 +44,17 @@ def _parsed(column: str, schema: str):
     return F.from_json(column, f"{schema}, _bad string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"})
 
 
-def parsed_lines(df: DataFrame, column: str, schema: str) -> DataFrame:
-    """Rows whose column is JSON of the schema, with it as ``record``; blank and bad ones are passed over."""
-    record = _parsed(column, schema)
-    return df.filter(F.trim(column) != "").withColumn("record", record).filter("record is not null and record._bad is null")
+def parsed_lines(df: DataFrame, column: str, schema: str, watch: Observation | None = None) -> DataFrame:
+    """Rows whose column is JSON of the schema, with it as ``record``; blank and bad ones are passed over.
+
+    ``watch`` gets n_lines, n_blank (nulls too) and n_bad of the scan.
+    """
+    rows = df.withColumn("record", _parsed(column, schema))
+    blank = F.coalesce(F.trim(column) == "", F.lit(True))
+    bad = ~blank & (F.col("record").isNull() | F.col("record._bad").isNotNull())
+    if watch is not None:
+        rows = rows.observe(watch, F.count(F.lit(1)).alias("n_lines"), F.count_if(blank).alias("n_blank"), F.count_if(bad).alias("n_bad"))
+    return rows.filter(~blank & ~bad)
 
 
 def parts(spark: SparkSession, path: str, watch: Observation | None = None) -> tuple[DataFrame, DataFrame]:

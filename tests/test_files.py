@@ -148,6 +148,10 @@ def test_counts_come_from_the_same_scan(spark, tmp_path):
     good, bad = readers.permissive_lines(spark, str(tmp_path / "l.jsonl"), "a int", watch)
     assert sorted(r.a for r in good.collect()) == [1, 2]
     assert watch.get == {"n_lines": 6, "n_blank": 2, "n_bad": 2} and [r.line for r in bad.collect()] == ['{"a": ', "x"]
+    rows = spark.createDataFrame([('{"a": 5}',), (" ",), (None,), ("{",), ("7",)], "line string")
+    watch = Observation("rows")
+    assert [r.record.a for r in readers.parsed_lines(rows, "line", "a int", watch).collect()] == [5]
+    assert watch.get == {"n_lines": 5, "n_blank": 2, "n_bad": 2}
     (tmp_path / "parts").mkdir()
     for page, text in ((1, '{"entries": [{"name": "A"}, {"name": "B"}]}'), (2, '{"entries": ['), (3, '{"entries": []}')):
         (tmp_path / "parts" / f"page_{page:04d}.json").write_text(text)
