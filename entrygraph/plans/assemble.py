@@ -62,7 +62,7 @@ def match(items: DataFrame, features: DataFrame, decisions: DataFrame, verdicts:
         "entry_pois": told,
         "geojson": matching.geojson(pois, matching.entry_counts(places, told)),
         "funnel": matching.funnel(r),
-        "review": r.filter("reviewed"),
+        "review": matching.review_list(r, features, scope),
         "queue": r.filter("queued"),
         "unmatched": r.filter("method in ('skipped', 'unmatched')"),
     }
