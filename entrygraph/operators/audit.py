@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from entrygraph.functions import text
 from entrygraph.operators import work
+from entrygraph.plans.staging import written
 
 #: Characters of a description that a row shows.
 WIDTH = 90
@@ -18,19 +19,17 @@ NAMED = {"place": ("Place (book elev.)", "Übersicht excerpt", "OSM name", "Δ e
 SUMMED = {"place": "place matches", "mention": "mention links"}
 
 
-def _told(rows: DataFrame, pois: DataFrame, title: Column, needle: Column) -> DataFrame:
-    """The cells of rows that have poi_id, _flat (the description on one line), elevation_m and method; a feature that is gone is marked."""
-    known = pois.select("poi_id", F.col("name").alias("_name"), F.col("ele").alias("_ele"), F.lit(True).alias("_known"))
-    r = rows.join(known, "poi_id", "left")
+def _told(rows: DataFrame, pois: DataFrame) -> DataFrame:
+    """``rows`` (with poi_id) and what is known of their features: _name, _ele, _known."""
+    return rows.join(pois.select("poi_id", F.col("name").alias("_name"), F.col("ele").alias("_ele"), F.lit(True).alias("_known")), "poi_id", "left")
+
+
+def _cells(title: Column) -> list[Column]:
+    """COLUMNS of rows that have excerpt, elevation_m, method and what ``_told`` adds; a feature that is gone is marked."""
     lost = F.concat(F.lit("(missing POI "), "poi_id", F.lit(")"))
     there = F.coalesce("_known", F.lit(False))
-    cells = {
-        "title": text.cell(title),
-        "excerpt": text.excerpt_of(F.col("_flat"), needle, WIDTH),
-        "osm_name": F.when(there, text.cell(F.col("_name"))).otherwise(lost),
-        "delta": F.when(there, text.elevation_delta(F.col("elevation_m"), F.col("_ele"))).otherwise("—"),
-    }
-    return r.withColumns(cells).drop("_name", "_ele", "_known")
+    delta = F.when(there, text.elevation_delta(F.col("elevation_m"), F.col("_ele"))).otherwise("—")
+    return [text.cell(title).alias("title"), F.col("excerpt"), F.when(there, text.cell(F.col("_name"))).otherwise(lost).alias("osm_name"), delta.alias("delta"), F.col("method")]
 
 
 def place_rows(links: DataFrame, entries: DataFrame, resolved: DataFrame, pois: DataFrame) -> DataFrame:
@@ -40,25 +39,31 @@ def place_rows(links: DataFrame, entries: DataFrame, resolved: DataFrame, pois:
     name, elevation_m and method. A link without entry or place item is passed over.
     """
     item = resolved.filter("kind = 'place'").select("entry_id", F.col("name").alias("_item"), "elevation_m", "method").dropDuplicates(["entry_id"])
-    told = entries.select(F.col("id").alias("entry_id"), F.col("name").alias("_entry"), text.squeezed(F.col("description")).alias("_flat"))
-    rows = links.withColumnRenamed("place_id", "entry_id").join(told, "entry_id").join(item, "entry_id")
+    # a description is cut before its entry meets the links: only the excerpt goes through joins
+    excerpt = text.excerpt_of(text.squeezed(F.col("description")), F.lit(None).cast("string"), WIDTH)
+    told = entries.select(F.col("id").alias("entry_id"), F.col("name").alias("_entry"), excerpt.alias("excerpt"))
+    rows = _told(links.withColumnRenamed("place_id", "entry_id"), pois).join(told, "entry_id").join(item, "entry_id")
     name = F.coalesce(F.nullif("_entry", F.lit("")), "_item")
     title = F.when(F.col("elevation_m").isNotNull(), F.concat(name, F.lit(", "), text.metres(F.col("elevation_m")))).otherwise(name)
-    return _told(rows, pois, title, F.lit(None).cast("string")).select(F.col("entry_id").alias("key"), "poi_id", *COLUMNS)
+    return rows.select(F.col("entry_id").alias("key"), "poi_id", *_cells(title))
 
 
 def mention_rows(links: DataFrame, entries: DataFrame, resolved: DataFrame, pois: DataFrame) -> DataFrame:
     """One row a link (entry_id, surface, poi_id) with the method of the entry's first item of that surface.
 
     A link whose mention is no longer extracted stays, its method a question mark.
+    What is told of an entry and a surface is made once, however many links have
+    them, and written; links meet it last, so that no text is shuffled with them.
     """
     first = F.min_by(F.struct("elevation_m", "method"), "seq").alias("_item")
     items = resolved.filter("kind = 'mention'").groupBy("entry_id", "surface").agg(first)
-    told = entries.select(F.col("id").alias("entry_id"), text.squeezed(F.col("description")).alias("_flat"))
-    rows = links.join(told, "entry_id").join(items, ["entry_id", "surface"], "left")
-    rows = rows.withColumn("elevation_m", F.col("_item.elevation_m")).withColumn("method", F.coalesce("_item.method", F.lit("?"))).drop("_item")
+    pairs = written(links.select("entry_id", "surface").distinct())
+    flat = entries.select(F.col("id").alias("entry_id"), text.squeezed(F.col("description")).alias("_flat"))
+    cut = pairs.join(flat, "entry_id").select("entry_id", "surface", text.excerpt_of(F.col("_flat"), F.col("surface"), WIDTH).alias("excerpt"))
+    told = cut.join(items.join(pairs, ["entry_id", "surface"], "left_semi"), ["entry_id", "surface"], "left")
+    told = written(told.select("entry_id", "surface", "excerpt", F.col("_item.elevation_m").alias("elevation_m"), F.coalesce("_item.method", F.lit("?")).alias("method")))
     key = F.concat_ws("\x1f", "entry_id", "surface", "poi_id")
-    return _told(rows, pois, F.col("surface"), F.col("surface")).select(key.alias("key"), "poi_id", *COLUMNS)
+    return _told(links, pois).join(told, ["entry_id", "surface"]).select(key.alias("key"), "poi_id", *_cells(F.col("surface")))
 
 
 def methods(rows: DataFrame) -> DataFrame:
@@ -89,7 +94,8 @@ def rendered(rows: DataFrame, unmatched: DataFrame, kind: str, size: int = SAMPL
 
     Only the sample is put into one row; counts come from all rows.
     """
-    picked = work.audit_sample(rows, "key", "method", size, seed, ("poi_id",))
+    # ``size`` rows, read twice
+    picked = written(work.audit_sample(rows, "key", "method", size, seed, ("poi_id",)))
     line = F.concat(F.lit("| "), F.concat_ws(" | ", *COLUMNS), F.lit(" |"))
     lines = picked.agg(F.array_sort(F.collect_list(F.struct("key", "poi_id", line.alias("line")))).alias("_lines"), F.count(F.lit(1)).alias("_n"))
     counted = rows.agg(F.count(F.lit(1)).alias("_all")).crossJoin(lines).crossJoin(tally(picked))  # one row each
