@@ -53,7 +53,11 @@ def fingerprint(text: str | None, size: int) -> int:
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
     starts = np.concatenate([[0], ends[:-1] + 1])
     digest = xxhash.xxh64_intdigest
-    hashes = np.array([digest(whole[a:b], SEED) for a, b in zip(starts[: len(words) - size + 1].tolist(), ends[size - 1 :].tolist())], np.uint64)
+    return majority(np.array([digest(whole[a:b], SEED) for a, b in zip(starts[: len(words) - size + 1].tolist(), ends[size - 1 :].tolist())], np.uint64))
+
+
+def majority(hashes: np.ndarray) -> int:
+    """The bits set in over half of the hashes."""
     ones = np.zeros(64, np.int64)
     for at in range(0, len(hashes), 1 << 14):  # bounded working memory for very long texts
         ones += np.unpackbits(hashes[at : at + (1 << 14)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
@@ -221,7 +225,10 @@ def near_copies(docs: DataFrame, size: int) -> DataFrame:
     """doc_id, th and root for each row of ``docs`` with words: root is the class of its near copies.
 
     Two documents link if their texts are equal or the similarity of their sets
-    of shingles (shared by all) is at least SIMILAR. Two such sets share a
+    of shingles (shared by all) is at least SIMILAR. Fingerprints and their Golay
+    keys join first what is within MOST bits, and an exact check follows; these
+    classes stay together. What fingerprints further apart may link is looked for
+    by the shingles themselves, so that no link is lost. Two such sets share a
     member among the first ``prefix`` of each, in whatever order, as long as it
     is the same for all, and k among the first ``prefix`` - 1 + k. The order by
     hash, with k as large as the prefix itself (as the least partner's, when
@@ -230,26 +237,31 @@ def near_copies(docs: DataFrame, size: int) -> DataFrame:
     such keys is joined to blocks, and within a block the similarities
     themselves decide.
     """
-    ddl = "doc_id long, th long, node long, need long, first array<long>"
+    ddl = "doc_id long, th long, node long, fp long, need long, first array<long>"
+    signed = lambda x: x - (1 << 64) if x >> 63 else x
     keyed = docs.select("doc_id", F.xxhash64("text").alias("th"), F.xxhash64("doc_id", "text").alias("node"), "text")
 
     def one(doc_id, th, node, text):
-        h = np.unique(_shingle_hashes(text, size))
+        every = _shingle_hashes(text, size)
+        h = np.unique(every)
         if not len(h):
-            return doc_id, th, node, None, None
+            return doc_id, th, node, None, None, None
         n = np.int64(len(h))
-        return doc_id, th, node, int(prefix(n - prefix(n) + 1)), _signed(h[: 2 * prefix(n) - 1])
+        return doc_id, th, node, signed(majority(every)), int(prefix(n - prefix(n) + 1)), _signed(h[: 2 * prefix(n) - 1])
 
     read = staged(map_rows(keyed, ["doc_id", "th", "node", "text"], lambda: one, ddl, arrow_schema(ddl)).filter("first is not null"))
     # the least node stands for all of equal texts
-    texts = staged(read.groupBy("th").agg(F.min("node").alias("one"), F.min("need").alias("need")))
+    texts = staged(read.groupBy("th").agg(F.min("node").alias("one"), F.min("need").alias("need"), F.min("fp").alias("fp")))
     # one exchange for both sides: those two texts hold, and who holds them
     keys = read.select("th", F.explode("first").alias("h")).repartition("h")
     shared = keys.groupBy("h").agg(F.min("th").alias("x"), F.max("th").alias("y")).filter("x <> y").select("h")
     told = keys.join(shared, "h").groupBy("th").agg(F.count("*").alias("n_shared"))
     met = staged(told.join(texts, "th").filter("n_shared >= need").select(F.col("one").alias("node")))
-    rooted = staged(_classes(_company(keyed, met, size))).withColumnRenamed("node", "one")
-    return read.select("doc_id", "th", "node").join(texts, "th").join(rooted, "one", "left").select("doc_id", "th", "node", F.coalesce("root", "one").alias("root"))
+    company = _company(keyed, met, size)
+    seeds = _by_fingerprints(texts.select(F.col("one").alias("node"), "fp"), company)
+    company = staged(company.join(seeds.withColumnRenamed("root", "seed"), "node", "left").withColumn("seed", F.coalesce("seed", "node")))
+    rooted = staged(_classes(company)).withColumnRenamed("node", "one")
+    return read.select("doc_id", "th", "node").join(texts.select("th", "one"), "th").join(rooted, "one", "left").select("doc_id", "th", "node", F.coalesce("root", "one").alias("root"))
 
 
 def _company(keyed: DataFrame, met: DataFrame, size: int) -> DataFrame:
@@ -274,8 +286,22 @@ def _company(keyed: DataFrame, met: DataFrame, size: int) -> DataFrame:
     return staged(held.withColumn("n_keys", n_keys.cast("int")).filter("n_keys > 0"))
 
 
+def _by_fingerprints(texts: DataFrame, company: DataFrame) -> DataFrame:
+    """node and root of documents of ``company`` whose fingerprints (in ``texts``) link and whose sets are similar enough.
+
+    Equal fingerprints are checked against their least document, linked ones by
+    their least documents.
+    """
+    held = staged(texts.join(company.select("node"), "node"))
+    own = staged(held.groupBy("fp").agg(F.min("node").alias("least"), F.count("*").alias("times")))
+    equal = join_hot(held, own, "fp", "times").filter("least <> node").select(F.col("least").alias("a"), F.col("node").alias("b"))
+    named = lambda x: own.select(F.col("fp").alias(x), F.col("least").alias(f"{x}_node"))
+    near = links(own.select("fp")).join(named("a"), "a").join(named("b"), "b").select(F.col("a_node").alias("a"), F.col("b_node").alias("b"))
+    return components(_similar(staged(equal.unionByName(near).distinct()), company))
+
+
 def _classes(company: DataFrame) -> DataFrame:
-    """node and root for the documents that meet others; linked ones have one root.
+    """node and root for the documents that meet others; linked ones, and those of one seed, have one root.
 
     Documents that meet by keys, directly or over others, make a block. Blocks
     of at most BLOCK documents are compared in one task each, larger ones by
@@ -286,19 +312,19 @@ def _classes(company: DataFrame) -> DataFrame:
     blocks = staged(components(keys.join(least, "h").select("a", F.col("node").alias("b")).filter("a < b").distinct()))
     sizes = staged(blocks.groupBy(F.col("root").alias("block")).agg(F.count("*").alias("times")))
     rows = staged(join_hot(blocks.withColumnRenamed("root", "block"), sizes.withColumn("n_block", F.col("times")), "block", "times"))
-    small = company.join(rows.filter(F.col("n_block") <= BLOCK), "node").select("block", "node", "n", "held")
+    small = company.join(rows.filter(F.col("n_block") <= BLOCK), "node").select("block", "node", "n", "seed", "held")
     ddl = "node long, root long"
     schema = arrow_schema(ddl)
 
     def closed(parts):
-        node, n, lengths, held = (np.concatenate(x) for x in zip(*parts))
-        return pa.record_batch([pa.array(node), pa.array(node[linked(n, lengths, held)])], schema=schema)
+        node, n, seed, lengths, held = (np.concatenate(x) for x in zip(*parts))
+        return pa.record_batch([pa.array(node), pa.array(node[linked(n, lengths, held, seed)])], schema=schema)
 
     def run(batches):
         parts, now = [], None
         for batch in batches:
-            block, node, n = (batch.column(i).to_numpy() for i in range(3))
-            lengths, held = np.diff(batch.column(3).offsets.to_numpy()), batch.column(3).flatten().to_numpy()
+            block, node, n, seed = (batch.column(i).to_numpy() for i in range(4))
+            lengths, held = np.diff(batch.column(4).offsets.to_numpy()), batch.column(4).flatten().to_numpy()
             at = np.concatenate([[0], np.cumsum(lengths)])
             cuts = [0, *(np.flatnonzero(np.diff(block)) + 1).tolist(), len(block)]
             for i, j in zip(cuts, cuts[1:]):
@@ -308,7 +334,7 @@ def _classes(company: DataFrame) -> DataFrame:
                     yield closed(parts)
                     parts = []
                 now = block[i]
-                parts.append((node[i:j], n[i:j], lengths[i:j], held[at[i] : at[j]].copy()))
+                parts.append((node[i:j], n[i:j], seed[i:j], lengths[i:j], held[at[i] : at[j]].copy()))
         if parts:
             yield closed(parts)
 
@@ -333,8 +359,8 @@ def _by_pivots(company: DataFrame) -> DataFrame:
     sets = staged(company.select("node", "n", "held"))
     posts = company.select("node", "n", (F.col("n") - F.size("held")).alias("lone"), F.posexplode(F.slice("held", F.lit(1), F.col("n_keys"))).alias("at", "h"))
     posts = staged(posts)
-    found = sets.limit(0).select(F.col("node").alias("a"), F.col("node").alias("b"))
-    classes = sets.select("node", F.col("node").alias("root"))
+    found = staged(company.filter("seed <> node").select(F.col("seed").alias("a"), F.col("node").alias("b")))
+    classes = company.select("node", F.col("seed").alias("root"))
     before = None
     for turn in itertools.count():
         linked_to = found.select(F.col("a").alias("node")).unionByName(found.select(F.col("b").alias("node"))).groupBy("node").agg(F.count("*").alias("links"))
@@ -392,14 +418,17 @@ def _similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return met.withColumn("both", both).filter(F.col("both") / (F.col("an") + F.col("bn") - F.col("both")) >= SIMILAR).select("a", "b")
 
 
-def linked(n: np.ndarray, lengths: np.ndarray, held: np.ndarray) -> np.ndarray:
+def linked(n: np.ndarray, lengths: np.ndarray, held: np.ndarray, seed: np.ndarray | None = None) -> np.ndarray:
     """For each set the index of its class's first: the closure of all pairs similar enough.
 
     Set i has ``n[i]`` members, of which others may hold the next ``lengths[i]``
     of ``held``. A set reached is compared with all not yet reached that share a
     key of the block's own rarest-first prefixes; those linked are reached next.
-    So no link is lost, and sets reached already are not compared again.
+    So no link is lost, and sets reached already are not compared again. Sets of
+    one ``seed`` are known to be linked, and are reached together.
     """
+    _, label = np.unique(np.arange(len(n)) if seed is None else seed, return_inverse=True)
+    mates = np.split(np.argsort(label, kind="stable"), np.cumsum(np.bincount(label))[:-1])
     _, ids, df = np.unique(held, return_inverse=True, return_counts=True)
     order = np.argsort(df, kind="stable")
     rank = np.empty(len(df), np.int64)
@@ -417,7 +446,8 @@ def linked(n: np.ndarray, lengths: np.ndarray, held: np.ndarray) -> np.ndarray:
     for first in range(len(n)):
         if root[first] >= 0:
             continue
-        root[first], todo, left = first, [first], left - 1
+        todo = mates[label[first]].tolist()
+        root[todo], left = first, left - len(todo)
         while todo and left:
             x = todo.pop()
             mine = ids[starts[x] : starts[x] + lengths[x]]
@@ -431,6 +461,8 @@ def linked(n: np.ndarray, lengths: np.ndarray, held: np.ndarray) -> np.ndarray:
                 begin = np.cumsum(size) - size
                 same = np.add.reduceat(mark[ids[np.repeat(starts[some] - begin, size) + np.arange(size.sum())]].astype(np.int64), begin)
                 some = some[same / (n[x] + n[some] - same) >= SIMILAR]
+                some = np.concatenate([mates[i] for i in np.unique(label[some]).tolist()] or [some])
+                some = some[root[some] < 0]
                 root[some], left = first, left - len(some)
                 todo += some.tolist()
             mark[mine] = False

@@ -221,3 +221,21 @@ def test_recall_on_the_documents(spark):
             if j != k and n >= 0.8 * (len(sets[k]) + len(sets[j]) - n):
                 links, found = links + 1, found + (root[j] == root[k])
     assert links and found == links
+
+
+def test_near_copies_begin_with_golay_keys(spark, monkeypatch):
+    """Fingerprints link copies first, checked on the sets; what they miss is found by shingles, and classes are whole."""
+    rng = random.Random(21)
+    texts = []
+    for _ in range(12):
+        base = [f"w{rng.randrange(5000)}" for _ in range(400)]
+        texts += [" ".join(base), " ".join([*base[:-1], "end"]), " ".join([*base[:390], *(f"x{rng.randrange(5000)}" for _ in range(10))])]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    asked, own = [], simhash._by_fingerprints
+    monkeypatch.setattr(simhash, "_by_fingerprints", lambda *a: asked.append(own(*a)) or asked[-1])
+    got = {r.doc_id: r.root for r in simhash.near_copies(docs, 5).collect()}
+    assert len({got[i] for i in range(36)}) == 12 and all(got[i] == got[i - i % 3] for i in range(36))
+    assert asked[0].count() >= 12
+    # a seed joins sets at once
+    n, lengths, held = np.array([3, 3, 3]), np.array([0, 0, 0]), np.zeros(0, np.int64)
+    assert simhash.linked(n, lengths, held, np.array([7, 5, 7])).tolist() == [0, 1, 0] and simhash.linked(n, lengths, held).tolist() == [0, 1, 2]
