@@ -28,6 +28,8 @@ COMMON = 4096
 #: Letters (of the first ones) that similar keys have in common at least, and by which they meet: three where cutoffs
 #: are high, as few letters are first then; two below, where three of many would make too many rows.
 HIGH = 85
+#: Pairs of distinct keys up to which all are compared at once: that takes less time than the steps of the index.
+FEW = 4_000_000
 
 
 def near_enough(least: int) -> Column:
@@ -35,6 +37,23 @@ def near_enough(least: int) -> Column:
     return F.lit(100) * F.col("gap") <= F.lit(100 - least) * F.col("total")
 
 
+def distinct(keys: DataFrame, scope: Sequence[str] = ()) -> DataFrame:
+    """Each distinct key (of a scope) once, written."""
+    return written(keys.select("key", *scope).filter("key is not null").distinct())
+
+
+def all_pairs(left: DataFrame, right: DataFrame, least: int, scope: Sequence[str] = ()) -> DataFrame:
+    """What ``candidates`` gives, without the index: all pairs of written keys whose lengths allow similarity of ``least``. One side is sent to all tasks."""
+    # few keys lie in few files: they are dealt anew, so that all tasks compare
+    a = left.select("key", F.length("key").alias("n"), *scope).repartition("key")
+    b = right.select(F.col("key").alias("g_key"), F.length("key").alias("m"), *[F.col(c).alias(f"_{c}") for c in scope]).repartition("g_key")
+    shorter, both = F.least("n", "m"), F.col("n") + F.col("m")
+    met = F.lit(200) * shorter >= F.lit(least) * both
+    for c in scope:
+        met = met & (F.col(c) == F.col(f"_{c}"))
+    return b.join(F.broadcast(a), met).select("key", "g_key", *scope, "n", "m")
+
+
 def _numbered(key: Column) -> Column:
     """The letters of a key with their occurrence: aba is a1, a2, b1."""
     letters = F.array_sort(F.regexp_extract_all(key, F.lit("(?s)(.)"), F.lit(1)))
