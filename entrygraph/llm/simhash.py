@@ -290,14 +290,17 @@ def _by_fingerprints(texts: DataFrame, company: DataFrame) -> DataFrame:
     """node and root of documents of ``company`` whose fingerprints (in ``texts``) link and whose sets are similar enough.
 
     Equal fingerprints are checked against their least document, linked ones by
-    their least documents.
+    their least documents. The root is the least document linked to the node, or
+    the node itself: all of one root are linked by it. Roots linked to others are
+    found again by the shingles, so that no rounds of components are run here.
     """
     held = staged(texts.join(company.select("node"), "node"))
     own = staged(held.groupBy("fp").agg(F.min("node").alias("least"), F.count("*").alias("times")))
     equal = join_hot(held, own, "fp", "times").filter("least <> node").select(F.col("least").alias("a"), F.col("node").alias("b"))
     named = lambda x: own.select(F.col("fp").alias(x), F.col("least").alias(f"{x}_node"))
     near = links(own.select("fp")).join(named("a"), "a").join(named("b"), "b").select(F.col("a_node").alias("a"), F.col("b_node").alias("b"))
-    return components(_similar(staged(equal.unionByName(near).distinct()), company))
+    found = _similar(staged(equal.unionByName(near).distinct()), company).select(F.least("a", "b").alias("root"), F.greatest("a", "b").alias("node"))
+    return found.unionByName(found.select("root", F.col("root").alias("node"))).groupBy("node").agg(F.min("root").alias("root"))
 
 
 def _classes(company: DataFrame) -> DataFrame:

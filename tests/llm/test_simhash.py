@@ -239,3 +239,31 @@ def test_near_copies_begin_with_golay_keys(spark, monkeypatch):
     # a seed joins sets at once
     n, lengths, held = np.array([3, 3, 3]), np.array([0, 0, 0]), np.zeros(0, np.int64)
     assert simhash.linked(n, lengths, held, np.array([7, 5, 7])).tolist() == [0, 1, 0] and simhash.linked(n, lengths, held).tolist() == [0, 1, 2]
+
+
+def test_hot_join_sends_nothing_without_hot_keys(spark):
+    """The driver builds no table to send where no key is hot; where one is, rows are the same."""
+    left = spark.range(300).selectExpr("id", "id % 100 as k")
+    few, hot = spark.range(100).selectExpr("id as k", "3L as n", "-id as v"), spark.range(100).selectExpr("id as k", "if(id = 5, 64L, 3L) as n", "-id as v")
+    plans = [(df := simhash.join_hot(left, right, "k", "n"))._jdf.queryExecution().optimizedPlan().toString() for right in (few, hot)]
+    assert "broadcast" not in plans[0] and "broadcast" in plans[1]
+    assert all(sorted(map(tuple, simhash.join_hot(left, right, "k", "n").select("id", "v").collect())) == [(i, -(i % 100)) for i in range(300)] for right in (few, hot))
+
+
+def test_chains_of_seeds_are_one_class(spark, monkeypatch):
+    """Each document is linked to the next only: seeds differ along the chain, the class is whole in both forms, without rounds of components for seeds."""
+    rng = random.Random(5)
+    words = [f"w{rng.randrange(9000)}" for _ in range(400)]
+    docs = []
+    for k in range(8):
+        docs.append((k, " ".join(words)))
+        words = words[16:] + [f"w{rng.randrange(9000)}" for _ in range(16)]
+    table = spark.createDataFrame(docs, "doc_id long, text string")
+    # whatever the fingerprints, neighbours are said to link
+    monkeypatch.setattr(simhash, "links", lambda fps: fps.select(simhash.F.col("fp").alias("a")).crossJoin(fps.select(simhash.F.col("fp").alias("b"))).filter("a < b"))
+    own, seen = simhash._by_fingerprints, []
+    monkeypatch.setattr(simhash, "_by_fingerprints", lambda *a: seen.append(own(*a)) or seen[-1])
+    for block in (simhash.BLOCK, 2):
+        monkeypatch.setattr(simhash, "BLOCK", block)
+        assert len({r.root for r in simhash.near_copies(table, 5).collect()}) == 1
+    assert seen[0].select("root").distinct().count() > 1
