@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from entrygraph.functions import similarity
-from entrygraph.plans.staging import written
+from entrygraph.plans.staging import dealt, written
 
 #: Letters whose counts order them: the most common ones; others come before these. It bounds what is broadcast.
 COMMON = 4096
@@ -38,15 +38,15 @@ def near_enough(least: int) -> Column:
 
 
 def distinct(keys: DataFrame, scope: Sequence[str] = ()) -> DataFrame:
-    """Each distinct key (of a scope) once, written."""
-    return written(keys.select("key", *scope).filter("key is not null").distinct())
+    """Each distinct key (of a scope) once."""
+    return keys.select("key", *scope).filter("key is not null").distinct()
 
 
 def all_pairs(left: DataFrame, right: DataFrame, least: int, scope: Sequence[str] = ()) -> DataFrame:
-    """What ``candidates`` gives, without the index: all pairs of written keys whose lengths allow similarity of ``least``. One side is sent to all tasks."""
+    """What ``candidates`` gives, without the index: all pairs of keys whose lengths allow similarity of ``least``. One side is sent to all tasks."""
+    a = left.select("key", F.length("key").alias("n"), *scope)
     # few keys lie in few files: they are dealt anew, so that all tasks compare
-    a = left.select("key", F.length("key").alias("n"), *scope).repartition("key")
-    b = right.select(F.col("key").alias("g_key"), F.length("key").alias("m"), *[F.col(c).alias(f"_{c}") for c in scope]).repartition("g_key")
+    b = dealt(right.select(F.col("key").alias("g_key"), F.length("key").alias("m"), *[F.col(c).alias(f"_{c}") for c in scope]), "g_key")
     shorter, both = F.least("n", "m"), F.col("n") + F.col("m")
     met = F.lit(200) * shorter >= F.lit(least) * both
     for c in scope:
