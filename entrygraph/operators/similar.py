@@ -43,15 +43,15 @@ def distinct(keys: DataFrame, scope: Sequence[str] = ()) -> DataFrame:
 
 
 def all_pairs(left: DataFrame, right: DataFrame, least: int, scope: Sequence[str] = ()) -> DataFrame:
-    """What ``candidates`` gives, without the index: all pairs of keys whose lengths allow similarity of ``least``. One side is sent to all tasks."""
-    a = left.select("key", F.length("key").alias("n"), *scope)
+    """What ``candidates`` gives, without the index and with the places of a key's letters: all pairs of keys whose lengths allow similarity of ``least``. One side is sent to all tasks."""
+    a = left.select("key", F.length("key").alias("n"), similarity.places(F.col("key")).alias("_places"), *scope)
     # few keys lie in few files: they are dealt anew, so that all tasks compare
     b = dealt(right.select(F.col("key").alias("g_key"), F.length("key").alias("m"), *[F.col(c).alias(f"_{c}") for c in scope]), "g_key")
     shorter, both = F.least("n", "m"), F.col("n") + F.col("m")
     met = F.lit(200) * shorter >= F.lit(least) * both
     for c in scope:
         met = met & (F.col(c) == F.col(f"_{c}"))
-    return b.join(F.broadcast(a), met).select("key", "g_key", *scope, "n", "m")
+    return b.join(F.broadcast(a), met).select("key", "g_key", *scope, "n", "m", "_places")
 
 
 def _numbered(key: Column) -> Column:
@@ -126,11 +126,14 @@ def scored(met: DataFrame, least: int, scope: Sequence[str] = ()) -> DataFrame:
 
     The edit distance, computed no further than it may go (it is never above the
     Indel distance), cuts most of the rest in compiled code; the exact score is
-    computed for what is left.
+    computed for what is left: without Python where the places of letters are
+    known, as for few pairs its start takes longer than all of them.
     """
     met = met.withColumn("total", F.col("n") + F.col("m")).withColumn("_most", F.floor(F.lit(100 - least) * F.col("total") / 100).cast("int"))
     met = met.filter(F.expr("levenshtein(key, g_key, _most) >= 0"))
-    met = met.withColumn("_lcs", similarity.lcs_batched(F.col("key"), F.col("g_key"))).withColumn("gap", F.col("total") - 2 * F.col("_lcs"))
+    key, other = F.col("key"), F.col("g_key")
+    lcs = similarity.lcs_by_places(key, F.col("_places"), other) if "_places" in met.columns else similarity.lcs_batched(key, other)
+    met = met.withColumn("_lcs", lcs).withColumn("gap", F.col("total") - 2 * F.col("_lcs"))
     return met.filter(near_enough(least)).select("key", "g_key", *scope, similarity.ratio(F.col("_lcs"), F.col("total")).alias("score"), "gap", "total")
 
 
